@@ -4,58 +4,58 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.session import materialize
+from lanewise.session import materialize_with
 
 
 def _ancestor_paths(regions: DataFrame) -> DataFrame:
     """(slug, ancestor, level, copies) for every proper ancestor.
 
-    Goes one level up per round and joins only the newest rows. Copies of an edge
-    are counted, not carried, so a region delivered many times costs one row. The
-    edge side is unique per (slug, parent); the frontier may crowd on one ancestor,
-    which AQE splits. Each round is written to the shared folder, so a lost
-    executor costs a round at most and the plan does not grow.
+    Path lengths double per round: the paths of the greatest length so far are
+    continued by every known path, so a tree of depth d takes log2(d) rounds. Copies
+    of an edge are counted, not carried, so a region delivered many times costs one
+    row. The continuing side is unique per (slug, ancestor, level); the other may
+    crowd on one ancestor, which AQE splits. Each round is written to the shared
+    folder, so a lost executor costs a round at most and the plan does not grow.
     """
-    edges = materialize(
+    path = ["slug", "ancestor", "level"]
+    cycle = F.max(F.when(F.col("slug") == F.col("ancestor"), F.col("slug")))
+    newest = (
         regions.filter(F.col("parent").isNotNull())
-        .groupBy("slug", "parent")
-        .agg(F.count("*").alias("copies")),
-        "region-edges",
+        .groupBy("slug", F.col("parent").alias("ancestor"), F.lit(1).alias("level"))
+        .agg(F.count("*").alias("copies"))
     )
-    step = edges.select(
-        F.col("slug").alias("ancestor"), F.col("parent"), F.col("copies").alias("step_copies")
-    )
-    frontier = edges.select("slug", F.col("parent").alias("ancestor"), "copies")
-    levels = []
+    parts, length = [], 1
     while True:
-        seen = Observation()
-        frontier = materialize(
-            frontier.observe(
-                seen,
-                F.count("*").alias("rows"),
-                F.max(F.when(F.col("slug") == F.col("ancestor"), F.col("slug"))).alias("cycle"),
-            ),
-            "region-level",
+        newest, found = materialize_with(
+            newest, "region-paths", longest=F.max("level"), cycle=cycle
         )
-        found = seen.get
         if found["cycle"] is not None:
             raise ValueError(f"region {found['cycle']!r} is its own ancestor")
-        if not found["rows"]:
+        parts.append(newest)
+        if found["longest"] != length:
             break
-        levels.append(frontier.withColumn("level", F.lit(len(levels) + 1)))
-        # Paths of equal length to the same ancestor are added up, so the frontier
-        # never holds more than one row per (slug, ancestor).
-        frontier = (
-            frontier.join(step, "ancestor")
-            .groupBy("slug", F.col("parent").alias("ancestor"))
-            .agg(F.sum(F.col("copies") * F.col("step_copies")).alias("copies"))
+        known = reduce(DataFrame.unionByName, parts)
+        upper = known.select(
+            F.col("slug").alias("ancestor"),
+            F.col("ancestor").alias("further"),
+            F.col("level").alias("more"),
+            F.col("copies").alias("more_copies"),
+        )
+        newest = (
+            newest.filter(F.col("level") == length)
+            .join(upper, "ancestor")
+            .groupBy(
+                "slug",
+                F.col("further").alias("ancestor"),
+                (F.col("level") + F.col("more")).alias("level"),
+            )
+            .agg(F.sum(F.col("copies") * F.col("more_copies")).alias("copies"))
         )
-    if not levels:
-        levels.append(frontier.withColumn("level", F.lit(0)))
-    return reduce(DataFrame.unionByName, levels).select("slug", "ancestor", "level", "copies")
+        length *= 2
+    return reduce(DataFrame.unionByName, parts).select(*path, "copies")
 
 
 def closure(regions: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from lanewise.operators.lanes import (
 from lanewise.operators.medians import split_by_keys, spread_statistics
 from lanewise.operators.pricing import datapoint_costs
 from lanewise.schemas import MART_COLUMNS
-from lanewise.session import materialize
+from lanewise.session import materialize, materialize_with
 
 # Rows a lane, equipment and day may have before its median is taken by the
 # spread method; below it Spark's own median holds the group in one task.
@@ -56,9 +56,7 @@ def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> DataF
     pairs = port_pairs(active(tables.datapoints))
     parts = []
     if regions:
-        pairs = materialize(pairs, "port-pairs")
-        ancestors = materialize(ancestor_set(tables.regions), "ancestors")
-        parts.append(region_lanes(pairs, tables.ports, ancestors))
+        parts.append(region_lanes(pairs, tables.ports, ancestor_set(tables.regions)))
     if ports:
         parts.append(port_lanes(pairs, tables.ports))
     lanes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -80,15 +78,17 @@ def lane_statistics(
     that have datapoints but no cost.
     """
     datapoints = clip(active(tables.datapoints), date_from, date_to)
-    coverage = materialize(lane_coverage(datapoints, lanes), "lane-coverage")
-    large = coverage.filter(F.col("rows") > large_group_rows).select(*LANE_KEYS)
+    coverage, found = materialize_with(
+        lane_coverage(datapoints, lanes), "lane-coverage", most=F.max("rows")
+    )
+    has_large = (found["most"] or 0) > large_group_rows
 
     costs = datapoint_costs(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
     ).select("origin_pid", "destination_pid", "equipment_id", "date", "cost")
-    has_large = not large.isEmpty()
     if has_large:
         costs = materialize(costs, "datapoint-costs")
+        large = coverage.filter(F.col("rows") > large_group_rows).select(*LANE_KEYS)
         large = materialize(large, "large-groups")
     priced = attach_lanes(costs, lanes).select(
         *LANE_KEYS, (F.col("cost") * F.col("copies")).alias("cost")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,3 +52,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/lanewise/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregates, taken while writing."""
+    seen = Observation()
+    written = materialize(
+        df.observe(seen, *[metric.alias(label) for label, metric in metrics.items()]), name
+    )
+    return written, seen.get
