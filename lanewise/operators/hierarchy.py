@@ -32,10 +32,10 @@ def _ancestor_paths(regions: DataFrame) -> DataFrame:
         newest, found = materialize_with(
             newest, "region-paths", longest=F.max("level"), cycle=cycle
         )
-        if found["cycle"] is not None:
+        if found.get("cycle") is not None:
             raise ValueError(f"region {found['cycle']!r} is its own ancestor")
         parts.append(newest)
-        if found["longest"] != length:
+        if found.get("longest") != length:
             break
         known = reduce(DataFrame.unionByName, parts)
         upper = known.select(

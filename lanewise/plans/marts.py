@@ -81,7 +81,7 @@ def lane_statistics(
     coverage, found = materialize_with(
         lane_coverage(datapoints, lanes), "lane-coverage", most=F.max("rows")
     )
-    has_large = (found["most"] or 0) > large_group_rows
+    has_large = (found.get("most") or 0) > large_group_rows
 
     costs = datapoint_costs(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False

@@ -86,25 +86,13 @@ def staging_schema(table: str) -> T.StructType:
     return T.StructType([*typed, T.StructField("raw_pid", T.LongType())])
 
 
-def status_schema() -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("raw_pid", T.LongType()),
-            T.StructField("stg_status", T.StringType()),
-            T.StructField("stg_load_time", T.TimestampNTZType()),
-        ]
-    )
-
-
-def quarantine_schema(table: str) -> T.StructType:
-    text = [T.StructField(name, T.StringType()) for name in columns(table)]
-    return T.StructType(
-        [
-            *text,
-            T.StructField("src_file", T.StringType()),
-            T.StructField("raw_pid", T.LongType()),
-            T.StructField("failed_columns", T.StringType()),
-        ]
+def outcome_schema(table: str) -> T.StructType:
+    """A staged row: typed values, the outcome, and the text of a rejected row."""
+    text = T.StructType([T.StructField(name, T.StringType()) for name in columns(table)])
+    return staging_schema(table).add("src_file", T.StringType()).add(
+        "stg_load_time", T.TimestampNTZType()
+    ).add("failed_columns", T.StringType()).add("delivered", text).add(
+        "stg_status", T.StringType()
     )
 
 
