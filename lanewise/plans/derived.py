@@ -8,6 +8,111 @@ from pyspark.sql import functions as F
 from lanewise.plans.marts import Staging
 
 
+# Raw text rows as (source table, expressions). The expressions are plain enough to
+# run unchanged on the oracle.
+_DAY = "cast(floor(o_orderkey / 14.0) as bigint) % 11 + 1"
+_LAST = f"({_DAY} + cast(floor(o_orderkey / 154.0) as bigint) % 5 - 1)"
+
+
+def _text_day(day: str) -> str:
+    return (
+        f"case when {day} = 0 then '2020-12-31'"
+        f" else concat('2021-01-', lpad(cast({day} as string), 2, '0')) end"
+    )
+
+
+def _datapoints(first_key: int, supplier_step: int, created: str, company_damage: int) -> list[str]:
+    return [
+        "case when o_orderkey % 73 = 0 then concat(' +', cast(o_orderkey as string))"
+        " else cast(o_orderkey as string) end as d_id",
+        f"case when o_orderkey % 59 = 0 then substr({created}, 1, 10) else {created} end as created",
+        "case when o_orderkey % 71 = 0 then null else cast(o_orderkey % 7 as string) end as origin_pid",
+        "cast(o_custkey % 5 + 3 as string) as destination_pid",
+        f"case when o_orderkey % 61 = 0 then '2021/01/01' else {_text_day(_DAY)} end as valid_from",
+        f"{_text_day(_LAST)} as valid_to",
+        f"case when o_orderkey % {company_damage} = 0 then '1.5'"
+        " else cast(o_custkey % 9 as string) end as company_id",
+        "case when o_orderkey % 53 = 0 then 'abc'"
+        f" else cast(o_orderkey % 3 + {supplier_step} as string) end as supplier_id",
+        "cast(o_orderkey % 2 + 1 as string) as equipment_id",
+        f"'datapoints_{supplier_step}.csv' as src_file",
+        "case o_orderkey % 3 when 0 then 'NEW' when 1 then 'LOADED' else 'ERROR' end as stg_status",
+        f"cast(o_orderkey + {first_key} as bigint) as raw_pid",
+    ]
+
+
+RAW: dict[str, tuple[str, list[str]]] = {
+    "datapoints": ("orders", _datapoints(0, 0, "cast(o_orderdate as string)", 67)),
+    "charges": (
+        "lineitem",
+        [
+            "case when l_orderkey % 43 = 0 then 'x1' else cast(l_orderkey as string) end as d_id",
+            "case l_returnflag when 'A' then 'EUR' when 'R' then 'CNY' else 'USD' end as currency",
+            "case when l_orderkey % 47 = 0 then 'n/a' else cast(l_extendedprice as string) end"
+            " as charge_value",
+            "'charges_1.csv' as src_file",
+            "cast(l_orderkey * 100 + l_linenumber as bigint) as raw_pid",
+        ],
+    ),
+    "exchange_rates": (
+        "lineitem",
+        [
+            "case when l_orderkey % 31 = 0 then '2021-02-30'"
+            " when l_orderkey % 37 = 0 then replace(substr(cast(l_shipdate as string), 1, 10), '-', '/')"
+            " when l_orderkey % 41 = 0 then cast(l_shipdate as string)"
+            " else substr(cast(l_shipdate as string), 1, 10) end as day",
+            "l_returnflag as currency",
+            "case when l_orderkey % 43 = 0 then '1,05' when l_orderkey % 53 = 0 then '1.5d'"
+            " when l_orderkey % 59 = 0 then '1e3' when l_orderkey % 61 = 0 then null"
+            " else cast(l_quantity as string) end as rate",
+            "'exchange_rates_1.csv' as src_file",
+            "cast(l_orderkey * 100 + l_linenumber as bigint) as raw_pid",
+        ],
+    ),
+    "ports": (
+        "customer",
+        [
+            "case when c_custkey % 13 = 0 then concat('p', cast(c_custkey as string))"
+            " when c_custkey % 17 = 0 then concat(cast(c_custkey as string), '.5')"
+            " when c_custkey % 19 = 0 then concat(' ', cast(c_custkey as string), ' ')"
+            " when c_custkey % 23 = 0 then '99999999999' when c_custkey % 29 = 0 then null"
+            " else cast(c_custkey as string) end as pid",
+            "concat('P', lpad(cast(c_custkey as string), 9, '0')) as code",
+            "concat('c', cast(c_custkey as string)) as slug",
+            "c_name as name",
+            "c_mktsegment as country",
+            "concat('C', cast(c_nationkey as string)) as country_code",
+            "'ports_1.csv' as src_file",
+            "cast(c_custkey as bigint) as raw_pid",
+        ],
+    ),
+    "regions": (
+        "customer",
+        [
+            "concat('c', cast(c_custkey as string)) as slug",
+            "c_name as name",
+            "case when c_nationkey = 0 then null else concat('n', cast(c_nationkey as string)) end as parent",
+            "'regions_1.csv' as src_file",
+            "cast(c_custkey as bigint) as raw_pid",
+        ],
+    ),
+}
+# The second delivery repeats every tenth order with an earlier ``created``.
+AGAIN = _datapoints(10_000_000, 1, "'1990-01-01 00:00:00'", 70)
+AGAIN_FILTER = "o_orderkey % 10 = 0"
+
+
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    source, expressions = RAW[name]
+    return table(spark, sf_dir, source).selectExpr(*expressions)
+
+
+def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datapoints of both deliveries."""
+    again = table(spark, sf_dir, "orders").filter(AGAIN_FILTER).selectExpr(*AGAIN)
+    return raw(spark, sf_dir, "datapoints").unionByName(again)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -107,14 +212,12 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
 
 def with_edges(tables: Staging) -> Staging:
     """The same tables with copies, unknown regions and missing keys added."""
-    edge_ports = tables.ports.limit(0).unionByName(
-        tables.ports.filter("pid = 0").selectExpr(
-            "inline(array("
-            "struct(1 as pid, 'P001' as code, 'n11' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
-            "struct(3 as pid, 'P003' as code, 'n7' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
-            "struct(6 as pid, 'P006' as code, 'zzz' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
-            "struct(7 as pid, 'P007b' as code, 'n7' as slug, 'a' as name, 'b' as country, 'c' as country_code)))"
-        )
+    edge_ports = tables.ports.filter("pid = 0").selectExpr(
+        "inline(array("
+        "struct(1 as pid, 'P001' as code, 'n11' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
+        "struct(3 as pid, 'P003' as code, 'n7' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
+        "struct(6 as pid, 'P006' as code, 'zzz' as slug, 'a' as name, 'b' as country, 'c' as country_code),"
+        "struct(7 as pid, 'P007b' as code, 'n7' as slug, 'a' as name, 'b' as country, 'c' as country_code)))"
     )
     again = tables.exchange_rates.filter("currency = 'CNY' and day = date '2021-01-03'")
     return Staging(
