@@ -21,18 +21,21 @@ def clip(
     below the expansion. Clipping keeps days outside the range from ever being
     made, and its comparisons reach the parquet scan.
     """
+    first_day = F.col("valid_from")
     last_day = F.greatest("valid_from", F.coalesce("valid_to", "valid_from"))
+    clipped = datapoints
     if date_from is not None:
         start = F.lit(date_from)
-        datapoints = datapoints.filter(
-            (F.col("valid_from") >= start) | (F.col("valid_to") >= start)
-        ).withColumns({"valid_to": last_day, "valid_from": F.greatest("valid_from", start)})
+        clipped = clipped.filter(
+            F.col("valid_from").isNotNull()
+            & ((F.col("valid_from") >= start) | (F.col("valid_to") >= start))
+        )
+        first_day = F.greatest(first_day, start)
     if date_to is not None:
         end = F.lit(date_to)
-        datapoints = datapoints.filter(F.col("valid_from") <= end).withColumn(
-            "valid_to", F.least(last_day, end)
-        )
-    return datapoints
+        clipped = clipped.filter(F.col("valid_from") <= end)
+        last_day = F.least(last_day, end)
+    return clipped.withColumns({"valid_from": first_day, "valid_to": last_day})
 
 
 def expand_days(datapoints: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import value_bucket
+from lanewise.session import materialize
 
 
 def _same_group(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -30,11 +31,16 @@ def spread_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame
     2. Add up per value bucket. A group has at most a few thousand buckets per power
        of ten, and a running count over them tells which bucket holds the middle.
     3. Only the one or two middle buckets per group are ordered value by value.
+
+    The counted values are written, being read by steps 2 and 3. The middle buckets
+    are written too: two rows per group at most, and since Catalyst then knows their
+    size, step 3 filters the counted values by broadcast instead of shuffling them.
     """
-    counted = (
+    counted = materialize(
         rows.filter(F.col(value).isNotNull())
         .groupBy(*keys, value_bucket(F.col(value)).alias("bucket"), F.col(value).alias("value"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n")),
+        "counted-values",
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -55,13 +61,16 @@ def spread_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame
             }
         )
     )
-    middle = buckets.filter(
-        (F.col("before") < F.col("high_rank"))
-        & (F.col("before") + F.col("in_bucket") >= F.col("low_rank"))
-    ).select(
-        *[F.col(k).alias(f"r_{k}") for k in keys],
-        F.col("bucket").alias("r_bucket"),
-        "before", "low_rank", "high_rank", "average",
+    middle = materialize(
+        buckets.filter(
+            (F.col("before") < F.col("high_rank"))
+            & (F.col("before") + F.col("in_bucket") >= F.col("low_rank"))
+        ).select(
+            *[F.col(k).alias(f"r_{k}") for k in keys],
+            F.col("bucket").alias("r_bucket"),
+            "before", "low_rank", "high_rank", "average",
+        ),
+        "middle-buckets",
     )
     within = (
         Window.partitionBy(*keys, "bucket")

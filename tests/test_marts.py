@@ -1,0 +1,145 @@
+"""The marts against hand-made results and against themselves."""
+
+import datetime as dt
+from collections import Counter
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+import golden
+from lanewise.operators import hierarchy, pricing
+from lanewise.operators.intervals import active, clip, expand_days
+from lanewise.plans import marts
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return golden.staging(spark)
+
+
+@pytest.mark.parametrize("large_group_rows", [marts.LARGE_GROUP_ROWS, 1])
+def test_golden_marts(tables, large_group_rows):
+    mart = marts.prices_ds(tables, large_group_rows=large_group_rows)
+    assert bag(mart) == Counter(golden.PORT_MART + golden.REGION_MART)
+
+
+def test_single_marts_and_order(tables):
+    assert bag(marts.prices_ports(tables)) == Counter(golden.PORT_MART)
+    ordered = [tuple(r) for r in marts.in_order(marts.prices_regions(tables)).collect()]
+    assert Counter(ordered) == Counter(golden.REGION_MART)
+    last = "\U0010ffff"
+    keys = [(r[0] or last, r[1] or last, r[2], r[3]) for r in ordered]
+    assert keys == sorted(keys)
+
+
+def test_customers_see_covered_prices(tables):
+    everything = golden.PORT_MART + golden.REGION_MART
+    assert bag(marts.prices(tables)) == Counter(r for r in everything if r[6] == 1)
+
+
+def test_date_range_equals_filter(tables):
+    got = marts.prices_ds(tables, date_from=golden.D2, date_to=golden.D2)
+    everything = golden.PORT_MART + golden.REGION_MART
+    assert bag(got) == Counter(r for r in everything if r[3] == golden.D2)
+
+
+def test_repeated_deliveries_multiply(tables):
+    """A charge, a rate or a port delivered twice counts twice; a region does not."""
+    twice = replace(
+        tables,
+        charges=tables.charges.union(tables.charges.filter("d_id = 20")),
+        ports=tables.ports.union(tables.ports.filter("pid = 3")),
+        regions=tables.regions.union(tables.regions),
+    )
+    got = {(r.origin, r.destination): r.med_cost for r in marts.prices_ports(twice).collect()
+           if r.date == golden.D1}
+    assert got[("DEHAM", "CNSHA")] == 4000.0
+    assert got[("NOOSL", "DEHAM")] == 100.0
+    assert got[("NOOSL", "CNSHA")] == 300.0
+    rates = replace(tables, exchange_rates=tables.exchange_rates.union(tables.exchange_rates))
+    doubled = {r[:4]: r[4] for r in golden.PORT_MART}
+    for row in marts.prices_ports(rates).collect():
+        single = doubled[tuple(row)[:4]]
+        assert row.med_cost == (None if single is None else 2 * single)
+
+
+def test_different_rates_for_one_day(spark, tables):
+    rates = spark.createDataFrame(
+        [(golden.D1, "USD", 2.0), (golden.D1, "USD", 4.0), (golden.D1, "USD", 0.0)],
+        "day date, currency string, rate double",
+    )
+    costs = pricing.datapoint_costs(active(tables.datapoints), tables.charges, rates)
+    by_id = {(r.d_id, r.date): r.cost for r in costs.collect()}
+    assert by_id[(13, golden.D1)] == pytest.approx(300 / 2 + 300 / 4)
+    assert by_id[(11, golden.D2)] is None and by_id[(40, golden.D1)] is None
+
+
+def test_days_of_an_interval(spark):
+    day = dt.date
+    rows = [
+        (1, day(2021, 2, 27), day(2021, 3, 1)),
+        (2, day(2021, 1, 5), day(2021, 1, 1)),
+        (3, day(2021, 1, 5), None),
+        (4, None, day(2021, 1, 5)),
+    ]
+    df = spark.createDataFrame(rows, "id int, valid_from date, valid_to date")
+    got = {(r.id, r.date) for r in expand_days(df).collect()}
+    assert got == {(1, day(2021, 2, 27)), (1, day(2021, 2, 28)), (1, day(2021, 3, 1)),
+                   (2, day(2021, 1, 5)), (3, day(2021, 1, 5)), (4, None)}
+    clipped = expand_days(clip(df, day(2021, 1, 4), day(2021, 2, 27)))
+    assert {(r.id, r.date) for r in clipped.collect()} == {
+        (1, day(2021, 2, 27)), (2, day(2021, 1, 5)), (3, day(2021, 1, 5))
+    }
+
+
+def test_ancestor_set(tables):
+    assert bag(hierarchy.ancestor_set(tables.regions)) == Counter(golden.CLOSURE)
+
+
+def brute_paths(edges):
+    """All upward paths, one entry per path."""
+    out, frontier, level = [], [(s, p) for s, p in edges if p is not None], 1
+    while frontier:
+        out += [(s, a, a, level) for s, a in frontier]
+        frontier = [(s, p) for s, a in frontier for c, p in edges if c == a and p is not None]
+        level += 1
+    return Counter(out)
+
+
+def test_closure_counts_paths(spark):
+    """Repeated edges, two parents, a depth that is no power of two, an orphan."""
+    edges = [("r", None), ("a", "r"), ("a", "r"), ("b", "a"), ("c", "b"), ("c", "a"), ("d", "c"),
+             ("e", "d"), ("f", "e"), ("f", "e"), ("g", "f"), ("lost", "nowhere"), ("solo", None)]
+    df = spark.createDataFrame(edges, "slug string, parent string")
+    assert bag(hierarchy.closure(df)) == brute_paths(edges)
+
+
+def test_deep_chain_and_empty_tree(spark):
+    chain = [("n0", None)] + [(f"n{i}", f"n{i - 1}") for i in range(1, 130)]
+    df = spark.createDataFrame(chain, "slug string, parent string")
+    assert hierarchy.ancestor_set(df).count() == 129 * 130 // 2 + 1
+    assert hierarchy.ancestor_set(df.limit(1)).collect() == [("n0", "n0")]
+    assert hierarchy.ancestor_set(df.filter("false")).count() == 0
+
+
+def test_cycle_is_an_error(spark):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("x", "a")]
+    df = spark.createDataFrame(edges, "slug string, parent string")
+    with pytest.raises(ValueError, match="own ancestor"):
+        hierarchy.closure(df)
+
+
+def test_null_pairs_are_not_related(spark, tables):
+    ancestors = hierarchy.ancestor_set(tables.regions)
+    pairs = spark.createDataFrame(
+        [("europe", "world"), ("world", "europe"), ("world", "world"), ("europe", "europe"),
+         ("europe", "asia"), (None, "world"), ("world", None)],
+        "a string, b string",
+    )
+    kept = hierarchy.drop_related(pairs, ancestors, "a", "b")
+    assert bag(kept) == Counter([("europe", "europe"), ("europe", "asia"), (None, "world"), ("world", None)])
