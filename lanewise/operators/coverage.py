@@ -9,30 +9,43 @@ from lanewise.operators.intervals import expand_days
 from lanewise.operators.lanes import LANE_KEYS, attach_lanes
 
 
-def lane_coverage(datapoints: DataFrame, lanes: DataFrame) -> DataFrame:
+SUPPLIER, COMPANY = 1, 2
+
+
+def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
     """Per lane, equipment and day: distinct suppliers, companies, and rows.
 
     A datapoint counts whether or not it could be priced, so charges are not read.
-    Days are first reduced, map-side, to one row per port pair and (supplier,
-    company); only those meet the lane map. The distinct counts then shuffle on
-    (lane, supplier) and (lane, company), which spreads a crowded lane.
+    Suppliers and companies become (kind, party) rows, so that both distinct counts
+    are one pair of groupings. They are reduced per port pair, map-side, before the
+    lane map multiplies them; the shuffles include the party, which spreads a crowded
+    lane.
     """
-    presence = (
-        expand_days(
-            datapoints.select(
-                "origin_pid", "destination_pid", "equipment_id", "supplier_id", "company_id",
-                "valid_from", "valid_to",
-            )
+    parties = F.inline(
+        F.array(
+            F.struct(F.lit(SUPPLIER).alias("kind"), F.col("supplier_id").alias("party")),
+            F.struct(F.lit(COMPANY).alias("kind"), F.col("company_id").alias("party")),
         )
-        .groupBy("origin_pid", "destination_pid", "equipment_id", "date", "supplier_id", "company_id")
+    )
+    pair = ["origin_pid", "destination_pid", "equipment_id", "date"]
+    slim = datapoints.select(*pair[:3], "supplier_id", "company_id", "valid_from", "valid_to")
+    present = (
+        expand_days(slim)
+        .select(*pair, parties)
+        .groupBy(*pair, "kind", "party")
         .agg(F.count("*").alias("rows"))
     )
-    return (
-        attach_lanes(presence, lanes)
-        .groupBy(*LANE_KEYS)
-        .agg(
-            F.countDistinct("supplier_id").alias("supplier_cnt"),
-            F.countDistinct("company_id").alias("company_cnt"),
-            F.sum("rows").alias("rows"),
-        )
+    once = (
+        attach_lanes(present, members)
+        .groupBy(*LANE_KEYS, "kind", "party")
+        .agg(F.sum("rows").alias("rows"))
+    )
+
+    def of(kind: int, column: str):
+        return F.when(F.col("kind") == kind, F.col(column))
+
+    return once.groupBy(*LANE_KEYS).agg(
+        F.count(of(SUPPLIER, "party")).alias("supplier_cnt"),
+        F.count(of(COMPANY, "party")).alias("company_cnt"),
+        F.sum(of(SUPPLIER, "rows")).alias("rows"),
     )

@@ -7,15 +7,35 @@ per datapoint, day and charge.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.operators.hierarchy import drop_related
+from lanewise.session import materialize
 
 # A lane row belongs to one grain; region grains are published together.
 PORT_TO_PORT, REGION_TO_ANCESTOR, ANCESTOR_TO_REGION, ANCESTOR_TO_ANCESTOR = 0, 1, 2, 3
 
-LANE_KEYS = ["grain", "origin", "destination", "equipment_id", "date"]
+LANE_LABELS = ["grain", "origin", "destination"]
+LANE_KEYS = ["lane_id", "equipment_id", "date"]
+
+
+@dataclass(frozen=True)
+class LaneMap:
+    """Lanes by number, and the lanes each port pair belongs to.
+
+    Rows that go through a shuffle carry ``lane_id`` instead of two labels.
+    """
+
+    lanes: DataFrame  # lane_id, grain, origin, destination
+    members: DataFrame  # origin_pid, destination_pid, lane_id, copies
+
+    def label(self, df: DataFrame) -> DataFrame:
+        """Replace ``lane_id`` by its grain, origin and destination."""
+        rest = [c for c in df.columns if c != "lane_id"]
+        return df.join(self.lanes, "lane_id").select(*LANE_LABELS, *rest)
 
 
 def port_pairs(datapoints: DataFrame) -> DataFrame:
@@ -101,14 +121,30 @@ def port_lanes(pairs: DataFrame, ports: DataFrame) -> DataFrame:
     )
 
 
-def attach_lanes(rows: DataFrame, lanes: DataFrame) -> DataFrame:
+def number_lanes(lines: DataFrame) -> LaneMap:
+    """Give every (grain, origin, destination) a number and write both tables."""
+    lines = materialize(lines, "lane-lines")
+    lanes = materialize(
+        lines.select(*LANE_LABELS)
+        .distinct()
+        .withColumn("lane_id", F.monotonically_increasing_id()),
+        "lanes",
+    )
+    same = lines["grain"] == lanes["grain"]
+    for end in ("origin", "destination"):
+        same = same & lines[end].eqNullSafe(lanes[end])
+    members = lines.join(lanes, same).select("origin_pid", "destination_pid", "lane_id", "copies")
+    return LaneMap(lanes, materialize(members, "lane-members"))
+
+
+def attach_lanes(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Join rows to their lanes on both ports, NULL ports included.
 
-    ``lanes`` is a written table, so Catalyst knows its bytes: it is broadcast while
+    ``members`` is a written table, so Catalyst knows its bytes: it is broadcast while
     under the limit, and beyond that sorted with AQE splitting a crowded port pair.
     """
-    lanes = lanes.withColumnsRenamed({"origin_pid": "lane_from", "destination_pid": "lane_to"})
-    on = rows["origin_pid"].eqNullSafe(lanes["lane_from"]) & rows["destination_pid"].eqNullSafe(
-        lanes["lane_to"]
+    members = members.withColumnsRenamed({"origin_pid": "lane_from", "destination_pid": "lane_to"})
+    on = rows["origin_pid"].eqNullSafe(members["lane_from"]) & rows["destination_pid"].eqNullSafe(
+        members["lane_to"]
     )
-    return rows.join(lanes, on).drop("lane_from", "lane_to")
+    return rows.join(members, on).drop("lane_from", "lane_to")

@@ -1,14 +1,29 @@
-"""Exact median and average of groups that are too large for one task."""
+"""Exact medians: in one aggregation, and for groups too large for one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import value_bucket
 from lanewise.session import materialize
 
 
+def _midpoint(low: Column, high: Column) -> Column:
+    return F.when(low == high, low).otherwise(low + (high - low) * 0.5)
+
+
+def gathered_median(value: str) -> Column:
+    """Median as an aggregate that holds the group's values in one array.
+
+    Only for groups of a checked size. On such groups sorting a plain array is
+    several times faster than the counting map behind ``F.median``.
+    """
+    values = F.sort_array(F.collect_list(value))
+    n = F.size(values)
+    return _midpoint(F.get(values, F.floor((n - 1) / 2)), F.get(values, F.floor(n / 2)))
+
+
 def _same_group(left: DataFrame, right: DataFrame, keys: list[str]):
     condition = F.lit(True)
     for key in keys:
@@ -95,6 +110,5 @@ def spread_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame
         value_at("high_rank").alias("high"),
         F.max("average").alias("average"),
     )
-    low, high = F.col("low"), F.col("high")
-    median = F.when(low == high, low).otherwise(low + (high - low) * 0.5)
+    median = _midpoint(F.col("low"), F.col("high"))
     return picked.select(*keys, median.alias("median"), "average")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +26,20 @@ from lanewise.operators.intervals import active, clip
 from lanewise.operators.lanes import (
     LANE_KEYS,
     PORT_TO_PORT,
+    LaneMap,
     attach_lanes,
+    number_lanes,
     port_lanes,
     port_pairs,
     region_lanes,
 )
-from lanewise.operators.medians import split_by_keys, spread_statistics
+from lanewise.operators.medians import gathered_median, split_by_keys, spread_statistics
 from lanewise.operators.pricing import datapoint_costs
 from lanewise.schemas import MART_COLUMNS
 from lanewise.session import materialize, materialize_with
 
 # Rows a lane, equipment and day may have before its median is taken by the
-# spread method; below it Spark's own median holds the group in one task.
+# spread method; below it the values fit one array of at most 800 kB.
 LARGE_GROUP_ROWS = 100_000
 
 
@@ -51,8 +54,8 @@ class Staging:
     regions: DataFrame
 
 
-def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> DataFrame:
-    """Lanes of every port pair that occurs, written once for its two readers."""
+def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> LaneMap:
+    """Lanes of every port pair that occurs; written once for its readers."""
     pairs = port_pairs(active(tables.datapoints))
     parts = []
     if regions:
@@ -60,27 +63,27 @@ def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> DataF
         parts.append(region_lanes(pairs, tables.ports, ancestors))
     if ports:
         parts.append(port_lanes(pairs, tables.ports))
-    lanes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return materialize(lanes, "lane-map")
+    return number_lanes(reduce(DataFrame.unionByName, parts))
 
 
 def lane_statistics(
     tables: Staging,
-    lanes: DataFrame,
+    lane_map: LaneMap,
     date_from: dt.date | None = None,
     date_to: dt.date | None = None,
     large_group_rows: int = LARGE_GROUP_ROWS,
 ) -> DataFrame:
-    """(lane keys, med_cost, avg_cost, supplier_cnt, company_cnt), rounded to cents.
+    """(grain, origin, destination, equipment_id, date, med_cost, avg_cost,
+    supplier_cnt, company_cnt), prices rounded to cents.
 
     Coverage is written first because its row counts tell which groups are too
-    large for one task; usually there are none. Cost rows, coverage rows and the
+    large for one task; often there are none. Cost rows, coverage rows and the
     statistics of large groups meet in one aggregation, which also keeps lanes
     that have datapoints but no cost.
     """
     datapoints = clip(active(tables.datapoints), date_from, date_to)
     coverage, found = materialize_with(
-        lane_coverage(datapoints, lanes), "lane-coverage", most=F.max("rows")
+        lane_coverage(datapoints, lane_map.members), "lane-coverage", most=F.max("rows")
     )
     has_large = (found.get("most") or 0) > large_group_rows
 
@@ -91,7 +94,7 @@ def lane_statistics(
         costs = materialize(costs, "datapoint-costs")
         large = coverage.filter(F.col("rows") > large_group_rows).select(*LANE_KEYS)
         large = materialize(large, "large-groups")
-    priced = attach_lanes(costs, lanes).select(
+    priced = attach_lanes(costs, lane_map.members).select(
         *LANE_KEYS, (F.col("cost") * F.col("copies")).alias("cost")
     )
     merged = coverage.drop("rows")
@@ -102,16 +105,17 @@ def lane_statistics(
         )
     merged = merged.unionByName(priced, allowMissingColumns=True)
 
-    median, average = F.median("cost"), F.avg("cost")
+    median, average = gathered_median("cost"), F.avg("cost")
     if has_large:
         median = F.coalesce(median, F.max("median"))
         average = F.coalesce(average, F.max("average"))
-    return merged.groupBy(*LANE_KEYS).agg(
+    statistics = merged.groupBy(*LANE_KEYS).agg(
         round_half_up(median).alias("med_cost"),
         round_half_up(average).alias("avg_cost"),
         F.max("supplier_cnt").alias("supplier_cnt"),
         F.max("company_cnt").alias("company_cnt"),
     )
+    return lane_map.label(statistics)
 
 
 def publish(
@@ -135,8 +139,8 @@ def publish(
 
 
 def _mart(tables: Staging, ports: bool, regions: bool, **options) -> DataFrame:
-    lanes = lane_map(tables, ports=ports, regions=regions)
-    return publish(lane_statistics(tables, lanes, **options))
+    mapped = lane_map(tables, ports=ports, regions=regions)
+    return publish(lane_statistics(tables, mapped, **options))
 
 
 def prices_regions(tables: Staging, **options) -> DataFrame:

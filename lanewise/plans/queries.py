@@ -18,6 +18,8 @@ from lanewise.schemas import TABLES, columns
 from lanewise.sources.csv_files import project, with_audit
 from lanewise.sources.routing import route
 
+LANE = [*lanes.LANE_LABELS, "equipment_id", "date"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -230,9 +232,9 @@ def region_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.staging(spark, sf_dir)
     lane_map = marts.lane_map(tables, regions=False)
-    counted = lane_coverage(active(tables.datapoints), lane_map)
+    counted = lane_map.label(lane_coverage(active(tables.datapoints), lane_map.members))
     flag = quality_flag(F.col("supplier_cnt"), F.col("company_cnt"))
-    return counted.select(*lanes.LANE_KEYS[1:], "supplier_cnt", "company_cnt", flag.alias("dq_ok"))
+    return counted.drop("grain", "rows").withColumn("dq_ok", flag)
 
 
 @query
@@ -350,7 +352,7 @@ def region_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = active(tables.datapoints).groupBy("origin_pid", "destination_pid").agg(
         F.count("*").alias("datapoints")
     )
-    return lanes.attach_lanes(used, lane_map)
+    return lane_map.label(lanes.attach_lanes(used, lane_map.members))
 
 
 def _costs(tables: marts.Staging) -> DataFrame:
@@ -394,26 +396,26 @@ def _statistics(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 @query
 def lane_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _statistics(spark, sf_dir).select(*lanes.LANE_KEYS, "med_cost")
+    return _statistics(spark, sf_dir).select(*LANE, "med_cost")
 
 
 @query
 def lane_median_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spread method, for every lane with more than 40 rows a day."""
     spread = _statistics(spark, sf_dir, large_group_rows=40)
-    return spread.select(*lanes.LANE_KEYS, "med_cost", "avg_cost")
+    return spread.select(*LANE, "med_cost", "avg_cost")
 
 
 @query
 def lane_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _statistics(spark, sf_dir).select(*lanes.LANE_KEYS, "avg_cost")
+    return _statistics(spark, sf_dir).select(*LANE, "avg_cost")
 
 
 @query
 def lane_coverage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.staging(spark, sf_dir)
-    counted = lane_coverage(active(tables.datapoints), marts.lane_map(tables))
-    return counted.select(*lanes.LANE_KEYS, "supplier_cnt", "company_cnt")
+    lane_map = marts.lane_map(tables)
+    return lane_map.label(lane_coverage(active(tables.datapoints), lane_map.members)).drop("rows")
 
 
 QUERIES["lane_coverage"] = QUERIES.pop("lane_coverage_counts")

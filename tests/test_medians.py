@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import round_half_up, value_bucket
-from lanewise.operators.medians import split_by_keys, spread_statistics
+from lanewise.operators.medians import gathered_median, split_by_keys, spread_statistics
 
 
 def make_rows():
