@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.functions import parsing
@@ -274,8 +275,6 @@ def daily_datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_datapoints_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import datetime as dt
-
     tables = derived.with_edges(derived.staging(spark, sf_dir))
     clipped = clip(active(tables.datapoints), dt.date(2021, 1, 4), dt.date(2021, 1, 8))
     return expand_days(clipped).select("d_id", "date")
@@ -295,15 +294,14 @@ def region_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trade_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ancestor pairs of the (supplier district, customer nation) pairs that traded."""
-    trade = (
+    """(Supplier district, customer nation) pairs that traded."""
+    return (
         derived.table(spark, sf_dir, "lineitem")
         .join(derived.table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
         .join(derived.table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .selectExpr("concat('s', l_suppkey) as slug", "concat('n', c_nationkey) as other")
         .distinct()
     )
-    return trade
 
 
 @query
@@ -361,8 +359,8 @@ def _costs(tables: marts.Staging) -> DataFrame:
     )
 
 
-def _cost(copies: str = "copies") -> F.Column:
-    return round_half_up(F.col("cost") * F.col(copies), 4).alias("cost")
+def _cost() -> Column:
+    return round_half_up(F.col("cost") * F.col("copies"), 4).alias("cost")
 
 
 @query
@@ -411,14 +409,13 @@ def lane_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _statistics(spark, sf_dir).select(*LANE, "avg_cost")
 
 
-@query
-def lane_coverage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.staging(spark, sf_dir)
     lane_map = marts.lane_map(tables)
     return lane_map.label(lane_coverage(active(tables.datapoints), lane_map.members)).drop("rows")
 
 
-QUERIES["lane_coverage"] = QUERIES.pop("lane_coverage_counts")
+QUERIES["lane_coverage"] = _coverage
 
 
 @query

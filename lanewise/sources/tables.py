@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from lanewise.operators.staging import current, versions, with_status
 from lanewise.plans.marts import Staging
 from lanewise.schemas import ERROR, LOADED, TABLES, columns, outcome_schema, raw_schema
+from lanewise.session import materialize
 
 RAW, STAGING, LOG = "raw", "staging", "log"
 
@@ -91,9 +92,14 @@ class Warehouse:
         return versions(self.staged("datapoints"))
 
     def tables(self) -> Staging:
-        """The staging tables as the marts read them."""
+        """The staging tables as the marts read them.
+
+        The marts read the datapoints three times, so the active versions are
+        resolved once and written.
+        """
         rest = {t: self.staged(t).drop("raw_pid") for t in TABLES if t != "datapoints"}
-        return Staging(datapoints=current(self.staged("datapoints")), **rest)
+        active = materialize(current(self.staged("datapoints")), "active-datapoints")
+        return Staging(datapoints=active, **rest)
 
     def next_key(self, before_batch: int) -> int:
         """First free raw_pid for a batch, from the batches before it."""
