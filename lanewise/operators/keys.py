@@ -23,14 +23,18 @@ def dense_keys(df: DataFrame, *order: str, first: int = 1) -> DataFrame:
 
     Rows are range-partitioned and numbered within their partition; a running count
     over the partitions gives each its start. Only that count, one row per
-    partition, is ever in one place. The numbered rows are written before they are
-    read twice, since a repeated range partitioning may cut elsewhere.
+    partition, is ever in one place. Rows with equal order values may be cut apart
+    too, in any order among themselves, so a frequent value does not fill one
+    partition. The numbered rows are written before they are read twice, since a
+    repeated range partitioning may cut elsewhere.
     """
     position = F.monotonically_increasing_id()
     local = materialize(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumns({"_part": F.spark_partition_id(), "_row": position}),
+        df.withColumn("_tie", position)
+        .repartitionByRange(*order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .withColumns({"_part": F.spark_partition_id(), "_row": position})
+        .drop("_tie"),
         "ordered-rows",
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

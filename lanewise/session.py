@@ -55,7 +55,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
-    """``materialize`` that also returns aggregates, taken while writing."""
+    """``materialize`` that also returns aggregates, taken while writing.
+
+    A repeated task is observed again, so only aggregates that do not count rows,
+    such as maxima, are reliable here.
+    """
     seen = Observation()
     written = materialize(
         df.observe(seen, *[metric.alias(label) for label, metric in metrics.items()]), name

@@ -95,3 +95,7 @@ def test_dense_keys(spark):
     assert sorted(r.raw_pid for r in rows) == list(range(100, 5100))
     assert all(r.raw_pid == r.v + 100 for r in rows)
     assert dense_keys(df.filter("false"), "v").count() == 0
+    tied = df.select(F.least("v", F.lit(1000)).alias("v"))
+    keys = dense_keys(tied, "v").collect()
+    assert sorted(r.raw_pid for r in keys) == list(range(1, 5001))
+    assert all(r.v == min(r.raw_pid - 1, 1000) for r in keys)
