@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.operators.hierarchy import drop_related
-from lanewise.session import materialize
+from lanewise.session import broadcast_if_small, materialize
 
 # A lane row belongs to one grain; region grains are published together.
 PORT_TO_PORT, REGION_TO_ANCESTOR, ANCESTOR_TO_REGION, ANCESTOR_TO_ANCESTOR = 0, 1, 2, 3
@@ -134,14 +134,14 @@ def number_lanes(lines: DataFrame) -> LaneMap:
     for end in ("origin", "destination"):
         same = same & lines[end].eqNullSafe(lanes[end])
     members = lines.join(lanes, same).select("origin_pid", "destination_pid", "lane_id", "copies")
-    return LaneMap(lanes, materialize(members, "lane-members"))
+    return LaneMap(lanes, broadcast_if_small(materialize(members, "lane-members")))
 
 
 def attach_lanes(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Join rows to their lanes on both ports, NULL ports included.
 
-    ``members`` is a written table, so Catalyst knows its bytes: it is broadcast while
-    under the limit, and beyond that sorted with AQE splitting a crowded port pair.
+    ``members`` comes with its own hint: broadcast behind a count of its rows, and
+    beyond that sorted, where AQE splits a crowded port pair.
     """
     members = members.withColumnsRenamed({"origin_pid": "lane_from", "destination_pid": "lane_to"})
     on = rows["origin_pid"].eqNullSafe(members["lane_from"]) & rows["destination_pid"].eqNullSafe(

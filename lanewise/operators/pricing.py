@@ -70,8 +70,8 @@ def datapoint_costs(
     through the rate lookup and the sum.
 
     Expects one active version per d_id. ``keep_unpriced=False`` drops days that end
-    up without any cost: medians and averages skip those, and inner joins let Spark
-    choose the build side.
+    up without any cost, since medians and averages skip those. The rate join stays a
+    left join even then, so that only the rates can be broadcast, never the days.
     """
     how = "left" if keep_unpriced else "inner"
     keyed = datapoints.select(*DATAPOINT_KEYS, "valid_from", "valid_to")
@@ -79,6 +79,7 @@ def datapoint_costs(
     if not keep_unpriced:
         totals = totals.filter(F.col("amount").isNotNull())
     charged = expand_days(keyed.join(totals, "d_id", how))
-    rated = charged.join(rate_lookup(rates), ["currency", "date"], how)
+    rated = join_rates(charged, rate_lookup(rates))
     term = F.coalesce(convert(F.col("amount"), F.col("rate")), F.col("amount") * F.col("inverse"))
-    return rated.groupBy(*DATAPOINT_KEYS, "date").agg(F.sum(term).alias("cost"))
+    costs = rated.groupBy(*DATAPOINT_KEYS, "date").agg(F.sum(term).alias("cost"))
+    return costs if keep_unpriced else costs.filter(F.col("cost").isNotNull())

@@ -16,6 +16,7 @@ from lanewise.operators.intervals import active, clip, expand_days
 from lanewise.operators.keys import dense_keys
 from lanewise.plans import derived, marts
 from lanewise.schemas import TABLES, columns
+from lanewise.session import broadcast_if_small, materialize
 from lanewise.sources.csv_files import project, with_audit
 from lanewise.sources.routing import route
 
@@ -368,6 +369,7 @@ def datapoint_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = lanes.port_pairs(active(tables.datapoints))
     combos = lanes.region_pairs(pairs, tables.ports, hierarchy.ancestor_set(tables.regions))
     ends = ["origin_region", "origin_ancestor", "destination_region", "destination_ancestor"]
+    combos = broadcast_if_small(materialize(combos, "region-pairs"))
     return lanes.attach_lanes(_costs(tables), combos).select(
         *pricing.DATAPOINT_KEYS, "date", *ends, _cost()
     )
@@ -377,6 +379,7 @@ def datapoint_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 def datapoint_cost_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.with_edges(derived.staging(spark, sf_dir))
     codes = lanes.port_lanes(lanes.port_pairs(active(tables.datapoints)), tables.ports)
+    codes = broadcast_if_small(materialize(codes, "port-lanes"))
     return lanes.attach_lanes(_costs(tables), codes).select(
         "d_id", "origin", "destination", "company_id", "supplier_id", "equipment_id", "date", _cost()
     )

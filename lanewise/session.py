@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +66,18 @@ def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataF
         df.observe(seen, *[metric.alias(label) for label, metric in metrics.items()]), name
     )
     return written, seen.get
+
+
+# Rows a written table may have to be broadcast; its rows are a few short columns.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint for joining a written table: broadcast if its counted rows allow, else sort.
+
+    For joins whose other side comes out of an expansion. Catalyst does not count
+    expanded rows, so left alone it may take that side for the small one.
+    """
+    if written.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(written)
+    return written.hint("merge")

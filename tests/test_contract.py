@@ -8,8 +8,8 @@ import __spark_entry__ as entry
 import golden
 from compare import compare, oracle_connection
 from lanewise.operators import hierarchy, intervals, pricing
-from lanewise.plans import derived
-from lanewise.session import materialize
+from lanewise.plans import derived, marts
+from lanewise.session import broadcast_if_small, materialize, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -75,6 +75,41 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
     assert "company_id" not in schema
 
 
+def test_broadcast_is_behind_a_count(spark):
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    written = materialize(rows, "counted")
+    assert "Broadcast" in plan_of(rows.join(broadcast_if_small(written, 100), "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert "SortMergeJoin" in plan_of(rows.join(broadcast_if_small(written, 99), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_lane_map_gives_the_same_marts(spark, monkeypatch):
+    """With nothing broadcast by hint, the sorted joins publish the same prices."""
+    monkeypatch.setattr("lanewise.operators.lanes.broadcast_if_small", lambda t: t.hint("merge"))
+    mart = marts.prices_ds(golden.staging(spark)).collect()
+    assert sorted(map(str, map(tuple, mart))) == sorted(
+        map(str, golden.PORT_MART + golden.REGION_MART)
+    )
+
+
+def test_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_written_tables_carry_their_size(spark):
     small = materialize(hierarchy.ancestor_set(golden.staging(spark).regions), "size-check")
     assert int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 10_000
