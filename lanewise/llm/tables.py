@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch hands to a Python worker, by rows and by bytes."""
+@functools.lru_cache(maxsize=8)
+def _ship(application: str) -> str:
+    """Zip this package on the driver; Spark hands the file to its executors."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="lanewise-"), "lanewise.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                out.write(file, os.path.relpath(file, os.path.dirname(package)))
+    return path
+
+
+def python_tasks(spark: SparkSession) -> None:
+    """Before Python tasks: give the workers this package, and bound what one Arrow batch
+    hands to them, by rows and by bytes."""
+    context = spark.sparkContext
+    path = _ship(context.applicationId)
+    if not any(os.path.basename(path) in known for known in context.listFiles):
+        context.addPyFile(path)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
