@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, host_rules, packing
+from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash
 from lanewise.llm.tables import table
 
 # Vocabulary files are looked up by name where the tokenizer package is installed.
@@ -52,6 +52,22 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    model = classifier.train(documents, labels)
+    return classifier.score_documents(documents, model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.coalesce(
+            F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)
+        ).alias("held_out"),
+        "score",
+        (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
@@ -63,6 +79,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
