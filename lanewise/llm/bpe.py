@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lanewise.llm.tables import python_tasks, per_worker
+from lanewise.llm.tables import Memory, per_worker, python_tasks
 
 HASH_BYTES = 8
 CHUNK_BITS = 10  # a chunk has 2 ** CHUNK_BITS bytes on average
@@ -38,24 +38,6 @@ OUTPUT_BYTES = 4_000_000
 _MULTIPLIER, _MIXER = 0x01000193, 0x9E3779B1
 
 
-class Memory(dict):
-    """Results by key, made on demand; at most two generations of ``limit`` entries."""
-
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 def content_cuts(data: bytes, bits: int = CHUNK_BITS) -> list[int]:
     """Ends of the chunks: places where the hash of the last bytes has ``bits`` zeros."""
     n = len(data)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash
+from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash, substrings
 from lanewise.llm.tables import table
 
 # Vocabulary files are looked up by name where the tokenizer package is installed.
@@ -52,6 +52,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats_removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op4_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2

@@ -65,3 +65,20 @@ def per_worker(build: Callable) -> Callable:
     """Keep what ``build`` returns for as long as the Python worker lives."""
     return functools.lru_cache(maxsize=4)(build)
 
+
+class Memory(dict):
+    """Results by key, made on demand; at most two generations of ``limit`` entries."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
