@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash, substrings
+from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash, substrings, suffix_lm
 from lanewise.llm.tables import table
 
 # Vocabulary files are looked up by name where the tokenizer package is installed.
@@ -89,6 +89,21 @@ def op6_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scored, tokens = suffix_lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
