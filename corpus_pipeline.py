@@ -2,13 +2,18 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read
 again as the next one's documents. All but the last return the columns of ``documents``.
+
+Every stage keeps its operator's cases for NULLs, empty and long texts, repeated rows and
+empty tables. Columns of their own, whatever their names, travel unchanged to the last
+stage, which needs ``doc_id`` and ``text`` only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanewise.llm import host_rules
+from lanewise.llm import classifier, host_rules, packing, simhash, substrings
+from lanewise.llm.queries import BYTE_BPE, BYTE_RANKS, vocabulary
 from lanewise.llm.tables import table
 from lanewise.session import materialize
 
@@ -18,9 +23,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score above the threshold, learned from labels of ``docs``."""
+    return classifier.keep_preferred(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component, the one with the smallest doc_id."""
+    return simhash.keep_first(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller doc_id has.
+
+    A document that loses words keeps the rest, joined by single spaces, and its ``n_chars``
+    follows; one that loses all words stays with an empty text.
+    """
+    return substrings.remove_repeats(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of tokens; one row per piece of a document."""
+    return packing.pack_documents(docs, vocabulary(BYTE_BPE), vocabulary(BYTE_RANKS))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("near dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("best-fit packing", best_fit_packing),
+]
 
-# Tokenizing, XXH64 majorities and the learned scores cannot be expressed in SQL.
+# The learned scores, the hash majorities and the tokens cannot be expressed in SQL.
 ORACLE_SQL = None
 
 

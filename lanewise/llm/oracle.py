@@ -113,3 +113,16 @@ select j.doc_id, word_chars, n_words, n_symbols, n_dup_lines, n_repeat_words, ba
   not base_failed and not b.bad as kept
 from judged j join bad b on j.source is not distinct from b.source
 """
+
+ORACLE["op10_warc"] = """
+with payloads as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as digits from pages
+), first as (select payload, min(page_id) as response from payloads group by payload)
+select p.page_id, cast(strlen(p.payload) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast((cast('0x' || substr(digits, cast(5 * (i // 4) + 1 as bigint), 5) as integer)
+      >> cast(15 - 5 * (i % 4) as integer)) & 31 as bigint) + 1, 1)), '') as payload_digest,
+  case when p.page_id = f.response then 'response' else 'revisit' end as record_type,
+  case when p.page_id <> f.response then f.response end as refers_to
+from payloads p join first f on p.payload = f.payload
+"""

@@ -55,6 +55,8 @@ def word_hashes() -> Memory:
 
 
 def text_key(data: bytes) -> int:
+    """What ``F.xxhash64`` makes of a text."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(data, 1) - (1 << 63)
+    value = xxhash.xxh64_intdigest(data, 42)
+    return value - (value >> 63 << 64)

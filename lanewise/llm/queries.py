@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, classifier, host_rules, packing, simhash, substrings, suffix_lm
+from lanewise.llm import (
+    bpe, chat, classifier, host_rules, inner_products, packing, simhash, substrings, suffix_lm, warc,
+)
 from lanewise.llm.tables import table
 
 # Vocabulary files are looked up by name where the tokenizer package is installed.
@@ -52,9 +54,15 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = inner_products.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return inner_products.top_inner_products(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeats_removed(table(spark, sf_dir, "documents")).drop("kept")
+    return substrings.repeats_removed(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -118,3 +126,10 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     judged = host_rules.materialize(host_rules.with_rules(measured), "host-rules")
     return host_rules.verdicts(judged).drop("host")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder)

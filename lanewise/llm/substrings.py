@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from lanewise.llm.packed import (
     ROW, ROW_ARROW, batch_of, pack, steps, text_key, unpack, word_hashes,
 )
-from lanewise.llm.tables import python_tasks, share_of
+from lanewise.llm.tables import SPACE, python_tasks, share_of
 from lanewise.session import materialize
 
 WINDOW = 13
@@ -48,7 +48,7 @@ SPANS, REQUESTS, TEXTS = 0, 1, 2
 
 _RESULT = (
     "doc_id bigint, text_key bigint, n_words bigint, n_removed bigint, kept_sha256 string,"
-    " kept string, path bigint, own boolean, digest binary"
+    " kept string, copy int, path bigint, own boolean, digest binary"
 )
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
 
@@ -79,7 +79,7 @@ def _group_of(doc_id: np.ndarray, text_key: np.ndarray, groups: int) -> np.ndarr
 _RESULT_ARROW = [
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()),
     ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
-    ("path", pa.int64()), ("own", pa.bool_()), ("digest", pa.binary()),
+    ("copy", pa.int32()), ("path", pa.int64()), ("own", pa.bool_()), ("digest", pa.binary()),
 ]
 
 
@@ -344,14 +344,14 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
                 if removed:
                     kept = [words[i] for i in np.flatnonzero(keep).tolist()]
                 left = b" ".join(kept)
-                # A text that loses nothing stays as it is.
-                text = (left if removed else data).decode() if with_text else None
+                text = left.decode() if with_text and removed else None
                 row = (doc_id, key, len(words), removed, hashlib.sha256(left).hexdigest(), text)
-                out.extend([(*row, None, None, None)] * n)
-                if (doc_id, key) in seen:
+                again = (doc_id, key) in seen
+                out.extend((*row, i + again, None, None, None) for i in range(n))
+                if again:
                     continue
                 seen.add((doc_id, key))
-                blank = (None,) * 6
+                blank = (None,) * 7
                 out.extend(
                     (*blank, _path_key(*rest), True, _digest(words, place, rest[3]))
                     for place, *rest in own
@@ -369,16 +369,10 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
     return rows.groupBy("key").applyInArrow(whole, _RESULT)
 
 
-def repeats_removed(documents: DataFrame, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept) for every row.
-
-    ``kept`` is the text that is left, where asked for: kept words joined by one space,
-    or the text as it was if it loses none. ``kept_sha256`` is the digest of the kept
-    words joined by one space.
-    """
-    python_tasks(documents.sparkSession)
-    chosen = documents.select(F.col("doc_id").cast("bigint"), "text")
-    known = chosen.filter(F.col("doc_id").isNotNull())
+def _settled(known: DataFrame, with_text: bool) -> DataFrame:
+    """A written row for every row of (doc_id, text), paths verified. Equal rows differ in
+    ``copy``, which is zero once; ``kept`` is set where words are removed and text is wanted."""
+    python_tasks(known.sparkSession)
     size = known.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges, groups = share_of(size, RANGE_BYTES), share_of(size, GROUP_BYTES)
     for wide in (False, True):
@@ -391,17 +385,47 @@ def repeats_removed(documents: DataFrame, with_text: bool = False) -> DataFrame:
         sources = digests.filter(~F.col("own")).select("path", "digest")
         false = digests.filter("own").join(sources, ["path", "digest"], "left_anti")
         if false.isEmpty():
-            break
-    else:
-        raise RuntimeError("paths differ from their sources by either hash")
-    found = results.filter(F.col("path").isNull())
-    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
+            return results.filter(F.col("path").isNull())
+    raise RuntimeError("paths differ from their sources by either hash")
+
+
+def repeats_removed(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) for every row; the digest is that of the
+    kept words joined by one space."""
+    chosen = documents.select(F.col("doc_id").cast("bigint"), "text")
+    found = _settled(chosen.filter(F.col("doc_id").isNotNull()), with_text=False)
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "")
     unknown = chosen.filter(F.col("doc_id").isNull()).select(
         "doc_id",
         F.size(words).cast("bigint").alias("n_words"),
         F.lit(0).cast("bigint").alias("n_removed"),
         F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"),
-        (F.coalesce("text", F.lit("")) if with_text else F.lit(None).cast("string")).alias("kept"),
     )
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
-    return found.select(*columns).unionByName(unknown)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(unknown)
+
+
+def remove_repeats(documents: DataFrame, chars: str = "n_chars") -> DataFrame:
+    """The documents with their columns. One that loses words keeps the others joined by
+    one space, which may be none, and their length in ``chars``, if it has that column."""
+    known = documents.filter(F.col("doc_id").isNotNull())
+    settled = _settled(known.select(F.col("doc_id").cast("bigint"), "text"), with_text=True)
+    changed = settled.filter((F.col("n_removed") > 0) & (F.col("copy") == 0)).select(
+        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("kept").alias("_kept")
+    )
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    joined = rows.join(
+        changed,
+        (F.col("row.doc_id") == F.col("_doc"))
+        & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("_key")),
+        "left",
+    )
+    lost = F.col("_kept").isNotNull()
+    columns = []
+    for field in documents.schema.fields:
+        column = F.col(f"row.`{field.name}`")
+        if field.name == "text":
+            column = F.when(lost, F.col("_kept")).otherwise(column)
+        elif field.name == chars:
+            column = F.when(lost, F.char_length("_kept").cast(field.dataType)).otherwise(column)
+        columns.append(column.alias(field.name))
+    return joined.select(*columns)
