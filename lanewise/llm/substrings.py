@@ -40,7 +40,7 @@ from lanewise.session import materialize
 
 WINDOW = 13
 CHUNK_WORDS = 1_000_000
-RANGE_BYTES = 24_000_000  # of text, for one range of hashes: about four million edges
+RANGE_BYTES = 8_000_000  # of text, for one range of hashes: over a million edges
 GROUP_BYTES = 16_000_000  # of text, for one group of documents
 
 EDGES, LOCAL = 0, 1
@@ -167,12 +167,30 @@ def _chunk_rows(
         yield int(part[rows[0]]), EDGES, len(named).to_bytes(4, "little") + named + raw
 
 
-def _unpack_edges(payload: bytes, wide: bool) -> tuple:
+def _edge_parts(payload: bytes, wide: bool) -> tuple[bytes, np.ndarray]:
+    """Packed documents and places, and the hashes, one row for each kind."""
     size = int.from_bytes(payload[:4], "little")
-    doc, key, sizes, places = unpack(payload[4 : 4 + size])
-    raw = np.frombuffer(payload, np.uint64, offset=4 + size).reshape(2 if wide else 1, -1)
-    doc = np.repeat(np.cumsum(doc), sizes)
-    return (doc, np.repeat(key, sizes), np.cumsum(places.astype(np.int64)), *raw)
+    raw = np.frombuffer(payload, np.uint64, offset=4 + size)
+    return payload[4 : 4 + size], raw.reshape(2 if wide else 1, -1)
+
+
+def _edges_at(named: bytes, chosen: np.ndarray) -> list[np.ndarray]:
+    """(doc, key, place) of the chosen edges of a payload."""
+    doc, key, sizes, places = unpack(named)
+    places = np.cumsum(places.astype(np.int64))[chosen]
+    owner = np.repeat(np.arange(len(sizes)), sizes)[chosen]
+    return [np.cumsum(doc)[owner], key[owner], places]
+
+
+def _twice(hashes: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    same = ordered[1:] == ordered[:-1]
+    out = np.zeros(len(hashes), dtype=bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
 
 
 def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool) -> DataFrame:
@@ -205,14 +223,17 @@ def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool)
         if kinds[0] == LOCAL:
             out = [(key - ranges, LOCAL, payload) for payload in payloads]
             return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
-        parts = zip(*[_unpack_edges(p, wide) for p in payloads], strict=True)
-        columns = [np.concatenate(c) for c in parts]
-        # Only edges that occur twice need to be put in the order of documents.
-        by_hash = np.argsort(columns[3], kind="stable")
-        ordered = columns[3][by_hash]
-        same = ordered[1:] == ordered[:-1]
-        twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        columns = [c[by_hash[twice]] for c in columns]
+        parts = [_edge_parts(p, wide) for p in payloads]
+        ends = np.cumsum([h.shape[1] for _, h in parts])
+        # Documents and places are unpacked for edges that occur twice, and for no others.
+        twice = np.split(_twice(np.concatenate([h[0] for _, h in parts])), ends[:-1])
+        rows = [
+            [*_edges_at(named, chosen), *[h[chosen] for h in hashes]]
+            for (named, hashes), chosen in zip(parts, twice, strict=True)
+            if chosen.any()
+        ]
+        columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+        columns = columns or [np.zeros(0, dtype=np.int64)] * 4
         order = np.lexsort((columns[2], columns[1], columns[0]))
         doc, key, place, *hashes = [c[order] for c in columns]
         out = []
