@@ -21,7 +21,9 @@ HEADLINE = [
     "datapoint_cost",
     "lane_prices_ports",
     "lane_prices_regions",
+    "lane_prices_regions_wide",
     "prices",
+    "crowded_median",
     "validate_datapoints",
     "stage_charges",
     "datapoint_versions",

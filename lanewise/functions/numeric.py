@@ -35,12 +35,12 @@ def quality_flag(
     return F.when(enough, 1).otherwise(0).cast("int")
 
 
-def value_bucket(value: Column) -> Column:
-    """``value`` rounded to 13 significant bits: 4,096 buckets per power of two.
+def value_bucket(value: Column, bits: int = 13) -> Column:
+    """``value`` rounded to ``bits`` significant bits, 52 at most.
 
-    Splitting with the factor 2^40 + 1 is plain IEEE arithmetic, so the bucket is
-    monotone in the value and the same on every machine. Values too large to
-    scale, infinities and nan are their own bucket.
+    Splitting with a factor 2^(53 - bits) + 1 is plain IEEE arithmetic, so the bucket is
+    monotone in the value and the same on every machine. Values too large to scale,
+    infinities and nan are their own bucket.
     """
-    scaled = value * F.lit(float(2**40 + 1))
+    scaled = value * F.lit(float(2 ** (53 - bits) + 1))
     return F.when(F.abs(value) < F.lit(1e290), scaled - (scaled - value)).otherwise(value)

@@ -13,7 +13,7 @@ SUPPLIER, COMPANY = 1, 2
 
 
 def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
-    """Per lane, equipment and day: distinct suppliers, companies, and rows.
+    """Per lane, equipment and day: distinct suppliers and companies.
 
     A datapoint counts whether or not it could be priced, so charges are not read.
     Suppliers and companies become (kind, party) rows, so that both distinct counts
@@ -32,14 +32,9 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
     present = (
         expand_days(slim)
         .select(*pair, parties)
-        .groupBy(*pair, "kind", "party")
-        .agg(F.count("*").alias("rows"))
-    )
-    once = (
-        attach_lanes(present, members)
-        .groupBy(*LANE_KEYS, "kind", "party")
-        .agg(F.sum("rows").alias("rows"))
+        .distinct()
     )
+    once = attach_lanes(present, members).select(*LANE_KEYS, "kind", "party").distinct()
 
     def of(kind: int, column: str):
         return F.when(F.col("kind") == kind, F.col(column))
@@ -47,5 +42,4 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
     return once.groupBy(*LANE_KEYS).agg(
         F.count(of(SUPPLIER, "party")).alias("supplier_cnt"),
         F.count(of(COMPANY, "party")).alias("company_cnt"),
-        F.sum(of(SUPPLIER, "rows")).alias("rows"),
     )

@@ -1,4 +1,4 @@
-"""Exact medians: in one aggregation, and for groups too large for one task."""
+"""Exact medians and averages of groups of any size, in one way for all of them."""
 
 from __future__ import annotations
 
@@ -6,109 +6,150 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import value_bucket
-from lanewise.session import materialize
+from lanewise.session import materialize, materialize_with
 
+# Distinct values of a group that one task puts in order; more are narrowed first.
+ORDERED_VALUES = 10_000
+# Significant bits of the buckets, round by round. At 52 bits no more than three
+# neighbouring values share a bucket.
+BUCKET_BITS = (13, 26, 39, 52)
 
 def _midpoint(low: Column, high: Column) -> Column:
     return F.when(low == high, low).otherwise(low + (high - low) * 0.5)
 
 
-def gathered_median(value: str) -> Column:
-    """Median as an aggregate that holds the group's values in one array.
-
-    Only for groups of a checked size. On such groups sorting a plain array is
-    several times faster than the counting map behind ``F.median``.
-    """
-    values = F.sort_array(F.collect_list(value))
-    n = F.size(values)
-    return _midpoint(F.get(values, F.floor((n - 1) / 2)), F.get(values, F.floor(n / 2)))
-
-
-def _same_group(left: DataFrame, right: DataFrame, keys: list[str]):
+def _group_side(rows: DataFrame, groups: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
+    """``groups`` with renamed keys, and the condition to join it; NULL is a value."""
+    side = groups.withColumnsRenamed({key: f"r_{key}" for key in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"r_{key}"])
-    return condition
-
+        condition = condition & rows[key].eqNullSafe(side[f"r_{key}"])
+    return side, condition
 
-def split_by_keys(rows: DataFrame, marked: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows in marked groups, all other rows); keys compare NULL as a value."""
-    marked = marked.select(*[F.col(k).alias(f"r_{k}") for k in keys])
-    on = _same_group(rows, marked, keys)
-    return rows.join(marked, on, "left_semi"), rows.join(marked, on, "left_anti")
 
+def semi_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
+    side, condition = _group_side(rows, groups.select(*keys), keys)
+    return rows.join(side, condition, how)
 
-def spread_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, median, average) without gathering a group in one place.
 
-    1. Count equal values, map-side first; the shuffle is on (group, bucket, value),
-       so one group spreads over all tasks.
-    2. Add up per value bucket. A group has at most a few thousand buckets per power
-       of ten, and a running count over them tells which bucket holds the middle.
-    3. Only the one or two middle buckets per group are ordered value by value.
+def _narrow(rows: DataFrame, keys: list[str], bits: int) -> tuple[DataFrame, int]:
+    """Rows in the buckets that hold their group's middle ranks, and how many distinct
+    values a group still has.
 
-    The counted values are written, being read by steps 2 and 3. The middle buckets
-    are written too: two rows per group at most, and since Catalyst then knows their
-    size, step 3 filters the counted values by broadcast instead of shuffling them.
+    Only counts per bucket are put in order, never values.
     """
-    counted = materialize(
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value_bucket(F.col(value)).alias("bucket"), F.col(value).alias("value"))
-        .agg(F.count("*").alias("n")),
-        "counted-values",
-    )
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = (
-        counted.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("in_bucket"), F.sum(F.col("value") * F.col("n")).alias("bucket_sum"))
-        .withColumns(
-            {
-                "before": F.sum("in_bucket").over(upto) - F.col("in_bucket"),
-                "total": F.sum("in_bucket").over(group),
-                "average": F.sum("bucket_sum").over(group) / F.sum("in_bucket").over(group),
-            }
-        )
-        .withColumns(
-            {
-                "low_rank": F.expr("(total + 1) div 2"),
-                "high_rank": F.expr("total div 2 + 1"),
-            }
+        rows.groupBy(*keys, value_bucket(F.col("value"), bits).alias("bucket"))
+        .agg(
+            F.sum("n").alias("inside"),
+            F.count("*").alias("values"),
+            F.min("value").alias("lowest"),
+            F.max("value").alias("highest"),
+            F.max("before").alias("before"),
+            F.max("total").alias("total"),
         )
     )
-    middle = materialize(
-        buckets.filter(
-            (F.col("before") < F.col("high_rank"))
-            & (F.col("before") + F.col("in_bucket") >= F.col("low_rank"))
-        ).select(
-            *[F.col(k).alias(f"r_{k}") for k in keys],
-            F.col("bucket").alias("r_bucket"),
-            "before", "low_rank", "high_rank", "average",
+    upto = (
+        Window.partitionBy(*keys)
+        .orderBy("bucket")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = buckets.withColumn("last", F.col("before") + F.sum("inside").over(upto))
+    ranked = ranked.withColumn("below", F.col("last") - F.col("inside"))
+    middle = ranked.filter(
+        (F.col("below") < F.expr("total div 2 + 1")) & (F.col("last") >= F.expr("(total + 1) div 2"))
+    )
+    ranges, seen = materialize_with(
+        middle.groupBy(*keys).agg(
+            F.min("lowest").alias("lowest"),
+            F.max("highest").alias("highest"),
+            F.min("below").alias("below"),
+            F.sum("values").alias("values"),
         ),
-        "middle-buckets",
+        "middle-ranges",
+        most=F.max("values"),
+    )
+    side, condition = _group_side(rows, ranges, keys)
+    left = rows.join(
+        side,
+        condition & (F.col("value") >= F.col("lowest")) & (F.col("value") <= F.col("highest")),
     )
-    within = (
-        Window.partitionBy(*keys, "bucket")
+    kept = left.select(*keys, "value", "n", "total", "average", F.col("below").alias("before"))
+    return kept, seen.get("most") or 0
+
+
+def _read_middle(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Median of each group from its values in order, counted on from ``before``."""
+    upto = (
+        Window.partitionBy(*keys)
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = (
-        counted.join(
-            middle,
-            _same_group(counted, middle, keys) & counted["bucket"].eqNullSafe(middle["r_bucket"]),
-        )
-        .withColumn("last_rank", F.col("before") + F.sum("n").over(within))
-        .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
-    )
+    ranked = rows.withColumn("last", F.col("before") + F.sum("n").over(upto))
 
-    def value_at(rank: str):
-        holds = (F.col("first_rank") <= F.col(rank)) & (F.col(rank) <= F.col("last_rank"))
+    def value_at(rank: str) -> Column:
+        holds = (F.col("last") - F.col("n") < F.expr(rank)) & (F.expr(rank) <= F.col("last"))
         return F.max(F.when(holds, F.col("value")))
 
     picked = ranked.groupBy(*keys).agg(
-        value_at("low_rank").alias("low"),
-        value_at("high_rank").alias("high"),
+        value_at("(total + 1) div 2").alias("low"),
+        value_at("total div 2 + 1").alias("high"),
         F.max("average").alias("average"),
     )
-    median = _midpoint(F.col("low"), F.col("high"))
-    return picked.select(*keys, median.alias("median"), "average")
+    return picked.select(*keys, _midpoint(F.col("low"), F.col("high")).alias("median"), "average")
+
+
+def statistics(
+    rows: DataFrame, keys: list[str], value: str, ordered_values: int = ORDERED_VALUES
+) -> DataFrame:
+    """(keys, median, average) of the values that are not NULL, per group.
+
+    1. Equal values are counted, map-side first; the shuffle is on (group, value), so a
+       crowded group spreads over all tasks.
+    2. Where a group has more distinct values than one task should put in order, only the
+       range around its middle goes on: values are counted by bucket, the buckets with
+       the middle ranks are kept, and finer buckets follow until the range is small. The
+       loop ends at once when all groups are small from the start.
+    3. What is left is put in order and read at the middle ranks.
+
+    The average is the sum of value times count over the number of rows, for every group.
+    """
+    counted = materialize(
+        rows.filter(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).alias("value"))
+        .agg(F.count("*").alias("n")),
+        "counted-values",
+    )
+    large, seen = materialize_with(
+        counted.groupBy(*keys)
+        .agg(
+            F.sum("n").alias("total"),
+            (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("average"),
+            F.count("*").alias("values"),
+        )
+        .filter(F.col("values") > ordered_values),
+        "large-groups",
+        most=F.max("values"),
+    )
+    most = seen.get("most") or 0
+    group = Window.partitionBy(*keys)
+    small = counted if not most else semi_join(counted, large, keys, "left_anti")
+    ready = small.select(
+        *keys,
+        "value",
+        "n",
+        F.sum("n").over(group).alias("total"),
+        (F.sum(F.col("value") * F.col("n")).over(group) / F.sum("n").over(group)).alias("average"),
+        F.lit(0).cast("bigint").alias("before"),
+    )
+    if most:
+        side, condition = _group_side(counted, large.drop("values"), keys)
+        left = counted.join(side, condition).select(
+            *keys, "value", "n", "total", "average", F.lit(0).cast("bigint").alias("before")
+        )
+        for bits in BUCKET_BITS:
+            if most <= ordered_values:
+                break
+            left, most = _narrow(left, keys, bits)
+        ready = ready.unionByName(left)
+    return _read_middle(ready, keys)

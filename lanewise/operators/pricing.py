@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import convert
-from lanewise.operators.intervals import expand_days
+from lanewise.session import broadcast_limit, materialize
 
 DATAPOINT_KEYS = ["d_id", "origin_pid", "destination_pid", "company_id", "supplier_id", "equipment_id"]
 
@@ -60,26 +60,73 @@ def join_ports(datapoints: DataFrame, ports: DataFrame, *columns: str) -> DataFr
     return out
 
 
+# Bytes of one row of ``rate_months`` in memory, 31 days being the most it holds.
+RATE_MONTH_BYTES = 31 * 64 + 256
+
+
+def rate_months(rates: DataFrame) -> DataFrame:
+    """(currency, month, rates): a month's rates by day of the month."""
+    day = F.struct(
+        F.dayofmonth("date").alias("day"), F.struct("rate", "inverse").alias("found")
+    )
+    return (
+        rate_lookup(rates)
+        .filter(F.col("currency").isNotNull() & F.col("date").isNotNull())
+        .groupBy("currency", F.trunc("date", "month").alias("month"))
+        .agg(F.map_from_entries(F.collect_list(day)).alias("rates"))
+    )
+
+
+def _terms() -> Column:
+    """(date, term) of the days that a row's interval has in its month."""
+    first = F.greatest("valid_from", "month")
+    last = F.least("last_day", F.last_day("month"))
+
+    def term(day: Column) -> Column:
+        found = F.try_element_at("rates", F.dayofmonth(day))
+        return F.coalesce(
+            convert(F.col("amount"), found["rate"]), F.col("amount") * found["inverse"]
+        )
+
+    return F.transform(
+        F.sequence(first, last, F.expr("interval 1 day")),
+        lambda day: F.struct(day.alias("date"), term(day).alias("term")),
+    )
+
+
 def datapoint_costs(
     datapoints: DataFrame, charges: DataFrame, rates: DataFrame, keep_unpriced: bool = True
 ) -> DataFrame:
     """(datapoint keys, date, cost), one row per active datapoint and day.
 
-    Charges meet the datapoints before the days are expanded, so both sides of the
-    only large join are unexpanded; the expanded rows stay in their d_id partition
-    through the rate lookup and the sum.
+    Charges meet the datapoints before anything is expanded. Intervals become months, months
+    meet the rates of their currency, and days are made last, behind every shuffle: rates
+    small enough are broadcast, so rows stay in their d_id partition; others are joined
+    by (currency, month), and the months, not the days, go back to their d_id.
 
     Expects one active version per d_id. ``keep_unpriced=False`` drops days that end
-    up without any cost, since medians and averages skip those. The rate join stays a
-    left join even then, so that only the rates can be broadcast, never the days.
+    up without any cost, since medians and averages skip those.
     """
     how = "left" if keep_unpriced else "inner"
-    keyed = datapoints.select(*DATAPOINT_KEYS, "valid_from", "valid_to")
+    last_day = F.greatest("valid_from", F.coalesce("valid_to", "valid_from"))
+    keyed = datapoints.select(*DATAPOINT_KEYS, "valid_from", last_day.alias("last_day"))
     totals = charge_totals(charges)
     if not keep_unpriced:
         totals = totals.filter(F.col("amount").isNotNull())
-    charged = expand_days(keyed.join(totals, "d_id", how))
-    rated = join_rates(charged, rate_lookup(rates))
-    term = F.coalesce(convert(F.col("amount"), F.col("rate")), F.col("amount") * F.col("inverse"))
-    costs = rated.groupBy(*DATAPOINT_KEYS, "date").agg(F.sum(term).alias("cost"))
+    months = F.sequence(
+        F.trunc("valid_from", "month"), F.trunc("last_day", "month"), F.expr("interval 1 month")
+    )
+    monthly = keyed.join(totals, "d_id", how).withColumn("month", F.explode_outer(months))
+    by_month = materialize(rate_months(rates), "rate-months")
+    small = by_month.count() * RATE_MONTH_BYTES <= broadcast_limit(by_month.sparkSession)
+    side = F.broadcast(by_month) if small else by_month.hint("merge")
+    rated = monthly.join(side, ["currency", "month"], "left").select(
+        *DATAPOINT_KEYS, _terms().alias("terms")
+    )
+    if not small:
+        rated = rated.repartition("d_id")
+    days = rated.select(*DATAPOINT_KEYS, F.explode_outer("terms").alias("day"))
+    costs = days.groupBy(*DATAPOINT_KEYS, F.col("day.date").alias("date")).agg(
+        F.sum("day.term").alias("cost")
+    )
     return costs if keep_unpriced else costs.filter(F.col("cost").isNotNull())

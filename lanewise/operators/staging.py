@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.schemas import NEW, columns
@@ -13,19 +15,35 @@ def pending(raw: DataFrame, table: str) -> DataFrame:
     return raw.filter(F.col("stg_status") == NEW).select(*columns(table), "raw_pid")
 
 
+def load_position(
+    raw_pid: str = "raw_pid", file_rank: str = "file_rank", batch_id: str = "batch_id"
+) -> Column:
+    """Place of a row in load order, by batch, then file, then row, as one number.
+
+    A decimal, because its maximum is kept in a hash aggregate's buffer, unlike that of
+    a struct: 43 bits of batches, 20 bits of files, 63 bits of keys.
+    """
+    file = F.col(batch_id) * (1 << 20) + F.coalesce(F.col(file_rank), F.lit(0))
+    return (
+        file.cast("decimal(19,0)") * F.lit(Decimal(10**19))
+        + F.col(raw_pid).cast("decimal(19,0)")
+    ).cast("decimal(38,0)")
+
+
 def with_status(raw: DataFrame, status: DataFrame) -> DataFrame:
     """Raw rows in their current state.
 
     Raw rows are never rewritten; outcomes are appended to ``status``. Both sides
-    have one row per raw_pid, so the join cannot crowd on a key.
+    have one row per (batch_id, raw_pid), so the join cannot crowd on a key.
     """
     outcome = status.select(
+        "batch_id",
         "raw_pid",
         F.col("stg_status").alias("new_status"),
         F.col("stg_load_time").alias("new_time"),
     )
     return (
-        raw.join(outcome, "raw_pid", "left")
+        raw.join(outcome, ["batch_id", "raw_pid"], "left")
         .withColumns(
             {
                 "stg_status": F.coalesce("new_status", "stg_status"),
@@ -36,19 +54,15 @@ def with_status(raw: DataFrame, status: DataFrame) -> DataFrame:
     )
 
 
-def latest_keys(accepted: DataFrame) -> DataFrame:
-    """raw_pid of the last accepted row per d_id; reduced map-side."""
-    return accepted.groupBy("d_id").agg(F.max("raw_pid").alias("raw_pid")).select("raw_pid")
-
-
 def versions(accepted: DataFrame) -> DataFrame:
     """Accepted datapoints with ``is_active``: the last row loaded per d_id.
 
     Load order decides, not ``created``. Ranking in a window would sort all versions
-    of a d_id in one task; the maximum is combined map-side instead and joined back
-    on raw_pid, which is unique.
+    of a d_id in one task; the last one is found map-side instead and joined back on its
+    raw_pid, which is unique.
     """
-    active = latest_keys(accepted).withColumn("is_active", F.lit(True))
+    latest = accepted.groupBy("d_id").agg(F.max_by("raw_pid", load_position()).alias("raw_pid"))
+    active = latest.select("raw_pid", F.lit(True).alias("is_active"))
     return accepted.join(active, "raw_pid", "left").withColumn(
         "is_active", F.coalesce("is_active", F.lit(False))
     )
@@ -57,11 +71,23 @@ def versions(accepted: DataFrame) -> DataFrame:
 def current(accepted: DataFrame) -> DataFrame:
     """Only the active version of each d_id, as the marts need it.
 
-    Keeps the whole row next to its raw_pid while reducing, so there is no join.
+    Every column is kept next to its row's load position while reducing, so there is no join,
+    and as all have a fixed width the reduction hashes, map-side first, and never sorts.
     """
     rest = [c for c in accepted.columns if c != "d_id"]
     return (
-        accepted.groupBy("d_id")
-        .agg(F.max_by(F.struct(*rest), "raw_pid").alias("last"))
-        .select("d_id", "last.*", F.lit(True).alias("is_active"))
+        accepted.withColumn("_position", load_position())
+        .groupBy("d_id")
+        .agg(*[F.max_by(c, "_position").alias(c) for c in rest])
+        .withColumn("is_active", F.lit(True))
     )
+
+
+def advance(active: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame:
+    """Active versions after one more batch of accepted rows.
+
+    The batch was loaded after everything before it, so its own last rows are active and
+    other d_ids keep theirs; no earlier version is ranked again.
+    """
+    latest = current(batch).select(*columns)
+    return active.select(*columns).join(latest, "d_id", "left_anti").unionByName(latest)

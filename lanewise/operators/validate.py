@@ -24,33 +24,6 @@ def validate(raw: DataFrame, table: str) -> DataFrame:
     return checked.withColumn("ok", F.col("failed_columns") == "")
 
 
-def typed(raw: DataFrame, table: str) -> DataFrame:
-    """Accepted rows with staging types, in the same pass as the checks."""
-    parsed = raw.select(*[parse_field(f).alias(f.name) for f in TABLES[table]], "raw_pid")
-    for field in TABLES[table]:
-        if field.rule:
-            parsed = parsed.filter(F.col(field.name).isNotNull())
-    return parsed
-
-
-def quarantine(raw: DataFrame, table: str) -> DataFrame:
-    """Rejected rows with their own text, source file and failed columns."""
-    return (
-        validate(raw, table)
-        .filter(~F.col("ok"))
-        .select(*columns(table), "src_file", "raw_pid", "failed_columns")
-    )
-
-
-def row_status(raw: DataFrame, table: str) -> DataFrame:
-    """Outcome per raw row, with the time of the attempt."""
-    return validate(raw, table).select(
-        "raw_pid",
-        F.when(F.col("ok"), LOADED).otherwise(ERROR).alias("stg_status"),
-        F.current_timestamp().cast("timestamp_ntz").alias("stg_load_time"),
-    )
-
-
 def outcomes(raw: DataFrame, table: str) -> DataFrame:
     """Everything staging writes for a raw batch, from one scan of it.
 
@@ -58,13 +31,26 @@ def outcomes(raw: DataFrame, table: str) -> DataFrame:
     the same row, so raw is read and parsed once.
     """
     checked = validate(raw, table)
+    rank = F.col("file_rank") if "file_rank" in raw.columns else F.lit(0)
     text = F.struct(*[F.col(name) for name in columns(table)])
     return checked.select(
         *[parse_field(f).alias(f.name) for f in TABLES[table]],
         "raw_pid",
+        rank.alias("file_rank"),
         "src_file",
         F.current_timestamp().cast("timestamp_ntz").alias("stg_load_time"),
         "failed_columns",
         F.when(~F.col("ok"), text).alias("delivered"),
         F.when(F.col("ok"), LOADED).otherwise(ERROR).alias("stg_status"),
     )
+
+
+def accepted(outcome: DataFrame, table: str, *extra: str) -> DataFrame:
+    """Accepted rows with their staging types."""
+    return outcome.filter(F.col("stg_status") == LOADED).select(*columns(table), "raw_pid", *extra)
+
+
+def rejected(outcome: DataFrame) -> DataFrame:
+    """Rejected rows with their own text, source file and failed columns."""
+    bad = outcome.filter(F.col("stg_status") == ERROR)
+    return bad.select("delivered.*", "src_file", "raw_pid", "failed_columns")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,7 +125,7 @@ def _part(column: str, size: int) -> str:
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two roots, the regions, and the nations in two tiers."""
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    tops = region.agg(F.lit("x").alias("x")).selectExpr(
+    tops = region.filter("r_regionkey = 0").selectExpr(
         "inline(array(struct('world' as slug, 'world' as name, cast(null as string) as parent),"
         " struct('atlantis' as slug, 'atlantis' as name, cast(null as string) as parent)))"
     )
@@ -209,6 +211,36 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
     )
 
 
+def wide(spark: SparkSession, sf_dir: str) -> Staging:
+    """Lanes that grow with the data: every customer and supplier is a port and a region
+    below its nation, and every order goes from its customer to some supplier."""
+    tables = staging(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as int) as pid", "concat('P', c_custkey) as code",
+        "concat('c', c_custkey) as slug", "c_name as name", "c_mktsegment as country",
+        "cast(c_nationkey as string) as country_code",
+    )
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey + 100000000 as int) as pid", "concat('S', s_suppkey) as code",
+        "concat('s', s_suppkey) as slug", "s_name as name", "'supplier' as country",
+        "cast(s_nationkey as string) as country_code",
+    )
+    ends = {
+        "origin_pid": "cast(o_custkey as int)",
+        "destination_pid": "cast(o_orderkey % 10 + 100000001 as int)",
+    }
+    ports_of = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as d_id", *[f"{e} as {name}" for name, e in ends.items()]
+    )
+    datapoints = tables.datapoints.drop(*ends).join(ports_of, "d_id")
+    return replace(
+        tables,
+        datapoints=datapoints,
+        ports=customers.unionByName(suppliers),
+        regions=districts(spark, sf_dir),
+    )
+
+
 def with_edges(tables: Staging) -> Staging:
     """The same tables with copies, unknown regions and missing keys added."""
     edge_ports = tables.ports.filter("pid = 0").selectExpr(

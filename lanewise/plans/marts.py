@@ -8,10 +8,11 @@ every lane.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import (
@@ -33,14 +34,10 @@ from lanewise.operators.lanes import (
     port_pairs,
     region_lanes,
 )
-from lanewise.operators.medians import gathered_median, split_by_keys, spread_statistics
+from lanewise.operators.medians import ORDERED_VALUES, semi_join, statistics
 from lanewise.operators.pricing import datapoint_costs
 from lanewise.schemas import MART_COLUMNS
-from lanewise.session import materialize, materialize_with
-
-# Rows a lane, equipment and day may have before its median is taken by the
-# spread method; below it the values fit one array of at most 800 kB.
-LARGE_GROUP_ROWS = 100_000
+from lanewise.session import intermediates, materialize
 
 
 @dataclass(frozen=True)
@@ -54,9 +51,11 @@ class Staging:
     regions: DataFrame
 
 
-def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> LaneMap:
-    """Lanes of every port pair that occurs; written once for its readers."""
-    pairs = port_pairs(active(tables.datapoints))
+def lane_map(
+    tables: Staging, datapoints: DataFrame, ports: bool = True, regions: bool = True
+) -> LaneMap:
+    """Lanes of every port pair of the datapoints; written once for its readers."""
+    pairs = port_pairs(datapoints)
     parts = []
     if regions:
         ancestors = materialize(ancestor_set(tables.regions), "ancestors")
@@ -66,81 +65,94 @@ def lane_map(tables: Staging, ports: bool = True, regions: bool = True) -> LaneM
     return number_lanes(reduce(DataFrame.unionByName, parts))
 
 
+def within(
+    tables: Staging, date_from: dt.date | None = None, date_to: dt.date | None = None
+) -> Staging:
+    """Active datapoints clipped to a date range, and the charges that belong to them.
+
+    Everything a mart reads follows from these, so days outside the range cost nothing
+    anywhere: not their port pairs, lanes, coverage or charges.
+    """
+    datapoints = clip(active(tables.datapoints), date_from, date_to)
+    charges = tables.charges
+    if date_from is not None or date_to is not None:
+        charges = charges.join(datapoints.select("d_id"), "d_id", "left_semi")
+    return replace(tables, datapoints=datapoints, charges=charges)
+
+
 def lane_statistics(
     tables: Staging,
     lane_map: LaneMap,
-    date_from: dt.date | None = None,
-    date_to: dt.date | None = None,
-    large_group_rows: int = LARGE_GROUP_ROWS,
+    min_suppliers: int = 0,
+    min_companies: int = 0,
+    ordered_values: int = ORDERED_VALUES,
 ) -> DataFrame:
     """(grain, origin, destination, equipment_id, date, med_cost, avg_cost,
     supplier_cnt, company_cnt), prices rounded to cents.
 
-    Coverage is written first because its row counts tell which groups are too
-    large for one task; often there are none. Cost rows, coverage rows and the
-    statistics of large groups meet in one aggregation, which also keeps lanes
-    that have datapoints but no cost.
+    Coverage is known before any price. Lanes below the minimum counts are dropped from
+    it, and costs meet what is left before their medians are taken. Coverage rows and
+    statistics meet in one aggregation, which keeps lanes that have datapoints but no
+    cost.
     """
-    datapoints = clip(active(tables.datapoints), date_from, date_to)
-    coverage, found = materialize_with(
-        lane_coverage(datapoints, lane_map.members), "lane-coverage", most=F.max("rows")
-    )
-    has_large = (found.get("most") or 0) > large_group_rows
-
+    datapoints = tables.datapoints
+    coverage = lane_coverage(datapoints, lane_map.members)
+    limited = min_suppliers > 0 or min_companies > 0
+    if limited:
+        coverage = coverage.filter(
+            (F.col("supplier_cnt") >= min_suppliers) & (F.col("company_cnt") >= min_companies)
+        )
+    coverage = materialize(coverage, "lane-coverage")
     costs = datapoint_costs(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
     ).select("origin_pid", "destination_pid", "equipment_id", "date", "cost")
-    if has_large:
-        costs = materialize(costs, "datapoint-costs")
-        large = coverage.filter(F.col("rows") > large_group_rows).select(*LANE_KEYS)
-        large = materialize(large, "large-groups")
     priced = attach_lanes(costs, lane_map.members).select(
         *LANE_KEYS, (F.col("cost") * F.col("copies")).alias("cost")
     )
-    merged = coverage.drop("rows")
-    if has_large:
-        crowded, priced = split_by_keys(priced, large, LANE_KEYS)
-        merged = merged.unionByName(
-            spread_statistics(crowded, LANE_KEYS, "cost"), allowMissingColumns=True
-        )
-    merged = merged.unionByName(priced, allowMissingColumns=True)
-
-    median, average = gathered_median("cost"), F.avg("cost")
-    if has_large:
-        median = F.coalesce(median, F.max("median"))
-        average = F.coalesce(average, F.max("average"))
-    statistics = merged.groupBy(*LANE_KEYS).agg(
-        round_half_up(median).alias("med_cost"),
-        round_half_up(average).alias("avg_cost"),
+    if limited:
+        priced = semi_join(priced, coverage, LANE_KEYS, "left_semi")
+    prices = statistics(priced, LANE_KEYS, "cost", ordered_values)
+    merged = coverage.unionByName(prices, allowMissingColumns=True)
+    found = merged.groupBy(*LANE_KEYS).agg(
+        round_half_up(F.max("median")).alias("med_cost"),
+        round_half_up(F.max("average")).alias("avg_cost"),
         F.max("supplier_cnt").alias("supplier_cnt"),
         F.max("company_cnt").alias("company_cnt"),
     )
-    return lane_map.label(statistics)
+    return lane_map.label(found)
 
 
 def publish(
     statistics: DataFrame,
     min_suppliers: int = MIN_SUPPLIERS,
     min_companies: int = MIN_COMPANIES,
+    regions: bool = True,
 ) -> DataFrame:
     """Merge the grains and set the quality flag.
 
     Region grains form a set: equal rows collapse while the counts are still
     visible, equal keys with other values stay. Port lanes have unique keys, so one
-    distinct serves both without mixing them.
+    distinct serves both without mixing them, and port lanes alone need none.
     """
-    flagged = (
-        statistics.withColumn("between_ports", F.col("grain") == PORT_TO_PORT)
-        .drop("grain")
-        .distinct()
-    )
+    flagged = statistics.withColumn("between_ports", F.col("grain") == PORT_TO_PORT).drop("grain")
+    if regions:
+        flagged = flagged.distinct()
     flag = quality_flag(F.col("supplier_cnt"), F.col("company_cnt"), min_suppliers, min_companies)
     return flagged.withColumn("dq_ok", flag).select(*MART_COLUMNS)
 
 
-def _mart(tables: Staging, ports: bool, regions: bool, **options) -> DataFrame:
-    mapped = lane_map(tables, ports=ports, regions=regions)
-    return publish(lane_statistics(tables, mapped, **options))
+def _mart(
+    tables: Staging,
+    ports: bool,
+    regions: bool,
+    covered_only: bool = False,
+    date_from: dt.date | None = None,
+    date_to: dt.date | None = None,
+) -> DataFrame:
+    tables = within(tables, date_from, date_to)
+    mapped = lane_map(tables, tables.datapoints, ports=ports, regions=regions)
+    least = (MIN_SUPPLIERS, MIN_COMPANIES) if covered_only else (0, 0)
+    return publish(lane_statistics(tables, mapped, *least), regions=regions)
 
 
 def prices_regions(tables: Staging, **options) -> DataFrame:
@@ -159,10 +171,16 @@ def prices_ds(tables: Staging, **options) -> DataFrame:
 
 
 def prices(tables: Staging, **options) -> DataFrame:
-    """Prices with enough coverage, for customers."""
-    return prices_ds(tables, **options).filter(F.col("dq_ok") == 1)
+    """Prices with enough coverage, for customers; other lanes are never priced."""
+    return _mart(tables, ports=True, regions=True, covered_only=True, **options)
 
 
 def in_order(mart: DataFrame) -> DataFrame:
     """Reading order; NULL lanes last. Only for the outermost call."""
     return mart.orderBy(*[F.asc_nulls_last(c) for c in MART_COLUMNS[:4]])
+
+
+def write_mart(spark: SparkSession, build: Callable[[], DataFrame], path: str) -> None:
+    """Write the mart that ``build`` returns, by date, and delete what it was built from."""
+    with intermediates(spark):
+        build().write.mode("overwrite").partitionBy("date").parquet(path)

@@ -51,10 +51,21 @@ START = "DATE '2021-01-01' + CAST(CAST(floor(o_orderkey / 14.0) AS BIGINT) % 11
 LENGTH = "CAST(CAST(floor(o_orderkey / 154.0) AS BIGINT) % 5 AS INTEGER) - 1"
 
 
-def fixture(edges: bool = False) -> str:
+def fixture(edges: bool = False, wide: bool = False) -> str:
     origin = "CASE WHEN o_orderkey % 101 = 0 THEN 999 ELSE o_orderkey % 7 END"
     end = f"{START} + ({LENGTH})"
     more_ports = more_rates = ""
+    destination = "o_custkey % 5 + 3"
+    ports = f"""SELECT n_nationkey, 'P' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0'),
+    CASE WHEN n_nationkey <= 3 THEN 'n' || (n_nationkey + 10) WHEN n_nationkey = 4 THEN 'atlantis'
+         WHEN n_nationkey = 5 THEN 'r0' WHEN n_nationkey = 6 THEN NULL ELSE 'n' || n_nationkey END
+  FROM nation"""
+    if wide:
+        origin, destination = "o_custkey", "o_orderkey % 10 + 100000001"
+        ports = (
+            "SELECT c_custkey, 'P' || c_custkey, 'c' || c_custkey FROM customer UNION ALL"
+            " SELECT s_suppkey + 100000000, 'S' || s_suppkey, 's' || s_suppkey FROM supplier"
+        )
     if edges:
         origin = f"CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE {origin} END"
         end = f"CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE {end} END"
@@ -66,10 +77,7 @@ def fixture(edges: bool = False) -> str:
     return f"""
 {TREE},
 ports(pid, code, slug) AS (
-  SELECT n_nationkey, 'P' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0'),
-    CASE WHEN n_nationkey <= 3 THEN 'n' || (n_nationkey + 10) WHEN n_nationkey = 4 THEN 'atlantis'
-         WHEN n_nationkey = 5 THEN 'r0' WHEN n_nationkey = 6 THEN NULL ELSE 'n' || n_nationkey END
-  FROM nation {more_ports}
+  {ports} {more_ports}
 ),
 exchange_rates(day, currency, rate) AS (
   SELECT DATE '2021-01-01' + n_nationkey, currency, base * (1.0::DOUBLE + 0.001::DOUBLE * n_nationkey)
@@ -82,7 +90,7 @@ charges(d_id, currency, charge_value) AS (
 ),
 datapoints AS (
   SELECT o_orderkey AS d_id, CAST({origin} AS INTEGER) AS origin_pid,
-    CAST(o_custkey % 5 + 3 AS INTEGER) AS destination_pid, CAST(o_custkey % 9 AS INTEGER) AS company_id,
+    CAST({destination} AS INTEGER) AS destination_pid, CAST(o_custkey % 9 AS INTEGER) AS company_id,
     CAST(CAST(floor(o_orderkey / 154.0) AS BIGINT) % 3 AS INTEGER) AS supplier_id,
     CAST(CAST(floor(o_orderkey / 7.0) AS BIGINT) % 2 + 1 AS INTEGER) AS equipment_id,
     CAST({START} AS DATE) AS valid_from, CAST({end} AS DATE) AS valid_to
@@ -265,6 +273,14 @@ SELECT {', '.join(columns('datapoints'))}, raw_pid FROM ({raw_sql('datapoints')}
     "valid_timestamp": texts_sql(TIMESTAMP_TEXT, f"{parsed(as_field(TIMESTAMP))} AS value"),
     **{f"validate_{t}": validate_sql(t) for t in TABLES},
     **{f"stage_{t}": typed_sql(t, raw_sql(t)) for t in TABLES},
+    "load_order_versions": (
+        "WITH rows AS (SELECT o_custkey AS d_id, CAST(o_orderkey % 3 AS BIGINT) AS batch_id,"
+        " CAST(floor(o_orderkey / 3.0) % 5 AS INTEGER) AS file_rank,"
+        " CAST(o_orderkey * 7919 % 1000003 * 100000000 + o_orderkey AS BIGINT) AS raw_pid"
+        " FROM orders)"
+        " SELECT *, row_number() OVER (PARTITION BY d_id"
+        " ORDER BY batch_id DESC, file_rank DESC, raw_pid DESC) = 1 AS is_active FROM rows"
+    ),
     "datapoint_versions": f"""{ACCEPTED}
 SELECT raw_pid, d_id, created, supplier_id,
   row_number() OVER (PARTITION BY d_id ORDER BY raw_pid DESC) = 1 AS is_active FROM accepted""",
@@ -371,6 +387,11 @@ kept AS (SELECT * FROM combos ANTI JOIN related ON combos.a = related.a AND comb
     ),
     "lane_median": lanes_sql(f"SELECT {LANE}, med_cost FROM lane_stats"),
     "lane_median_large_groups": lanes_sql(f"SELECT {LANE}, med_cost, avg_cost FROM lane_stats"),
+    "crowded_median": (
+        "SELECT lane, round(median(price), 2) AS med_cost, round(avg(price), 2) AS avg_cost FROM ("
+        "SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'crowded' ELSE l_returnflag END AS lane,"
+        " l_extendedprice * (1 - l_discount) AS price FROM lineitem) GROUP BY lane"
+    ),
     "lane_avg": lanes_sql(f"SELECT {LANE}, avg_cost FROM lane_stats"),
     "lane_coverage": lanes_sql(f"SELECT {LANE}, supplier_cnt, company_cnt FROM lane_stats"),
     "lane_prices_regions": lanes_sql(f"SELECT {MART} FROM published WHERE NOT between_ports"),
@@ -381,7 +402,18 @@ kept AS (SELECT * FROM combos ANTI JOIN related ON combos.a = related.a AND comb
     "lane_prices_regions_edges": lanes_sql(
         f"SELECT {MART} FROM published WHERE NOT between_ports", edges=True
     ),
+    "lane_prices_regions_wide": (
+        "WITH RECURSIVE "
+        + ",\n".join(
+            [fixture(wide=True), DISTRICTS, up("tree"), FAN, PORT_COST, LANE_ROWS, LANE_STATS]
+        )
+        + f"\nSELECT {MART} FROM published WHERE NOT between_ports"
+    ),
     "lane_prices_ports": lanes_sql(f"SELECT {MART} FROM published WHERE between_ports"),
     "prices_ds": lanes_sql(f"SELECT {MART} FROM published"),
     "prices": lanes_sql(f"SELECT {MART} FROM published WHERE dq_ok = 1"),
+    "prices_clipped": lanes_sql(
+        f"SELECT {MART} FROM published WHERE dq_ok = 1"
+        " AND date BETWEEN DATE '2021-01-04' AND DATE '2021-01-07'"
+    ),
 }

@@ -14,6 +14,7 @@ from lanewise.operators import hierarchy, lanes, pricing, staging, validate
 from lanewise.operators.coverage import lane_coverage
 from lanewise.operators.intervals import active, clip, expand_days
 from lanewise.operators.keys import dense_keys
+from lanewise.operators.medians import statistics
 from lanewise.plans import derived, marts
 from lanewise.schemas import TABLES, columns
 from lanewise.session import broadcast_if_small, materialize
@@ -164,7 +165,7 @@ def _register_table_queries(table: str) -> None:
         return rows.select("raw_pid", "ok", "failed_columns")
 
     def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return validate.typed(derived.raw(spark, sf_dir, table), table)
+        return validate.accepted(validate.outcomes(derived.raw(spark, sf_dir, table), table), table)
 
     QUERIES[f"validate_{table}"] = validated
     QUERIES[f"stage_{table}"] = staged
@@ -175,7 +176,15 @@ for _table in TABLES:
 
 
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.typed(derived.raw_deliveries(spark, sf_dir), "datapoints")
+    """Accepted rows of two files of one batch."""
+    raw = derived.raw_deliveries(spark, sf_dir).withColumns(
+        {
+            "batch_id": F.lit(0).cast("bigint"),
+            "file_rank": F.regexp_extract("src_file", "_(\\d+)", 1).cast("int"),
+        }
+    )
+    outcome = validate.outcomes(raw, "datapoints").withColumn("batch_id", F.lit(0).cast("bigint"))
+    return validate.accepted(outcome, "datapoints", "file_rank", "batch_id")
 
 
 @query
@@ -185,6 +194,19 @@ def datapoint_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def load_order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of orders as if delivered in several files of several batches, whose keys do
+    not follow the order of the files."""
+    rows = derived.table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey as d_id",
+        "cast(o_orderkey % 3 as bigint) as batch_id",
+        "cast(floor(o_orderkey / 3.0) % 5 as int) as file_rank",
+        "cast(o_orderkey * 7919 % 1000003 * 100000000 + o_orderkey as bigint) as raw_pid",
+    )
+    return staging.versions(rows).select("d_id", "batch_id", "file_rank", "raw_pid", "is_active")
+
+
 @query
 def active_datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active(staging.current(_accepted(spark, sf_dir))).select(
@@ -196,17 +218,22 @@ def active_datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current state per raw row: the second delivery is not staged yet."""
     raw = derived.raw_deliveries(spark, sf_dir).withColumns(
-        {"stg_status": F.lit("NEW"), "stg_load_time": F.lit(None).cast("timestamp_ntz")}
+        {
+            "batch_id": F.when(F.col("src_file") == "datapoints_0.csv", 0).otherwise(1),
+            "stg_status": F.lit("NEW"),
+            "stg_load_time": F.lit(None).cast("timestamp_ntz"),
+        }
     )
-    outcome = validate.row_status(raw.filter(F.col("src_file") == "datapoints_0.csv"), "datapoints")
-    return staging.with_status(raw, outcome).select(
+    outcome = validate.outcomes(raw.filter("batch_id = 0"), "datapoints")
+    return staging.with_status(raw, outcome.withColumn("batch_id", F.lit(0))).select(
         "raw_pid", "d_id", "stg_status", F.col("stg_load_time").isNotNull().alias("tried")
     )
 
 
 @query
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.quarantine(derived.raw_deliveries(spark, sf_dir), "datapoints")
+    raw = derived.raw_deliveries(spark, sf_dir)
+    return validate.rejected(validate.outcomes(raw, "datapoints"))
 
 
 # Scalar steps of the marts
@@ -233,10 +260,11 @@ def region_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.staging(spark, sf_dir)
-    lane_map = marts.lane_map(tables, regions=False)
-    counted = lane_map.label(lane_coverage(active(tables.datapoints), lane_map.members))
+    datapoints = active(tables.datapoints)
+    lane_map = marts.lane_map(tables, datapoints, regions=False)
+    counted = lane_map.label(lane_coverage(datapoints, lane_map.members))
     flag = quality_flag(F.col("supplier_cnt"), F.col("company_cnt"))
-    return counted.drop("grain", "rows").withColumn("dq_ok", flag)
+    return counted.drop("grain").withColumn("dq_ok", flag)
 
 
 @query
@@ -345,7 +373,7 @@ def join_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lane map with the datapoints behind each line."""
     tables = derived.with_edges(derived.staging(spark, sf_dir))
-    lane_map = marts.lane_map(tables)
+    lane_map = marts.lane_map(tables, active(tables.datapoints))
     used = active(tables.datapoints).groupBy("origin_pid", "destination_pid").agg(
         F.count("*").alias("datapoints")
     )
@@ -389,8 +417,8 @@ def datapoint_cost_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _statistics(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    tables = derived.staging(spark, sf_dir)
-    return marts.lane_statistics(tables, marts.lane_map(tables), **options)
+    tables = marts.within(derived.staging(spark, sf_dir))
+    return marts.lane_statistics(tables, marts.lane_map(tables, tables.datapoints), **options)
 
 
 @query
@@ -400,9 +428,23 @@ def lane_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lane_median_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The spread method, for every lane with more than 40 rows a day."""
-    spread = _statistics(spark, sf_dir, large_group_rows=40)
-    return spread.select(*LANE, "med_cost", "avg_cost")
+    """Every lane with more than 40 different costs a day is narrowed first."""
+    narrowed = _statistics(spark, sf_dir, ordered_values=40)
+    return narrowed.select(*LANE, "med_cost", "avg_cost")
+
+
+@query
+def crowded_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net prices of all line items; one group has most of them, too many to order at once."""
+    items = derived.table(spark, sf_dir, "lineitem").selectExpr(
+        "case when l_orderkey % 10 < 8 then 'crowded' else l_returnflag end as lane",
+        "l_extendedprice * (1 - l_discount) as price",
+    )
+    return statistics(items, ["lane"], "price").select(
+        "lane",
+        round_half_up(F.col("median")).alias("med_cost"),
+        round_half_up(F.col("average")).alias("avg_cost"),
+    )
 
 
 @query
@@ -412,8 +454,9 @@ def lane_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = derived.staging(spark, sf_dir)
-    lane_map = marts.lane_map(tables)
-    return lane_map.label(lane_coverage(active(tables.datapoints), lane_map.members)).drop("rows")
+    datapoints = active(tables.datapoints)
+    lane_map = marts.lane_map(tables, datapoints)
+    return lane_map.label(lane_coverage(datapoints, lane_map.members))
 
 
 QUERIES["lane_coverage"] = _coverage
@@ -434,6 +477,12 @@ def lane_prices_regions_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.prices_regions(derived.with_edges(derived.staging(spark, sf_dir)))
 
 
+@query
+def lane_prices_regions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of ports, a tree six deep, and as many port pairs as there are orders."""
+    return marts.prices_regions(derived.wide(spark, sf_dir))
+
+
 @query
 def lane_prices_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.prices_ports(derived.staging(spark, sf_dir))
@@ -447,3 +496,10 @@ def prices_ds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.prices(derived.staging(spark, sf_dir))
+
+
+@query
+def prices_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' prices of four days only."""
+    days = {"date_from": dt.date(2021, 1, 4), "date_to": dt.date(2021, 1, 7)}
+    return marts.prices(derived.staging(spark, sf_dir), **days)

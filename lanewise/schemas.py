@@ -69,19 +69,23 @@ AUDIT_FIELDS = (
     T.StructField("raw_pid", T.LongType()),
 )
 
+# Rows of a batch were loaded in the order (file_rank, raw_pid).
+FILE_RANK = T.StructField("file_rank", T.IntegerType())
+
 
 def columns(table: str) -> list[str]:
     return [field.name for field in TABLES[table]]
 
 
 def raw_schema(table: str) -> T.StructType:
-    """Raw tables hold every delivered column as text, plus the audit columns."""
+    """Raw tables hold every delivered column as text, the audit columns, and the place of
+    the row's file in its batch."""
     text = [T.StructField(name, T.StringType()) for name in columns(table)]
-    return T.StructType([*text, *AUDIT_FIELDS])
+    return T.StructType([*text, *AUDIT_FIELDS, FILE_RANK])
 
 
 def staging_schema(table: str) -> T.StructType:
-    """Typed columns; ``raw_pid`` carries the lineage (and orders versions)."""
+    """Typed columns; ``raw_pid`` carries the lineage."""
     typed = [T.StructField(field.name, field.type) for field in TABLES[table]]
     return T.StructType([*typed, T.StructField("raw_pid", T.LongType())])
 
@@ -89,7 +93,7 @@ def staging_schema(table: str) -> T.StructType:
 def outcome_schema(table: str) -> T.StructType:
     """A staged row: typed values, the outcome, and the text of a rejected row."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in columns(table)])
-    return staging_schema(table).add("src_file", T.StringType()).add(
+    return staging_schema(table).add(FILE_RANK).add("src_file", T.StringType()).add(
         "stg_load_time", T.TimestampNTZType()
     ).add("failed_columns", T.StringType()).add("delivered", text).add(
         "stg_status", T.StringType()

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,6 +44,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders written by ``materialize`` inside the open ``intermediates`` blocks.
+_scopes: list[list[str]] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
@@ -51,10 +58,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/lanewise/{application}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables materialized inside the block at its end.
+
+    Everything read from them must be written or collected by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_folder(spark, path)
+
+
 def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
     """``materialize`` that also returns aggregates, taken while writing.
 
@@ -68,16 +98,33 @@ def materialize_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataF
     return written, seen.get
 
 
-# Rows a written table may have to be broadcast; its rows are a few short columns.
-BROADCAST_ROWS = 1_000_000
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: eight per column and the contents of texts."""
+    contents = [
+        F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0))
+        for field in df.schema.fields
+        if isinstance(field.dataType, (T.StringType, T.BinaryType))
+    ]
+    return sum(contents, F.lit(8 * (len(df.columns) + 1)))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative if switched off."""
+    jvm = spark.sparkContext._jvm
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.startswith("-"):
+        return -1
+    return int(jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def broadcast_if_small(written: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint for joining a written table: broadcast if its counted rows allow, else sort.
+def broadcast_if_small(written: DataFrame) -> DataFrame:
+    """Hint for joining a written table: broadcast if its bytes allow, else sort.
 
     For joins whose other side comes out of an expansion. Catalyst does not count
-    expanded rows, so left alone it may take that side for the small one.
+    expanded rows, so left alone it may take that side for the small one. The bytes are
+    those of the rows in memory, not of the packed files, added up over all tasks.
     """
-    if written.limit(max_rows + 1).count() <= max_rows:
+    size = written.agg(F.sum(row_bytes(written).cast("bigint"))).first()[0] or 0
+    if size <= broadcast_limit(written.sparkSession):
         return F.broadcast(written)
     return written.hint("merge")

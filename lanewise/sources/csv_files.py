@@ -2,37 +2,77 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanewise.operators.keys import load_keys
 from lanewise.schemas import NEW, columns
+from lanewise.sources.storage import uri
 
-# Descriptive tables may hold line breaks inside quoted text, so their files are
-# read whole; the two large tables hold only numbers, dates and codes and are split.
-MULTI_LINE = {"regions", "ports", "exchange_rates"}
 
+@dataclass(frozen=True)
+class Delivery:
+    """A file to load: its columns, its place in load order, and whether it must be read
+    whole because a quoted value holds a line break."""
 
-def csv_options(table: str, **extra: object) -> dict[str, object]:
-    return {"header": True, "escape": '"', "multiLine": table in MULTI_LINE, **extra}
+    path: str
+    header: tuple[str, ...]
+    rank: int = 0
+    whole: bool = False
 
 
-def headers(spark: SparkSession, files: list[tuple[str, str]], **extra: object) -> dict[str, tuple]:
-    """Header of each (path, table): one first-line read per file, several at a time."""
+def literal_path(path: str) -> str:
+    """A path that is not taken for a pattern, whatever characters it has."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
-    def read(item: tuple[str, str]) -> tuple[str, tuple]:
-        path, table = item
-        return path, tuple(spark.read.options(**csv_options(table, **extra)).csv(path).columns)
+
+def csv_options(**extra: object) -> dict[str, object]:
+    return {"header": True, "escape": '"', **extra}
+
+
+def headers(
+    spark: SparkSession, paths: list[str], **extra: object
+) -> dict[str, tuple[str, ...] | None]:
+    """Header of each file, None if it cannot be read: one first-line read per file,
+    several at a time."""
+
+    def read(path: str) -> tuple[str, tuple[str, ...] | None]:
+        try:
+            reader = spark.read.options(**csv_options(**extra))
+            return path, tuple(reader.csv(literal_path(path)).columns)
+        except PySparkException:
+            return path, None
 
     with ThreadPoolExecutor(max_workers=8) as pool:
-        return dict(pool.map(read, files))
+        return dict(pool.map(read, paths))
 
 
-def missing_columns(header: tuple, table: str) -> list[str]:
+def with_broken_lines(spark: SparkSession, paths: list[str], **extra: object) -> set[str]:
+    """Files with a line break inside quotes, which must not be split while reading.
+
+    Quotes are doubled inside quoted text, so a line with an odd number of them begins or ends
+    in the middle of a value. This is a pass over the plain text of the files.
+    """
+    if not paths:
+        return set()
+    by_uri = {uri(spark, path): path for path in paths}
+    encoding = {"encoding": extra["encoding"]} if "encoding" in extra else {}
+    lines = spark.read.options(**encoding).text([literal_path(p) for p in paths])
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("uri"))
+    return {by_uri[r.uri] for r in odd.distinct().collect()}
+
+
+def missing_columns(header: Iterable[str], table: str) -> list[str]:
     present = {name.lower() for name in header}
     return [name for name in columns(table) if name not in present]
 
@@ -42,7 +82,9 @@ def project(df: DataFrame, table: str, *extra: Column) -> DataFrame:
     return df.select(*[F.col(name).cast("string").alias(name) for name in columns(table)], *extra)
 
 
-def with_audit(df: DataFrame, table: str, src_file: Column, raw_pid: Column) -> DataFrame:
+def with_audit(
+    df: DataFrame, table: str, src_file: Column, raw_pid: Column, *extra: Column
+) -> DataFrame:
     """Lineage, load time, first state and key next to the business columns."""
     return df.select(
         *columns(table),
@@ -51,28 +93,43 @@ def with_audit(df: DataFrame, table: str, src_file: Column, raw_pid: Column) ->
         F.lit(NEW).alias("stg_status"),
         F.lit(None).cast("timestamp_ntz").alias("stg_load_time"),
         raw_pid.alias("raw_pid"),
+        *extra,
     )
 
 
 def read_deliveries(
     spark: SparkSession,
     table: str,
-    header_of: dict[str, tuple],
+    deliveries: list[Delivery],
     first_key: int = 0,
     **extra: object,
 ) -> DataFrame:
-    """Raw rows of several files of one table.
+    """Raw rows of several files of one table, each with its file's rank in load order.
 
     Spark takes the columns of a multi-file read from one header, by position, so
-    only files with the same header are read together.
+    only files with the same header are read together. It scans the files of one read in
+    any order, so keys alone do not tell which file came first.
     """
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for path in sorted(header_of):
-        groups[header_of[path]].append(path)
-    source = F.col("_metadata.file_name").alias("src_file")
-    parts = [
-        project(spark.read.options(**csv_options(table, **extra)).csv(paths), table, source)
-        for paths in groups.values()
+    for delivery in sorted(deliveries, key=lambda d: d.rank):
+        groups[(delivery.header, delivery.whole)].append(literal_path(delivery.path))
+    source = [
+        F.col("_metadata.file_name").alias("src_file"),
+        F.col("_metadata.file_path").alias("uri"),
     ]
-    rows = reduce(DataFrame.unionByName, parts)
-    return with_audit(rows, table, F.col("src_file"), load_keys(first_key))
+
+    def read(header: tuple[str, ...], whole: bool, paths: list[str]) -> DataFrame:
+        """With the columns given, Spark does not look into the files for them again."""
+        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        reader = spark.read.schema(text).options(**csv_options(multiLine=whole, **extra))
+        return project(reader.csv(paths), table, *source)
+
+    parts = [read(header, whole, paths) for (header, whole), paths in groups.items()]
+    # One short row per file of the batch.
+    ranks = spark.createDataFrame(
+        [(uri(spark, d.path), d.rank) for d in deliveries], "uri string, file_rank int"
+    )
+    rows = reduce(DataFrame.unionByName, parts).join(F.broadcast(ranks), "uri", "left")
+    return with_audit(
+        rows, table, F.col("src_file"), load_keys(first_key), F.col("file_rank")
+    )

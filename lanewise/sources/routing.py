@@ -9,9 +9,6 @@ from lanewise.schemas import TABLES
 
 UNROUTED = "unrouted"
 
-# Every file that ``route`` sends to a table.
-GLOB = "*{" + ",".join(TABLES) + "}*.csv"
-
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)

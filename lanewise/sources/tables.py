@@ -3,7 +3,9 @@
 Every load writes one ``batch_id=<n>`` folder and replaces it when the load is
 repeated, so a batch that died half way leaves nothing behind after its retry.
 Staging keeps accepted and rejected rows in ``stg_status=`` folders of one table;
-typed rows, quarantine and row status are selections of it.
+typed rows, quarantine and row status are selections of it. The active versions of the
+datapoints are kept as of each staged batch. Readers see the batches that the log names
+and no others, so an unfinished batch is invisible.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lanewise.operators.staging import current, versions, with_status
+from lanewise.operators.staging import advance, versions, with_status
+from lanewise.operators.validate import accepted, rejected
 from lanewise.plans.marts import Staging
-from lanewise.schemas import ERROR, LOADED, TABLES, columns, outcome_schema, raw_schema
-from lanewise.session import materialize
+from lanewise.schemas import FILE_RANK, TABLES, outcome_schema, raw_schema, staging_schema
+from lanewise.session import delete_folder
+from lanewise.sources.storage import exists
 
-RAW, STAGING, LOG = "raw", "staging", "log"
+RAW, STAGING, LOG, ACTIVE = "raw", "staging", "log", "active"
 
 # The log has one small row per batch and table, so that finding pending batches
 # or the next key never touches the data.
@@ -45,6 +49,14 @@ class Warehouse:
             return raw_schema(table)
         if layer == STAGING:
             return outcome_schema(table)
+        if layer == ACTIVE:
+            return T.StructType(
+                [
+                    *staging_schema(table).fields,
+                    FILE_RANK,
+                    T.StructField("is_active", T.BooleanType()),
+                ]
+            )
         return LOG_SCHEMAS[table]
 
     def path(self, layer: str, table: str) -> str:
@@ -53,6 +65,7 @@ class Warehouse:
     def create(self) -> Warehouse:
         """Declare every table by writing an empty batch."""
         names = [(layer, t) for layer in (RAW, STAGING) for t in TABLES]
+        names.append((ACTIVE, "datapoints"))
         for layer, table in [*names, *[(LOG, t) for t in LOG_SCHEMAS]]:
             empty = self.spark.createDataFrame([], self.schema(layer, table))
             self.write(empty, layer, table, batch_id=-1)
@@ -65,40 +78,82 @@ class Warehouse:
             writer = writer.partitionBy("stg_status")
         writer.parquet(f"{self.path(layer, table)}/batch_id={batch_id}")
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """All batches, with their ``batch_id``; a filter on it prunes folders."""
+    def _all(self, layer: str, table: str) -> DataFrame:
+        """All batches, finished or not, with their ``batch_id``."""
         batch = T.StructField("batch_id", T.LongType())
         declared = T.StructType([*self.schema(layer, table).fields, batch])
         return self.spark.read.schema(declared).parquet(self.path(layer, table))
 
+    def entries(self, log: str, batch_id: int) -> list:
+        return self._all(LOG, log).filter(F.col("batch_id") == batch_id).collect()
+
+    def has_batch(self, layer: str, table: str, batch_id: int) -> bool:
+        return exists(self.spark, f"{self.path(layer, table)}/batch_id={batch_id}/_SUCCESS")
+
+    def finished(self, layer: str, table: str) -> list[int]:
+        """Batches of a table whose log entry is there; one small row each."""
+        log = self._all(LOG, LOADS if layer == RAW else STAGED)
+        named = log.filter(F.col("table_name") == table).select("batch_id").distinct()
+        return sorted(r.batch_id for r in named.collect())
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        """The finished batches, with their ``batch_id``; the filter prunes folders."""
+        rows = self._all(layer, table)
+        if layer == LOG:
+            return rows
+        return rows.filter(F.col("batch_id").isin(self.finished(layer, table)))
+
     def status(self, table: str) -> DataFrame:
-        return self.read(STAGING, table).select("raw_pid", "stg_status", "stg_load_time")
+        return self.read(STAGING, table).select(
+            "batch_id", "raw_pid", "stg_status", "stg_load_time"
+        )
 
     def raw(self, table: str) -> DataFrame:
-        """Raw rows in their current state."""
-        return with_status(self.read(RAW, table).drop("batch_id"), self.status(table))
+        """Raw rows in their current state, with their ``batch_id``."""
+        return with_status(self.read(RAW, table), self.status(table))
 
     def staged(self, table: str) -> DataFrame:
         """Accepted rows with their staging types."""
-        accepted = self.read(STAGING, table).filter(F.col("stg_status") == LOADED)
-        return accepted.select(*columns(table), "raw_pid")
+        return accepted(self.read(STAGING, table), table)
 
     def quarantine(self, table: str) -> DataFrame:
         """Rejected rows with their own text, source file and failed columns."""
-        rejected = self.read(STAGING, table).filter(F.col("stg_status") == ERROR)
-        return rejected.select("delivered.*", "src_file", "raw_pid", "failed_columns")
+        return rejected(self.read(STAGING, table))
 
     def datapoint_versions(self) -> DataFrame:
-        return versions(self.staged("datapoints"))
+        rows = self.read(STAGING, "datapoints")
+        return versions(accepted(rows, "datapoints", "file_rank", "batch_id"))
+
+    def _active_as_of(self, batch_id: int) -> DataFrame:
+        rows = self._all(ACTIVE, "datapoints")
+        return rows.filter(F.col("batch_id") == batch_id).drop("batch_id")
+
+    def _last_active(self, before: int | None = None) -> int:
+        done = self.finished(STAGING, "datapoints")
+        return max((b for b in done if before is None or b < before), default=-1)
+
+    def advance_active(self, batch_id: int) -> None:
+        """Write the active versions as of a batch whose rows have just been staged."""
+        rows = self._all(STAGING, "datapoints").filter(F.col("batch_id") == batch_id)
+        batch = accepted(rows, "datapoints", "file_rank", "batch_id")
+        before = self._active_as_of(self._last_active(before=batch_id))
+        columns = self.schema(ACTIVE, "datapoints").fieldNames()
+        after = advance(before, batch.select(*columns[:-1], "batch_id"), columns)
+        self.write(after, ACTIVE, "datapoints", batch_id)
+
+    def drop_old_active(self, batch_id: int) -> None:
+        """Delete active versions older than the last two staged batches, which a reader
+        may still be using."""
+        for old in self.finished(STAGING, "datapoints")[:-2]:
+            if old < batch_id:
+                delete_folder(
+                    self.spark, f"{self.path(ACTIVE, 'datapoints')}/batch_id={old}"
+                )
 
     def tables(self) -> Staging:
-        """The staging tables as the marts read them.
-
-        The marts read the datapoints three times, so the active versions are
-        resolved once and written.
-        """
+        """The staging tables as the marts read them."""
         rest = {t: self.staged(t).drop("raw_pid") for t in TABLES if t != "datapoints"}
-        active = materialize(current(self.staged("datapoints")), "active-datapoints")
+        active = self._active_as_of(self._last_active()).drop("file_rank")
         return Staging(datapoints=active, **rest)
 
     def next_key(self, before_batch: int) -> int:

@@ -12,40 +12,69 @@ from pyspark.sql.streaming import StreamingQuery
 from lanewise.operators.validate import outcomes
 from lanewise.schemas import TABLES
 from lanewise.sources import routing
-from lanewise.sources.csv_files import headers, missing_columns, read_deliveries
+from lanewise.sources.csv_files import (
+    Delivery,
+    headers,
+    missing_columns,
+    read_deliveries,
+    with_broken_lines,
+)
+from lanewise.sources.storage import move_into
 from lanewise.sources.tables import LOADS, LOG, RAW, STAGED, STAGING, UNROUTED, Warehouse
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+NO_TABLE = "no table"
 
 
-def unrouted_files(spark: SparkSession, inbox: str) -> DataFrame:
-    """Files in the inbox that belong to no table; their contents are not read."""
-    files = spark.read.format("binaryFile").load(inbox)
-    table = routing.route(routing.base_name(F.col("path")))
-    return files.filter(table == routing.UNROUTED).select("path")
-
-
-def load_batch(warehouse: Warehouse, files: DataFrame, batch_id: int, **csv: object) -> None:
-    """Append one batch of files to the raw tables.
+def load_batch(
+    warehouse: Warehouse,
+    files: DataFrame,
+    batch_id: int,
+    archive: str | None = None,
+    rejected: str | None = None,
+    **csv: object,
+) -> None:
+    """Append one batch of files to the raw tables, in the order of their arrival.
 
     Only paths, header names and the last key come to the driver; their number is
-    bounded by the stream's ``maxFilesPerTrigger``. Files that belong nowhere or
-    lack a column are reported in the log and the rest of the batch loads. A repeated batch
-    starts from the same key and replaces its own folders.
+    bounded by the stream's ``maxFilesPerTrigger``. Files that belong nowhere, cannot be
+    read or lack a column are reported in the log and the rest of the batch loads. The
+    log entry of the load comes last; a batch that has one is not loaded again. After
+    that, loaded files move to ``archive`` and files that a table should have had move to
+    ``rejected``; files of no table stay where they are.
     """
     spark = files.sparkSession
     table_of = routing.route(routing.base_name(F.col("path")))
-    routed = files.select("path", table_of.alias("table")).collect()
-    report = [(r.path, "no table") for r in routed if r.table == routing.UNROUTED]
-    known = [(r.path, r.table) for r in routed if r.table != routing.UNROUTED]
+    arrival = [F.col(c) for c in ("modificationTime", "path") if c in files.columns]
+    routed = files.orderBy(*arrival).select("path", table_of.alias("table")).collect()
+    if not warehouse.has_batch(LOG, LOADS, batch_id):
+        _load(warehouse, [(r.path, r.table) for r in routed], batch_id, **csv)
+    refused = {r.path for r in warehouse.entries(UNROUTED, batch_id)}
+    for row in routed:
+        folder = rejected if row.path in refused else archive
+        if folder and row.table != routing.UNROUTED:
+            move_into(spark, row.path, f"{folder.rstrip('/')}/batch_id={batch_id}")
+
+
+def _load(warehouse: Warehouse, routed: list[tuple[str, str]], batch_id: int, **csv: object) -> None:
+    spark = warehouse.spark
+    report = [(path, NO_TABLE) for path, table in routed if table == routing.UNROUTED]
+    known = [path for path, table in routed if table != routing.UNROUTED]
     header_of = headers(spark, known, **csv)
-    by_table: dict[str, dict[str, tuple]] = defaultdict(dict)
-    for path, table in known:
-        missing = missing_columns(header_of[path], table)
-        if missing:
-            report.append((path, "missing " + ",".join(missing)))
+    readable = {}
+    for path, table in routed:
+        if path not in header_of:
+            continue
+        header = header_of[path]
+        missing = missing_columns(header or (), table)
+        if header is None or missing:
+            report.append((path, "missing " + ",".join(missing) if header else "not readable"))
         else:
-            by_table[table][path] = header_of[path]
+            readable[path] = table
+    broken = with_broken_lines(spark, list(readable), **csv)
+    by_table: dict[str, list[Delivery]] = defaultdict(list)
+    for rank, (path, table) in enumerate(readable.items()):
+        by_table[table].append(Delivery(path, header_of[path], rank, path in broken))
 
     key, loads = warehouse.next_key(batch_id), []
     for table in TABLES:
@@ -79,28 +108,27 @@ def start_loading(
     warehouse: Warehouse,
     checkpoint: str,
     archive: str | None = None,
+    rejected: str | None = None,
     max_files: int = 1000,
     **csv: object,
 ) -> StreamingQuery:
     """Load what has arrived in ``inbox`` and stop; each path is loaded once.
 
-    The stream carries paths only. Loaded files move to ``archive``, outside the
-    inbox, when a later run finds new files. ``checkpoint`` remembers paths, so a
-    second delivery needs a new name. Files that match no table never enter the
-    stream and stay where they are.
+    The stream carries paths only. ``checkpoint`` remembers paths, so a second delivery,
+    or a rejected file after its repair, needs a new name. ``archive`` and ``rejected``
+    lie outside the inbox.
     """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", routing.GLOB)
         .option("maxFilesPerTrigger", max_files)
     )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    paths = reader.load(inbox).select("path")
+    paths = reader.load(inbox).select("path", "modificationTime")
     return (
         paths.writeStream.foreachBatch(
-            lambda files, batch_id: load_batch(warehouse, files, batch_id, **csv)
+            lambda files, batch_id: load_batch(
+                warehouse, files, batch_id, archive, rejected, **csv
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -109,9 +137,12 @@ def start_loading(
 
 
 def stage_batch(warehouse: Warehouse, table: str, batch_id: int) -> None:
-    """Validate and type one raw batch; one scan, no shuffle."""
+    """Validate and type one raw batch; one scan, no shuffle. Datapoints then bring the
+    active versions up to this batch."""
     raw = warehouse.read(RAW, table).filter(F.col("batch_id") == batch_id)
     warehouse.write(outcomes(raw, table), STAGING, table, batch_id)
+    if table == "datapoints":
+        warehouse.advance_active(batch_id)
 
 
 def stage_pending(warehouse: Warehouse) -> None:
@@ -125,3 +156,4 @@ def stage_pending(warehouse: Warehouse) -> None:
         for table in tables:
             stage_batch(warehouse, table, batch_id)
         _log(warehouse, STAGED, [(table,) for table in tables], batch_id)
+        warehouse.drop_old_active(batch_id)

@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import golden
@@ -37,27 +39,68 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["prices", "unrelated_regions", "datapoint_cost", "stage_datapoints", "join_rates"])
-def test_plans_hash_and_stay_in_the_jvm(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
-    for banned in ("NestedLoop", "Cartesian", "Python", "Pandas"):
-        assert banned not in plan
+@pytest.fixture
+def segments(monkeypatch):
+    """Plans of everything that is written while a query is built."""
+    plans, write = [], DataFrameWriter.parquet
 
+    def parquet(self, *args, **kwargs):
+        plans.append(plan_of(self._df))
+        return write(self, *args, **kwargs)
 
-def test_expanded_days_are_not_shuffled(spark):
-    """With both sides too large to broadcast, days are expanded after the last exchange."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return plans
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["prices", "prices_clipped", "lane_prices_regions_wide", "unrelated_regions", "datapoint_cost",
+     "stage_datapoints", "join_rates", "crowded_median", "active_datapoints"],
+)
+def test_plans_hash_and_stay_in_the_jvm(spark, segments, name):
+    """Every written segment, not only the last one."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    for one in [*segments, plan]:
+        for banned in ("NestedLoop", "Cartesian", "Python", "Pandas", "Arrow", "SortAggregate"):
+            assert banned not in one
+        assert "SinglePartition" not in one
+
+
+@pytest.mark.parametrize("limit", ["8000", "4000"])
+def test_expanded_days_are_not_shuffled(spark, segments, limit):
+    """Rates below and above the broadcast limit: days are made after the last exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
         tables = derived.staging(spark, SF_DIR)
-        plan = plan_of(
-            pricing.datapoint_costs(
-                tables.datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
-            )
+        costs = pricing.datapoint_costs(
+            tables.datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
         )
+        plan = plan_of(costs)
+        rows = costs.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [d_id" in plan
-    assert "Exchange" not in plan.split("Generate explode(sequence")[0]
+    assert rows > 1000
+    assert ("SortMergeJoin [currency" in plan) == (limit == "4000")
+    above, days = plan.split("Generate explode(terms")
+    assert "Exchange" not in above
+    for segment in segments:
+        assert "Generate explode(terms" not in segment
+
+
+def test_rate_join_gives_the_same_costs_either_way(spark):
+    results = []
+    for limit in ("10MB", "1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            tables = derived.with_edges(derived.staging(spark, SF_DIR))
+            costs = pricing.datapoint_costs(
+                tables.datapoints, tables.charges, tables.exchange_rates
+            )
+            rows = costs.select("d_id", "date", F.round("cost", 4)).collect()
+            results.append(sorted(map(str, map(tuple, rows))))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert results[0] == results[1]
 
 
 def test_date_range_reaches_the_scan(spark, tmp_path):
@@ -78,13 +121,17 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
     assert "company_id" not in schema
 
 
-def test_broadcast_is_behind_a_count(spark):
+def test_broadcast_is_behind_measured_bytes(spark):
+    """Equal long texts pack into a small file and are large in memory all the same."""
     rows = spark.range(100).withColumnRenamed("id", "k")
-    written = materialize(rows, "counted")
-    assert "Broadcast" in plan_of(rows.join(broadcast_if_small(written, 100), "k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    small = materialize(rows, "small")
+    long = materialize(rows.withColumn("text", F.expr("repeat('x', 4000)")), "long-texts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
     try:
-        assert "SortMergeJoin" in plan_of(rows.join(broadcast_if_small(written, 99), "k"))
+        assert "Broadcast" in plan_of(rows.join(broadcast_if_small(small), "k"))
+        assert "SortMergeJoin" in plan_of(rows.join(broadcast_if_small(long), "k"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "SortMergeJoin" in plan_of(rows.join(broadcast_if_small(small), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

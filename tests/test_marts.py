@@ -1,6 +1,7 @@
 """The marts against hand-made results and against themselves."""
 
 import datetime as dt
+import glob
 from collections import Counter
 from dataclasses import replace
 
@@ -11,6 +12,7 @@ import golden
 from lanewise.operators import hierarchy, pricing
 from lanewise.operators.intervals import active, clip, expand_days
 from lanewise.plans import marts
+from lanewise.session import shared_folder
 
 
 def bag(df):
@@ -22,9 +24,20 @@ def tables(spark):
     return golden.staging(spark)
 
 
-@pytest.mark.parametrize("large_group_rows", [marts.LARGE_GROUP_ROWS, 1])
-def test_golden_marts(tables, large_group_rows):
-    mart = marts.prices_ds(tables, large_group_rows=large_group_rows)
+@pytest.mark.parametrize("ordered_values", [marts.ORDERED_VALUES, 1])
+def test_golden_marts(tables, ordered_values):
+    clipped = marts.within(tables)
+    mapped = marts.lane_map(clipped, clipped.datapoints)
+    mart = marts.publish(marts.lane_statistics(clipped, mapped, ordered_values=ordered_values))
+    assert bag(mart) == Counter(golden.PORT_MART + golden.REGION_MART)
+
+
+def test_written_mart_leaves_no_intermediates(spark, tables, tmp_path):
+    base = f"{shared_folder(spark)}/lanewise/{spark.sparkContext.applicationId}"
+    before = set(glob.glob(f"{base}/*"))
+    marts.write_mart(spark, lambda: marts.prices_ds(tables), str(tmp_path / "mart"))
+    assert set(glob.glob(f"{base}/*")) == before
+    mart = spark.read.parquet(str(tmp_path / "mart")).select(*marts.MART_COLUMNS)
     assert bag(mart) == Counter(golden.PORT_MART + golden.REGION_MART)
 
 
@@ -48,6 +61,28 @@ def test_date_range_equals_filter(tables):
     assert bag(got) == Counter(r for r in everything if r[3] == golden.D2)
 
 
+def test_date_range_narrows_pairs_and_charges(tables):
+    """Only datapoints 11 and 50 touch the second day."""
+    clipped = marts.within(tables, golden.D2, golden.D2)
+    assert {r.d_id for r in clipped.charges.collect()} == {11, 50}
+    mapped = marts.lane_map(clipped, clipped.datapoints)
+    pairs = mapped.members.select("origin_pid", "destination_pid").distinct()
+    assert bag(pairs) == Counter([(1, 2), (9, 2)])
+
+
+def test_lanes_without_coverage_are_not_priced(tables, monkeypatch):
+    seen = []
+    honest = marts.statistics
+
+    def watching(rows, keys, value, ordered):
+        seen.append(rows.select(*keys).distinct().count())
+        return honest(rows, keys, value, ordered)
+
+    monkeypatch.setattr(marts, "statistics", watching)
+    marts.prices(tables).collect()
+    assert seen == [sum(r[6] for r in golden.PORT_MART + golden.REGION_MART)]
+
+
 def test_repeated_deliveries_multiply(tables):
     """A charge, a rate or a port delivered twice counts twice; a region does not."""
     twice = replace(

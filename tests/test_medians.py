@@ -1,4 +1,4 @@
-"""The spread median against a plain one, on groups of very unequal size."""
+"""Medians and averages against plain ones, on groups of very unequal size."""
 
 import math
 import random
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import round_half_up, value_bucket
-from lanewise.operators.medians import gathered_median, split_by_keys, spread_statistics
+from lanewise.operators import medians
 
 
 def make_rows():
@@ -24,10 +24,13 @@ def make_rows():
     return rows
 
 
-def test_spread_equals_plain(spark):
+@pytest.mark.parametrize("ordered_values", [10_000, 500, 2])
+def test_statistics_equal_plain(spark, ordered_values):
     rows = make_rows()
     df = spark.createDataFrame(rows, "a string, b int, v double").repartition(7)
-    got = {(r.a, r.b): (r.median, r.average) for r in spread_statistics(df, ["a", "b"], "v").collect()}
+    found = medians.statistics(df, ["a", "b"], "v", ordered_values).collect()
+    got = {(r.a, r.b): (r.median, r.average) for r in found}
+    assert len(got) == len(found)
     expected = {}
     for a, b, v in rows:
         if v is not None:
@@ -38,11 +41,27 @@ def test_spread_equals_plain(spark):
         assert got[key][1] == pytest.approx(math.fsum(values) / len(values), rel=1e-9, abs=1e-9), key
 
 
-def test_split_keeps_every_row(spark):
+def test_close_values_are_narrowed_until_few_are_left(spark, monkeypatch):
+    """200,000 distinct prices within a cent: no task puts more than a few in order."""
+    prices = spark.range(200_000).selectExpr("'lane' as a", "1000 + id / 2e7 as v")
+    read, honest = [], medians._read_middle
+
+    def watching(rows, keys):
+        read.append(rows.count())
+        return honest(rows, keys)
+
+    monkeypatch.setattr(medians, "_read_middle", watching)
+    row = medians.statistics(prices, ["a"], "v").first()
+    assert row.median == pytest.approx(1000 + 99_999.5 / 2e7, rel=1e-15)
+    assert 0 < read[0] <= medians.ORDERED_VALUES
+
+
+def test_semi_join_keeps_null_keys(spark):
     rows = [("x", None, 1), ("x", None, 2), (None, 1, 3), ("y", 1, 4)]
     df = spark.createDataFrame(rows, "a string, b int, v int")
     marked = spark.createDataFrame([("x", None), (None, 1)], "a string, b int")
-    inside, outside = split_by_keys(df, marked, ["a", "b"])
+    inside = medians.semi_join(df, marked, ["a", "b"], "left_semi")
+    outside = medians.semi_join(df, marked, ["a", "b"], "left_anti")
     assert sorted(r.v for r in inside.collect()) == [1, 2, 3]
     assert [r.v for r in outside.collect()] == [4]
 
@@ -56,6 +75,10 @@ def test_buckets_keep_the_order(spark):
     buckets = [b for _, b in pairs]
     assert buckets == sorted(buckets)
     assert all(math.isinf(v) or b == pytest.approx(v, rel=2**-12) for v, b in pairs)
+    for bits in medians.BUCKET_BITS:
+        finer = df.select("v", value_bucket(F.col("v"), bits)).collect()
+        buckets = [b for _, b in sorted(map(tuple, finer))]
+        assert buckets == sorted(buckets)
 
 
 def test_rounding(spark):

@@ -1,6 +1,7 @@
 """Deliveries as a file stream: routing, headers, keys, retries, staging."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from lanewise.plans import marts
 from lanewise.sources.routing import route
 from lanewise.sources.tables import LOG, RAW, UNROUTED, Warehouse
-from lanewise.streaming.deliveries import load_batch, stage_pending, start_loading, unrouted_files
+from lanewise.streaming.deliveries import load_batch, stage_batch, stage_pending, start_loading
 
 ROUTES = {
     "regions_1.csv": "regions",
@@ -43,10 +44,14 @@ class Inbox:
             self.warehouse,
             str(self.root / "cp"),
             archive=str(self.root / "archive"),
+            rejected=str(self.root / "rejected"),
             **options,
         )
         query.awaitTermination(120)
 
+    def names(self, folder):
+        return sorted(p.name for p in (self.root / folder).rglob("*.csv"))
+
 
 @pytest.fixture
 def inbox(spark, tmp_path):
@@ -76,11 +81,90 @@ def test_headers_decide_columns(inbox):
     }
     assert {r.stg_status for r in raw.collect()} == {"NEW"}
     report = inbox.warehouse.read(LOG, UNROUTED).collect()
-    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in report] == [
-        ("regions_3.csv", "missing parent")
-    ]
-    left = unrouted_files(inbox.spark, str(inbox.inbox)).collect()
-    assert {r.path.rsplit("/", 1)[1] for r in left} == {"notes.txt", "other.csv"}
+    assert {(r.path.rsplit("/", 1)[1], r.reason) for r in report} == {
+        ("regions_3.csv", "missing parent"), ("notes.txt", "no table"), ("other.csv", "no table")
+    }
+    assert {p.name for p in inbox.inbox.iterdir()} == {"notes.txt", "other.csv"}
+    assert inbox.names("rejected") == ["regions_3.csv"]
+    assert inbox.names("archive") == ["regions_1.csv", "regions_2.csv", "regions_4.csv"]
+
+
+@pytest.mark.parametrize("large_first", [True, False])
+@pytest.mark.parametrize("extra", ["", ",more"])
+def test_later_file_of_a_batch_is_active(inbox, large_first, extra):
+    """Whatever the sizes, whether or not the headers are alike."""
+    head = "d_id,created,origin_pid,destination_pid,valid_from,valid_to,company_id,supplier_id,equipment_id"
+    line = "{},2021-01-01 00:00:00,1,2,2021-01-01,2021-01-01,1,{},1"
+    for name, supplier, large in (("datapoints_1.csv", 1, large_first), ("datapoints_2.csv", 2, not large_first)):
+        lines = [line.format(7, supplier)] + [line.format(100 + i, supplier) for i in range(400 * large)]
+        more = extra if name == "datapoints_2.csv" else ""
+        inbox.put(name, "\n".join([head + more, *[x + ",0" * bool(more) for x in lines]]) + "\n")
+        time = 1_700_000_000 + supplier
+        os.utime(inbox.inbox / name, (time, time))
+    inbox.load()
+    stage_pending(inbox.warehouse)
+    seven = inbox.warehouse.datapoint_versions().filter("d_id = 7")
+    assert {(r.supplier_id, r.is_active) for r in seven.collect()} == {(1, False), (2, True)}
+    active = inbox.warehouse.tables().datapoints.filter("d_id = 7").collect()
+    assert [r.supplier_id for r in active] == [2]
+
+
+def test_line_breaks_in_quotes_stay_in_their_value(inbox):
+    inbox.put("charges_1.csv", 'd_id,currency,charge_value,note\n1,USD,5,"two\nlines"\n2,EUR,6,"a ""b"" c"\n')
+    inbox.put("charges_2.csv", 'note,d_id,currency,charge_value\n"x\ny, ""z""\n",3,USD,7\n')
+    inbox.put("charges_3.csv", "d_id,currency,charge_value\n4,USD,8\n")
+    inbox.load()
+    raw = inbox.warehouse.read(RAW, "charges").select("d_id", "currency", "charge_value").collect()
+    assert {tuple(r) for r in raw} == {
+        ("1", "USD", "5"), ("2", "EUR", "6"), ("3", "USD", "7"), ("4", "USD", "8")
+    }
+    assert len(raw) == 4
+
+
+def test_no_file_name_stops_a_batch(inbox):
+    names = ["regions_[1].csv", "regions_{a,b}.csv", "re gions_regions%20*?.csv", "regions_\\x.csv"]
+    for i, name in enumerate(names):
+        inbox.put(name, f"slug,name,parent\ns{i},n,p\n")
+    inbox.put("regions_good.csv", "slug,name,parent\ngood,n,p\n")
+    inbox.load()
+    slugs = sorted(r.slug for r in inbox.warehouse.read(RAW, "regions").collect())
+    assert slugs == ["good", "s0", "s1", "s2", "s3"]
+    assert len(inbox.names("archive")) == 5 and not list(inbox.inbox.iterdir())
+
+
+def test_unreadable_file_is_reported(spark, inbox):
+    inbox.put("regions_1.csv", "slug,name,parent\na,n,p\n")
+    inbox.put("regions_2.csv", "slug,name,parent\nb,n,p\n")
+    files = spark.read.format("binaryFile").load(str(inbox.inbox)).select("path").cache()
+    files.count()
+    (inbox.inbox / "regions_2.csv").unlink()
+    load_batch(inbox.warehouse, files, 0, rejected=str(inbox.root / "rejected"))
+    assert [r.slug for r in inbox.warehouse.read(RAW, "regions").collect()] == ["a"]
+    assert [r.reason for r in inbox.warehouse.entries(UNROUTED, 0)] == ["not readable"]
+
+
+def test_repaired_file_loads_under_a_new_name(inbox):
+    inbox.put("regions_bad.csv", "slug,name\na,n\n")
+    inbox.load()
+    assert inbox.names("rejected") == ["regions_bad.csv"] and not inbox.names("archive")
+    inbox.put("regions_bad_repaired.csv", "slug,name,parent\na,n,p\n")
+    inbox.load()
+    assert [r.slug for r in inbox.warehouse.read(RAW, "regions").collect()] == ["a"]
+
+
+def test_unfinished_batches_are_invisible(spark, inbox):
+    """Rows whose log entry is missing are in no reader's answer."""
+    inbox.put("regions_1.csv", "slug,name,parent\na,n,p\n")
+    inbox.load()
+    wh = inbox.warehouse
+    stage_batch(wh, "regions", 0)
+    assert wh.staged("regions").count() == 0 and wh.pending_batches() == [(0, "regions")]
+    assert wh.tables().regions.count() == 0
+    assert [r.stg_status for r in wh.raw("regions").collect()] == ["NEW"]
+    wh.write(wh.read(RAW, "regions").drop("batch_id"), RAW, "regions", 5)
+    assert wh.raw("regions").count() == 1
+    stage_pending(wh)
+    assert wh.staged("regions").count() == 1 and wh.raw("regions").first().stg_status == "LOADED"
 
 
 def test_loads_once_and_archives(inbox):
@@ -122,6 +206,7 @@ def test_repeated_batch_changes_nothing(spark, inbox):
     files = spark.read.format("binaryFile").load(str(inbox.inbox)).select("path")
     load_batch(inbox.warehouse, files, 0)
     before = inbox.warehouse.read(RAW, "charges").select("d_id", "raw_pid").collect()
+    assert len(before) == 1
     load_batch(inbox.warehouse, files, 0)
     assert inbox.warehouse.read(RAW, "charges").select("d_id", "raw_pid").collect() == before
 

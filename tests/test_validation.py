@@ -63,11 +63,12 @@ def raw(spark):
 
 
 def test_every_row_is_accepted_or_quarantined(raw):
-    accepted = {r.raw_pid for r in validate.typed(raw, "datapoints").collect()}
-    rejected = {r.raw_pid: r.failed_columns for r in validate.quarantine(raw, "datapoints").collect()}
+    outcome = validate.outcomes(raw, "datapoints")
+    accepted = {r.raw_pid for r in validate.accepted(outcome, "datapoints").collect()}
+    rejected = {r.raw_pid: r.failed_columns for r in validate.rejected(outcome).collect()}
     assert accepted == {1, 3, 6}
     assert rejected == {2: "valid_to,supplier_id", 4: "equipment_id", 5: "origin_pid"}
-    outcome = {r.raw_pid: r for r in validate.outcomes(raw, "datapoints").collect()}
+    outcome = {r.raw_pid: r for r in outcome.collect()}
     assert {k for k, r in outcome.items() if r.stg_status == "LOADED"} == accepted
     assert {k: r.failed_columns for k, r in outcome.items() if r.stg_status == "ERROR"} == rejected
     assert outcome[2].delivered.supplier_id == "abc" and outcome[1].delivered is None
@@ -75,17 +76,40 @@ def test_every_row_is_accepted_or_quarantined(raw):
 
 
 def test_last_accepted_version_is_active(raw):
-    accepted = validate.typed(raw, "datapoints")
+    outcome = validate.outcomes(raw, "datapoints").withColumn("batch_id", F.lit(0))
+    accepted = validate.accepted(outcome, "datapoints", "file_rank", "batch_id")
     flags = {r.raw_pid: r.is_active for r in staging.versions(accepted).collect()}
     assert flags == {1: False, 3: True, 6: True}
     current = staging.current(accepted)
     assert {(r.d_id, r.raw_pid) for r in current.collect()} == {(7, 3), (10, 6)}
-    assert set(current.columns) == {*columns("datapoints"), "raw_pid", "is_active"}
+    assert {*columns("datapoints"), "raw_pid", "is_active"} < set(current.columns)
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_batches_come_before_files_and_files_before_keys(spark):
+    rows = [(1, 0, 0, 900), (1, 0, 1, 5), (2, 0, 3, 7), (2, 1, 0, 2), (3, 2**40, 1, 1), (3, 2**40, 1, 2)]
+    df = spark.createDataFrame(rows, "d_id bigint, batch_id bigint, file_rank int, raw_pid bigint")
+    active = {r.raw_pid for r in staging.versions(df).collect() if r.is_active}
+    assert active == {2, 5}
+    assert {(r.d_id, r.raw_pid) for r in staging.current(df).collect()} == {(1, 5), (2, 2), (3, 2)}
+
+
+def test_a_batch_replaces_only_its_own_ids(spark):
+    kind = "d_id bigint, batch_id bigint, file_rank int, raw_pid bigint"
+    before = staging.current(spark.createDataFrame([(1, 0, 0, 1), (2, 0, 0, 2)], kind))
+    batch = spark.createDataFrame([(2, 1, 0, 3), (2, 1, 1, 4), (5, 1, 0, 9)], kind)
+    names = ["d_id", "raw_pid", "file_rank", "is_active"]
+    after = staging.advance(before, batch, names)
+    assert sorted(map(tuple, after.collect())) == [(1, 1, 0, True), (2, 4, 1, True), (5, 9, 0, True)]
 
 
 def test_tables_without_rules_accept_all(spark):
-    row = spark.createDataFrame([(None, "x", None, 1)], "slug string, name string, parent string, raw_pid int")
-    assert validate.typed(row, "regions").count() == 1
+    row = spark.createDataFrame(
+        [(None, "x", None, "f", 1)],
+        "slug string, name string, parent string, src_file string, raw_pid int",
+    )
+    assert validate.accepted(validate.outcomes(row, "regions"), "regions").count() == 1
     assert not [f for f in TABLES["regions"] if f.rule]
 
 
