@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.llm.packed import (
-    ROW, ROW_ARROW, batch_of, pack, steps, text_key, unpack, word_hashes,
+    ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
 )
-from lanewise.llm.tables import SPACE, python_tasks, share_of
+from lanewise.llm.tables import SPACE, bound, python_tasks, share_of
 from lanewise.session import materialize
 
 WINDOW = 13
-CHUNK_WORDS = 1_000_000
+CHUNK_BYTES = 6_000_000  # of text, whose edges a task settles among themselves
 RANGE_BYTES = 8_000_000  # of text, for one range of hashes: over a million edges
 GROUP_BYTES = 16_000_000  # of text, for one group of documents
 
@@ -48,15 +48,15 @@ SPANS, REQUESTS, TEXTS = 0, 1, 2
 
 _RESULT = (
     "doc_id bigint, text_key bigint, n_words bigint, n_removed bigint, kept_sha256 string,"
-    " kept string, copy int, path bigint, own boolean, digest binary"
+    " kept array<struct<start:int,length:int>>, copy int, path bigint, own boolean, digest binary"
 )
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
 
 
-def _edge_hashes(words: list[bytes], wide: bool) -> list[np.ndarray]:
-    """For every window: a hash that chooses its range, then one or two that name it."""
-    n = len(words)
-    hashed = np.fromiter(map(word_hashes().__getitem__, words), np.uint64, n)
+def _edge_hashes(hashed: np.ndarray, wide: bool) -> list[np.ndarray]:
+    """For every window of words, given their hashes: a hash that chooses its range, then
+    one or two that name it."""
+    n = len(hashed)
     out = []
     for multiplier in _MULTIPLIERS[: 3 if wide else 2]:
         total = np.zeros(n - WINDOW + 1, dtype=np.uint64)
@@ -78,7 +78,8 @@ def _group_of(doc_id: np.ndarray, text_key: np.ndarray, groups: int) -> np.ndarr
 
 _RESULT_ARROW = [
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()),
-    ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()),
+    ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+    ("kept", pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))),
     ("copy", pa.int32()), ("path", pa.int64()), ("own", pa.bool_()), ("digest", pa.binary()),
 ]
 
@@ -132,12 +133,14 @@ def _settle_wide(hashes: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray,
 
 
 def _chunk_rows(
-    docs: list[tuple[int, int, list[bytes]]], ranges: int, groups: int, wide: bool
+    docs: list[tuple[int, int, np.ndarray]], ranges: int, groups: int, wide: bool
 ) -> Iterator[tuple[int, int, bytes]]:
-    """Packed edges by range and locally known marks by document group."""
+    """Packed edges by range and locally known marks by document group; ``docs`` are
+    (doc_id, text key, hashes of the words)."""
     docs = sorted(docs, key=lambda d: d[:2])
     counts = [len(words) - WINDOW + 1 for _, _, words in docs]
-    columns = [np.concatenate(c) for c in zip(*[_edge_hashes(w, wide) for _, _, w in docs], strict=True)]
+    hashes = zip(*[_edge_hashes(words, wide) for _, _, words in docs], strict=True)
+    columns = [np.concatenate(c) for c in hashes]
     doc = np.repeat(np.array([d for d, _, _ in docs], dtype=np.int64), counts)
     key = np.repeat(np.array([k for _, k, _ in docs], dtype=np.int64), counts)
     place = np.concatenate([np.arange(n, dtype=np.int64) for n in counts])
@@ -197,23 +200,28 @@ def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool)
     """Marks of all edges that a document with a smaller id holds, by document group."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = {}, 0
+        held, size = {}, 0
 
         def rows() -> pa.RecordBatch:
-            docs = [(d, k, words) for (d, k), words in held.items()]
-            return batch_of(list(_chunk_rows(docs, ranges, groups, wide)), ROW_ARROW)
+            words, counts = hash_words([data for _, data in held])
+            parts = np.split(words, np.cumsum(counts)[:-1])
+            docs = [
+                (doc_id, text_key(data), part)
+                for (doc_id, data), part in zip(held, parts, strict=True)
+                if len(part) >= WINDOW
+            ]
+            return batch_of(
+                list(_chunk_rows(docs, ranges, groups, wide)) if docs else [], ROW_ARROW
+            )
 
         for batch in batches:
             for doc_id, text in zip(batch[0].to_pylist(), batch[1], strict=True):
                 data = (text.as_py() or "").encode()
-                words = data.split()
-                if len(words) < WINDOW:
-                    continue
-                held[(doc_id, text_key(data))] = words
-                n += len(words)
-                if n >= CHUNK_WORDS:
+                held[(doc_id, data)] = None
+                size += len(data) + 1
+                if size >= CHUNK_BYTES:
                     yield rows()
-                    held, n = {}, 0
+                    held, size = {}, 0
         if held:
             yield rows()
 
@@ -294,7 +302,7 @@ def _packed_texts(documents: DataFrame, groups: int) -> DataFrame:
                 _group_of(ids, keys, groups).tolist(), keys.tolist(), held.items(), strict=True
             ):
                 by_group.setdefault(g, []).append((doc_id, key, n, data))
-            squeeze = zstandard.ZstdCompressor(level=1).compress
+            squeeze = zstandard.ZstdCompressor(level=3).compress
             return batch_of(
                 [(g, TEXTS, squeeze(pickle.dumps(docs, protocol=5))) for g, docs in by_group.items()],
                 ROW_ARROW,
@@ -327,7 +335,16 @@ def _digest(words: list[bytes], place: int, edges: int) -> bytes:
     return hashlib.blake2b(covered, digest_size=16).digest()
 
 
-def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
+def _runs(keep: np.ndarray) -> list[dict]:
+    """Stretches of kept words."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], keep, [False])).astype(np.int8)))
+    return [
+        {"start": a, "length": b - a}
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
+    ]
+
+
+def _apply(rows: DataFrame) -> DataFrame:
     """Per document what is left of it, and digests of both ends of every path."""
 
     def finish(group: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -335,7 +352,7 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
 
         import zstandard
 
-        spans: dict[tuple, list] = {}
+        paths: dict[tuple, list] = {}
         requests: dict[tuple, list] = {}
         texts = []
         for kind, payload in zip(group["kind"].to_pylist(), group["payload"], strict=True):
@@ -345,7 +362,7 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
             columns = [c.tolist() for c in unpack(payload.as_py())]
             if kind == SPANS:
                 for doc, key, *rest in zip(*columns, strict=True):
-                    spans.setdefault((doc, key), []).append(rest)
+                    paths.setdefault((doc, key), []).append(rest)
             else:
                 for doc, key, place, length in zip(*columns, strict=True):
                     requests.setdefault((doc, key), []).append((place, length))
@@ -356,7 +373,7 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
                 zstandard.ZstdDecompressor().decompress(payload.as_py())
             ):
                 words = data.split()
-                own = spans.get((doc_id, key), [])
+                own = paths.get((doc_id, key), [])
                 keep = np.ones(len(words), dtype=bool)
                 for place, _, _, _, length in own:
                     keep[place : place + length + WINDOW - 1] = False
@@ -365,8 +382,8 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
                 if removed:
                     kept = [words[i] for i in np.flatnonzero(keep).tolist()]
                 left = b" ".join(kept)
-                text = left.decode() if with_text and removed else None
-                row = (doc_id, key, len(words), removed, hashlib.sha256(left).hexdigest(), text)
+                spans = _runs(keep) if removed else None
+                row = (doc_id, key, len(words), removed, hashlib.sha256(left).hexdigest(), spans)
                 again = (doc_id, key) in seen
                 out.extend((*row, i + again, None, None, None) for i in range(n))
                 if again:
@@ -390,9 +407,10 @@ def _apply(rows: DataFrame, with_text: bool) -> DataFrame:
     return rows.groupBy("key").applyInArrow(whole, _RESULT)
 
 
-def _settled(known: DataFrame, with_text: bool) -> DataFrame:
+def _settled(known: DataFrame) -> DataFrame:
     """A written row for every row of (doc_id, text), paths verified. Equal rows differ in
-    ``copy``, which is zero once; ``kept`` is set where words are removed and text is wanted."""
+    ``copy``, which is zero once; ``kept`` are the stretches of words that are left, where
+    any are removed."""
     python_tasks(known.sparkSession)
     size = known.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges, groups = share_of(size, RANGE_BYTES), share_of(size, GROUP_BYTES)
@@ -400,7 +418,7 @@ def _settled(known: DataFrame, with_text: bool) -> DataFrame:
         marks = _repeated_edges(known, ranges, groups, wide)
         paths = materialize(_paths(marks, groups), "repeated-paths")
         results = materialize(
-            _apply(_packed_texts(known, groups).unionByName(paths), with_text), "repeats-removed"
+            _apply(_packed_texts(known, groups).unionByName(paths)), "repeats-removed"
         )
         digests = results.filter(F.col("path").isNotNull()).select("path", "own", "digest")
         sources = digests.filter(~F.col("own")).select("path", "digest")
@@ -414,7 +432,7 @@ def repeats_removed(documents: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row; the digest is that of the
     kept words joined by one space."""
     chosen = documents.select(F.col("doc_id").cast("bigint"), "text")
-    found = _settled(chosen.filter(F.col("doc_id").isNotNull()), with_text=False)
+    found = _settled(chosen.filter(F.col("doc_id").isNotNull()))
     words = F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), "")
     unknown = chosen.filter(F.col("doc_id").isNull()).select(
         "doc_id",
@@ -429,7 +447,7 @@ def remove_repeats(documents: DataFrame, chars: str = "n_chars") -> DataFrame:
     """The documents with their columns. One that loses words keeps the others joined by
     one space, which may be none, and their length in ``chars``, if it has that column."""
     known = documents.filter(F.col("doc_id").isNotNull())
-    settled = _settled(known.select(F.col("doc_id").cast("bigint"), "text"), with_text=True)
+    settled = _settled(known.select(F.col("doc_id").cast("bigint"), "text"))
     changed = settled.filter((F.col("n_removed") > 0) & (F.col("copy") == 0)).select(
         F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("kept").alias("_kept")
     )
@@ -441,12 +459,22 @@ def remove_repeats(documents: DataFrame, chars: str = "n_chars") -> DataFrame:
         "left",
     )
     lost = F.col("_kept").isNotNull()
+    words = F.array_remove(F.split("row.text", SPACE), "")
+    text = F.array_join(
+        bound(
+            words,
+            lambda w: F.flatten(
+                F.transform("_kept", lambda s: F.slice(w, s["start"] + 1, s["length"]))
+            ),
+        ),
+        " ",
+    )
     columns = []
     for field in documents.schema.fields:
         column = F.col(f"row.`{field.name}`")
         if field.name == "text":
-            column = F.when(lost, F.col("_kept")).otherwise(column)
+            column = F.when(lost, text).otherwise(column)
         elif field.name == chars:
-            column = F.when(lost, F.char_length("_kept").cast(field.dataType)).otherwise(column)
+            column = F.when(lost, F.char_length(text).cast(field.dataType)).otherwise(column)
         columns.append(column.alias(field.name))
     return joined.select(*columns)

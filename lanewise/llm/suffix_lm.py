@@ -20,8 +20,6 @@ are ignored.
 
 from __future__ import annotations
 
-import bisect
-import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -30,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.llm.packed import ROW, ROW_ARROW, batch_of, pack, steps, text_key, unpack, word_hashes
-from lanewise.llm.tables import Memory, python_tasks, share_of
+from lanewise.llm.packed import (
+    ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
+)
+from lanewise.llm.tables import python_tasks, share_of
 from lanewise.session import materialize
 
 MIN_SHARE = 1e-6
@@ -39,22 +39,15 @@ MIN_COUNT = 3
 DISCOUNT = 0.5
 # Log-likelihood that a context must win over its suffix, in nats.
 MIN_DIVERGENCE = 12.0
-CHUNK_TOKENS = 3_000_000
+CHUNK_BYTES = 8_000_000
 RANGE_BYTES = 64_000_000  # of text, for one hash range
 ID_BITS = 20
-IDS_KEPT = 300_000
+END = np.uint64(0x5EED)
 NO_ID = -(1 << 63)
 
 COUNTS, SCORES, RARE = 0, 1, 2
-_PARTS = (
-    "doc_id bigint, text_key bigint, copies bigint, n_tokens bigint, n_known bigint,"
-    " base double, score double"
-)
-_PARTS_ARROW = [
-    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("copies", pa.int64()),
-    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-    ("score", pa.float64()),
-]
+_SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+_SCORED_NAMES = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
 
 def _range_of(values: np.ndarray, ranges: int) -> np.ndarray:
@@ -64,25 +57,34 @@ def _range_of(values: np.ndarray, ranges: int) -> np.ndarray:
     return (mixed % np.uint64(ranges)).astype(np.int64)
 
 
-def _tokens(data: bytes) -> list[bytes]:
-    """Words with A-Z in lower case, then the end token, an empty word."""
-    return [*data.lower().split(), b""]
+Chunk = tuple[list[int], list[bytes]]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes, list[bytes]]]]:
-    """(doc_id, text, tokens) of documents that together have about CHUNK_TOKENS."""
-    held, n = [], 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    """(doc_ids, texts) of documents that together have about CHUNK_BYTES."""
+    ids, texts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch[0].to_pylist(), batch[1], strict=True):
             data = (text.as_py() or "").encode()
-            tokens = _tokens(data)
-            held.append((NO_ID if doc_id is None else doc_id, data, tokens))
-            n += len(tokens)
-            if n >= CHUNK_TOKENS:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
+            ids.append(NO_ID if doc_id is None else doc_id)
+            texts.append(data)
+            size += len(data) + 1
+            if size >= CHUNK_BYTES:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, an end token after each text, and tokens per text."""
+    words, counts = hash_words(texts, lower=True)
+    sizes = counts + 1
+    out = np.full(len(words) + len(texts), END, dtype=np.uint64)
+    is_word = np.ones(len(out), dtype=bool)
+    is_word[np.cumsum(sizes) - 1] = False
+    out[is_word] = words
+    return out, sizes
 
 
 def _counted(values: np.ndarray, ranges: int) -> Iterator[tuple[int, int, bytes]]:
@@ -113,13 +115,17 @@ def _sum_counts(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_over(
-    texts: DataFrame, numbers: Callable[[list[list[bytes]]], np.ndarray], ranges: int, name: str
+    texts: DataFrame,
+    values_of: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    ranges: int,
+    name: str,
 ) -> DataFrame:
-    """Written table of summed counts, one packed row per hash range."""
+    """Written table of summed counts of what ``values_of`` makes of (tokens, sizes), one
+    packed row per hash range."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
-            values = numbers([tokens for _, _, tokens in chunk])
+        for _, data in _chunks(batches):
+            values = values_of(*_tokens(data))
             if len(values):
                 yield batch_of(list(_counted(values, ranges)), ROW_ARROW)
 
@@ -168,103 +174,106 @@ def _frequent(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     return values[order], n[order]
 
 
-@dataclass(eq=False)
+def _find(ordered: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted value in an ordered array, or -1."""
+    if not len(ordered):
+        return np.full(len(wanted), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
+    return np.where(ordered[at] == wanted, at, -1)
+
+
+def _none() -> np.ndarray:
+    return np.zeros(0, dtype=np.int64)
+
+
+@dataclass
 class Tree:
-    """Tokens by number with their probabilities, and per depth the states' entries.
+    """Frequent tokens, pairs and triples by number, with log10 probabilities.
 
-    A state is a code of its words' numbers; an entry is a code of state and next word.
+    A token's number is its place in ``hashes``, a pair's its place in ``pairs``; a pair
+    is coded from two tokens' numbers, a triple from a pair's and a token's. The rest of
+    a state is what its unseen successors keep of their probability after the shorter
+    suffix; a context that is no state has a rest of one and no entries.
     """
 
-    hashes: np.ndarray  # of frequent tokens, in order; a token's number is its place
+    hashes: np.ndarray
     log_single: np.ndarray
     log_unknown: float
-    states: list[np.ndarray] = field(default_factory=list)
-    log_rest: list[np.ndarray] = field(default_factory=list)
-    entries: list[np.ndarray] = field(default_factory=list)
-    log_entry: list[np.ndarray] = field(default_factory=list)
-
-    def number(self, word: bytes) -> int:
-        value = word_hashes().make(word)
-        at = bisect.bisect_left(self.hashes, value)
-        return at if at < len(self.hashes) and self.hashes[at] == value else -1
-
-    def step(self, depth: int, state: np.ndarray, entry: np.ndarray, shorter: np.ndarray):
-        """Log probabilities with states of ``depth`` words, where there is one."""
-        states, entries = self.states[depth - 1], self.entries[depth - 1]
-        if not len(states):
-            return shorter
-        at = np.minimum(np.searchsorted(states, state), len(states) - 1)
-        is_state = (states[at] == state) & (state >= 0)
-        to = np.minimum(np.searchsorted(entries, entry), len(entries) - 1)
-        seen = is_state & (entries[to] == entry) & (entry >= 0)
-        out = np.where(is_state, self.log_rest[depth - 1][at] + shorter, shorter)
-        return np.where(seen, self.log_entry[depth - 1][to], out)
-
-
-def _grow(
-    tree: Tree, depth: int, entries: np.ndarray, counts: np.ndarray, totals: np.ndarray
-) -> None:
-    """Add the states of one depth from entry codes in order, their counts, and how
-    often each entry's context occurred."""
-    mask = (1 << ID_BITS) - 1
-    state, word = entries >> ID_BITS, entries & mask
-    shorter = tree.log_single[word]
-    for d in range(1, depth):
-        context = state & ((1 << (ID_BITS * d)) - 1)
-        shorter = tree.step(d, context, (context << ID_BITS) | word, shorter)
-    shorter_p = np.power(10.0, shorter)
-    own_p = (counts - DISCOUNT) / totals
-    opens = np.flatnonzero(np.concatenate(([True], state[1:] != state[:-1])))
-
-    def per_state(values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, opens)
-
-    rest = np.maximum(1 - per_state(own_p), 1e-12)
-    shorter_rest = np.maximum(1 - per_state(shorter_p), 1e-12)
-    gain = per_state(counts * (np.log(own_p) - np.log(shorter_p)))
-    unseen = np.maximum(totals[opens] - per_state(counts), 0)
-    gain += unseen * (np.log(rest) - np.log(shorter_rest))
-    chosen = gain >= MIN_DIVERGENCE
-    sizes = np.diff(np.append(opens, len(entries)))
-    kept = np.repeat(chosen, sizes)
-    tree.states.append(state[opens][chosen])
-    tree.log_rest.append((np.log10(rest) - np.log10(shorter_rest))[chosen])
-    tree.entries.append(entries[kept])
-    tree.log_entry.append(np.log10(own_p[kept]))
-
-
-def _numbers(ids: Memory, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Token numbers of all documents, and each token's place in its document."""
-    sizes = np.array([len(d) for d in documents], dtype=np.int64)
-    lookup = ids.__getitem__
-    numbers = np.concatenate(
-        [np.fromiter(map(lookup, d), np.int64, len(d)) for d in documents]
-    )
+    pairs: np.ndarray = field(default_factory=_none)
+    pair_log: np.ndarray = field(default_factory=_none)  # NaN: the first word is no state
+    word_rest: np.ndarray = field(default_factory=_none)
+    pair_rest: np.ndarray = field(default_factory=_none)
+    triples: np.ndarray = field(default_factory=_none)
+    triple_log: np.ndarray = field(default_factory=_none)
+
+    def numbers(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number or -1, number of the pair with the token before or -1) of each token."""
+        number = _find(self.hashes, tokens)
+        before = _before(number, sizes)
+        known = (number >= 0) & (before >= 0)
+        pair = np.full(len(number), -1, dtype=np.int64)
+        pair[known] = _find(self.pairs, (before[known] << ID_BITS) | number[known])
+        return number, pair
+
+    def scores(self, number: np.ndarray, pair: np.ndarray, sizes: np.ndarray):
+        """(alone, in the longest state) of each token; rare tokens have zero alone."""
+        if not len(self.hashes):
+            zero = np.zeros(len(number))
+            return zero, zero
+        alone = np.where(number >= 0, self.log_single[number], 0.0)
+        if not len(self.pairs):
+            return alone, alone
+        word, context = _before(number, sizes), _before(pair, sizes)
+        one = self.after_word(word, pair, alone)
+        return alone, self.after_pair(context, number, one)
+
+    def after_word(self, word: np.ndarray, pair: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        seen = np.where(pair >= 0, self.pair_log[pair], np.nan)
+        rest = np.where(word >= 0, self.word_rest[word], 0.0)
+        return np.where(np.isnan(seen), rest + alone, seen)
+
+    def after_pair(self, context: np.ndarray, number: np.ndarray, one: np.ndarray) -> np.ndarray:
+        rest = np.where(context >= 0, self.pair_rest[context], 0.0)
+        out = rest + one
+        known = np.flatnonzero((context >= 0) & (number >= 0))
+        at = _find(self.triples, (context[known] << ID_BITS) | number[known])
+        out[known[at >= 0]] = self.triple_log[at[at >= 0]]
+        return out
+
+
+def _before(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The value one token earlier in the same document, else -1."""
+    out = np.full(len(values), -1, dtype=np.int64)
+    out[1:] = values[:-1]
     starts = np.cumsum(sizes) - sizes
-    return numbers, np.arange(len(numbers)) - np.repeat(starts, sizes)
-
-
-def _before(numbers: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
-    """The number ``back`` tokens earlier in the same document, else -1."""
-    out = np.full(len(numbers), -1, dtype=np.int64)
-    out[back:] = numbers[:-back] if back < len(numbers) else numbers[:0]
-    out[place < back] = -1
+    out[starts[starts < len(out)]] = -1
     return out
 
 
-def _code(*numbers: np.ndarray) -> np.ndarray:
-    """One number for several; -1 if any of them is unknown."""
-    out, known = numbers[0], numbers[0] >= 0
-    for part in numbers[1:]:
-        out = (out << ID_BITS) | np.maximum(part, 0)
-        known = known & (part >= 0)
-    return np.where(known, out, -1)
+def _states(
+    context: np.ndarray, counts: np.ndarray, totals: np.ndarray, shorter: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Test the contexts of entries given in their order.
+
+    ``shorter`` are the entries' log10 probabilities after the shorter suffix. Gives the
+    entries' own log10 probabilities, whether each belongs to a state, the contexts that are
+    states, and their log10 rests.
+    """
+    own = (counts - DISCOUNT) / totals
+    opens = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
 
+    def per_context(values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, opens)
 
-@functools.lru_cache(maxsize=1)
-def _numbers_of(tree: Tree) -> Memory:
-    """Numbers of the words a worker meets often, for the tree it works with."""
-    return Memory(tree.number, IDS_KEPT)
+    rest = np.maximum(1 - per_context(own), 1e-12)
+    shorter_rest = np.maximum(1 - per_context(np.power(10.0, shorter)), 1e-12)
+    gain = per_context(counts * (np.log(own) - shorter * np.log(10.0)))
+    unseen = np.maximum(totals[opens] - per_context(counts), 0)
+    gain += unseen * (np.log(rest) - np.log(shorter_rest))
+    chosen = gain >= MIN_DIVERGENCE
+    sizes = np.diff(np.append(opens, len(context)))
+    log_rest = np.log10(rest) - np.log10(shorter_rest)
+    return np.log10(own), np.repeat(chosen, sizes), context[opens][chosen], log_rest[chosen]
 
 
 def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFrame, int, int]:
@@ -273,14 +282,7 @@ def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFra
     python_tasks(spark)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges = share_of(size, RANGE_BYTES)
-
-    def single(documents: list[list[bytes]]) -> np.ndarray:
-        lookup = word_hashes().__getitem__
-        return np.concatenate(
-            [np.fromiter(map(lookup, d), np.uint64, len(d)) for d in documents]
-        )
-
-    counts = _count_over(texts, single, ranges, "token-counts")
+    counts = _count_over(texts, lambda tokens, _: tokens, ranges, "token-counts")
     total, distinct = _totals(counts)
     least = max(MIN_COUNT, min_share * total)
     base = np.log10(total + distinct + 1)
@@ -288,62 +290,61 @@ def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFra
     if len(hashes) >= 1 << ID_BITS:
         raise ValueError("min_share is too small for the numbers of tokens")
     tree = Tree(hashes.view(np.uint64), np.log10(n + 1.0) - base, float(-base))
-
-    def followers(depth: int, known: np.ndarray | None):
-        shared = spark.sparkContext.broadcast(tree)
-        pairs = spark.sparkContext.broadcast(known)
-
-        def codes(documents: list[list[bytes]]) -> np.ndarray:
-            numbers, place = _numbers(_numbers_of(shared.value), documents)
-            parts = [_before(numbers, place, back) for back in range(depth, 0, -1)] + [numbers]
-            if depth == 1:
-                code = _code(*parts)
-                return code[code >= 0]
-            # A frequent run of words has only frequent runs in it.
-            runs = [_code(*parts[:-1]), _code(*parts[1:])]
-            known = pairs.value
-            possible = np.ones(len(numbers), dtype=bool)
-            for run in runs:
-                at = np.minimum(np.searchsorted(known, run), len(known) - 1)
-                possible &= known[at] == run
-            code = _code(*[p[possible] for p in parts])
-            return code[code >= 0]
-
-        return _frequent(
-            _count_over(texts, codes, ranges, f"contexts-{depth}"), least
-        )
-
-    pairs, pair_counts = followers(1, None)
-    if len(pairs):
-        _grow(tree, 1, pairs, pair_counts, n[pairs >> ID_BITS])
-        triples, triple_counts = followers(2, pairs)
-        if len(triples):
-            context_counts = pair_counts[np.searchsorted(pairs, triples >> ID_BITS)]
-            _grow(tree, 2, triples, triple_counts, context_counts)
-    while len(tree.states) < 2:
-        none = np.zeros(0, dtype=np.int64)
-        tree.states.append(none)
-        tree.entries.append(none)
-        tree.log_rest.append(none.astype(float))
-        tree.log_entry.append(none.astype(float))
+    if not len(hashes):
+        return tree, counts, total, distinct
+
+    known = spark.sparkContext.broadcast(tree)
+
+    def pair_codes(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        number, _ = known.value.numbers(tokens, sizes)
+        before = _before(number, sizes)
+        both = (number >= 0) & (before >= 0)
+        return (before[both] << ID_BITS) | number[both]
+
+    pairs, pair_n = _frequent(_count_over(texts, pair_codes, ranges, "pair-counts"), least)
+    if not len(pairs):
+        return tree, counts, total, distinct
+    word, following = pairs >> ID_BITS, pairs & ((1 << ID_BITS) - 1)
+    own, kept, states, rest = _states(word, pair_n, n[word], tree.log_single[following])
+    tree.pairs, tree.pair_log = pairs, np.where(kept, own, np.nan)
+    tree.word_rest = np.zeros(len(hashes))
+    tree.word_rest[states] = rest
+    tree.pair_rest = np.zeros(len(pairs))
+
+    paired = spark.sparkContext.broadcast(tree)
+
+    def triple_codes(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """A frequent triple has two frequent pairs."""
+        number, pair = paired.value.numbers(tokens, sizes)
+        before = _before(pair, sizes)
+        both = (pair >= 0) & (before >= 0)
+        return (before[both] << ID_BITS) | number[both]
+
+    triples, triple_n = _frequent(
+        _count_over(texts, triple_codes, ranges, "triple-counts"), least
+    )
+    if len(triples):
+        context, following = triples >> ID_BITS, triples & ((1 << ID_BITS) - 1)
+        middle = pairs[context] & ((1 << ID_BITS) - 1)
+        pair = _find(pairs, (middle << ID_BITS) | following)
+        shorter = tree.after_word(middle, pair, tree.log_single[following])
+        own, kept, states, rest = _states(context, triple_n, pair_n[context], shorter)
+        tree.triples, tree.triple_log = triples[kept], own[kept]
+        tree.pair_rest[states] = rest
     return tree, counts, total, distinct
 
 
-def _score_chunk(tree: Tree, ids: Memory, chunk: list, ranges: int) -> Iterator[tuple]:
+def _score_chunk(tree: Tree, chunk: Chunk, ranges: int) -> Iterator[tuple]:
     """Packed sums per document, and the rare words left to look up."""
-    documents = [tokens for _, _, tokens in chunk]
-    numbers, place = _numbers(ids, documents)
-    sizes = np.array([len(d) for d in documents], dtype=np.int64)
+    ids, texts = chunk
+    tokens, sizes = _tokens(texts)
+    number, pair = tree.numbers(tokens, sizes)
+    alone, scored = tree.scores(number, pair, sizes)
+    rare = number < 0
     opens = np.cumsum(sizes) - sizes
-    rare = numbers < 0
-    single = np.where(rare, 0.0, tree.log_single[numbers] if len(tree.log_single) else 0.0)
-    one, two = _before(numbers, place, 1), _before(numbers, place, 2)
-    scored = tree.step(1, one, _code(one, numbers), single)
-    context = _code(two, one)
-    scored = tree.step(2, context, _code(two, one, numbers), scored)
-    doc = np.array([d for d, _, _ in chunk], dtype=np.int64)
-    key = np.array([text_key(data) for _, data, _ in chunk], dtype=np.int64)
-    sums = [np.add.reduceat(x, opens) for x in (single, scored)]
+    doc = np.array(ids, dtype=np.int64)
+    key = np.array([text_key(data) for data in texts], dtype=np.int64)
+    sums = [np.add.reduceat(x, opens) for x in (alone, scored)]
     known = np.add.reduceat((~rare).astype(np.int64), opens)
     home = int(_range_of(key[:1], ranges)[0])
     yield home, SCORES, pack(doc, key, sizes, known, *sums)
@@ -352,11 +353,9 @@ def _score_chunk(tree: Tree, ids: Memory, chunk: list, ranges: int) -> Iterator[
     if not len(at):
         return
     of = np.searchsorted(opens, at, side="right") - 1
-    lookup = word_hashes().__getitem__
-    words = [documents[d][p] for d, p in zip(of.tolist(), place[at].tolist(), strict=True)]
-    hashes = np.fromiter(map(lookup, words), np.uint64, len(words))
+    hashes = tokens[at]
     part = _range_of(hashes, ranges)
-    order = np.lexsort((of, part))
+    order = np.argsort(part, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
         heads = np.flatnonzero(np.concatenate(([True], np.diff(of[rows]) != 0)))
         counts = np.diff(np.append(heads, len(rows)))
@@ -384,7 +383,7 @@ def score(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            rows = _score_chunk(shared.value, _numbers_of(shared.value), chunk, ranges)
+            rows = _score_chunk(shared.value, chunk, ranges)
             yield batch_of(list(rows), ROW_ARROW)
 
     def split_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,26 +418,32 @@ def score(
                 known = np.add.reduceat((found > 0).astype(np.int64), opens)
                 none = np.zeros_like(doc)
                 columns.append([doc, key, none, none, known, sums, sums])
-        if not columns:
-            return pa.Table.from_batches([batch_of([], _PARTS_ARROW)])
-        joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
+        out = []
+        if columns:
+            joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
+            home = _range_of(joined[1], ranges)
+            order = np.argsort(home, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                out.append((int(home[rows[0]]), SCORES, pack(*[c[rows] for c in joined])))
+        return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
+
+    def add_up(group: pa.Table) -> pa.Table:
+        """Equal rows add up under one key; each of them has its share of the sums."""
+        parts = zip(*[unpack(p) for p in group["payload"].to_pylist()], strict=True)
+        doc, key, *values = [np.concatenate(c) for c in parts]
+        order = np.lexsort((key, doc))
+        doc, key = doc[order], key[order]
+        changed = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+        opens = np.flatnonzero(np.concatenate(([True], changed)))
+        copies, sizes, known, base, scored = [np.add.reduceat(v[order], opens) for v in values]
+        columns = [sizes // copies, known // copies, base / copies, scored / copies]
+        doc = doc[opens]
+        ids = pa.array(np.repeat(doc, copies), mask=np.repeat(doc == NO_ID, copies))
         return pa.Table.from_arrays(
-            [pa.array(c) for c in joined], names=[name for name, _ in _PARTS_ARROW]
+            [ids, *[pa.array(np.repeat(c, copies)) for c in columns]],
+            names=_SCORED_NAMES,
         )
 
     dealt = counts.select("payload").mapInArrow(split_counts, ROW)
-    parts = texts.mapInArrow(scan, ROW).unionByName(dealt).groupBy("key").applyInArrow(look_up, _PARTS)
-    # Equal rows add up under one key; each of them has its share of the sums.
-    copies = F.col("copies")
-    sums = parts.groupBy("doc_id", "text_key").agg(
-        *[F.sum(c).alias(c) for c in ("copies", "n_tokens", "n_known", "base", "score")]
-    )
-    scored = sums.select(
-        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
-        F.expr("n_tokens div copies").alias("n_tokens"),
-        F.expr("n_known div copies").alias("n_known"),
-        (F.col("base") / copies).alias("base_score"),
-        (F.col("score") / copies).alias("score"),
-        F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_copy"),
-    ).drop("_copy")
-    return scored, total
+    parts = texts.mapInArrow(scan, ROW).unionByName(dealt).groupBy("key").applyInArrow(look_up, ROW)
+    return parts.groupBy("key").applyInArrow(add_up, _SCORED), total

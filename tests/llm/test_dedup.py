@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from lanewise.llm import golay, graph, simhash, substrings
+from lanewise.llm import golay, graph, packed, simhash, substrings
 
 DOCS = "doc_id bigint, text string, key string, kept int, n_chars bigint"
 
@@ -117,7 +117,7 @@ def repeating_documents(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_substring_dedup(spark, seed, monkeypatch):
     rows = repeating_documents(seed)
-    monkeypatch.setattr(substrings, "CHUNK_WORDS", 2000)
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 6000)
     monkeypatch.setattr(substrings, "RANGE_BYTES", 9000)
     monkeypatch.setattr(substrings, "GROUP_BYTES", 7000)
     got = substrings.repeats_removed(frame_of(spark, rows, 5)).collect()
@@ -128,12 +128,13 @@ def test_wide_hashes_settle_what_narrow_ones_cannot(monkeypatch):
     """Hashes of four bits collide all the time, pairs of hashes do not."""
     honest = substrings._edge_hashes
 
-    def poor(words, wide):
-        part, narrow, *rest = honest(words, wide)
+    def poor(hashed, wide):
+        part, narrow, *rest = honest(hashed, wide)
         return [part, narrow & np.uint64(15), *rest]
 
     monkeypatch.setattr(substrings, "_edge_hashes", poor)
-    docs = [(1, 10, [b"w%d" % i for i in range(400)]), (2, 20, [b"v%d" % i for i in range(400)])]
+    texts = [" ".join(f"{c}{i}" for i in range(400)).encode() for c in "wv"]
+    docs = [(n, 10 * n, packed.hash_words([text])[0]) for n, text in enumerate(texts)]
     marks = [
         [kind for _, kind, _ in substrings._chunk_rows(docs, 4, 1, wide)].count(substrings.LOCAL)
         for wide in (False, True)
@@ -154,8 +155,8 @@ def test_false_marks_are_noticed(spark, monkeypatch):
         one, two = [np.array([substrings.text_key(t.encode())]) for _, t in rows]
         zero = np.zeros(1, dtype=np.int64)
         false = [zero + 2, two, zero + 5, zero + 1, one, zero + 7]
-        packed = [(g, substrings.LOCAL, bytearray(p)) for g, p in substrings._pack_marks(false, groups)]
-        return marks.unionByName(spark.createDataFrame(packed, substrings.ROW))
+        rows_of = [(g, substrings.LOCAL, bytearray(p)) for g, p in substrings._pack_marks(false, groups)]
+        return marks.unionByName(spark.createDataFrame(rows_of, substrings.ROW))
 
     monkeypatch.setattr(substrings, "_repeated_edges", lying)
     got = substrings.repeats_removed(frame_of(spark, rows)).collect()

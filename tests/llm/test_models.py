@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lanewise.llm import classifier, suffix_lm
+from lanewise.llm import classifier, packed, suffix_lm
 from lanewise.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -93,7 +93,7 @@ def corpus(seed):
 @pytest.mark.parametrize("least", [3, 40])
 def test_scores_and_base_scores(spark, least, monkeypatch):
     monkeypatch.setattr(suffix_lm, "MIN_COUNT", least)
-    monkeypatch.setattr(suffix_lm, "CHUNK_TOKENS", 700)
+    monkeypatch.setattr(suffix_lm, "CHUNK_BYTES", 2500)
     monkeypatch.setattr(suffix_lm, "RANGE_BYTES", 3000)
     rows = corpus(1)
     scored, total = suffix_lm.score(frame_of(spark, rows), F.col("doc_id") % 5 != 0)
@@ -112,24 +112,36 @@ def test_scores_and_base_scores(spark, least, monkeypatch):
 
 
 def test_every_state_adds_up_to_one(spark):
-    tree, counts, total, distinct = suffix_lm.learn(frame_of(spark, corpus(2)).select("doc_id", "text"))
-    assert len(tree.states[0]) > 3 and len(tree.states[1]) > 0
+    tree, *_ = suffix_lm.learn(frame_of(spark, corpus(2)).select("doc_id", "text"))
+    assert (~np.isnan(tree.pair_log)).sum() > 10 and len(tree.triples) > 10
     numbers = np.arange(len(tree.hashes))
-    rest = 1 - np.power(10.0, tree.log_single).sum()
     shift = suffix_lm.ID_BITS
-    for state in tree.states[0].tolist():
-        one = tree.step(1, np.full(len(numbers), state), state << shift | numbers, tree.log_single)
-        unseen = 10 ** tree.log_rest[0][np.searchsorted(tree.states[0], state)] * rest
-        assert np.power(10.0, one).sum() + unseen == pytest.approx(1)
-    for state in tree.states[1].tolist():
-        last = state & (1 << shift) - 1
-        one = tree.step(1, np.full(len(numbers), last), last << shift | numbers, tree.log_single)
-        two = tree.step(2, np.full(len(numbers), state), state << shift | numbers, one)
-        unseen = rest * 10 ** tree.log_rest[1][np.searchsorted(tree.states[1], state)]
-        at = np.searchsorted(tree.states[0], last)
-        if at < len(tree.states[0]) and tree.states[0][at] == last:
-            unseen *= 10 ** tree.log_rest[0][at]
-        assert np.power(10.0, two).sum() + unseen == pytest.approx(1)
+    unknown = 1 - np.power(10.0, tree.log_single).sum()
+    one_word = {}
+    for word in numbers.tolist():
+        pair = suffix_lm._find(tree.pairs, word << shift | numbers)
+        one = tree.after_word(np.full(len(numbers), word), pair, tree.log_single)
+        one_word[word] = one
+        rest = 10 ** tree.word_rest[word] * unknown
+        assert np.power(10.0, one).sum() + rest == pytest.approx(1)
+    for context, pair in enumerate(tree.pairs.tolist()):
+        last = pair & (1 << shift) - 1
+        two = tree.after_pair(np.full(len(numbers), context), numbers, one_word[last])
+        rest = 10 ** (tree.pair_rest[context] + tree.word_rest[last]) * unknown
+        assert np.power(10.0, two).sum() + rest == pytest.approx(1)
+
+
+def test_words_are_hashed_as_they_are():
+    texts = [b"", b" \t", b"one", b"One two\none", b"x" * 9000 + b" " + b"y" * 3, "é É".encode()]
+    texts += [b"long " * 600_000, b"one"]
+    hashes, counts = packed.hash_words(texts)
+    words = [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts]
+    named = dict(zip(words, hashes.tolist(), strict=True))
+    assert [named[w] for w in words] == hashes.tolist() and len(set(named.values())) == len(named)
+    lowered, _ = packed.hash_words(texts, lower=True)
+    again, _ = packed.hash_words([t.lower() for t in texts])
+    assert (lowered == again).all() and (lowered != hashes).sum() == 1
 
 
 def test_nothing_learned_and_nothing_scored(spark):
