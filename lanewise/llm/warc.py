@@ -5,9 +5,8 @@ the one with the smallest page_id is the response and the others are revisit rec
 name it and hold the HTTP header only. Records are UTF-8 text, so Spark's text writer
 makes the archive files, of about ``FILE_BYTES`` each.
 
-Reading: tasks look for the record magic anywhere in a file and emit every place where a
-header can be read, with the place where that record would end. Payloads may hold the
-magic too. Pointer jumping from the start of each file keeps the records that can be
+Reading: the text reader cuts archives at the record magic, in payloads too. Tasks emit
+every place where a header can be read, with the place where that record would end. Pointer jumping from the start of each file keeps the records that can be
 reached: every round squares the length of the jumps, so their number grows with the
 logarithm of the records in a file.
 
@@ -19,40 +18,23 @@ are percent-encoded; no rows give an archive without records; other columns are
 
 from __future__ import annotations
 
-import base64
-import hashlib
-import re
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lanewise.llm.tables import python_tasks
 from lanewise.session import materialize, shared_folder
 
-FILE_BYTES = 8_000_000
-HEADER_BYTES = 65_536
+FILE_BYTES = 16_000_000
 MIN_REVISIT_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
 
 VERSION = "WARC/1.1"
+MAGIC, END = f"{VERSION}\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Fixed value: the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-_RECORD = (
-    "file string, start bigint, next bigint, page_id bigint, record_type string,"
-    " payload_bytes bigint, payload_digest string, refers_to bigint, intact boolean"
-)
-_RECORD_ARROW = [
-    ("file", pa.string()), ("start", pa.int64()), ("next", pa.int64()), ("page_id", pa.int64()),
-    ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-    ("refers_to", pa.int64()), ("intact", pa.bool_()),
-]
-
-
 def base32_sha1(payload: Column) -> Column:
     """Bare upper-case base32 of a SHA-1; 20 bits, five hex digits, make four letters."""
     digits = F.sha1(payload)
@@ -144,58 +126,84 @@ def write_archives(
     ).write.option("maxRecordsPerFile", records).text(folder)
 
 
-_MAGIC = re.compile(VERSION.encode() + rb"\r\n")
-_PAGE = re.compile(rb"<urn:page:(-?\d*)>")
-
-
-def _headers(block: bytes) -> dict[bytes, bytes]:
-    lines = [line.partition(b":") for line in block.split(b"\r\n")]
-    return {name.strip().lower(): value.strip() for name, _, value in lines}
-
-
-def _page_of(value: bytes) -> int | None:
-    found = _PAGE.fullmatch(value)
-    return int(found[1]) if found and found[1] else None
-
-
-def _number(value: bytes) -> int | None:
-    return int(value) if value.isdigit() else None
-
-
-def _candidates(content: bytes) -> Iterator[tuple]:
-    """Every place of the magic where a header can be read and the record would end at
-    the file's end or at another such place."""
-    found: dict[int, tuple[int, int, dict]] = {}
-    for match in _MAGIC.finditer(content):
-        start = match.start()
-        if start and content[start - 4 : start] != b"\r\n\r\n":
-            continue
-        end = content.find(b"\r\n\r\n", start, start + HEADER_BYTES)
-        if end < 0:
-            continue
-        fields = _headers(content[match.end() : end])
-        length = _number(fields.get(b"content-length", b""))
-        if length is not None and end + 4 + length + 4 <= len(content):
-            found[start] = (end + 4, end + 4 + length + 4, fields)
-    for start, (block_at, after, fields) in found.items():
-        if after != len(content) and after not in found:
-            continue
-        block = memoryview(content)[block_at : after - 4]
-        http_end = content.find(b"\r\n\r\n", block_at, block_at + HEADER_BYTES)
-        http = _headers(content[block_at:http_end]) if http_end >= 0 else {}
-        payload = block[http_end + 4 - block_at :] if http_end >= 0 else block
-        named = fields.get(b"warc-payload-digest", b"").decode("ascii", "replace")
-        named = named.removeprefix("sha1:")
-        kind = fields.get(b"warc-type", b"").decode("ascii", "replace")
-        if kind == "revisit":
-            size, intact = _number(http.get(b"content-length", b"")), len(payload) == 0
-        else:
-            size = len(payload)
-            intact = base64.b32encode(hashlib.sha1(payload).digest()).decode() == named
-        yield (
-            start, after, _page_of(fields.get(b"warc-record-id", b"")), kind, size, named,
-            _page_of(fields.get(b"warc-refers-to", b"")), intact,
-        )
+def _header(name: str) -> Column:
+    """Value of a named field in ``head``, empty if it is not there."""
+    return F.regexp_extract("head", f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1)
+
+
+def _page(field: Column) -> Column:
+    return F.regexp_extract(field, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("bigint")
+
+
+def _chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, split, row, text): what stands between two magics, in the order of the file.
+
+    The text reader cuts at the magic wherever it is, and splits large files. A chunk belongs
+    to the split of the file that it begins in.
+    """
+    text = spark.read.option("lineSep", MAGIC).option("pathGlobFilter", "part-*").text(folder)
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("text"),
+    )
+
+
+def _payload_columns(block: Column) -> dict[str, Column]:
+    """Size and digest of the payload behind the HTTP header of a block."""
+    http = F.substring_index(block, END, 1)
+    payload = F.when(
+        F.contains(block, F.lit(END)), F.substr(block, F.char_length(http) + len(END) + 1)
+    ).otherwise(block)
+    return {
+        "http": http,
+        "size": F.octet_length(payload).cast("bigint"),
+        "digest": base32_sha1(payload),
+    }
+
+
+def _with_starts(chunks: DataFrame, size: Column) -> DataFrame:
+    """Adds ``start``, where the magic before a chunk begins in its file."""
+    before = (
+        Window.partitionBy("file").orderBy("split", "row").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    ends = F.coalesce(F.sum(size + len(MAGIC)).over(before), F.lit(0)) - len(MAGIC)
+    return chunks.withColumn("start", ends.cast("bigint"))
+
+
+def _candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every magic behind which a header can be read, with the place where that record
+    would end, and its payload's size and digest if it ends at the next magic."""
+    chunks = _chunks(spark, folder).withColumn("head", F.substring_index("text", END, 1))
+    length = _header("Content-Length").try_cast("bigint")
+    rest = F.substr("text", F.char_length("head") + len(END) + 1)
+    read = chunks.withColumns(
+        {
+            "bytes": F.octet_length("text").cast("bigint"),
+            "length": F.when(F.contains("text", F.lit(END)), length),
+            "head_bytes": F.octet_length("head").cast("bigint") + len(END),
+            "kind": _header("WARC-Type"),
+            "page_id": _page(_header("WARC-Record-ID")),
+            "named": F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", ""),
+            "refers_to": _page(_header("WARC-Refers-To")),
+        }
+    ).withColumn("alone", F.col("bytes") == F.col("head_bytes") + F.col("length") + len(END))
+    # The block is the text behind the header without the closing line breaks.
+    block = F.when(F.col("alone"), F.substr(rest, F.lit(1), F.char_length(rest) - len(END)))
+    found = read.withColumn("block", block).withColumns(_payload_columns(F.col("block")))
+    slim = found.select(
+        "file", "split", "row", "bytes", "length", "head_bytes", "kind", "page_id", "named",
+        "refers_to", "alone", "size", "digest",
+        F.regexp_extract("http", "(?im)^Content-Length:[ \\t]*([0-9]+)", 1)
+        .try_cast("bigint")
+        .alias("http_length"),
+    )
+    placed = _with_starts(slim, F.col("bytes"))
+    ends = F.col("start") + len(MAGIC) + F.col("head_bytes") + F.col("length") + len(END)
+    return placed.withColumn("next", ends).filter(
+        (F.col("start") >= 0) & F.col("length").isNotNull()
+    )
 
 
 def _reachable(candidates: DataFrame) -> DataFrame:
@@ -222,33 +230,74 @@ def _reachable(candidates: DataFrame) -> DataFrame:
     return reached
 
 
+def _joined_payloads(spark: SparkSession, folder: str, records: DataFrame) -> DataFrame:
+    """(file, start, size, digest) of records whose payload holds the magic.
+
+    Their files are read again, and the chunks up to each record's end are put together.
+    """
+    wanted = records.select("file", F.col("start").alias("from"), F.col("next").alias("to"))
+    files = wanted.select("file").distinct()
+    chunks = _with_starts(
+        _chunks(spark, folder).join(files, "file", "left_semi"),
+        F.octet_length("text").cast("bigint"),
+    )
+    # Records do not overlap, so a chunk belongs to the last one that begins before it.
+    marked = chunks.join(
+        wanted, (chunks["file"] == wanted["file"]) & (F.col("start") == F.col("from")), "left"
+    ).select(chunks["file"], "start", "text", "from", "to")
+    so_far = Window.partitionBy("file").orderBy("start")
+    owned = marked.withColumns(
+        {
+            "from": F.last("from", ignorenulls=True).over(so_far),
+            "to": F.last("to", ignorenulls=True).over(so_far),
+        }
+    ).filter(F.col("start") < F.col("to"))
+    whole = owned.groupBy("file", "from").agg(
+        F.sort_array(F.collect_list(F.struct("start", "text"))).alias("parts")
+    )
+    text = whole.select(
+        "file",
+        F.col("from").alias("start"),
+        F.array_join(F.col("parts")["text"], MAGIC).alias("text"),
+    ).withColumn("head", F.substring_index("text", END, 1))
+    rest = F.substr("text", F.char_length("head") + len(END) + 1)
+    block = F.substr(rest, F.lit(1), F.char_length(rest) - len(END))
+    columns = _payload_columns(F.col("block"))
+    return text.withColumn("block", block).select(
+        "file",
+        "start",
+        columns["size"].alias("joined_size"),
+        columns["digest"].alias("joined_digest"),
+    )
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of all records.
 
     A record whose payload does not have the digest it names is an error.
     """
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch[0].to_pylist(), batch[1], strict=True):
-                rows = [(path, *c) for c in _candidates(content.as_py())]
-                columns = list(zip(*rows, strict=True)) or [[]] * len(_RECORD_ARROW)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, (_, k) in zip(columns, _RECORD_ARROW, strict=True)],
-                    names=[name for name, _ in _RECORD_ARROW],
-                )
-
-    python_tasks(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    candidates = materialize(
-        files.select("path", "content").mapInArrow(scan, _RECORD), "record-candidates"
+    candidates = materialize(_candidates(spark, folder), "record-candidates")
+    reached = _reachable(candidates)
+    records = materialize(
+        candidates.join(reached, ["file", "start"], "left_semi"), "reached-records"
+    )
+    split_up = materialize(records.filter(~F.col("alone")), "records-with-magic")
+    joined = _joined_payloads(spark, folder, split_up)
+    records = records.join(joined, ["file", "start"], "left")
+    size = F.coalesce("joined_size", "size")
+    revisit = F.col("kind") == "revisit"
+    intact = F.when(revisit, size == 0).otherwise(
+        F.coalesce("joined_digest", "digest") == F.col("named")
     )
-    records = candidates.join(_reachable(candidates), ["file", "start"], "left_semi")
-    whole = F.when(F.col("intact"), F.col("payload_digest")).otherwise(
+    digest = F.when(intact, F.col("named")).otherwise(
         F.raise_error(F.concat(F.lit("broken record in "), F.col("file")))
     )
     return records.select(
-        "page_id", "payload_bytes", whole.alias("payload_digest"), "record_type", "refers_to"
+        "page_id",
+        F.when(revisit, F.col("http_length")).otherwise(size).alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
     )
 
 
