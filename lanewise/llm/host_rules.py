@@ -140,9 +140,16 @@ def host_rates(judged: DataFrame) -> DataFrame:
 
 
 def verdicts(judged: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Adds ``kept``. ``judged`` is read twice, so it should be a written table."""
+    """Adds ``kept``. ``judged`` is read twice, so it should be a written table.
+
+    The rejected hosts are written too: few are broadcast by their measured bytes, many
+    are sorted.
+    """
     rejected = host_rates(judged).filter(F.col("shrunk_rate") > rules.max_host_failure)
-    rejected = rejected.select(F.col("host").alias("rejected_host"), F.lit(True).alias("_bad"))
+    rejected = materialize(
+        rejected.select(F.col("host").alias("rejected_host"), F.lit(True).alias("_bad")),
+        "rejected-hosts",
+    )
     joined = judged.join(rejected, F.col("host").eqNullSafe(F.col("rejected_host")), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop(
         "rejected_host", "_bad"

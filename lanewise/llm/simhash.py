@@ -168,6 +168,8 @@ def keep_first(documents: DataFrame) -> DataFrame:
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
 
     def having(chosen: DataFrame) -> DataFrame:
+        """Sorted at every size: the ids grow with the documents."""
+        chosen = chosen.hint("merge")
         return rows.join(chosen, F.col("row.doc_id").eqNullSafe(F.col("_first")), "left_semi")
 
     once = having(firsts.filter(F.col("_rows") == 1))
