@@ -6,7 +6,6 @@ from collections import Counter
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 import golden
 from lanewise.operators import hierarchy, pricing
