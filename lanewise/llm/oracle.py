@@ -29,7 +29,7 @@ select conv_id, count(*) as n_turns,
   cast(sum(length({_ESCAPED.format("text")})
     + case when opens then 13 + length({_ESCAPED.format("role")}) else 3 end
     + case when closes then 4 else 0 end) as bigint) as formatted_chars,
-  count_if(opens) as n_blocks
+  cast(count_if(opens) as bigint) as n_blocks
 from marked group by conv_id
 """
 
