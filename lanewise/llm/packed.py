@@ -50,12 +50,15 @@ def batch_of(rows: list[tuple], schema: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in schema])
 
 
+# Tells apart texts of one doc_id, so 40 bits are plenty.
+KEY_MASK = (1 << 40) - 1
+
+
 def text_key(data: bytes) -> int:
-    """What ``F.xxhash64`` makes of a text."""
+    """``F.xxhash64(text).bitwiseAND(KEY_MASK)``."""
     import xxhash
 
-    value = xxhash.xxh64_intdigest(data, 42)
-    return value - (value >> 63 << 64)
+    return xxhash.xxh64_intdigest(data, 42) & KEY_MASK
 
 
 # Hashing the words of many texts at once, without making them one by one.

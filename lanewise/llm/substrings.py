@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.llm.packed import (
-    ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
+    KEY_MASK, ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
 )
 from lanewise.llm.tables import SPACE, bound, python_tasks, share_of
 from lanewise.session import materialize
 
 WINDOW = 13
 CHUNK_BYTES = 6_000_000  # of text, whose edges a task settles among themselves
-RANGE_BYTES = 8_000_000  # of text, for one range of hashes: over a million edges
+RANGE_BYTES = 16_000_000  # of text, for one range of hashes: over two million edges
 GROUP_BYTES = 16_000_000  # of text, for one group of documents
 
 EDGES, LOCAL = 0, 1
@@ -455,7 +455,10 @@ def remove_repeats(documents: DataFrame, chars: str = "n_chars") -> DataFrame:
     joined = rows.join(
         changed,
         (F.col("row.doc_id") == F.col("_doc"))
-        & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("_key")),
+        & (
+            F.xxhash64(F.coalesce("row.text", F.lit(""))).bitwiseAND(F.lit(KEY_MASK))
+            == F.col("_key")
+        ),
         "left",
     )
     lost = F.col("_kept").isNotNull()
