@@ -6,9 +6,10 @@ name it and hold the HTTP header only. Records are UTF-8 text, so Spark's text w
 makes the archive files, of about ``FILE_BYTES`` each.
 
 Reading: the text reader cuts archives at the record magic, in payloads too. Tasks emit
-every place where a header can be read, with the place where that record would end. Pointer jumping from the start of each file keeps the records that can be
-reached: every round squares the length of the jumps, so their number grows with the
-logarithm of the records in a file.
+every place where a header can be read, with the place where that record would end.
+Pointer jumping from the start of each file keeps the records that can be reached: every
+round doubles the length of the jumps, so their number grows with the logarithm of the
+records in a file. A payload that holds the magic is put together from its pieces.
 
 Cases: a NULL html is an empty payload; a NULL url gives no target header; a NULL
 page_id is kept as an empty id, is never named by a revisit and is read back as NULL;
@@ -207,16 +208,22 @@ def _candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reachable(candidates: DataFrame) -> DataFrame:
-    """(file, start) that a chain of records from the file's start leads to."""
+    """(file, start) that a chain of records from the file's start leads to.
+
+    All joins sort. These tables pack so well that a small file may be a large broadcast.
+    """
     jumps = materialize(candidates.select("file", "start", "next"), "record-jumps")
     reached = materialize(
         jumps.filter(F.col("start") == 0).select("file", "start"), "reached-records"
     )
     count = reached.count()
     while count:
-        moved = reached.join(jumps, ["file", "start"]).select("file", F.col("next").alias("start"))
+        moved = reached.join(jumps.hint("merge"), ["file", "start"]).select(
+            "file", F.col("next").alias("start")
+        )
         # A place at the end of a file is no record.
-        landed = moved.join(candidates.select("file", "start"), ["file", "start"], "left_semi")
+        places = candidates.select("file", "start").hint("merge")
+        landed = moved.join(places, ["file", "start"], "left_semi")
         reached = materialize(reached.unionByName(landed).distinct(), "reached-records")
         now = reached.count()
         if now == count:
@@ -224,7 +231,9 @@ def _reachable(candidates: DataFrame) -> DataFrame:
         count = now
         far = jumps.select("file", F.col("start").alias("next"), F.col("next").alias("far"))
         jumps = materialize(
-            jumps.join(far, ["file", "next"]).select("file", "start", F.col("far").alias("next")),
+            jumps.join(far.hint("merge"), ["file", "next"]).select(
+                "file", "start", F.col("far").alias("next")
+            ),
             "record-jumps",
         )
     return reached
@@ -279,7 +288,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     candidates = materialize(_candidates(spark, folder), "record-candidates")
     reached = _reachable(candidates)
     records = materialize(
-        candidates.join(reached, ["file", "start"], "left_semi"), "reached-records"
+        candidates.join(reached.hint("merge"), ["file", "start"], "left_semi"), "reached-records"
     )
     split_up = materialize(records.filter(~F.col("alone")), "records-with-magic")
     joined = _joined_payloads(spark, folder, split_up)
