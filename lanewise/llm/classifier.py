@@ -5,18 +5,19 @@ document's features, and its weights minimize the logistic loss of the features'
 differences over sampled pairs. The threshold is the quantile of the scores that the share of
 bad labels names; scores map to 0..1 so that the threshold is ``THRESHOLD``.
 
-Labels are sampled: ``CLASS_ROWS`` rows of each class at most, in hash order, are all
+Labels are sampled: ``CLASS_ROWS`` documents of each class at most, in hash order, are all
 that training sees, so its cost does not depend on the input. Everything else covers
 all rows: the class shares count all labels in use, and every text is scored whole.
 
 Cases: a NULL text is an empty one and has a score; a NULL doc_id is scored and never
 trains; labels that are NULL, that contradict each other for a doc_id, or whose document is
-missing, are not used; repeated rows are scored each; without labels of both classes nothing
+missing, are not used; repeated rows are scored each and train as one document; without labels of both classes nothing
 can be learned and every score is ``THRESHOLD``; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -144,18 +145,38 @@ def fit(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 0) -> M
     return Model(blank.mean, blank.scale, edges, weights, float(cut))
 
 
-def _feature_batches(rows: DataFrame) -> DataFrame:
-    """(label, features) of (label, text) rows."""
+def _sample_features(rows: DataFrame) -> DataFrame:
+    """(labelled, label, features), one row for each document of the sample.
+
+    ``rows`` are (labelled, label, text). Of the texts of a document the one with the
+    smallest hash counts; tasks keep one for each document, however often it is repeated.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict = {}
         for batch in batches:
-            found = [text_features(t.as_py() or "") for t in batch[1]]
-            yield pa.RecordBatch.from_arrays(
-                [batch[0], pa.array(found, pa.list_(pa.float64()))], names=["label", "features"]
-            )
+            names, labels = batch[0].to_pylist(), batch[1].to_pylist()
+            for name, label, text in zip(names, labels, batch[2], strict=True):
+                text = text.as_py() or ""
+                key = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=7).digest())
+                if name not in least or key < least[name][1]:
+                    least[name] = (label, key, text_features(text))
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64())]
+        columns = list(zip(*least.values(), strict=True)) or [[]] * 3
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(least, pa.int64()), *arrays], names=["labelled", "label", "key", "features"]
+        )
 
     python_tasks(rows.sparkSession)
-    return rows.mapInArrow(run, "label int, features array<double>")
+    found = rows.select(F.col("labelled").cast("bigint"), "label", "text").mapInArrow(
+        run, "labelled bigint, label int, key bigint, features array<double>"
+    )
+    return (
+        found.groupBy("labelled", "label")
+        .agg(F.min(F.struct("key", "features")).alias("least"))
+        .select("labelled", "label", "least.features")
+    )
 
 
 def train(documents: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> Model | None:
@@ -180,13 +201,7 @@ def train(documents: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS)
     texts = documents.select("doc_id", "text").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("labelled")
     )
-    # Repeated documents could exceed the bound of the sample.
-    rows = (
-        _feature_batches(texts.select("label", "text"))
-        .orderBy("label", F.xxhash64("features"))
-        .limit(4 * class_rows)
-        .collect()
-    )
+    rows = _sample_features(texts).orderBy(F.xxhash64("labelled"), "labelled").collect()
     parts = [np.array([r.features for r in rows if r.label == label]) for label in (1, 0)]
     if not all(len(p) for p in parts):
         return None

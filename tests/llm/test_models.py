@@ -62,6 +62,16 @@ def test_one_class_teaches_nothing(spark):
     assert classifier.keep_preferred(frame, marks).count() == 2
 
 
+def test_a_repeated_document_does_not_push_out_the_other_class(spark):
+    rows, labels = labelled(3)
+    bad = next(i for i, q in labels if not q)
+    shown = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    model = classifier.train(frame_of(spark, rows + [rows[bad]] * 500), shown, class_rows=30)
+    assert model is not None
+    once = classifier.train(frame_of(spark, rows), shown, class_rows=30)
+    assert np.allclose(model.weights, once.weights) and np.allclose(model.mean, once.mean)
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op4_pairwise_quality"](spark, SF_DIR).toPandas()
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas()
