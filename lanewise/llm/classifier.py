@@ -2,17 +2,20 @@
 
 A labelled good document is preferred to a labelled bad one. The score is linear in the
 document's features, and its weights minimize the logistic loss of the features'
-differences over sampled pairs. The threshold is the quantile of the scores that the share of
-bad labels names; scores map to 0..1 so that the threshold is ``THRESHOLD``.
+differences over sampled pairs. The threshold is the exact quantile, over the scores of all
+labelled documents of the input, that the share of bad labels among them names; scores map
+to 0..1 so that the threshold is ``THRESHOLD``.
 
-Labels are sampled: ``CLASS_ROWS`` documents of each class at most, in hash order, are all
-that training sees, so its cost does not depend on the input. Everything else covers
-all rows: the class shares count all labels in use, and every text is scored whole.
+Labels are sampled for the weights alone: ``CLASS_ROWS`` documents of each class at most, in
+hash order, so that the fit's cost does not depend on the input. Everything else covers all
+rows: share and quantile take every label whose document the input has, and every text is
+scored whole.
 
 Cases: a NULL text is an empty one and has a score; a NULL doc_id is scored and never
 trains; labels that are NULL, that contradict each other for a doc_id, or whose document is
-missing, are not used; repeated rows are scored each and train as one document; without labels of both classes nothing
-can be learned and every score is ``THRESHOLD``; no rows give no rows.
+missing, are not used; repeated rows are scored each and train as one document, with their
+lowest score; without labels of both classes nothing can be learned and every score is
+``THRESHOLD``; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.llm.tables import python_tasks
+from lanewise.session import materialize
 
 CLASS_ROWS = 4_000  # documented bound of the training sample, for each class
 PAIRS_EACH = 4
 THRESHOLD = 0.7
 BINS = 8
+BUCKETS = 1000  # of a range of scores, counted at once
 PENALTY, STEPS = 1e-2, 25
 
 # Places of byte values in the counts of a text.
@@ -121,8 +126,8 @@ def _fit_weights(differences: np.ndarray) -> np.ndarray:
     return weights
 
 
-def fit(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 0) -> Model:
-    """``bad_share`` is the share of bad labels in use; samples may have another one."""
+def fit(good: np.ndarray, bad: np.ndarray, seed: int = 0) -> Model:
+    """Weights of the samples; the model's cut is still zero."""
     both = np.concatenate([good, bad])
     scale = both.std(axis=0)
     steps = np.arange(1, BINS) / BINS
@@ -132,17 +137,8 @@ def fit(good: np.ndarray, bad: np.ndarray, bad_share: float, seed: int = 0) -> M
     n = PAIRS_EACH * max(len(good), len(bad))
     preferred = np.resize(rng.permutation(len(good)), n)
     other = rng.integers(0, len(bad), n)
-    wide_good, wide_bad = blank.expand(good), blank.expand(bad)
-    weights = _fit_weights(wide_good[preferred] - wide_bad[other])
-    raw = np.concatenate([wide_good @ weights, wide_bad @ weights])
-    weight = np.concatenate(
-        [np.full(len(good), (1 - bad_share) / len(good)), np.full(len(bad), bad_share / len(bad))]
-    )
-    order = np.argsort(raw, kind="stable")
-    ranked, below = raw[order], np.cumsum(weight[order])
-    at = min(int(np.searchsorted(below, bad_share * (1 + 1e-9), side="right")), len(raw) - 1)
-    cut = (ranked[at] + ranked[max(0, at - 1)]) / 2
-    return Model(blank.mean, blank.scale, edges, weights, float(cut))
+    weights = _fit_weights(blank.expand(good)[preferred] - blank.expand(bad)[other])
+    return replace(blank, weights=weights)
 
 
 def _sample_features(rows: DataFrame) -> DataFrame:
@@ -179,19 +175,63 @@ def _sample_features(rows: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(values: DataFrame, rank: int) -> float:
+    """The value of column ``raw`` with ``rank`` values before it, by counting ever
+    narrower ranges."""
+    low, high = values.agg(F.min("raw"), F.max("raw")).first()
+    while low < high:
+        place = F.floor((F.col("raw") - low) / (high - low) * BUCKETS)
+        found = (
+            values.filter(F.col("raw").between(low, high))
+            .groupBy(place.alias("place"))
+            .agg(F.count("raw").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+            .orderBy("place")
+            .collect()
+        )
+        for bucket in found:
+            if rank < bucket.n:
+                break
+            rank -= bucket.n
+        low, high = bucket.low, bucket.high
+    return low
+
+
+def _cut(documents: DataFrame, clear: DataFrame, model: Model) -> float:
+    """Between the scores that have as many labelled documents below as labels are bad."""
+
+    @F.pandas_udf("double")
+    def raw(texts: pd.Series) -> pd.Series:
+        if texts.empty:
+            return pd.Series([], dtype="float64")
+        return pd.Series(model.raw(np.array([text_features(t) for t in texts])))
+
+    scores = (
+        documents.filter(F.col("doc_id").isNotNull())
+        .select("doc_id", raw(F.coalesce("text", F.lit(""))).alias("raw"))
+        .groupBy("doc_id")
+        .agg(F.min("raw").alias("raw"))
+    )
+    values = materialize(
+        scores.join(clear, F.col("doc_id") == F.col("labelled")).select("label", "raw"),
+        "label-scores",
+    )
+    n_bad = values.filter(F.col("label") == 0).count()
+    return (_ranked(values, n_bad - 1) + _ranked(values, n_bad)) / 2
+
+
 def train(documents: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> Model | None:
-    """A model from ``labels`` (doc_id, quality), all of which may be used; None if they
-    do not hold both classes."""
+    """A model from ``labels`` (doc_id, quality), all of which may be used; None if those
+    of ``documents`` do not hold both classes."""
+    present = documents.select(F.col("doc_id").alias("labelled")).distinct()
     clear = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("label"), F.max("quality").alias("most"))
         .filter(F.col("label") == F.col("most"))
         .select(F.col("doc_id").alias("labelled"), F.col("label").cast("int"))
+        .join(present, "labelled", "left_semi")
     )
-    shares = {r.label: r["count"] for r in clear.groupBy("label").count().collect()}
-    if len(shares) < 2:
-        return None
+    clear = materialize(clear, "clear-labels")
     order = [F.xxhash64("labelled"), F.col("labelled")]
     chosen = None
     for label in (0, 1):
@@ -205,7 +245,8 @@ def train(documents: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS)
     parts = [np.array([r.features for r in rows if r.label == label]) for label in (1, 0)]
     if not all(len(p) for p in parts):
         return None
-    return fit(parts[0], parts[1], shares[0] / (shares[0] + shares[1]))
+    model = fit(*parts)
+    return replace(model, cut=_cut(documents, clear, model))
 
 
 def score_documents(documents: DataFrame, model: Model | None) -> DataFrame:

@@ -72,6 +72,23 @@ def test_a_repeated_document_does_not_push_out_the_other_class(spark):
     assert np.allclose(model.weights, once.weights) and np.allclose(model.mean, once.mean)
 
 
+def test_the_threshold_covers_all_labelled_documents_of_the_input(spark):
+    rows, labels = labelled(4)
+    absent = [(1000 + i, 0) for i in range(900)]
+    shown = spark.createDataFrame(labels + absent, "doc_id bigint, quality int")
+    frame = frame_of(spark, rows + rows[:5])
+    model = classifier.train(frame, shown, class_rows=8)
+    scored = classifier.score_documents(frame, model).collect()
+    below = {r.row.doc_id for r in scored if r.score < 0.7}
+    assert len(below) == sum(q == 0 for _, q in labels)
+
+
+def test_ranks_of_scores(spark):
+    values = [0.5, -3.0, 0.5, 0.5, 1e-300, 7.25, 1e9, 0.5000000000000001, -3.0]
+    frame = spark.createDataFrame([(v,) for v in values], "raw double")
+    assert [classifier._ranked(frame, i) for i in range(len(values))] == sorted(values)
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op4_pairwise_quality"](spark, SF_DIR).toPandas()
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas()
