@@ -6,10 +6,10 @@ of about ``GROUP_PIECES`` and packed there, best fit first, then by local search
 group wastes less than one sequence against a packing of all groups together, whatever
 the size of the input.
 
-Local search: a document of the emptiest bin moves to another underfull bin, or one or
-two of its documents change places with a shorter one there. Every step takes length
-from the emptier to the fuller bin, so the sum of squared fills grows and bins run
-empty. It ends when no step is left or no smaller number of bins is possible.
+Local search: a document of a bin, the emptiest first, moves to another underfull bin, or
+one or two of its documents change places with a shorter one there. A step must leave the
+other bin fuller than this one was, so the sum of squared fills grows and bins run empty.
+Passes over the bins end when none has a step left or no smaller number of bins is possible.
 
 Cases: a NULL text is an empty one and still has its end token; a NULL doc_id stays
 NULL; repeated rows are packed each; no rows give no sequences; other columns are
@@ -194,13 +194,16 @@ class Bins:
         self.fill[target] += gain
         self.index(target)
 
-    def _swap_for(self, size: int) -> tuple[int, int] | None:
-        """A shorter document elsewhere whose place takes ``size``, filling best."""
+    def _swap_for(self, size: int, fill: int) -> tuple[int, int] | None:
+        """A shorter document elsewhere whose place takes ``size``, filling best, and more
+        than ``fill``."""
         rooms = self.slot_rooms >> size
         room = size
         while rooms:
             skip = (rooms & -rooms).bit_length() - 1
             room, rooms = room + skip, rooms >> skip
+            if self.capacity - room + size <= fill:
+                return None
             shortest = min(self.slots[room])
             if shortest < size:
                 return next(iter(self.slots[room][shortest]))
@@ -209,49 +212,54 @@ class Bins:
 
     def improve(self, source: int) -> bool:
         """One step that takes length from ``source``; it must not be indexed."""
-        items = sorted(self.members[source], key=lambda i: -self.lengths[i])
-        for item in items:
-            size = self.lengths[item]
+        fill = self.fill[source]
+        of_size: dict[int, list[int]] = {}
+        for item in self.members[source]:
+            of_size.setdefault(self.lengths[item], []).append(item)
+        sizes = sorted(of_size, reverse=True)
+        for size in sizes:
             fitting = self.free_rooms >> size
             if fitting:
                 room = size + (fitting & -fitting).bit_length() - 1
-                self.exchange(source, [item], next(iter(self.free[room])), None)
-                return True
-        seen = set()
-        for item in items:
-            size = self.lengths[item]
-            if size not in seen and (found := self._swap_for(size)):
-                self.exchange(source, [item], *found)
-                return True
-            seen.add(size)
-        for a, b in zip(items, items[1:], strict=False):
-            size = self.lengths[a] + self.lengths[b]
-            if size <= self.capacity and (found := self._swap_for(size)):
-                self.exchange(source, [a, b], *found)
+                if self.capacity - room + size > fill:
+                    self.exchange(source, of_size[size][:1], next(iter(self.free[room])), None)
+                    return True
+        for size in sizes:
+            if found := self._swap_for(size, fill):
+                self.exchange(source, of_size[size][:1], *found)
                 return True
+        tried = set()
+        for n, a in enumerate(sizes):
+            for b in sizes[n:]:
+                if a + b in tried or (a == b and len(of_size[a]) < 2):
+                    continue
+                tried.add(a + b)
+                if found := self._swap_for(a + b, fill):
+                    pair = of_size[a][:2] if a == b else [of_size[a][0], of_size[b][0]]
+                    self.exchange(source, pair, *found)
+                    return True
         return False
 
     def search(self) -> None:
-        """Empty the emptiest bins while fewer bins are possible.
-
-        A bin that no step changes is left out of the index: it stays as it is.
-        """
+        """Take steps while there are any and fewer bins are possible."""
         least = -(-sum(self.lengths) // self.capacity)
         used = len(self.members)
         if used <= least:
             return
         self.free, self.free_rooms = {}, 0
-        order = sorted(range(len(self.members)), key=lambda at: self.fill[at])
-        order = [at for at in order if self.fill[at] < self.capacity]
-        for at in order:
+        for at in range(len(self.members)):
             self.index(at)
-        for at in order:
-            if used <= least:
-                return
-            self.drop(at)
-            while self.members[at] and self.improve(at):
-                pass
-            used -= not self.members[at]
+        stepped = True
+        while stepped:
+            stepped = False
+            for at in sorted(self.indexed, key=lambda at: (self.fill[at], at)):
+                if used <= least:
+                    return
+                self.drop(at)
+                while self.members[at] and self.improve(at):
+                    stepped = True
+                used -= not self.members[at]
+                self.index(at)
 
 
 def pack_lengths(lengths: list[int], capacity: int = SEQUENCE_TOKENS) -> list[list[int]]:

@@ -1,5 +1,6 @@
 """BPE coding and packing against the tokenizer library."""
 
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -127,6 +128,54 @@ def test_two_change_places_with_one():
     assert search.members == [{2}, {0, 1, 3}]
 
 
+def bins_of(capacity, *bins):
+    search = packing.Bins([size for b in bins for size in b], capacity)
+    for b in bins:
+        first = sum(map(len, search.members))
+        search.members.append(set(range(first, first + len(b))))
+        search.fill.append(sum(b))
+    return search
+
+
+def test_any_two_change_places_with_one():
+    """5 and 2, not neighbours by length, against 6."""
+    search = bins_of(12, [5, 3, 2], [6, 5])
+    search.index(1)
+    assert search.improve(0)
+    assert search.members == [{1, 3}, {0, 2, 4}]
+    assert search.fill == [9, 12]
+
+
+def steps_left(search, capacity):
+    """Steps of the neighbourhood that would make the sum of squared fills grow."""
+    bins = [[search.lengths[i] for i in b] for b in search.members if b]
+    found = []
+    for s, source in enumerate(bins):
+        given = {(a,) for a in source} | set(itertools.combinations(source, 2))
+        for t, target in enumerate(bins):
+            for out in given if s != t else ():
+                for back in [0, *target] if len(out) == 1 else target:
+                    gain = sum(out) - back
+                    full = sum(target) + gain
+                    if gain > 0 and sum(source) < full <= capacity:
+                        found.append((source, target, out, back))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_local_search_ends_when_no_step_is_left(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([12, 40, 100])
+    lengths = [rng.randint(capacity // 5, capacity * 3 // 5) for _ in range(rng.randint(5, 60))]
+    search = packing.Bins(lengths, capacity)
+    search.best_fit()
+    search.search()
+    assert sorted(i for b in search.members for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= capacity for b in search.members)
+    used = sum(map(bool, search.members))
+    assert used <= -(-sum(lengths) // capacity) or not steps_left(search, capacity)
+
+
 def test_sequences(spark, library):
     texts = [None, "", "one two", *odd_texts(40, 5, 900), "word " * 3000, "same", "same"]
     rows = rows_of(texts) + [(None, "null id", "x", 1, 2, "y"), (2, "one two", "x", 1, 2, "y")]
