@@ -1,16 +1,17 @@
 """Language model scoring with a probabilistic suffix tree.
 
-A context is the last one or two words. It becomes a state of the tree if it and the
-words that follow it are frequent enough (a share ``MIN_SHARE`` of all tokens) and what
-follows it diverges enough from what follows its own suffix. A token is scored in the longest
-suffix of the words before it that is a state. States discount what they have seen and
-leave the rest to the shorter suffix, down to single tokens, so that probabilities add
+A context is the last words before a token, up to ``MAX_DEPTH``. It becomes a state of the
+tree if it and words that follow it occur ``MIN_COUNT`` times, at any size of the corpus, and
+what follows it diverges enough from what follows its own suffix. A token is scored in the
+longest suffix of the words before it that is a state. States discount what they have seen
+and leave the rest to the shorter suffix, down to single tokens, so that probabilities add
 up to one in every state, one unknown word included.
 
-Counts cover all learned texts. Tokens are numbers: tasks count what they have and send
-packed counts by hash range, where they add up. What the scoring tasks receive, the frequent
-tokens and the entries of the tree, is bounded by 1 / ``MIN_SHARE`` for each depth at any
-size. Words too rare for that meet their counts in a shuffle, as (document, word) pairs.
+The tree is never in one place. It grows by one word of context at a time: chunks of
+documents, learned or not, send the hashes of their grams whose parts are frequent to hash
+ranges, which add up the counts and answer. One of the chunks that have a gram then adds its
+terms to the sums of the gram's context; the context's range adds these up, tests it, and
+tells the chunks that have it. It ends when no gram is frequent or no context is a state.
 
 Cases: a NULL text is an empty one, of one end token; a NULL doc_id is a document like
 any other; repeated rows count and are scored each; if nothing is learned, a token has
@@ -21,21 +22,22 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.llm.packed import (
-    ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
+    ROW, ROW_ARROW, _mix, batch_of, hash_words, pack, steps, unpack,
 )
 from lanewise.llm.tables import python_tasks, share_of
-from lanewise.session import materialize
+from lanewise.session import delete_folder, materialize
 
-MIN_SHARE = 1e-6
 MIN_COUNT = 3
+MAX_DEPTH = 2  # tokens of a context
 DISCOUNT = 0.5
 # Log-likelihood that a context must win over its suffix, in nats.
 MIN_DIVERGENCE = 12.0
@@ -45,7 +47,7 @@ ID_BITS = 20
 END = np.uint64(0x5EED)
 NO_ID = -(1 << 63)
 
-COUNTS, SCORES, RARE = 0, 1, 2
+COUNTS, PART, ASKED, SUMS, COUNTED, RESTS, FOUND = range(7)
 _SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 _SCORED_NAMES = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
@@ -57,23 +59,25 @@ def _range_of(values: np.ndarray, ranges: int) -> np.ndarray:
     return (mixed % np.uint64(ranges)).astype(np.int64)
 
 
-Chunk = tuple[list[int], list[bytes]]
+Chunk = tuple[list[int], list[bytes], list[bool]]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    """(doc_ids, texts) of documents that together have about CHUNK_BYTES."""
-    ids, texts, size = [], [], 0
+    """(doc_ids, texts, whether learned) of documents that together have about CHUNK_BYTES."""
+    ids, texts, flags, size = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch[0].to_pylist(), batch[1], strict=True):
+        columns = [batch[0].to_pylist(), batch[1], batch[2].to_pylist()]
+        for doc_id, text, flag in zip(*columns, strict=True):
             data = (text.as_py() or "").encode()
             ids.append(NO_ID if doc_id is None else doc_id)
             texts.append(data)
+            flags.append(flag)
             size += len(data) + 1
             if size >= CHUNK_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+                yield ids, texts, flags
+                ids, texts, flags, size = [], [], [], 0
     if ids:
-        yield ids, texts
+        yield ids, texts, flags
 
 
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +128,7 @@ def _count_over(
     packed row per hash range."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data in _chunks(batches):
+        for _, data, _ in _chunks(batches):
             values = values_of(*_tokens(data))
             if len(values):
                 yield batch_of(list(_counted(values, ranges)), ROW_ARROW)
@@ -134,7 +138,9 @@ def _count_over(
         row = (group["key"][0].as_py(), COUNTS, pack(steps(values), counts))
         return pa.Table.from_batches([batch_of([row], ROW_ARROW)])
 
-    counted = texts.select("doc_id", "text").mapInArrow(scan, ROW)
+    counted = texts.select(
+        "doc_id", "text", F.lit(True).alias("learned")
+    ).mapInArrow(scan, ROW)
     return materialize(counted.groupBy("key").applyInArrow(add, ROW), name)
 
 
@@ -276,19 +282,22 @@ def _states(
     return np.log10(own), np.repeat(chosen, sizes), context[opens][chosen], log_rest[chosen]
 
 
-def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFrame, int, int]:
-    """(tree, packed token counts, number of tokens, number of distinct tokens)."""
+def learn(texts: DataFrame) -> tuple[Tree, DataFrame, int, int]:
+    """(tree, packed token counts, number of tokens, number of distinct tokens).
+
+    The same model to a depth of two words on the driver, to look at and to compare
+    ``score`` with; for small corpora only.
+    """
     spark = texts.sparkSession
     python_tasks(spark)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges = share_of(size, RANGE_BYTES)
     counts = _count_over(texts, lambda tokens, _: tokens, ranges, "token-counts")
     total, distinct = _totals(counts)
-    least = max(MIN_COUNT, min_share * total)
     base = np.log10(total + distinct + 1)
-    hashes, n = _frequent(counts, least)
+    hashes, n = _frequent(counts, MIN_COUNT)
     if len(hashes) >= 1 << ID_BITS:
-        raise ValueError("min_share is too small for the numbers of tokens")
+        raise ValueError("the corpus is too large to look at")
     tree = Tree(hashes.view(np.uint64), np.log10(n + 1.0) - base, float(-base))
     if not len(hashes):
         return tree, counts, total, distinct
@@ -301,7 +310,7 @@ def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFra
         both = (number >= 0) & (before >= 0)
         return (before[both] << ID_BITS) | number[both]
 
-    pairs, pair_n = _frequent(_count_over(texts, pair_codes, ranges, "pair-counts"), least)
+    pairs, pair_n = _frequent(_count_over(texts, pair_codes, ranges, "pair-counts"), MIN_COUNT)
     if not len(pairs):
         return tree, counts, total, distinct
     word, following = pairs >> ID_BITS, pairs & ((1 << ID_BITS) - 1)
@@ -321,7 +330,7 @@ def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFra
         return (before[both] << ID_BITS) | number[both]
 
     triples, triple_n = _frequent(
-        _count_over(texts, triple_codes, ranges, "triple-counts"), least
+        _count_over(texts, triple_codes, ranges, "triple-counts"), MIN_COUNT
     )
     if len(triples):
         context, following = triples >> ID_BITS, triples & ((1 << ID_BITS) - 1)
@@ -334,116 +343,305 @@ def learn(texts: DataFrame, min_share: float = MIN_SHARE) -> tuple[Tree, DataFra
     return tree, counts, total, distinct
 
 
-def _score_chunk(tree: Tree, chunk: Chunk, ranges: int) -> Iterator[tuple]:
-    """Packed sums per document, and the rare words left to look up."""
-    ids, texts = chunk
-    tokens, sizes = _tokens(texts)
-    number, pair = tree.numbers(tokens, sizes)
-    alone, scored = tree.scores(number, pair, sizes)
-    rare = number < 0
-    opens = np.cumsum(sizes) - sizes
-    doc = np.array(ids, dtype=np.int64)
-    key = np.array([text_key(data) for data in texts], dtype=np.int64)
-    sums = [np.add.reduceat(x, opens) for x in (alone, scored)]
-    known = np.add.reduceat((~rare).astype(np.int64), opens)
-    home = int(_range_of(key[:1], ranges)[0])
-    yield home, SCORES, pack(doc, key, sizes, known, *sums)
-
-    at = np.flatnonzero(rare)
-    if not len(at):
-        return
-    of = np.searchsorted(opens, at, side="right") - 1
-    hashes = tokens[at]
-    part = _range_of(hashes, ranges)
+def _grams(tokens: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` tokens that end at each place; the first few mean nothing."""
+    out = tokens
+    for _ in range(length - 1):
+        out = _mix(_shifted(out, 0) * np.uint64(0x9E3779B97F4A7C15) + tokens)
+    return out
+
+
+def _shifted(values: np.ndarray, first) -> np.ndarray:
+    out = np.empty_like(values)
+    out[1:], out[:1] = values[:-1], first
+    return out
+
+
+@dataclass
+class Part:
+    """What a chunk of documents knows after the counts of grams of ``length`` tokens.
+
+    By place: the counts of the grams of ``length`` and of one token less that end there, and
+    the token's log10 probability after contexts of ``length`` - 2 tokens at most.
+    """
+
+    doc: np.ndarray
+    learned: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    now: np.ndarray
+    past: np.ndarray
+    levels: np.ndarray
+    level: np.ndarray
+    length: int
+    least: int
+
+    def packed(self) -> bytes:
+        return pack(*[getattr(self, f.name) for f in fields(self)[:-2]])
+
+    @property
+    def tokens(self) -> np.ndarray:
+        return self.words[self.word]
+
+    @property
+    def place(self) -> np.ndarray:
+        """Of each token in its document."""
+        starts = np.cumsum(self.sizes) - self.sizes
+        return np.arange(len(self.word)) - np.repeat(starts, self.sizes)
+
+    def per_document(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places, grams) of one token more whose parts are frequent."""
+        if not self.length:
+            return np.arange(len(self.word)), self.tokens
+        often = (self.now >= self.least) & (_shifted(self.now, 0) >= self.least)
+        at = np.flatnonzero(often & (self.place >= self.length))
+        return at, _grams(self.tokens, self.length + 1)[at]
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(places, contexts) where a token follows a frequent context of ``length`` - 1."""
+        often = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
+        at = np.flatnonzero(often)
+        return at, _grams(self.tokens, self.length - 1)[at - 1]
+
+    def requests(self, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(range, grams, their learned occurrences here)."""
+        at, grams = self.asked()
+        distinct, inverse = np.unique(grams, return_inverse=True)
+        weight = np.repeat(self.learned, self.sizes)[at]
+        n = np.bincount(inverse, weight, len(distinct)).astype(np.int64)
+        for part, rows in _split(distinct, ranges):
+            yield part, distinct[rows], n[rows]
+
+    def sums(self, owned: np.ndarray, ranges: int) -> Iterator[tuple]:
+        """(range, contexts, their counts, sums over the entries that are owned here)."""
+        at, contexts = self.contexts()
+        distinct, first, inverse = np.unique(contexts, return_index=True, return_inverse=True)
+        total = self.past[at[first] - 1]
+        entry = owned[at] & (self.now[at] >= self.least)
+        of, own_at = inverse[entry], at[entry]
+        n = self.now[own_at].astype(np.float64)
+        own = (n - DISCOUNT) / self.past[own_at - 1]
+        shorter = self.levels[self.level[own_at]]
+        gain = n * (np.log(own) - shorter * np.log(10.0))
+        columns = [np.bincount(of, v, len(distinct)) for v in (n, own, 10.0**shorter, gain)]
+        for part, rows in _split(distinct, ranges):
+            yield part, distinct[rows], total[rows], *[c[rows] for c in columns]
+
+    def take_rests(self, answers: dict[int, list[np.ndarray]], ranges: int) -> np.ndarray:
+        """Log10 probabilities after contexts of ``length`` - 1 tokens at most."""
+        shorter = self.levels[self.level]
+        if self.length < 2:
+            return shorter
+        at, contexts = self.contexts()
+        distinct, inverse = np.unique(contexts, return_inverse=True)
+        rest = np.full(len(distinct), np.nan)
+        for part, rows in _split(distinct, ranges):
+            rest[rows] = answers[part][0]
+        rest = rest[inverse]
+        at, rest = at[~np.isnan(rest)], rest[~np.isnan(rest)]
+        seen = self.now[at] >= self.least
+        own = np.log10(np.maximum(self.now[at] - DISCOUNT, DISCOUNT) / self.past[at - 1])
+        shorter[at] = np.where(seen, own, rest + shorter[at])
+        return shorter
+
+    def take_counts(self, answers: dict[int, list[np.ndarray]], ranges: int):
+        """(count by place, whether the place is the one that stands for its gram)."""
+        at, grams = self.asked()
+        distinct, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
+        n, mine = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
+        for part, rows in _split(distinct, ranges):
+            n[rows], mine[rows] = answers[part]
+        counts, owned = np.zeros(len(self.word), np.int64), np.zeros(len(self.word), bool)
+        counts[at], owned[at[first]] = n[inverse], mine
+        return counts, owned
+
+
+def _split(values: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(range, places of its values)."""
+    part = _range_of(values, ranges)
     order = np.argsort(part, kind="stable")
     for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-        heads = np.flatnonzero(np.concatenate(([True], np.diff(of[rows]) != 0)))
-        counts = np.diff(np.append(heads, len(rows)))
-        owners = of[rows][heads]
-        yield int(part[rows[0]]), RARE, pack(doc[owners], key[owners], counts, hashes[rows])
+        if len(rows):
+            yield int(part[rows[0]]), rows
+
+
+def _one(value: int) -> np.ndarray:
+    return np.array([value], dtype=np.int64)
+
+
+def _sent(
+    part: Part, chunk: int, owned: np.ndarray | None, ranges: int, depth: int
+) -> list[tuple]:
+    """The part itself and what it asks of the ranges."""
+    rows = [(chunk, PART, part.packed())]
+    if part.length <= depth:
+        for to, *columns in part.requests(ranges):
+            rows.append((to, ASKED, pack(_one(chunk), *columns)))
+    if part.length >= 2:
+        for to, *columns in part.sums(owned, ranges):
+            rows.append((to, SUMS, pack(_one(chunk), *columns)))
+    return rows
+
+
+def _by_chunk(payloads: list[bytes]) -> tuple[list[int], list[int], list[np.ndarray]]:
+    """(chunks in order, their numbers of values, joined columns)."""
+    parts = sorted((unpack(p) for p in payloads), key=lambda p: p[0][0])
+    joined = [np.concatenate(c) for c in zip(*[p[1:] for p in parts], strict=True)]
+    return [int(p[0][0]) for p in parts], [len(p[1]) for p in parts], joined
+
+
+def _answered(group: pa.Table, least: int) -> pa.Table:
+    """Counts of grams and rests of contexts of one hash range, to the chunks that asked."""
+    part = group["key"][0].as_py()
+    by_kind: dict[int, list[bytes]] = {ASKED: [], SUMS: []}
+    for kind, payload in zip(group["kind"].to_pylist(), group["payload"].to_pylist(), strict=True):
+        by_kind[kind].append(payload)
+    out, total, distinct, frequent, states = [], 0, 0, 0, 0
+    if by_kind[ASKED]:
+        chunks, sizes, (grams, n) = _by_chunk(by_kind[ASKED])
+        values, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
+        counts = np.bincount(inverse, n, len(values)).astype(np.int64)
+        owner = np.zeros(len(grams), bool)
+        owner[first] = True
+        total, distinct = int(counts.sum()), int((counts > 0).sum())
+        frequent = int((counts >= least).sum())
+        ends = np.cumsum(sizes)[:-1]
+        columns = zip(np.split(counts[inverse], ends), np.split(owner, ends), strict=True)
+        for chunk, (c, o) in zip(chunks, columns, strict=True):
+            out.append((chunk, COUNTED, pack(_one(part), c, o)))
+    if by_kind[SUMS]:
+        chunks, sizes, (contexts, of, *sums) = _by_chunk(by_kind[SUMS])
+        values, first, inverse = np.unique(contexts, return_index=True, return_inverse=True)
+        n, own, shorter, gain = [np.bincount(inverse, v, len(values)) for v in sums]
+        rest, shorter_rest = np.maximum(1 - own, 1e-12), np.maximum(1 - shorter, 1e-12)
+        unseen = np.maximum(of[first] - n, 0)
+        gain = gain + unseen * (np.log(rest) - np.log(shorter_rest))
+        chosen = (gain >= MIN_DIVERGENCE) & (n > 0)
+        states = int(chosen.sum())
+        rests = np.where(chosen, np.log10(rest) - np.log10(shorter_rest), np.nan)
+        for chunk, r in zip(chunks, np.split(rests[inverse], np.cumsum(sizes)[:-1]), strict=True):
+            out.append((chunk, RESTS, pack(_one(part), r)))
+    found = np.array([total, distinct, frequent, states], dtype=np.int64)
+    out.append((part, FOUND, pack(found)))
+    return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
+
+
+def _found(answers: DataFrame) -> tuple[int, int, int, int]:
+    """(sum of counts, grams that occur, frequent grams, states) over all ranges."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())]
+        for batch in batches:
+            yield batch_of([tuple(unpack(p.as_py())[0].tolist()) for p in batch[0]], names)
+
+    rows = answers.filter(F.col("kind") == FOUND).select("payload")
+    numbers = rows.mapInArrow(read, "a bigint, b bigint, c bigint, d bigint")
+    return tuple(v or 0 for v in numbers.agg(*[F.sum(c) for c in "abcd"]).first())
+
+
+def _part_of(group: pa.Table, length: int, least: int) -> tuple[Part, dict, dict]:
+    answers: dict[int, dict[int, list[np.ndarray]]] = {COUNTED: {}, RESTS: {}}
+    part = None
+    for kind, payload in zip(group["kind"].to_pylist(), group["payload"].to_pylist(), strict=True):
+        if kind == PART:
+            part = Part(*unpack(payload), length, least)
+        else:
+            to, *columns = unpack(payload)
+            answers[kind][int(to[0])] = columns
+    return part, answers[COUNTED], answers[RESTS]
+
 
+def _drop(table: DataFrame) -> None:
+    """Delete a table of an earlier length."""
+    for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles()}:
+        delete_folder(table.sparkSession, folder)
 
-def score(
-    documents: DataFrame, learned: Column, min_share: float = MIN_SHARE
-) -> tuple[DataFrame, int]:
+
+def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
     """Scores of all documents by a model of those where ``learned`` holds.
 
     Gives (doc_id, n_tokens, n_known, base_score, score), a row for every row, and the
     number of learned tokens. Scores are sums of log10 probabilities; the base score
     takes every token alone.
     """
-    texts = documents.select(F.col("doc_id").cast("bigint"), "text")
-    tree, counts, total, distinct = learn(
-        texts.filter(F.coalesce(learned, F.lit(True))), min_share
+    texts = documents.select(
+        F.col("doc_id").cast("bigint"), "text", F.coalesce(learned, F.lit(True)).alias("learned")
     )
-    spark = documents.sparkSession
+    python_tasks(documents.sparkSession)
     ranges = share_of(texts.agg(F.sum(F.octet_length("text"))).first()[0], RANGE_BYTES)
-    shared = spark.sparkContext.broadcast(tree)
-    unknown = tree.log_unknown
+    least, depth = MIN_COUNT, MAX_DEPTH
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
-            rows = _score_chunk(shared.value, chunk, ranges)
-            yield batch_of(list(rows), ROW_ARROW)
-
-    def split_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts were added up in the learned texts' ranges; deal them by the scored ones'."""
-        for batch in batches:
-            for payload in batch[0]:
-                values, n = unpack(payload.as_py())
-                values = np.cumsum(values, dtype=values.dtype)
-                yield batch_of(list(_by_range(values, n, ranges)), ROW_ARROW)
-
-    def look_up(group: pa.Table) -> pa.Table:
-        by_kind: dict[int, list[bytes]] = {COUNTS: [], SCORES: [], RARE: []}
-        for kind, payload in zip(group["kind"].to_pylist(), group["payload"].to_pylist(), strict=True):
-            by_kind[kind].append(payload)
-        columns: list[list[np.ndarray]] = []
-        for payload in by_kind[SCORES]:
-            doc, key, sizes, known, base, scored = unpack(payload)
-            columns.append([doc, key, np.ones_like(doc), sizes, known, base, scored])
-        if by_kind[RARE]:
-            values, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            if by_kind[COUNTS]:
-                values, n = _sum_counts(by_kind[COUNTS])
-            for payload in by_kind[RARE]:
-                doc, key, sizes, hashes = unpack(payload)
-                found = np.zeros(len(hashes), dtype=np.int64)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, hashes), len(values) - 1)
-                    found = np.where(values[at] == hashes, n[at], 0)
-                logs = np.log10(found + 1.0) + unknown
-                opens = np.cumsum(sizes) - sizes
-                sums = np.add.reduceat(logs, opens)
-                known = np.add.reduceat((found > 0).astype(np.int64), opens)
-                none = np.zeros_like(doc)
-                columns.append([doc, key, none, none, known, sums, sums])
-        out = []
-        if columns:
-            joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
-            home = _range_of(joined[1], ranges)
-            order = np.argsort(home, kind="stable")
-            for rows in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-                out.append((int(home[rows[0]]), SCORES, pack(*[c[rows] for c in joined])))
-        return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
-
-    def add_up(group: pa.Table) -> pa.Table:
-        """Equal rows add up under one key; each of them has its share of the sums."""
-        parts = zip(*[unpack(p) for p in group["payload"].to_pylist()], strict=True)
-        doc, key, *values = [np.concatenate(c) for c in parts]
-        order = np.lexsort((key, doc))
-        doc, key = doc[order], key[order]
-        changed = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
-        opens = np.flatnonzero(np.concatenate(([True], changed)))
-        copies, sizes, known, base, scored = [np.add.reduceat(v[order], opens) for v in values]
-        columns = [sizes // copies, known // copies, base / copies, scored / copies]
-        doc = doc[opens]
-        ids = pa.array(np.repeat(doc, copies), mask=np.repeat(doc == NO_ID, copies))
-        return pa.Table.from_arrays(
-            [ids, *[pa.array(np.repeat(c, copies)) for c in columns]],
-            names=_SCORED_NAMES,
+        first = TaskContext.get().partitionId() << 32
+        for n, (ids, data, flags) in enumerate(_chunks(batches)):
+            tokens, sizes = _tokens(data)
+            words, word = np.unique(tokens, return_inverse=True)
+            none = np.zeros(len(data))
+            zero = np.zeros(len(tokens), np.int64)
+            part = Part(
+                np.array(ids, np.int64), np.array(flags, np.int64), sizes, words,
+                word.astype(np.int32), none, none, zero, zero, np.zeros(1), zero.astype(np.int32),
+                0, least,
+            )
+            yield batch_of(_sent(part, first + n, None, ranges, depth), ROW_ARROW)
+
+    def longer(length: int, base: float) -> Callable[[pa.Table], pa.Table]:
+        """Take the answers for grams of ``length`` and ask for those of one token more."""
+
+        def step(group: pa.Table) -> pa.Table:
+            part, counted, rests = _part_of(group, length - 1, least)
+            scores = part.take_rests(rests, ranges)
+            part.past, (part.now, owned) = part.now, part.take_counts(counted, ranges)
+            part.length = length
+            if length == 1:
+                scores = np.log10(part.now + 1.0) - base
+                part.known = part.per_document((part.now > 0).astype(np.int64))
+                part.base = part.per_document(scores)
+            part.levels, level = np.unique(scores, return_inverse=True)
+            part.level = level.astype(np.int32)
+            rows = _sent(part, group["key"][0].as_py(), owned, ranges, depth)
+            return pa.Table.from_batches([batch_of(rows, ROW_ARROW)])
+
+        return step
+
+    def finish(length: int) -> Callable[[pa.Table], pa.Table]:
+        def step(group: pa.Table) -> pa.Table:
+            part, _, rests = _part_of(group, length, least)
+            scores = part.per_document(part.take_rests(rests, ranges))
+            ids = pa.array(part.doc, mask=part.doc == NO_ID)
+            columns = [part.sizes, part.known.astype(np.int64), part.base, scores]
+            return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=_SCORED_NAMES)
+
+        return step
+
+    def answers_to(sent: DataFrame, length: int) -> DataFrame:
+        asked = sent.filter(F.col("kind") != PART)
+        answered = asked.groupBy("key").applyInArrow(lambda group: _answered(group, least), ROW)
+        return materialize(answered, f"answers-{length}")
+
+    def meeting(sent: DataFrame, answers: DataFrame):
+        parts = sent.filter(F.col("kind") == PART)
+        return parts.unionByName(answers.filter(F.col("kind") != FOUND)).groupBy("key")
+
+    sent = materialize(texts.mapInArrow(scan, ROW), "parts-0")
+    answers = answers_to(sent, 0)
+    total, distinct, _, _ = _found(answers)
+    base = float(np.log10(total + distinct + 1))
+    for length in range(1, depth + 2):
+        old = sent, answers
+        sent = materialize(
+            meeting(sent, answers).applyInArrow(longer(length, base), ROW), f"parts-{length}"
         )
-
-    dealt = counts.select("payload").mapInArrow(split_counts, ROW)
-    parts = texts.mapInArrow(scan, ROW).unionByName(dealt).groupBy("key").applyInArrow(look_up, ROW)
-    return parts.groupBy("key").applyInArrow(add_up, _SCORED), total
+        for table in old:
+            _drop(table)
+        answers = answers_to(sent, length)
+        *_, frequent, states = _found(answers)
+        if not frequent or (length > 1 and not states):
+            break
+    return meeting(sent, answers).applyInArrow(finish(length), _SCORED), total

@@ -158,6 +158,73 @@ def test_every_state_adds_up_to_one(spark):
         assert np.power(10.0, two).sum() + rest == pytest.approx(1)
 
 
+def plain_scores(learned, texts, depth):
+    """Scores of a tree of contexts of up to ``depth`` tokens, without Spark or hashes."""
+    counts = [Counter() for _ in range(depth + 2)]
+    for t in map(tokens_of, learned):
+        for size in range(1, depth + 2):
+            counts[size].update(tuple(t[i : i + size]) for i in range(len(t) - size + 1))
+    base = math.log10(sum(counts[1].values()) + len(counts[1]) + 1)
+    rests = {}
+
+    def chance(context, word):
+        if not context:
+            return math.log10(counts[1][(word,)] + 1) - base
+        n, shorter = counts[len(context) + 1][(*context, word)], chance(context[1:], word)
+        if context not in rests:
+            return shorter
+        if n >= suffix_lm.MIN_COUNT:
+            return math.log10((n - suffix_lm.DISCOUNT) / counts[len(context)][context])
+        return rests[context] + shorter
+
+    for size in range(1, depth + 1):
+        entries = {}
+        for gram, n in counts[size + 1].items():
+            if n >= suffix_lm.MIN_COUNT:
+                entries.setdefault(gram[:-1], []).append((gram[-1], n))
+        found = {}
+        for context, follow in entries.items():
+            total = counts[size][context]
+            own = [(n - suffix_lm.DISCOUNT) / total for _, n in follow]
+            short = [chance(context[1:], w) for w, _ in follow]
+            rest = max(1 - sum(own), 1e-12), max(1 - sum(10**x for x in short), 1e-12)
+            gain = sum(n * (math.log(o) - x * math.log(10)) for (_, n), o, x in zip(follow, own, short, strict=True))
+            gain += max(total - sum(n for _, n in follow), 0) * math.log(rest[0] / rest[1])
+            if gain >= suffix_lm.MIN_DIVERGENCE:
+                found[context] = math.log10(rest[0] / rest[1])
+        rests.update(found)
+    return [
+        sum(chance(tuple(t[max(0, i - depth) : i]), w) for i, w in enumerate(t))
+        for t in map(tokens_of, texts)
+    ]
+
+
+@pytest.mark.parametrize("depth", [1, 2])
+def test_scores_are_those_of_the_whole_tree(spark, depth, monkeypatch):
+    monkeypatch.setattr(suffix_lm, "MAX_DEPTH", depth)
+    monkeypatch.setattr(suffix_lm, "RANGE_BYTES", 3000)
+    rows = corpus(3)
+    scored, _ = suffix_lm.score(frame_of(spark, rows), F.col("doc_id") % 5 != 0)
+    expected = plain_scores([x for d, x in rows if d is None or d % 5], [x for _, x in rows], depth)
+    got = sorted((str(r.doc_id), r.score) for r in scored.collect())
+    wanted = sorted((str(d), x) for (d, _), x in zip(rows, expected, strict=True))
+    assert [d for d, _ in got] == [d for d, _ in wanted]
+    assert [x for _, x in got] == pytest.approx([x for _, x in wanted])
+
+
+def test_rare_contexts_are_kept_in_a_large_corpus(spark):
+    """Three times in four million tokens."""
+    rows = [(1, "some odd pair"), (2, "some odd pair"), (3, "some odd pair"), (4, "some odd pair")]
+    filler = spark.range(10, 50).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('so it goes ', 35000)").alias("text")
+    )
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").unionByName(filler)
+    scored, total = suffix_lm.score(frame, F.col("doc_id") != 4)
+    assert total > 4_000_000
+    got = scored.filter("doc_id = 4").first()
+    assert got.n_known == 4 and got.score > got.base_score + 10
+
+
 def test_words_are_hashed_as_they_are():
     texts = [b"", b" \t", b"one", b"One two\none", b"x" * 9000 + b" " + b"y" * 3, "é É".encode()]
     texts += [b"long " * 600_000, b"one"]
