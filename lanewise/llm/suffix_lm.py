@@ -11,7 +11,8 @@ The tree is never in one place. It grows by one word of context at a time: chunk
 documents, learned or not, send the hashes of their grams whose parts are frequent to hash
 ranges, which add up the counts and answer. One of the chunks that have a gram then adds its
 terms to the sums of the gram's context; the context's range adds these up, tests it, and
-tells the chunks that have it. It ends when no gram is frequent or no context is a state.
+tells the chunks that have it. It ends when no gram is frequent, or at ``MAX_DEPTH``; that
+no context of some length is a state ends nothing, as longer ones may be.
 
 Cases: a NULL text is an empty one, of one end token; a NULL doc_id is a document like
 any other; repeated rows count and are scored each; if nothing is learned, a token has
@@ -37,7 +38,7 @@ from lanewise.llm.tables import python_tasks, share_of
 from lanewise.session import delete_folder, materialize
 
 MIN_COUNT = 3
-MAX_DEPTH = 2  # tokens of a context
+MAX_DEPTH = 16  # tokens of a context
 DISCOUNT = 0.5
 # Log-likelihood that a context must win over its suffix, in nats.
 MIN_DIVERGENCE = 12.0
@@ -46,6 +47,8 @@ RANGE_BYTES = 64_000_000  # of text, for one hash range
 ID_BITS = 20
 END = np.uint64(0x5EED)
 NO_ID = -(1 << 63)
+# Every length writes its tables; what was shuffled for them is of no more use.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 COUNTS, PART, ASKED, SUMS, COUNTED, RESTS, FOUND = range(7)
 _SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -343,12 +346,22 @@ def learn(texts: DataFrame) -> tuple[Tree, DataFrame, int, int]:
     return tree, counts, total, distinct
 
 
-def _grams(tokens: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the ``length`` tokens that end at each place; the first few mean nothing."""
-    out = tokens
-    for _ in range(length - 1):
-        out = _mix(_shifted(out, 0) * np.uint64(0x9E3779B97F4A7C15) + tokens)
-    return out
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _grams(tokens: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the ``length`` tokens that end at each of the places ``ends``."""
+    sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
+    np.cumsum(tokens * _powers(_BASE, len(tokens)), out=sums[1:])
+    starts = ends - length + 1
+    return _mix((sums[ends + 1] - sums[starts]) * _powers(_INVERSE, len(tokens))[starts])
 
 
 def _shifted(values: np.ndarray, first) -> np.ndarray:
@@ -362,7 +375,8 @@ class Part:
     """What a chunk of documents knows after the counts of grams of ``length`` tokens.
 
     By place: the counts of the grams of ``length`` and of one token less that end there, and
-    the token's log10 probability after contexts of ``length`` - 2 tokens at most.
+    the token's log10 probability after contexts of ``length`` - 2 tokens at most. ``close``
+    moves to ``done`` what no longer context changes.
     """
 
     doc: np.ndarray
@@ -372,6 +386,7 @@ class Part:
     word: np.ndarray
     known: np.ndarray
     base: np.ndarray
+    done: np.ndarray
     now: np.ndarray
     past: np.ndarray
     levels: np.ndarray
@@ -395,19 +410,37 @@ class Part:
     def per_document(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
 
+    def close(self, scores: np.ndarray) -> None:
+        """Keep the scores and words that longer grams need; the others cost next to nothing."""
+        if self.length > 1:
+            is_open = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
+            self.done = self.done + self.per_document(np.where(is_open, 0.0, scores))
+            scores = np.where(is_open, scores, 0.0)
+        self.levels, level = np.unique(scores, return_inverse=True)
+        self.level = level.astype(np.int32)
+        edge = np.zeros(len(self.word) + 1, dtype=np.int64)
+        for counts, size in ((self.now, self.length), (self.past, self.length - 1)):
+            ends = np.flatnonzero(counts >= self.least) if size else np.zeros(0, np.int64)
+            np.add.at(edge, ends - size + 1, 1)
+            np.add.at(edge, ends + 1, -1)
+        self.word = np.where(np.cumsum(edge[:-1]) > 0, self.word, 0)
+        used = np.zeros(len(self.words), dtype=bool)
+        used[self.word] = True
+        self.words = np.where(used, self.words, np.uint64(0))
+
     def asked(self) -> tuple[np.ndarray, np.ndarray]:
         """(places, grams) of one token more whose parts are frequent."""
         if not self.length:
             return np.arange(len(self.word)), self.tokens
         often = (self.now >= self.least) & (_shifted(self.now, 0) >= self.least)
         at = np.flatnonzero(often & (self.place >= self.length))
-        return at, _grams(self.tokens, self.length + 1)[at]
+        return at, _grams(self.tokens, at, self.length + 1)
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """(places, contexts) where a token follows a frequent context of ``length`` - 1."""
         often = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
         at = np.flatnonzero(often)
-        return at, _grams(self.tokens, self.length - 1)[at - 1]
+        return at, _grams(self.tokens, at - 1, self.length - 1)
 
     def requests(self, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(range, grams, their learned occurrences here)."""
@@ -482,16 +515,18 @@ def _sent(
     rows = [(chunk, PART, part.packed())]
     if part.length <= depth:
         for to, *columns in part.requests(ranges):
-            rows.append((to, ASKED, pack(_one(chunk), *columns)))
+            rows.append((to, ASKED, pack(_one(chunk), steps(columns[0]), *columns[1:])))
     if part.length >= 2:
         for to, *columns in part.sums(owned, ranges):
-            rows.append((to, SUMS, pack(_one(chunk), *columns)))
+            rows.append((to, SUMS, pack(_one(chunk), steps(columns[0]), *columns[1:])))
     return rows
 
 
 def _by_chunk(payloads: list[bytes]) -> tuple[list[int], list[int], list[np.ndarray]]:
     """(chunks in order, their numbers of values, joined columns)."""
     parts = sorted((unpack(p) for p in payloads), key=lambda p: p[0][0])
+    for p in parts:
+        p[1] = np.cumsum(p[1], dtype=p[1].dtype)
     joined = [np.concatenate(c) for c in zip(*[p[1:] for p in parts], strict=True)]
     return [int(p[0][0]) for p in parts], [len(p[1]) for p in parts], joined
 
@@ -502,7 +537,7 @@ def _answered(group: pa.Table, least: int) -> pa.Table:
     by_kind: dict[int, list[bytes]] = {ASKED: [], SUMS: []}
     for kind, payload in zip(group["kind"].to_pylist(), group["payload"].to_pylist(), strict=True):
         by_kind[kind].append(payload)
-    out, total, distinct, frequent, states = [], 0, 0, 0, 0
+    out, total, distinct, frequent = [], 0, 0, 0
     if by_kind[ASKED]:
         chunks, sizes, (grams, n) = _by_chunk(by_kind[ASKED])
         values, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
@@ -523,26 +558,25 @@ def _answered(group: pa.Table, least: int) -> pa.Table:
         unseen = np.maximum(of[first] - n, 0)
         gain = gain + unseen * (np.log(rest) - np.log(shorter_rest))
         chosen = (gain >= MIN_DIVERGENCE) & (n > 0)
-        states = int(chosen.sum())
         rests = np.where(chosen, np.log10(rest) - np.log10(shorter_rest), np.nan)
         for chunk, r in zip(chunks, np.split(rests[inverse], np.cumsum(sizes)[:-1]), strict=True):
             out.append((chunk, RESTS, pack(_one(part), r)))
-    found = np.array([total, distinct, frequent, states], dtype=np.int64)
+    found = np.array([total, distinct, frequent], dtype=np.int64)
     out.append((part, FOUND, pack(found)))
     return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
 
 
-def _found(answers: DataFrame) -> tuple[int, int, int, int]:
-    """(sum of counts, grams that occur, frequent grams, states) over all ranges."""
+def _found(answers: DataFrame) -> tuple[int, int, int]:
+    """(sum of counts, grams that occur, frequent grams) over all ranges."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())]
+        names = [("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64())]
         for batch in batches:
             yield batch_of([tuple(unpack(p.as_py())[0].tolist()) for p in batch[0]], names)
 
     rows = answers.filter(F.col("kind") == FOUND).select("payload")
-    numbers = rows.mapInArrow(read, "a bigint, b bigint, c bigint, d bigint")
-    return tuple(v or 0 for v in numbers.agg(*[F.sum(c) for c in "abcd"]).first())
+    numbers = rows.mapInArrow(read, "a bigint, b bigint, c bigint")
+    return tuple(v or 0 for v in numbers.agg(*[F.sum(c) for c in "abc"]).first())
 
 
 def _part_of(group: pa.Table, length: int, least: int) -> tuple[Part, dict, dict]:
@@ -586,7 +620,7 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
             zero = np.zeros(len(tokens), np.int64)
             part = Part(
                 np.array(ids, np.int64), np.array(flags, np.int64), sizes, words,
-                word.astype(np.int32), none, none, zero, zero, np.zeros(1), zero.astype(np.int32),
+                word.astype(np.int32), none, none, none, zero, zero, np.zeros(1), zero.astype(np.int32),
                 0, least,
             )
             yield batch_of(_sent(part, first + n, None, ranges, depth), ROW_ARROW)
@@ -603,8 +637,7 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
                 scores = np.log10(part.now + 1.0) - base
                 part.known = part.per_document((part.now > 0).astype(np.int64))
                 part.base = part.per_document(scores)
-            part.levels, level = np.unique(scores, return_inverse=True)
-            part.level = level.astype(np.int32)
+            part.close(scores)
             rows = _sent(part, group["key"][0].as_py(), owned, ranges, depth)
             return pa.Table.from_batches([batch_of(rows, ROW_ARROW)])
 
@@ -613,7 +646,7 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
     def finish(length: int) -> Callable[[pa.Table], pa.Table]:
         def step(group: pa.Table) -> pa.Table:
             part, _, rests = _part_of(group, length, least)
-            scores = part.per_document(part.take_rests(rests, ranges))
+            scores = part.done + part.per_document(part.take_rests(rests, ranges))
             ids = pa.array(part.doc, mask=part.doc == NO_ID)
             columns = [part.sizes, part.known.astype(np.int64), part.base, scores]
             return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=_SCORED_NAMES)
@@ -629,19 +662,24 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
         parts = sent.filter(F.col("kind") == PART)
         return parts.unionByName(answers.filter(F.col("kind") != FOUND)).groupBy("key")
 
-    sent = materialize(texts.mapInArrow(scan, ROW), "parts-0")
-    answers = answers_to(sent, 0)
-    total, distinct, _, _ = _found(answers)
-    base = float(np.log10(total + distinct + 1))
-    for length in range(1, depth + 2):
-        old = sent, answers
-        sent = materialize(
-            meeting(sent, answers).applyInArrow(longer(length, base), ROW), f"parts-{length}"
-        )
-        for table in old:
-            _drop(table)
-        answers = answers_to(sent, length)
-        *_, frequent, states = _found(answers)
-        if not frequent or (length > 1 and not states):
-            break
+    spark = documents.sparkSession
+    cleaned = spark.conf.get(CLEAN_SHUFFLES)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        sent = materialize(texts.mapInArrow(scan, ROW), "parts-0")
+        answers = answers_to(sent, 0)
+        total, distinct, _ = _found(answers)
+        base = float(np.log10(total + distinct + 1))
+        for length in range(1, depth + 2):
+            old = sent, answers
+            sent = materialize(
+                meeting(sent, answers).applyInArrow(longer(length, base), ROW), f"parts-{length}"
+            )
+            for table in old:
+                _drop(table)
+            answers = answers_to(sent, length)
+            if not _found(answers)[2]:
+                break
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, cleaned)
     return meeting(sent, answers).applyInArrow(finish(length), _SCORED), total

@@ -199,7 +199,7 @@ def plain_scores(learned, texts, depth):
     ]
 
 
-@pytest.mark.parametrize("depth", [1, 2])
+@pytest.mark.parametrize("depth", [1, 2, 5])
 def test_scores_are_those_of_the_whole_tree(spark, depth, monkeypatch):
     monkeypatch.setattr(suffix_lm, "MAX_DEPTH", depth)
     monkeypatch.setattr(suffix_lm, "RANGE_BYTES", 3000)
@@ -225,6 +225,21 @@ def test_rare_contexts_are_kept_in_a_large_corpus(spark):
     assert got.n_known == 4 and got.score > got.base_score + 10
 
 
+def test_long_contexts_become_states(spark):
+    """What follows "a b a b a b a b" tells only from the word before it."""
+    rng = random.Random(5)
+    def text(n):
+        return " ".join(f"{x} a b a b a b a b {x}{x}" for x in (rng.choice("pqrs") for _ in range(n)))
+
+    rows = [(i, text(40)) for i in range(20)]
+    scored, _ = suffix_lm.score(frame_of(spark, rows), F.col("doc_id") % 5 != 0)
+    depth = suffix_lm.MAX_DEPTH
+    learned, got = [x for d, x in rows if d % 5], {r.doc_id: r.score for r in scored.collect()}
+    expected = plain_scores(learned, [x for _, x in rows], depth)
+    assert [got[d] for d, _ in rows] == pytest.approx(expected)
+    assert got[0] > plain_scores(learned, [rows[0][1]], 2)[0] + 20
+
+
 def test_words_are_hashed_as_they_are():
     texts = [b"", b" \t", b"one", b"One two\none", b"x" * 9000 + b" " + b"y" * 3, "é É".encode()]
     texts += [b"long " * 600_000, b"one"]
