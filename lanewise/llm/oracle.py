@@ -126,3 +126,25 @@ select p.page_id, cast(strlen(p.payload) as bigint) as payload_bytes,
   case when p.page_id <> f.response then f.response end as refers_to
 from payloads p join first f on p.payload = f.payload
 """
+
+_BLANK = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+ORACLE["op13_line_dedup"] = f"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+  from documents
+), keyed as (
+  select *, translate(trim(line, {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    as key
+  from lines
+), first as (
+  select key, min(doc_id) as holder from keyed where length(key) >= 10 group by key
+), marked as (
+  select doc_id, line, place, coalesce(holder < doc_id, false) as drops
+  from keyed left join first using (key)
+)
+select doc_id, count(*) as n_lines, cast(count_if(drops) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (not drops), '')) as kept_sha256
+from marked group by doc_id
+"""

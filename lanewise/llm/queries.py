@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.llm import (
-    bpe, chat, classifier, host_rules, inner_products, packing, simhash, substrings, suffix_lm, warc,
+    bpe, chat, classifier, host_rules, inner_products, line_index, packing, periodic_runs, simhash,
+    spelling, substrings, suffix_lm, warc,
 )
-from lanewise.llm.tables import table
+from lanewise.llm.tables import SPACE, bound, table
 
 # Vocabulary files are looked up by name where the tokenizer package is installed.
 WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -133,3 +135,72 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_archives(spark, folder)
+
+
+def with_repeated_tails(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by the checksum of their doc_id, go on in a
+    period from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = documents.select("doc_id", "text", checksum.alias("h"))
+    words = F.array_remove(F.split("text", SPACE), "")
+    g = F.floor(F.col("h") / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        times = F.ceil((n - a) / p)
+        tail = F.flatten(F.array_repeat(F.slice(w, a.cast("int") + 1, p.cast("int")), times.cast("int")))
+        longer = F.concat(F.slice(w, F.lit(1), a.cast("int")), tail)
+        return F.when(n > 0, F.array_join(F.slice(longer, F.lit(1), n), " ")).otherwise("")
+
+    text = F.when(F.col("h") % 10 == 0, bound(words, repeated)).otherwise(F.col("text"))
+    return chosen.select("doc_id", text.alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = with_repeated_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse_runs(documents)
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"], r["period"]))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *r_text(r)), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.minus")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(F.lit(-1000) * F.col("longest.minus") / F.col("longest.period"))
+        .cast("bigint")
+        .alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def r_text(run: Column) -> list[Column]:
+    return [run[c].cast("string") for c in ("start", "length", "period")]
+
+
+def without_a_letter(doc_id: int, word: str) -> str:
+    """One word of 97, by the checksum of its document and itself, loses a letter."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    if h % 97:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), without_a_letter)
+    return spelling.variants(counts.filter(F.col("n") >= spelling.MIN_COUNT))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_index.drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )

@@ -90,3 +90,75 @@ def rule_measures(text: str):
         len(lines) - len(set(lines)),
         len(covered),
     )
+
+
+def line_dedup(docs):
+    """[(doc_id, n_lines, n_dropped, kept text)]."""
+
+    def key(line):
+        out = re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
+        return out if len(out) >= 10 else None
+
+    first = {}
+    for d, t in docs:
+        for line in (t or "").split("\n"):
+            if d is not None and key(line) is not None:
+                first[key(line)] = min(first.get(key(line), d), d)
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if d is None or key(x) is None or first[key(x)] >= d]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def runs(words, least=12):
+    """Maximal repetitions as (start, length, period), every period tried at every place."""
+    found = {}
+    for p in range(1, len(words) // 2 + 1):
+        s = 0
+        while s + p < len(words):
+            e = s
+            while e + p < len(words) and words[e] == words[e + p]:
+                e += 1
+            if e + p - s >= max(least, 2 * p):
+                found.setdefault((s, e + p), p)
+            s = e + 1
+    return sorted((s, e - s, p) for (s, e), p in found.items())
+
+
+def collapsed(words, found):
+    gone = {i for s, n, p in found for i in range(s + p, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_variants(counts):
+    """[(word, form, root, n, n_near, form_n)] with near words found by deleting letters."""
+    shorter = defaultdict(set)
+    for w in counts:
+        for x in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
+            shorter[x].add(w)
+    near = {w: set() for w in counts}
+    for group in shorter.values():
+        for a in group:
+            near[a].update(b for b in group if a != b and one_edit(a, b))
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        if best is not None and counts[best] >= 2 * counts[w]:
+            form[w] = best
+    out = []
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        f = form.get(w)
+        out.append((w, f, root, n, len(near[w]), counts[f] if f else None))
+    return out
