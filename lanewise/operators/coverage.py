@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.operators.intervals import expand_days
+from lanewise.operators.intervals import expand_days, last_day, merge_intervals
 from lanewise.operators.lanes import LANE_KEYS, attach_lanes
 
-
 SUPPLIER, COMPANY = 1, 2
+PAIR = ["origin_pid", "destination_pid", "equipment_id"]
 
 
 def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
     """Per lane, equipment and day: distinct suppliers and companies.
 
     A datapoint counts whether or not it could be priced, so charges are not read.
-    Suppliers and companies become (kind, party) rows, so that both distinct counts
-    are one pair of groupings. They are reduced per port pair, map-side, before the
-    lane map multiplies them; the shuffles include the party, which spreads a crowded
-    lane.
+    Suppliers and companies become (kind, party) rows, so that both counts are one pass.
+    Their intervals are merged per port pair, multiplied by the lane map, and merged
+    again per lane: a party has each of its days in one interval, so days are made last
+    and only counted. The shuffles include the party, which spreads a crowded lane.
     """
     parties = F.inline(
         F.array(
@@ -27,19 +27,33 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
             F.struct(F.lit(COMPANY).alias("kind"), F.col("company_id").alias("party")),
         )
     )
-    pair = ["origin_pid", "destination_pid", "equipment_id", "date"]
-    slim = datapoints.select(*pair[:3], "supplier_id", "company_id", "valid_from", "valid_to")
-    present = (
-        expand_days(slim)
-        .select(*pair, parties)
-        .distinct()
+    present = datapoints.select(*PAIR, "valid_from", "valid_to", parties)
+    by_pair = merge_intervals(present, [*PAIR, "kind", "party"])
+    on_lanes = attach_lanes(by_pair, members)
+    by_lane = merge_intervals(on_lanes, ["lane_id", "equipment_id", "kind", "party"])
+
+    def of(kind: int):
+        return F.when(F.col("kind") == kind, F.col("party"))
+
+    return expand_days(by_lane).groupBy(*LANE_KEYS).agg(
+        F.count(of(SUPPLIER)).alias("supplier_cnt"), F.count(of(COMPANY)).alias("company_cnt")
     )
-    once = attach_lanes(present, members).select(*LANE_KEYS, "kind", "party").distinct()
 
-    def of(kind: int, column: str):
-        return F.when(F.col("kind") == kind, F.col(column))
 
-    return once.groupBy(*LANE_KEYS).agg(
-        F.count(of(SUPPLIER, "party")).alias("supplier_cnt"),
-        F.count(of(COMPANY, "party")).alias("company_cnt"),
+def lane_sizes(datapoints: DataFrame, members: DataFrame) -> DataFrame:
+    """(lane_id, equipment_id, month, rows): no day of the month has more datapoints on
+    the lane. Months, not days, are made, and they are added up per port pair before the lane
+    map multiplies them."""
+    months = F.sequence(
+        F.trunc("valid_from", "month"), F.trunc(last_day(), "month"), F.expr("interval 1 month")
+    )
+    by_pair = (
+        datapoints.select(*PAIR, F.explode_outer(months).alias("month"))
+        .groupBy(*PAIR, "month")
+        .agg(F.count("*").alias("datapoints"))
+    )
+    return (
+        attach_lanes(by_pair, members)
+        .groupBy("lane_id", "equipment_id", "month")
+        .agg(F.sum("datapoints").alias("rows"))
     )

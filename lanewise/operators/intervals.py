@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,34 @@ def clip(
     return clipped.withColumns({"valid_from": first_day, "valid_to": last_day})
 
 
+def last_day() -> Column:
+    """Last day that ``expand_days`` makes of an interval; NULL if it has no start."""
+    end = F.greatest("valid_from", F.coalesce("valid_to", "valid_from"))
+    return F.when(F.col("valid_from").isNotNull(), end)
+
+
+def merge_intervals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, valid_from, valid_to): the days of all intervals of a key, each in one interval.
+
+    Gives the days that ``expand_days`` gives, once each; intervals without a start become
+    one such interval. First only the longest interval per first day is kept, map-side, so
+    what is put in order per key is bounded by the days there are, whatever the rows.
+    """
+    longest = rows.groupBy(*keys, "valid_from").agg(F.max(last_day()).alias("valid_to"))
+    in_order = Window.partitionBy(*keys).orderBy("valid_from")
+    before = F.max("valid_to").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = before.isNull() | (F.col("valid_from") > F.date_add(before, 1))
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    islands = longest.withColumn("_opens", opens.cast("int")).withColumn(
+        "_island", F.sum("_opens").over(upto)
+    )
+    return (
+        islands.groupBy(*keys, "_island")
+        .agg(F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"))
+        .drop("_island")
+    )
+
+
 def expand_days(datapoints: DataFrame) -> DataFrame:
     """Replace (valid_from, valid_to) by ``date``, both ends included.
 

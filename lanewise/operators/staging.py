@@ -30,28 +30,13 @@ def load_position(
     ).cast("decimal(38,0)")
 
 
-def with_status(raw: DataFrame, status: DataFrame) -> DataFrame:
-    """Raw rows in their current state.
-
-    Raw rows are never rewritten; outcomes are appended to ``status``. Both sides
-    have one row per (batch_id, raw_pid), so the join cannot crowd on a key.
+def current_state(untried: DataFrame, outcome: DataFrame, table: str) -> DataFrame:
+    """Raw rows in their current state: those of batches not yet tried as they were loaded,
+    those of tried batches as staging has written them. No row is joined to its status.
     """
-    outcome = status.select(
-        "batch_id",
-        "raw_pid",
-        F.col("stg_status").alias("new_status"),
-        F.col("stg_load_time").alias("new_time"),
-    )
-    return (
-        raw.join(outcome, ["batch_id", "raw_pid"], "left")
-        .withColumns(
-            {
-                "stg_status": F.coalesce("new_status", "stg_status"),
-                "stg_load_time": F.coalesce("new_time", "stg_load_time"),
-            }
-        )
-        .select(*raw.columns)
-    )
+    audit = [c for c in untried.columns if c not in columns(table)]
+    tried = outcome.select("delivered.*", *audit)
+    return untried.select(*columns(table), *audit).unionByName(tried)
 
 
 def versions(accepted: DataFrame) -> DataFrame:
@@ -83,6 +68,11 @@ def current(accepted: DataFrame) -> DataFrame:
     )
 
 
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a datapoint's active version."""
+    return F.pmod(F.xxhash64("d_id"), F.lit(buckets)).cast("int")
+
+
 def advance(active: DataFrame, batch: DataFrame, columns: list[str]) -> DataFrame:
     """Active versions after one more batch of accepted rows.
 

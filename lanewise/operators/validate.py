@@ -27,20 +27,24 @@ def validate(raw: DataFrame, table: str) -> DataFrame:
 def outcomes(raw: DataFrame, table: str) -> DataFrame:
     """Everything staging writes for a raw batch, from one scan of it.
 
-    Accepted and rejected rows, their status and the quarantined text are columns of
-    the same row, so raw is read and parsed once.
+    Accepted and rejected rows, their status and their text are columns of the same row,
+    so raw is read and parsed once, and neither the quarantine nor the state of a raw row
+    needs a join. Readers of typed columns never touch the text.
     """
     checked = validate(raw, table)
     rank = F.col("file_rank") if "file_rank" in raw.columns else F.lit(0)
+    known = "raw_load_time" in raw.columns
+    loaded = F.col("raw_load_time") if known else F.lit(None).cast("timestamp_ntz")
     text = F.struct(*[F.col(name) for name in columns(table)])
     return checked.select(
         *[parse_field(f).alias(f.name) for f in TABLES[table]],
         "raw_pid",
         rank.alias("file_rank"),
         "src_file",
+        loaded.alias("raw_load_time"),
         F.current_timestamp().cast("timestamp_ntz").alias("stg_load_time"),
         "failed_columns",
-        F.when(~F.col("ok"), text).alias("delivered"),
+        text.alias("delivered"),
         F.when(F.col("ok"), LOADED).otherwise(ERROR).alias("stg_status"),
     )
 

@@ -21,7 +21,7 @@ from lanewise.functions.numeric import (
     quality_flag,
     round_half_up,
 )
-from lanewise.operators.coverage import lane_coverage
+from lanewise.operators.coverage import lane_coverage, lane_sizes
 from lanewise.operators.hierarchy import ancestor_set
 from lanewise.operators.intervals import active, clip
 from lanewise.operators.lanes import (
@@ -91,9 +91,10 @@ def lane_statistics(
     supplier_cnt, company_cnt), prices rounded to cents.
 
     Coverage is known before any price. Lanes below the minimum counts are dropped from
-    it, and costs meet what is left before their medians are taken. Coverage rows and
-    statistics meet in one aggregation, which keeps lanes that have datapoints but no
-    cost.
+    it, and costs meet what is left before their medians are taken. How many datapoints a lane
+    has in a month tells, before any price, which groups are too large to be gathered.
+    Coverage rows and statistics meet in one aggregation, which keeps lanes that have
+    datapoints but no cost.
     """
     datapoints = tables.datapoints
     coverage = lane_coverage(datapoints, lane_map.members)
@@ -107,11 +108,14 @@ def lane_statistics(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
     ).select("origin_pid", "destination_pid", "equipment_id", "date", "cost")
     priced = attach_lanes(costs, lane_map.members).select(
-        *LANE_KEYS, (F.col("cost") * F.col("copies")).alias("cost")
+        *LANE_KEYS,
+        F.trunc("date", "month").alias("month"),
+        (F.col("cost") * F.col("copies")).alias("cost"),
     )
     if limited:
         priced = semi_join(priced, coverage, LANE_KEYS, "left_semi")
-    prices = statistics(priced, LANE_KEYS, "cost", ordered_values)
+    sizes = lane_sizes(datapoints, lane_map.members)
+    prices = statistics(priced, LANE_KEYS, "cost", ordered_values, sizes)
     merged = coverage.unionByName(prices, allowMissingColumns=True)
     found = merged.groupBy(*LANE_KEYS).agg(
         round_half_up(F.max("median")).alias("med_cost"),

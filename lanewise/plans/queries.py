@@ -225,7 +225,9 @@ def row_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     outcome = validate.outcomes(raw.filter("batch_id = 0"), "datapoints")
-    return staging.with_status(raw, outcome.withColumn("batch_id", F.lit(0))).select(
+    untried = raw.filter("batch_id = 1")
+    state = staging.current_state(untried, outcome.withColumn("batch_id", F.lit(0)), "datapoints")
+    return state.select(
         "raw_pid", "d_id", "stg_status", F.col("stg_load_time").isNotNull().alias("tried")
     )
 

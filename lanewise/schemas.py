@@ -91,11 +91,11 @@ def staging_schema(table: str) -> T.StructType:
 
 
 def outcome_schema(table: str) -> T.StructType:
-    """A staged row: typed values, the outcome, and the text of a rejected row."""
+    """A staged row: typed values, the outcome, and the row's own text."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in columns(table)])
     return staging_schema(table).add(FILE_RANK).add("src_file", T.StringType()).add(
-        "stg_load_time", T.TimestampNTZType()
-    ).add("failed_columns", T.StringType()).add("delivered", text).add(
+        "raw_load_time", T.TimestampNTZType()
+    ).add("stg_load_time", T.TimestampNTZType()).add("failed_columns", T.StringType()).add("delivered", text).add(
         "stg_status", T.StringType()
     )
 

@@ -15,6 +15,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    place, system = _place(spark, folder)
+    if not system.exists(place):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(place)]
+
+
 def uri(spark: SparkSession, path: str) -> str:
     """A path as ``_metadata.file_path`` shows it."""
     return _place(spark, path)[0].toUri().toString()

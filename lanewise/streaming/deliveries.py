@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,13 +14,13 @@ from lanewise.schemas import TABLES
 from lanewise.sources import routing
 from lanewise.sources.csv_files import (
     Delivery,
-    headers,
+    file_blocks,
+    look_into,
     missing_columns,
     read_deliveries,
-    with_broken_lines,
 )
-from lanewise.sources.storage import move_into
-from lanewise.sources.tables import LOADS, LOG, RAW, STAGED, STAGING, UNROUTED, Warehouse
+from lanewise.sources.storage import exists, move_into
+from lanewise.sources.tables import LOADS, RAW, STAGED, STAGING, UNROUTED, Warehouse
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 NO_TABLE = "no table"
@@ -36,8 +36,8 @@ def load_batch(
 ) -> None:
     """Append one batch of files to the raw tables, in the order of their arrival.
 
-    Only paths, header names and the last key come to the driver; their number is
-    bounded by the stream's ``maxFilesPerTrigger``. Files that belong nowhere, cannot be
+    Only paths and header lines come to the driver; their number is bounded by the stream's
+    ``maxFilesPerTrigger``. Files that belong nowhere, cannot be
     read or lack a column are reported in the log and the rest of the batch loads. The
     log entry of the load comes last; a batch that has one is not loaded again. After
     that, loaded files move to ``archive`` and files that a table should have had move to
@@ -46,60 +46,70 @@ def load_batch(
     spark = files.sparkSession
     table_of = routing.route(routing.base_name(F.col("path")))
     arrival = [F.col(c) for c in ("modificationTime", "path") if c in files.columns]
-    routed = files.orderBy(*arrival).select("path", table_of.alias("table")).collect()
-    if not warehouse.has_batch(LOG, LOADS, batch_id):
+    in_order = files.orderBy(*arrival).select("path", table_of.alias("table")).collect()
+    # A file stream names a file more than once if other names read as patterns match it.
+    routed = list(dict.fromkeys(in_order))
+    if not warehouse.has_loaded(batch_id):
         _load(warehouse, [(r.path, r.table) for r in routed], batch_id, **csv)
     refused = {r.path for r in warehouse.entries(UNROUTED, batch_id)}
-    for row in routed:
+
+    def move(row) -> None:
         folder = rejected if row.path in refused else archive
         if folder and row.table != routing.UNROUTED:
             move_into(spark, row.path, f"{folder.rstrip('/')}/batch_id={batch_id}")
 
+    _for_each(move, routed)
+
+
+def _for_each(act, items: list) -> list:
+    """Small requests to the store, several at a time."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(act, items))
+
 
 def _load(warehouse: Warehouse, routed: list[tuple[str, str]], batch_id: int, **csv: object) -> None:
+    """The files of each table are looked into and read together, whatever their number."""
     spark = warehouse.spark
     report = [(path, NO_TABLE) for path, table in routed if table == routing.UNROUTED]
-    known = [path for path, table in routed if table != routing.UNROUTED]
-    header_of = headers(spark, known, **csv)
-    readable = {}
-    for path, table in routed:
-        if path not in header_of:
-            continue
-        header = header_of[path]
-        missing = missing_columns(header or (), table)
-        if header is None or missing:
-            report.append((path, "missing " + ",".join(missing) if header else "not readable"))
-        else:
-            readable[path] = table
-    broken = with_broken_lines(spark, list(readable), **csv)
-    by_table: dict[str, list[Delivery]] = defaultdict(list)
-    for rank, (path, table) in enumerate(readable.items()):
-        by_table[table].append(Delivery(path, header_of[path], rank, path in broken))
-
+    known = [(rank, path, table) for rank, (path, table) in enumerate(routed) if table != routing.UNROUTED]
+    there = dict(_for_each(lambda f: (f[1], exists(spark, f[1])), known))
     key, loads = warehouse.next_key(batch_id), []
     for table in TABLES:
-        if by_table[table]:
-            rows = read_deliveries(spark, table, by_table[table], first_key=key, **csv)
-            key = _write_raw(warehouse, rows, table, batch_id, key)
+        files = [(rank, path) for rank, path, routed_to in known if routed_to == table]
+        report += [(path, "not readable") for _, path in files if not there[path]]
+        files = [(rank, path) for rank, path in files if there[path]]
+        if not files:
+            continue
+        paths = [path for _, path in files]
+        blocks = file_blocks(spark, paths, csv.get("encoding"))
+        looks = look_into(spark, paths, blocks, **csv)
+        deliveries = []
+        for rank, path in files:
+            header, broken = looks.get(path, ((), False))
+            missing = missing_columns(header, table)
+            if missing:
+                report.append((path, "missing " + ",".join(missing) if header else "not readable"))
+            else:
+                deliveries.append(Delivery(path, header, rank, broken))
+        if deliveries:
+            rows, after = read_deliveries(spark, table, deliveries, blocks, paths, key, **csv)
+            _write_raw(warehouse, rows, table, batch_id, after)
+            key = after
             loads.append((table, key))
-    _log(warehouse, UNROUTED, report, batch_id)
-    _log(warehouse, LOADS, loads, batch_id)
+    warehouse.log(UNROUTED, report, batch_id)
+    warehouse.log(LOADS, loads, batch_id)
 
 
 def _write_raw(
-    warehouse: Warehouse, rows: DataFrame, table: str, batch_id: int, first_key: int
-) -> int:
-    """Write the rows and return the first key after them, without a second scan."""
+    warehouse: Warehouse, rows: DataFrame, table: str, batch_id: int, next_key: int
+) -> None:
+    """Write the rows; the last one counted must be among them."""
     seen = Observation()
     last = F.max("raw_pid").alias("last")
     warehouse.write(rows.observe(seen, last), RAW, table, batch_id)
     last_key = seen.get.get("last")
-    return first_key if last_key is None else last_key + 1
-
-
-def _log(warehouse: Warehouse, name: str, entries: list[tuple], batch_id: int) -> None:
-    entry_frame = warehouse.spark.createDataFrame(entries, warehouse.schema(LOG, name))
-    warehouse.write(entry_frame, LOG, name, batch_id)
+    if last_key is not None and last_key != next_key - 1:
+        raise RuntimeError(f"{table}: files of batch {batch_id} changed while they were read")
 
 
 def start_loading(
@@ -149,11 +159,13 @@ def stage_pending(warehouse: Warehouse) -> None:
     """Stage every batch that has been loaded but not staged.
 
     The log entry comes last, so an interrupted batch is staged again into the same
-    folders.
+    folders. Then one row stands for all batches up to this one, and what they no longer need
+    is deleted.
     """
     for batch_id, members in groupby(warehouse.pending_batches(), key=lambda pair: pair[0]):
         tables = [table for _, table in members]
         for table in tables:
             stage_batch(warehouse, table, batch_id)
-        _log(warehouse, STAGED, [(table,) for table in tables], batch_id)
-        warehouse.drop_old_active(batch_id)
+        warehouse.log(STAGED, [(table,) for table in tables], batch_id)
+        warehouse.set_done(batch_id)
+        warehouse.drop_old_active()

@@ -71,7 +71,7 @@ def test_every_row_is_accepted_or_quarantined(raw):
     outcome = {r.raw_pid: r for r in outcome.collect()}
     assert {k for k, r in outcome.items() if r.stg_status == "LOADED"} == accepted
     assert {k: r.failed_columns for k, r in outcome.items() if r.stg_status == "ERROR"} == rejected
-    assert outcome[2].delivered.supplier_id == "abc" and outcome[1].delivered is None
+    assert outcome[2].delivered.supplier_id == "abc" and outcome[1].delivered.supplier_id == "4"
     assert outcome[3].d_id == 7
 
 
