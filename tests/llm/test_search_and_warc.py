@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,18 +27,21 @@ def vectors(seed, n=400, width=12):
     return rows
 
 
+def long(score):
+    return min(max(score, -(2**63)), 2**63 - 1)
+
+
 def brute(rows, top):
     whole = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        single = [float(x) for x in __import__("numpy").array(v, dtype="float32")]
-        limit = inner_products.LIMIT
-        whole.append((i, [min(max(math.floor(1024 * x), -limit), limit) for x in single]))
+        single = [float(x) for x in np.array(v, dtype="float32")]
+        whole.append((i, [math.floor(1024 * x) for x in single]))
     out = []
     for q in sorted({i for i, _ in whole if i % 100 == 0}):
         own = min(v for i, v in whole if i == q)
-        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q)
+        scored = sorted((-long(sum(a * b for a, b in zip(own, v))), i) for i, v in whole if i != q)
         out += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:top])]
     return out
 
@@ -62,6 +66,45 @@ def test_few_or_no_vectors(spark):
     assert inner_products.top_inner_products(none, asked).count() == 0
 
 
+def searched(spark, rows, top=10):
+    frame = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], VECTORS).repartition(3)
+    whole = inner_products.integer_vectors(frame)
+    found = inner_products.top_inner_products(whole, F.col("vec_id") % 100 == 0, top)
+    return sorted(map(tuple, found.select("query_id", "rank", "vec_id", "score").collect()))
+
+
+@pytest.mark.parametrize("rows", [
+    [(0, [1.0])],
+    [(0, [1.0, 2.0]), (1, [0.5]), (2, [-1.0, 3.0])],
+    [(1, [1.0]), (2, [2.0])],
+    [(0, []), (100, [])],
+])
+def test_tables_of_one_vector_or_query(spark, rows):
+    assert searched(spark, rows) == brute(rows, 10)
+
+
+def test_blocks_of_one_query(spark, monkeypatch):
+    monkeypatch.setattr(inner_products, "BLOCK_QUERIES", 1)
+    rows = vectors(5, n=301)
+    assert searched(spark, rows) == brute(rows, 10)
+
+
+def test_tasks_without_a_candidate_left():
+    ids, rows = np.arange(1, 21), np.ones((20, 3))
+    none = [np.zeros(0, dtype=np.int64) for _ in range(3)]
+    block = inner_products.Block(np.array([0]), np.full((1, 3), 5.0), np.eye(3), 1, np.array([15.5]))
+    best = inner_products._search_sorted(ids, rows, block, none, 10)
+    assert [len(x) for x in best] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("size", [2e5, 1e8, 1e12, 1e30, 3e38])
+def test_large_components_keep_their_value(spark, size):
+    rng = random.Random(int(size) % 997)
+    rows = [(i, [rng.choice([0.0, 1.0, -1.0, rng.gauss(0, size / 10), 0.9 * size]) for _ in range(4)]) for i in range(120)]
+    rows += [(0 + 1000, [200000.0]), (1001, [131072.0]), (1002, [300000.0]), (1100, [1.0, 1.0])]
+    assert searched(spark, rows) == brute(rows, 10)
+
+
 PAGES = "page_id bigint, url string, html string, n int, start int, file string"
 FALSE = "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:7>\r\nContent-Length: 0\r\n\r\n\r\n\r\nWARC/1.1\r\n"
 
