@@ -3,7 +3,9 @@
 A rolling hash over the bytes cuts a text where its value says so, so equal passages in
 different texts are cut alike. A worker encodes a chunk once and reuses the result for
 all documents it sees; white-space separated words inside new chunks are reused the same
-way. A cut may fall into a word: the word across each join is put together again, and
+way. Where the tokenizer takes ASCII letters in either case and parts them from the marks
+after them, a word of letters and marks is put together from both, and letters in lower
+case go to the tokenizer's model at once. A cut may fall into a word: the word across each join is put together again, and
 the stretch from the last whole word before it to the first one after it is encoded by
 the library itself. If that does not agree with the spliced ids, the stretch widens to
 the whole text.
@@ -13,15 +15,16 @@ and the generation before that goes. No shuffle is needed; chunks are shared by
 documents of one worker, not across the cluster, as sending every chunk to the task
 that owns it would cost more than encoding it.
 
-Cases: a NULL text is an empty one, with no ids and an empty decoded text; other
-columns are kept or ignored by the caller's choice; long texts, repeated rows and empty
-tables need nothing special.
+Cases: a NULL text is an empty one, with no ids and an empty decoded text; equal rows are
+all returned; texts of any length are whole; no rows give no rows; nothing depends on the order
+of rows, so there are no ties; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +61,7 @@ def content_cuts(data: bytes, bits: int = CHUNK_BITS) -> list[int]:
 
 
 _SPACED = re.compile(rb"[\x20\x09-\x0d]")
-_FIRST = re.compile(rb"[\x20\x09-\x0d]+([^\x20\x09-\x0d]+)[\x20\x09-\x0d]")
-_LAST = re.compile(rb"[\x20\x09-\x0d]([^\x20\x09-\x0d]+)[\x20\x09-\x0d]+[^\x20\x09-\x0d]*\Z")
+_MARKS = ".,;:!?"
 
 
 class Coder:
@@ -77,16 +79,45 @@ class Coder:
             raise ValueError("only tokenizers that decode by joining tokens are supported")
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.tokens = [(self.library.id_to_token(i) or "").encode() for i in range(size)]
-        self.words = Memory(self._directly, WORDS_KEPT)
+        self.names = [b"%d" % i for i in range(size)]
+        self.model = self.library.model
+        self.letters_alone = self._takes_letters_alone()
+        self.words = Memory(self._word, WORDS_KEPT)
         self.chunks = Memory(self._chunk, CHUNKS_KEPT)
 
     def _directly(self, data: bytes) -> tuple[int, bytes, bytes]:
-        ids = self.library.encode(data.decode(), add_special_tokens=False).ids
-        return (
-            len(ids),
-            b" ".join([b"%d" % i for i in ids]),
-            b" ".join([self.tokens[i] for i in ids]),
-        )
+        return self._named(self.library.encode(data.decode(), add_special_tokens=False).ids)
+
+    def _named(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+        names, tokens = self.names, self.tokens
+        return len(ids), b" ".join([names[i] for i in ids]), b" ".join([tokens[i] for i in ids])
+
+    def _takes_letters_alone(self) -> bool:
+        """Whether the tokenizer lowers ASCII letters, hands a stretch of them to its model as
+        it is, and parts it from marks behind it."""
+        library, letters = self.library, string.ascii_lowercase
+        if library.normalizer is None or library.pre_tokenizer is None:
+            return False
+        added = [token.content for token in library.get_added_tokens_decoder().values()]
+        if any(not set(a) - set(string.ascii_letters + _MARKS) for a in added):
+            return False
+        normal, cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        if normal(string.ascii_letters + _MARKS) != letters * 2 + _MARKS:
+            return False
+        parts = [[part for part, _ in cut(letters + tail)] for tail in ("", *_MARKS, _MARKS)]
+        return parts == [[letters], *[[letters, mark] for mark in _MARKS], [letters, _MARKS]]
+
+    def _word(self, data: bytes) -> tuple[int, bytes, bytes]:
+        letters = data.rstrip(_MARKS.encode())
+        # The letters of bytes are those of ASCII.
+        if not (self.letters_alone and letters.isalpha()):
+            return self._directly(data)
+        lowered = letters.lower()
+        if lowered == data:
+            return self._named([token.id for token in self.model.tokenize(data.decode())])
+        if len(letters) == len(data):
+            return self.words[lowered]
+        return self._join([self.words[lowered], self.words[data[len(letters) :]]])
 
     @staticmethod
     def _join(parts: list[tuple]) -> tuple[int, bytes, bytes]:
@@ -111,14 +142,11 @@ class Coder:
         closed = _SPACED.match(chunk, len(chunk) - 1) is not None
         tail = b"" if closed else words[-1]
         body = words[bool(head) : len(words) - bool(tail)]
-        first, last = _FIRST.search(chunk), _LAST.search(chunk)
-        return (
-            head,
-            self._join(list(map(self.words.__getitem__, body))),
-            tail,
-            first.end(1) if first else None,
-            last.start(1) if last else None,
-        )
+        first = last = None
+        if body:
+            first = chunk.index(body[0], len(head)) + len(body[0])
+            last = chunk.rindex(body[-1], 0, len(chunk) - len(tail))
+        return head, self._join(list(map(self.words.__getitem__, body))), tail, first, last
 
     def _agrees(self, data: bytes, start: int, end: int) -> bool:
         """Whether the words of a stretch, spliced, are what the library makes of it."""
