@@ -38,6 +38,40 @@ def clip(
     return clipped.withColumns({"valid_from": first_day, "valid_to": last_day})
 
 
+# Days as stretches (first, last), both included; (None, None) stands for rows without a day.
+Stretches = list[tuple[dt.date | None, dt.date | None]]
+
+
+def clip_to(datapoints: DataFrame, days: Stretches) -> DataFrame:
+    """Only the days in ``days``: a datapoint becomes one row per stretch that it touches.
+
+    Stretches are few, at most one for two days of the calendar, and do not overlap.
+    """
+    dated = [(first, last) for first, last in days if first is not None]
+    if dated:
+        spans = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last")) for a, b in dated])
+        met = F.filter(
+            spans, lambda s: (s["first"] <= last_day()) & (s["last"] >= F.col("valid_from"))
+        )
+        bounds = (min(a for a, _ in dated), max(b for _, b in dated))
+        pieces = (
+            clip(datapoints, *bounds)
+            .withColumn("_span", F.explode(met))
+            .withColumns(
+                {
+                    "valid_from": F.greatest("valid_from", F.col("_span.first")),
+                    "valid_to": F.least("valid_to", F.col("_span.last")),
+                }
+            )
+            .drop("_span")
+        )
+    else:
+        pieces = datapoints.filter(F.lit(False))
+    if len(dated) < len(days):
+        pieces = pieces.unionByName(datapoints.filter(F.col("valid_from").isNull()))
+    return pieces
+
+
 def last_day() -> Column:
     """Last day that ``expand_days`` makes of an interval; NULL if it has no start."""
     end = F.greatest("valid_from", F.coalesce("valid_to", "valid_from"))

@@ -23,7 +23,7 @@ from lanewise.functions.numeric import (
 )
 from lanewise.operators.coverage import lane_coverage, lane_sizes
 from lanewise.operators.hierarchy import ancestor_set
-from lanewise.operators.intervals import active, clip
+from lanewise.operators.intervals import Stretches, active, clip, clip_to
 from lanewise.operators.lanes import (
     LANE_KEYS,
     PORT_TO_PORT,
@@ -66,16 +66,22 @@ def lane_map(
 
 
 def within(
-    tables: Staging, date_from: dt.date | None = None, date_to: dt.date | None = None
+    tables: Staging,
+    date_from: dt.date | None = None,
+    date_to: dt.date | None = None,
+    days: Stretches | None = None,
 ) -> Staging:
-    """Active datapoints clipped to a date range, and the charges that belong to them.
+    """Active datapoints clipped to a date range, or to some stretches of days, and the
+    charges that belong to them.
 
     Everything a mart reads follows from these, so days outside the range cost nothing
     anywhere: not their port pairs, lanes, coverage or charges.
     """
     datapoints = clip(active(tables.datapoints), date_from, date_to)
     charges = tables.charges
-    if date_from is not None or date_to is not None:
+    if days is not None:
+        datapoints = clip_to(datapoints, days)
+    if date_from is not None or date_to is not None or days is not None:
         charges = charges.join(datapoints.select("d_id"), "d_id", "left_semi")
     return replace(tables, datapoints=datapoints, charges=charges)
 
@@ -152,8 +158,9 @@ def _mart(
     covered_only: bool = False,
     date_from: dt.date | None = None,
     date_to: dt.date | None = None,
+    days: Stretches | None = None,
 ) -> DataFrame:
-    tables = within(tables, date_from, date_to)
+    tables = within(tables, date_from, date_to, days)
     mapped = lane_map(tables, tables.datapoints, ports=ports, regions=regions)
     least = (MIN_SUPPLIERS, MIN_COMPANIES) if covered_only else (0, 0)
     return publish(lane_statistics(tables, mapped, *least), regions=regions)

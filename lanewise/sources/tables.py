@@ -35,6 +35,7 @@ RAW, STAGING, LOG, ACTIVE = "raw", "staging", "log", "active"
 # The log has one small row per batch and table, so that finding pending batches
 # or the next key never touches the data.
 LOADS, STAGED, UNROUTED, DONE, BUCKETS = "loads", "staged", "unrouted", "done", "buckets"
+MARTS = "marts"
 LOG_SCHEMAS = {
     LOADS: T.StructType(
         [T.StructField("table_name", T.StringType()), T.StructField("next_key", T.LongType())]
@@ -49,6 +50,8 @@ LOG_SCHEMAS = {
     BUCKETS: T.StructType(
         [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.LongType())]
     ),
+    # Marts written as of this batch.
+    MARTS: T.StructType([T.StructField("path", T.StringType())]),
 }
 NO_BATCH = -1
 
@@ -249,6 +252,19 @@ class Warehouse:
         listed = {**before, **dict.fromkeys(touched, batch_id)}
         self.log(BUCKETS, sorted(listed.items()), batch_id)
 
+    def datapoints_as_of(self, batch_id: int) -> DataFrame | None:
+        """Active versions as of a finished batch; None if they are no longer kept."""
+        lists = self._bucket_lists(before=batch_id + 1)
+        kept = self._bucket_lists()[-2:]
+        if not lists or lists[-1] not in kept:
+            return None
+        return self.active_in(self._buckets(lists[-1]))
+
+    def staged_since(self, table: str, after: int, to: int) -> DataFrame:
+        """Accepted rows of the finished batches after one, up to another."""
+        batches = (F.col("batch_id") > after) & (F.col("batch_id") <= to)
+        return accepted(self.read(STAGING, table).filter(batches), table)
+
     def drop_old_active(self) -> None:
         """Delete the buckets that the last two lists of staged batches do not name."""
         *older, before, last = [None, *self._bucket_lists()]

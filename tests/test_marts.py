@@ -9,7 +9,9 @@ import pytest
 
 import golden
 from lanewise.operators import hierarchy, pricing
-from lanewise.operators.intervals import active, clip, expand_days
+from lanewise.operators.coverage import lane_coverage, lane_sizes
+from lanewise.operators.intervals import active, clip, expand_days, merge_intervals
+from lanewise.operators.lanes import attach_lanes
 from lanewise.plans import marts
 from lanewise.session import shared_folder
 
@@ -177,3 +179,45 @@ def test_null_pairs_are_not_related(spark, tables):
     )
     kept = hierarchy.drop_related(pairs, ancestors, "a", "b")
     assert bag(kept) == Counter([("europe", "europe"), ("europe", "asia"), (None, "world"), ("world", None)])
+
+
+def test_merged_intervals_have_the_same_days(spark):
+    import random
+
+    rng = random.Random(3)
+    first = golden.D1
+
+    def day(n):
+        return None if n is None else first + dt.timedelta(days=n)
+
+    rows = [(rng.randint(0, 3), rng.choice([None, 1, 2]), day(rng.choice([None, *range(40)])), day(rng.choice([None, *range(45)])))
+            for _ in range(300)]
+    rows += [(9, 1, day(0), day(4)), (9, 1, day(5), day(6)), (9, 1, day(8), day(7)), (9, 1, day(1), day(2))]
+    frame = spark.createDataFrame(rows, "lane int, party int, valid_from date, valid_to date").repartition(5)
+    merged = merge_intervals(frame, ["lane", "party"])
+    days = expand_days(merged).collect()
+    assert sorted(map(str, days)) == sorted(map(str, expand_days(frame).distinct().collect()))
+    nine = sorted((r.valid_from, r.valid_to) for r in merged.filter("lane = 9").collect())
+    assert nine == [(day(0), day(6)), (day(8), day(8))]
+
+
+def test_no_day_has_more_datapoints_than_its_month(spark, tables):
+    clipped = marts.within(tables)
+    mapped = marts.lane_map(clipped, clipped.datapoints)
+    bound = {(r.lane_id, r.equipment_id, r.month): r.rows for r in lane_sizes(clipped.datapoints, mapped.members).collect()}
+    days = attach_lanes(expand_days(clipped.datapoints), mapped.members)
+    counted = days.groupBy("lane_id", "equipment_id", "date").count().collect()
+    assert counted
+    for r in counted:
+        month = None if r.date is None else r.date.replace(day=1)
+        assert bound[(r.lane_id, r.equipment_id, month)] >= r["count"]
+
+
+def test_coverage_makes_days_behind_every_shuffle_but_the_last(spark, tables):
+    """Parties meet the lane map as intervals; no distinct over days is left."""
+    clipped = marts.within(tables)
+    mapped = marts.lane_map(clipped, clipped.datapoints)
+    plan = lane_coverage(clipped.datapoints, mapped.members)._jdf.queryExecution().optimizedPlan().toString()
+    head = plan[: plan.index("Generate explode")]
+    assert "Join" not in head and head.count("Aggregate") == 1
+    assert plan.count("Generate explode") == 1

@@ -56,6 +56,35 @@ def test_close_values_are_narrowed_until_few_are_left(spark, monkeypatch):
     assert 0 < read[0] <= medians.ORDERED_VALUES
 
 
+def test_only_large_groups_are_counted_by_value(spark, monkeypatch):
+    """Groups that a task may gather take one shuffle and are written nowhere."""
+    written, honest = [], medians.materialize
+
+    def watching(rows, name):
+        table = honest(rows, name)
+        written.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(medians, "materialize", watching)
+    df = spark.createDataFrame(make_rows(), "a string, b int, v double")
+    medians.statistics(df, ["a", "b"], "v").collect()
+    assert written == []
+    medians.statistics(df.filter("a = 'hot' or a = 'one'"), ["a", "b"], "v", 1000).collect()
+    assert dict(written)["counted-values"] == 6000
+
+
+def test_sizes_may_be_given_for_more_than_a_group(spark):
+    """A bound per month, say, for groups that are days."""
+    rows = [("a", i % 2, float(i)) for i in range(11)] + [("b", 0, 1.0), (None, 0, 2.0), (None, 1, 4.0)]
+    df = spark.createDataFrame(rows, "a string, b int, v double")
+    for limit in (1, 5, 100):
+        sizes = medians.group_sizes(df, ["a"])
+        got = medians.statistics(df, ["a", "b"], "v", limit, sizes).collect()
+        assert {(r.a, r.b): r.median for r in got} == {
+            ("a", 0): 5.0, ("a", 1): 5.0, ("b", 0): 1.0, (None, 0): 2.0, (None, 1): 4.0
+        }
+
+
 def test_semi_join_keeps_null_keys(spark):
     rows = [("x", None, 1), ("x", None, 2), (None, 1, 3), ("y", 1, 4)]
     df = spark.createDataFrame(rows, "a string, b int, v int")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lanewise.plans import marts
 from lanewise.sources.routing import route
-from lanewise.sources.tables import LOG, RAW, UNROUTED, Warehouse
+from lanewise.sources.csv_files import parse_header
+from lanewise.sources.tables import BUCKETS, DONE, LOADS, LOG, RAW, STAGED, UNROUTED, Warehouse
 from lanewise.streaming.deliveries import load_batch, stage_batch, stage_pending, start_loading
 
 ROUTES = {
@@ -181,24 +182,166 @@ def test_loads_once_and_archives(inbox):
     assert not (inbox.inbox / "ports_1.csv").exists()
 
 
-def test_keys_follow_load_order(spark, inbox):
-    """Unique over all tables, increasing with the lines of a file that is split."""
+def test_keys_follow_load_order_without_gaps(spark, inbox):
+    """Over tables, then files by arrival, then lines, whatever blocks the files are cut into."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        for name in ("charges_a.csv", "charges_b.csv"):
-            lines = "".join(f"{i},USD,{i}.5\n" for i in range(1000))
-            inbox.put(name, "d_id,currency,charge_value\n" + lines)
+        for second, name in enumerate(["charges_b.csv", "charges_a.csv", "charges_c.csv"]):
+            quoted = '"x\ny"' if name == "charges_c.csv" else "USD"
+            lines = "".join(f"{i},{quoted},{i}.5\n" + "\n \t\n" * (i % 7 == 0) for i in range(1000))
+            head = "\nd_id,currency,charge_value\n" if second else "currency,d_id,charge_value,more\n"
+            lines = lines if second else "".join(f"USD,{i},{i}.5,\n" for i in range(1000))
+            inbox.put(name, head + lines)
+            os.utime(inbox.inbox / name, (1_700_000_000 + second,) * 2)
         inbox.put("regions_a.csv", "slug,name,parent\nx,X,\n")
-        inbox.load(max_files=2)
+        inbox.load()
+        inbox.put("charges_d.csv", "d_id,currency,charge_value\n7,USD,1\n")
+        inbox.load()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    raw = inbox.warehouse.read(RAW, "charges")
-    assert raw.select("raw_pid").distinct().count() == 2000
-    for name in ("charges_a.csv", "charges_b.csv"):
-        ids = raw.filter(F.col("src_file") == name).orderBy("raw_pid").select("d_id").collect()
-        assert [int(r.d_id) for r in ids] == list(range(1000))
     region = inbox.warehouse.read(RAW, "regions").first().raw_pid
-    assert raw.filter(F.col("raw_pid") == region).count() == 0
+    rows = inbox.warehouse.read(RAW, "charges").orderBy("raw_pid").select("raw_pid", "src_file", "d_id").collect()
+    assert sorted([region, *[r.raw_pid for r in rows]]) == list(range(3002))
+    names = ["charges_b.csv"] * 1000 + ["charges_a.csv"] * 1000 + ["charges_c.csv"] * 1000 + ["charges_d.csv"]
+    assert [r.src_file for r in rows] == names
+    assert [int(r.d_id) for r in rows] == [*range(1000)] * 3 + [7]
+
+
+def test_headers_are_parsed_like_lines():
+    assert parse_header('a,"b ""x"", c",,d') == ("a", 'b "x", c', "", "d")
+    assert parse_header("a;b,c", sep=";") == ("a", "b,c")
+
+
+def test_lines_are_parsed_as_by_the_csv_reader(spark, inbox):
+    head = "slug,name,parent"
+    lines = ['a,b,c', 'a,"b, ""x""",c', 'a', 'a,b,c,d', ',,', '"",b,""', ' a , "b" ,c', 'a,b"x"c,d', 'é,"漢",',
+             'a,b\\,c', '\ta,b,c']
+    inbox.put("regions_1.csv", "\n".join([head, *lines]) + "\n")
+    plain = spark.read.option("header", True).option("escape", '"').csv(str(inbox.inbox / "regions_1.csv"))
+    expected = sorted(map(str, map(tuple, plain.collect())))
+    inbox.load()
+    got = inbox.warehouse.read(RAW, "regions").select("slug", "name", "parent").collect()
+    assert sorted(map(str, map(tuple, got))) == expected and len(got) == len(lines)
+
+
+def test_text_in_another_encoding(spark, inbox):
+    (inbox.inbox / "regions_1.csv").write_bytes("slug,name,parent\né,Ü,ß\n".encode("latin-1"))
+    inbox.load(encoding="ISO-8859-1")
+    assert [tuple(r)[:3] for r in inbox.warehouse.read(RAW, "regions").collect()] == [("é", "Ü", "ß")]
+
+
+def test_a_name_that_a_header_has_twice_is_missing(inbox):
+    inbox.put("regions_1.csv", "slug,SLUG,name,parent\na,b,c,d\n")
+    inbox.load()
+    assert [r.reason for r in inbox.warehouse.read(LOG, UNROUTED).collect()] == ["missing slug"]
+
+
+def jobs_of(spark, group, act):
+    spark.sparkContext.setJobGroup(group, group)
+    act()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_of_a_batch_do_not_grow_with_its_files(spark, inbox):
+    """A thousand small files in as many jobs as forty."""
+    from lanewise.streaming.deliveries import load_batch
+
+    def batch(number, files):
+        folder = inbox.root / f"files{number}"
+        folder.mkdir()
+        for i in range(files):
+            extra = ",x" * (i % 3)
+            (folder / f"regions_{i:04}.csv").write_text(f"slug,name,parent{extra}\ns{i},n,p{extra}\n")
+        rows = [(str(folder / f"regions_{i:04}.csv"),) for i in range(files)]
+        paths = spark.createDataFrame([(f"file:{r[0]}",) for r in rows], "path string").coalesce(1)
+        return jobs_of(spark, f"batch-{number}", lambda: load_batch(inbox.warehouse, paths, number))
+
+    few, many = batch(0, 40), batch(1, 1000)
+    assert many <= few
+    rows = inbox.warehouse.read(RAW, "regions").filter("batch_id = 1").orderBy("raw_pid").collect()
+    assert [r.slug for r in rows] == [f"s{i}" for i in range(1000)]
+    assert [r.raw_pid for r in rows] == list(range(40, 1040))
+
+
+HEAD = "d_id,created,origin_pid,destination_pid,valid_from,valid_to,company_id,supplier_id,equipment_id"
+
+
+def datapoint_lines(ids, supplier):
+    return "\n".join([HEAD, *[f"{i},2021-01-01 00:00:00,1,2,2021-01-01,2021-01-01,1,{supplier},1" for i in ids]]) + "\n"
+
+
+def active_files(inbox):
+    root = inbox.root / "wh" / "active" / "datapoints"
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_a_batch_reads_and_writes_touched_buckets_only(spark, inbox, monkeypatch):
+    wh = inbox.warehouse
+    inbox.put("datapoints_1.csv", datapoint_lines(range(500), 1))
+    inbox.load()
+    stage_pending(wh)
+    first = active_files(inbox)
+    assert len({f.split("/")[1] for f in first}) == 64
+    inbox.put("datapoints_2.csv", datapoint_lines([7, 8, 7], 2))
+    inbox.load()
+    asked, honest = [], Warehouse.active_in
+    monkeypatch.setattr(Warehouse, "active_in", lambda self, b: asked.append(set(b)) or honest(self, b))
+    stage_batch(wh, "datapoints", 1)
+    second = active_files(inbox)
+    touched = {f.split("/")[1] for f in set(second) - set(first)}
+    assert 1 <= len(touched) <= 2 and asked == [{int(t.removeprefix("bucket=")) for t in touched}]
+    # The batch is not finished: readers see the state before. Its retry replaces its own files.
+    assert {r.supplier_id for r in wh.tables().datapoints.collect()} == {1}
+    stage_pending(wh)
+    third = active_files(inbox)
+    assert {f: t for f, t in third.items() if f in first} == first
+    state = {r.d_id: r.supplier_id for r in wh.tables().datapoints.collect()}
+    assert state == {i: 2 if i in (7, 8) else 1 for i in range(500)}
+    # What neither of the last two batches names is deleted.
+    inbox.put("datapoints_3.csv", datapoint_lines([7, 8], 3))
+    inbox.load()
+    stage_pending(wh)
+    inbox.put("datapoints_4.csv", datapoint_lines([7], 4))
+    inbox.load()
+    stage_pending(wh)
+    kept = {tuple(f.split("/")[:2]) for f in active_files(inbox)}
+    assert {b for v, b in kept if v == "version=0"} == {f"bucket={i}" for i in range(64)} - touched
+    assert {b for v, b in kept if v == "version=1"} == set()
+    state = {r.d_id: r.supplier_id for r in wh.tables().datapoints.filter("d_id in (6, 7, 8)").collect()}
+    assert state == {6: 1, 7: 4, 8: 3}
+
+
+def test_state_of_raw_rows_needs_no_exchange(spark, inbox):
+    inbox.put("charges_1.csv", "d_id,currency,charge_value\n1,USD,5\nx,USD,6\n")
+    inbox.load()
+    stage_pending(inbox.warehouse)
+    inbox.put("charges_2.csv", "d_id,currency,charge_value\n2,USD,7\n")
+    inbox.load()
+    raw = inbox.warehouse.raw("charges")
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    rows = {(r.d_id, r.stg_status, r.stg_load_time is None, r.raw_load_time is None, r.src_file) for r in raw.collect()}
+    assert rows == {
+        ("1", "LOADED", False, False, "charges_1.csv"), ("x", "ERROR", False, False, "charges_1.csv"),
+        ("2", "NEW", True, False, "charges_2.csv"),
+    }
+
+
+def test_the_log_stays_small(inbox):
+    """One row stands for all finished batches; keys and pending batches follow from it."""
+    wh = inbox.warehouse
+    for i in range(4):
+        inbox.put(f"charges_{i}.csv", f"d_id,currency,charge_value\n{i},USD,5\n")
+        inbox.load()
+        if i != 2:
+            stage_pending(wh)
+    assert wh.done() == 3 and wh.pending_batches() == [] and wh.next_key(4) == 4
+    assert [wh._logged(name) for name in (LOADS, STAGED, DONE)] == [[-1], [-1], [2, 3]]
+    assert len(wh._logged(BUCKETS)) == 1
+    plan = wh.read(RAW, "charges")._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" not in plan and " IN (" not in plan
+    assert sorted(r.d_id for r in wh.staged("charges").collect()) == [0, 1, 2, 3]
+    assert all(wh.has_loaded(b) for b in range(4)) and not wh.has_loaded(4)
 
 
 def test_repeated_batch_changes_nothing(spark, inbox):
