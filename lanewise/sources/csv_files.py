@@ -24,6 +24,9 @@ from lanewise.session import materialize
 from lanewise.sources.storage import uri
 
 
+NOT_BLANK = r"[^\x00-\x20]"
+
+
 @dataclass(frozen=True)
 class Delivery:
     """A file to load: its header, its place in load order, and whether it must be read
@@ -60,7 +63,7 @@ def scan_lines(spark: SparkSession, paths: list[str], encoding: str | None = Non
             F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_name").alias("src_file"),
         )
-        .filter(F.col("value").rlike(r"[^\x00-\x20]"))
+        .filter(F.col("value").rlike(NOT_BLANK))
         .withColumn("_row", F.monotonically_increasing_id())
     )
 
@@ -200,7 +203,12 @@ def _whole_rows(
         reader = spark.read.schema(_text_columns(width)).options(
             header=True, multiLine=True, escape='"', **extra
         )
-        return reader.csv(paths).select(
+        # A blank line is no row here either; the reader makes one value of it.
+        blank = ~F.col("c0").rlike(NOT_BLANK)
+        for i in range(1, width):
+            blank = blank & F.col(f"c{i}").isNull()
+        rows = reader.csv(paths).filter(~F.coalesce(blank, F.lit(False)))
+        return rows.select(
             F.array(*[f"c{i}" for i in range(width)]).alias("values"),
             F.col("_metadata.file_path").alias("uri"),
             F.lit(WHOLE).cast("bigint").alias("block"),

@@ -257,7 +257,7 @@ def test_jobs_of_a_batch_do_not_grow_with_its_files(spark, inbox):
         return jobs_of(spark, f"batch-{number}", lambda: load_batch(inbox.warehouse, paths, number))
 
     few, many = batch(0, 40), batch(1, 1000)
-    assert many <= few
+    assert many <= few + 1  # which reads the log entry of the batch before
     rows = inbox.warehouse.read(RAW, "regions").filter("batch_id = 1").orderBy("raw_pid").collect()
     assert [r.slug for r in rows] == [f"s{i}" for i in range(1000)]
     assert [r.raw_pid for r in rows] == list(range(40, 1040))
