@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.operators.intervals import expand_days, last_day, merge_intervals
+from lanewise.operators.intervals import (
+    expand_days,
+    last_day,
+    longest_intervals,
+    merge_intervals,
+)
 from lanewise.operators.lanes import LANE_KEYS, attach_lanes
 
 SUPPLIER, COMPANY = 1, 2
@@ -17,8 +22,8 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
 
     A datapoint counts whether or not it could be priced, so charges are not read.
     Suppliers and companies become (kind, party) rows, so that both counts are one pass.
-    Their intervals are merged per port pair, multiplied by the lane map, and merged
-    again per lane: a party has each of its days in one interval, so days are made last
+    Their intervals are reduced per port pair, multiplied by the lane map, and merged
+    per lane: a party then has each of its days in one interval, so days are made last
     and only counted. The shuffles include the party, which spreads a crowded lane.
     """
     parties = F.inline(
@@ -28,7 +33,7 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
         )
     )
     present = datapoints.select(*PAIR, "valid_from", "valid_to", parties)
-    by_pair = merge_intervals(present, [*PAIR, "kind", "party"])
+    by_pair = longest_intervals(present, [*PAIR, "kind", "party"])
     on_lanes = attach_lanes(by_pair, members)
     by_lane = merge_intervals(on_lanes, ["lane_id", "equipment_id", "kind", "party"])
 

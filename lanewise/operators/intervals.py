@@ -78,14 +78,22 @@ def last_day() -> Column:
     return F.when(F.col("valid_from").isNotNull(), end)
 
 
+def longest_intervals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, valid_from, valid_to): the longest interval per key and first day, map-side first.
+
+    Has the same days as ``rows``, in no more rows per key than there are days.
+    """
+    return rows.groupBy(*keys, "valid_from").agg(F.max(last_day()).alias("valid_to"))
+
+
 def merge_intervals(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, valid_from, valid_to): the days of all intervals of a key, each in one interval.
 
     Gives the days that ``expand_days`` gives, once each; intervals without a start become
-    one such interval. First only the longest interval per first day is kept, map-side, so
-    what is put in order per key is bounded by the days there are, whatever the rows.
+    one such interval. What is put in order per key is bounded by the days there are,
+    whatever the rows.
     """
-    longest = rows.groupBy(*keys, "valid_from").agg(F.max(last_day()).alias("valid_to"))
+    longest = longest_intervals(rows, keys)
     in_order = Window.partitionBy(*keys).orderBy("valid_from")
     before = F.max("valid_to").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     opens = before.isNull() | (F.col("valid_from") > F.date_add(before, 1))
