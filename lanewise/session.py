@@ -48,9 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
+    A ``lasting`` table stays at the end of an ``intermediates`` block.
+
     Cuts the lineage in a way that survives lost executors. Unlike a cached or
     RDD-checkpointed frame the result keeps column pruning, and its size is known
     exactly, so Catalyst decides on broadcasting it from measured bytes.
@@ -58,7 +60,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/lanewise/{application}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
+    if _scopes and not lasting:
         _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
