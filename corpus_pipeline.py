@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lanewise.llm import classifier, host_rules, packing, simhash, substrings
 from lanewise.llm.queries import BYTE_BPE, BYTE_RANKS, vocabulary
 from lanewise.llm.tables import table
-from lanewise.session import materialize
+from lanewise.session import delete_folder, intermediates, materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """Every stage in turn over ``documents``. What a stage wrote on its way is deleted when its
+    rows are written, and those when the next stage has read them."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with intermediates(spark):
+            kept = stage(spark, docs, sf_dir)
+            docs = materialize(kept, f"pipeline-{name.replace(' ', '-')}", lasting=True)
+        for folder in before:
+            delete_folder(spark, folder)
+        before = sorted({path.rsplit("/", 1)[0] for path in docs.inputFiles()})
     return docs
