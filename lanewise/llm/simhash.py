@@ -155,7 +155,8 @@ def near_duplicates(
 def keep_first(documents: DataFrame) -> DataFrame:
     """One document of each component: a row with the smallest doc_id.
 
-    Rows that repeat that doc_id are told apart by all their columns; one of them stays.
+    Rows that repeat that doc_id are told apart by all their columns, written as JSON, so
+    columns of any type may be among them; one of them stays.
     Rows without a doc_id go unless their component has no other rows; of those, one stays.
     """
     named = near_duplicates(documents)
@@ -175,5 +176,5 @@ def keep_first(documents: DataFrame) -> DataFrame:
     once = having(firsts.filter(F.col("_rows") == 1))
     repeated = having(firsts.filter(F.col("_rows") > 1))
     return once.unionByName(
-        repeated.groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row")
+        repeated.groupBy("row.doc_id").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
     ).select("row.*")

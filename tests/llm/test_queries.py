@@ -1,7 +1,8 @@
 """The registered queries against their oracle, and the pipeline against plain Python."""
 
+import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ import corpus_pipeline
 from compare import compare, oracle_connection
 from lanewise.llm import classifier, packing
 from lanewise.llm.oracle import ORACLE
-from lanewise.llm.queries import BYTE_BPE, QUERIES, vocabulary
+from lanewise.llm.queries import BYTE_BPE, QUERIES, WORD_BPE, vocabulary
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -114,13 +115,14 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
 def test_stages_take_odd_rows_and_none(spark):
     odd = spark.createDataFrame(
         [
-            (None, None, None, None, None, 1, "a"), (1, None, "en", "s", 0, 1, "a"),
-            (1, None, "en", "s", 0, 1, "a"), (2, "", "en", "s", 0, 1, "b"),
-            (3, " ".join(f"w{i}" for i in range(60)), None, None, None, 2, None),
-            (4, " ".join(f"w{i}" for i in range(60)), "en", "t", 9, 2, "c"),
-            (5, " ".join(f"long{i}" for i in range(30_000)), "en", "t", 9, 2, "c"),
+            (None, None, None, None, None, 1, "a", None, None), (1, None, "en", "s", 0, 1, "a", {}, (1, {"k": 1})),
+            (1, None, "en", "s", 0, 1, "a", {"x": 1}, None), (2, "", "en", "s", 0, 1, "b", {"x": None}, (None, None)),
+            (3, " ".join(f"w{i}" for i in range(60)), None, None, None, 2, None, None, None),
+            (4, " ".join(f"w{i}" for i in range(60)), "en", "t", 9, 2, "c", {"x": 2, "y": 3}, (2, {})),
+            (5, " ".join(f"long{i}" for i in range(30_000)), "en", "t", 9, 2, "c", None, None),
         ],
-        "doc_id bigint, text string, lang string, source string, n_chars bigint, score int, row string",
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, score int, row string,"
+        " counts map<string,int>, nested struct<doc_id:int,more:map<string,int>>",
     )
     for frame in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
@@ -132,6 +134,39 @@ def test_stages_take_odd_rows_and_none(spark):
                 assert out.count() == 0
 
 
+def test_bpe_query(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary(WORD_BPE))
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op5_bpe"](spark, SF_DIR).collect()}
+    assert len(got) == len(docs)
+    for d, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        r = got[d]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == brute.sha(" ".join(map(str, ids)))
+        assert r.decoded_sha256 == brute.sha(decoded)
+
+
+def test_language_model_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    rows = {r.doc_id: r for r in QUERIES["op7_suffix_tree_lm"](spark, SF_DIR).collect()}
+    tokens = {d: [*(t or "").encode().lower().split(), b""] for d, t in docs}
+    held = {d for d in tokens if zlib.crc32(str(d).encode()) % 7 == 2}
+    counts = Counter(t for d, ts in tokens.items() if d not in held for t in ts)
+    n, v = sum(counts.values()), len(counts)
+    assert len(rows) == len(docs) and held
+    for d, ts in tokens.items():
+        r = rows[d]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (d in held, len(ts), n)
+        assert r.n_known == sum(counts[t] > 0 for t in ts)
+        base = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in ts)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score <= 0
+    assert sum(rows[d].score for d in held) > sum(rows[d].base_score for d in held)
+
+
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     assert out.count() > 100 and "sequence_id" in out.columns
