@@ -1,20 +1,23 @@
 """Removal of passages that repeat across documents, on a de Bruijn graph of words.
 
-An edge is a window of 13 words, from the node of its first twelve words to the node of
-its last twelve. An edge repeats if documents with different ids hold it; the one with
-the smallest id is its source.
-
-1. Edges meet by hash. A task first settles what its own documents repeat among
-   themselves and sends an edge only for the smallest of them, so a passage that a third of all
-   documents share sends one edge per task and not one per document.
-2. Repeated edges meet their document again and compact into paths: a run of edges that
+A node is a window of 13 words that documents with different ids hold; the one with the
+smallest id is its source. An edge is a stretch of 14 words of a document from one node to the
+next.
+
+1. Windows meet by hash. A task first settles what its own documents repeat among
+   themselves and sends a window only for the smallest of them, so a passage that a third of all
+   documents share sends one window per task and not one per document.
+2. The nodes meet their documents again, which give the edges, each once per group of
+   documents. Edges that leave a node or enter it are counted, and joins with the counts tell
+   which edges branch.
+3. Where no edge branches, the nodes of a document compact into a path: a stretch of windows that
    follow each other in the document and in their source.
-3. Paths meet the texts of both ends by coordinate. The words they cover are removed,
+4. Paths meet the texts of both ends by coordinate. The words they cover are removed,
    and the two texts are compared there. If a hash has lied, all is done again with
    hashes twice as wide.
 
-What travels is packed: hashes, places and texts of many documents in one row, dealt by
-hash range or document group, whose sizes do not depend on the input.
+What travels of windows and texts is packed: hashes, places and texts of many documents in one
+row, dealt by hash range or document group, whose sizes do not depend on the input.
 
 Cases: a NULL text has no words; a NULL doc_id neither loses words nor is a source;
 rows of one doc_id never remove words from each other; equal rows are treated alike and
@@ -36,7 +39,7 @@ from lanewise.llm.packed import (
     KEY_MASK, ROW, ROW_ARROW, batch_of, hash_words, pack, steps, text_key, unpack,
 )
 from lanewise.llm.tables import SPACE, bound, python_tasks, share_of
-from lanewise.session import materialize
+from lanewise.session import delete_folder, materialize
 
 WINDOW = 13
 CHUNK_BYTES = 6_000_000  # of text, whose edges a task settles among themselves
@@ -84,8 +87,12 @@ _RESULT_ARROW = [
 ]
 
 
-# A mark says that the edge of a document (doc, key) at a place is repeated in a source
-# (doc, key) at a place. Marks are kept as six parallel arrays.
+# Every pass writes its tables; what was shuffled for them is of no more use.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# A mark says that the window of a document (doc, key) at a place is repeated in a source
+# (doc, key) at a place, and by which hash. Marks are kept as seven parallel arrays. A source
+# is marked with itself, as its window is a node as well.
 
 
 def _pack_marks(marks: list[np.ndarray], groups: int) -> Iterator[tuple[int, bytes]]:
@@ -96,16 +103,47 @@ def _pack_marks(marks: list[np.ndarray], groups: int) -> Iterator[tuple[int, byt
     edges = np.flatnonzero(np.diff(group[order])) + 1
     for part in np.split(np.arange(len(order)), edges):
         if len(part):
-            doc, key, place, source, source_key, source_place = [m[part] for m in marks]
+            doc, key, place, source, source_key, source_place, name = [m[part] for m in marks]
             packed = [doc, key, place, source, source_key, source_place - place]
-            yield int(group[order[part[0]]]), pack(*map(steps, packed))
+            yield int(group[order[part[0]]]), pack(*map(steps, packed), name)
 
 
 def _unpack_marks(payloads: list[bytes]) -> list[np.ndarray]:
-    parts = [[np.cumsum(a) for a in unpack(p)] for p in payloads]
+    """By document and place, each once: a source other than itself goes first."""
+    parts = []
+    for payload in payloads:
+        *packed, name = unpack(payload)
+        parts.append([*map(np.cumsum, packed), name])
     marks = [np.concatenate(columns) for columns in zip(*parts, strict=True)]
     marks[5] = marks[5] + marks[2]
-    return marks
+    order = np.lexsort((_own(marks), marks[2], marks[1], marks[0]))
+    marks = [m[order] for m in marks]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.any([m[1:] != m[:-1] for m in marks[:3]], axis=0)
+    return [m[new] for m in marks]
+
+
+def _own(marks: list[np.ndarray]) -> np.ndarray:
+    """Which marks are those of sources."""
+    doc, key, place, source, source_key, source_place, _ = marks
+    return (doc == source) & (key == source_key) & (place == source_place)
+
+
+def _follows(marks: list[np.ndarray]) -> np.ndarray:
+    """Which marks follow the one before in the same document."""
+    doc, key, place = marks[:3]
+    out = np.zeros(len(place), dtype=bool)
+    out[1:] = (place[1:] == place[:-1] + 1) & (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])
+    return out
+
+
+def _marks_of(rows: list[np.ndarray], name: np.ndarray, first: np.ndarray, repeated: np.ndarray):
+    """Marks of the repeated windows and of their sources, given (doc, key, place)."""
+    at = np.flatnonzero(repeated)
+    sources = np.unique(first[at])
+    at = np.concatenate((at, sources))
+    source = np.concatenate((first[at[: len(at) - len(sources)]], sources))
+    return [*[c[at] for c in rows], *[c[source] for c in rows], name[at].view(np.int64)]
 
 
 def _settle(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,8 +184,7 @@ def _chunk_rows(
     place = np.concatenate([np.arange(n, dtype=np.int64) for n in counts])
     first, repeated = _settle_wide(columns[1:], doc)
     if repeated.any():
-        at, source = np.flatnonzero(repeated), first[repeated]
-        marks = [doc[at], key[at], place[at], doc[source], key[source], place[source]]
+        marks = _marks_of([doc, key, place], columns[1], first, repeated)
         for group, payload in _pack_marks(marks, groups):
             yield ranges + group, LOCAL, payload
     sent = np.flatnonzero(~repeated)
@@ -247,8 +284,7 @@ def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool)
         out = []
         if len(order):
             first, repeated = _settle_wide(hashes, doc)
-            at, source = np.flatnonzero(repeated), first[repeated]
-            marks = [doc[at], key[at], place[at], doc[source], key[source], place[source]]
+            marks = _marks_of([doc, key, place], hashes[0], first, repeated)
             out = [(g, LOCAL, payload) for g, payload in _pack_marks(marks, groups)]
         return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
 
@@ -256,25 +292,61 @@ def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool)
     return edges.groupBy("key").applyInArrow(meet, ROW)
 
 
-def _paths(marks: DataFrame, groups: int) -> DataFrame:
-    """Marks compacted into paths: to the document's group as spans, and to the source's
+def _branching_edges(marks: DataFrame) -> DataFrame:
+    """(key, a, b): edges from node a to node b, per document group that has them, where
+    another edge leaves a or enters b."""
+
+    def follow(group: pa.Table) -> pa.Table:
+        marks = _unpack_marks(group["payload"].to_pylist())
+        after = np.flatnonzero(_follows(marks))
+        name = marks[6]
+        pairs = np.unique(np.stack([name[after - 1], name[after]], axis=1), axis=0)
+        key = np.full(len(pairs), group["key"][0].as_py())
+        return pa.table({"key": key, "a": pairs[:, 0], "b": pairs[:, 1]})
+
+    edges = materialize(
+        marks.groupBy("key").applyInArrow(follow, "key bigint, a bigint, b bigint"), "node-edges"
+    )
+    distinct = edges.select("a", "b").distinct()
+    degrees = [
+        distinct.groupBy(end).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(end)
+        for end in ("a", "b")
+    ]
+    leaving, entering = [materialize(d, "branching-nodes") for d in degrees]
+    return edges.join(leaving, "a", "left_semi").unionByName(
+        edges.join(entering, "b", "left_semi")
+    )
+
+
+def _paths(marks: DataFrame, branching: DataFrame, groups: int) -> DataFrame:
+    """Nodes compacted into paths: to the document's group as spans, and to the source's
     group as requests, each once."""
 
     def compact(group: pa.Table) -> pa.Table:
-        doc, key, place, source, source_key, source_place = _unpack_marks(
-            group["payload"].to_pylist()
-        )
-        order = np.lexsort((place, key, doc))
-        columns = [c[order] for c in (doc, key, place, source, source_key, source_place - place)]
-        doc, key, place, source, source_key, shift = columns
-        opens = np.ones(len(place), dtype=bool)
-        opens[1:] = place[1:] != place[:-1] + 1
-        for column in (doc, key, source, source_key, shift):
+        payloads = [p for p in group["payload"].to_pylist() if p is not None]
+        marks = _unpack_marks(payloads)
+        cut = group.filter(group["payload"].is_null())
+        follows = _follows(marks)
+        if len(cut):
+            kinds = np.unique(np.stack([cut["a"].to_numpy(), cut["b"].to_numpy()], axis=1), axis=0)
+            pairs = np.stack([marks[6], marks[6]], axis=1)
+            pairs[1:, 0] = marks[6][:-1]
+            known = np.concatenate((kinds, pairs))
+            _, number = np.unique(known, axis=0, return_inverse=True)
+            follows &= ~np.isin(number.ravel()[len(kinds) :], number.ravel()[: len(kinds)])
+        other = ~_own(marks)
+        doc, key, place, source, source_key, source_place, _ = marks
+        shift = source_place - place
+        opens = ~follows
+        for column in (source, source_key, shift, other):
             opens[1:] |= column[1:] != column[:-1]
         at = np.flatnonzero(opens)
         length = np.diff(np.append(at, len(place)))
+        at, length = at[other[at]], length[other[at]]
         spans = [c[at] for c in (doc, key, place, source, source_key)]
         spans += [shift[at] + place[at], length]
+        if not len(at):
+            return pa.Table.from_batches([batch_of([], ROW_ARROW)])
         out = [(group["key"][0].as_py(), SPANS, pack(*spans))]
         wanted = np.unique(np.stack(spans[3:], axis=1), axis=0)
         home = _group_of(wanted[:, 0].copy(), wanted[:, 1].copy(), groups)
@@ -283,7 +355,8 @@ def _paths(marks: DataFrame, groups: int) -> DataFrame:
             out.append((int(home[rows[0]]), REQUESTS, pack(*wanted[rows].T.copy())))
         return pa.Table.from_batches([batch_of(out, ROW_ARROW)])
 
-    return marks.groupBy("key").applyInArrow(compact, ROW)
+    rows = marks.select("key", "payload").unionByName(branching, allowMissingColumns=True)
+    return rows.groupBy("key").applyInArrow(compact, ROW)
 
 
 def _packed_texts(documents: DataFrame, groups: int) -> DataFrame:
@@ -414,17 +487,25 @@ def _settled(known: DataFrame) -> DataFrame:
     python_tasks(known.sparkSession)
     size = known.agg(F.sum(F.octet_length("text"))).first()[0]
     ranges, groups = share_of(size, RANGE_BYTES), share_of(size, GROUP_BYTES)
-    for wide in (False, True):
-        marks = _repeated_edges(known, ranges, groups, wide)
-        paths = materialize(_paths(marks, groups), "repeated-paths")
-        results = materialize(
-            _apply(_packed_texts(known, groups).unionByName(paths)), "repeats-removed"
-        )
-        digests = results.filter(F.col("path").isNotNull()).select("path", "own", "digest")
-        sources = digests.filter(~F.col("own")).select("path", "digest")
-        false = digests.filter("own").join(sources, ["path", "digest"], "left_anti")
-        if false.isEmpty():
-            return results.filter(F.col("path").isNull())
+    spark = known.sparkSession
+    cleaned = spark.conf.get(CLEAN_SHUFFLES)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        for wide in (False, True):
+            marks = materialize(_repeated_edges(known, ranges, groups, wide), "repeated-windows")
+            paths = materialize(_paths(marks, _branching_edges(marks), groups), "repeated-paths")
+            for folder in {path.rsplit("/", 1)[0] for path in marks.inputFiles()}:
+                delete_folder(spark, folder)
+            results = materialize(
+                _apply(_packed_texts(known, groups).unionByName(paths)), "repeats-removed"
+            )
+            digests = results.filter(F.col("path").isNotNull()).select("path", "own", "digest")
+            sources = digests.filter(~F.col("own")).select("path", "digest")
+            false = digests.filter("own").join(sources, ["path", "digest"], "left_anti")
+            if false.isEmpty():
+                return results.filter(F.col("path").isNull())
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, cleaned)
     raise RuntimeError("paths differ from their sources by either hash")
 
 

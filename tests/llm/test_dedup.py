@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from lanewise.llm import golay, graph, packed, simhash, substrings
@@ -154,7 +155,7 @@ def test_false_marks_are_noticed(spark, monkeypatch):
             return marks
         one, two = [np.array([substrings.text_key(t.encode())]) for _, t in rows]
         zero = np.zeros(1, dtype=np.int64)
-        false = [zero + 2, two, zero + 5, zero + 1, one, zero + 7]
+        false = [zero + 2, two, zero + 5, zero + 1, one, zero + 7, zero + 9]
         rows_of = [(g, substrings.LOCAL, bytearray(p)) for g, p in substrings._pack_marks(false, groups)]
         return marks.unionByName(spark.createDataFrame(rows_of, substrings.ROW))
 
@@ -164,6 +165,27 @@ def test_false_marks_are_noticed(spark, monkeypatch):
     assert sorted(map(tuple, got)) == brute.substring_dedup(rows)
 
 
+def test_edges_branch_where_nodes_have_several_neighbours(spark):
+    """Passages that share their middle: paths end where an edge leaves or enters besides."""
+    middle = [f"m{i}" for i in range(20)]
+    start, end = [[f"{c}{i}" for i in range(20)] for c in "se"]
+    texts = [start + middle + end, start + middle + end, middle + ["z"] * 3, ["other"] + middle + end]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    frame = frame_of(spark, rows).select("doc_id", "text")
+    marks = substrings._repeated_edges(frame, 1, 1, False).persist()
+    assert substrings._branching_edges(marks).count() == 0
+    more = frame_of(spark, [*rows, (9, " ".join(["q"] * 13 + middle)), (10, " ".join(["q"] * 13 + middle))])
+    marks = substrings._repeated_edges(more.select("doc_id", "text"), 1, 1, False).persist()
+    pairs = {(r.a, r.b) for r in substrings._branching_edges(marks).collect()}
+    # Into the middle's first node come the passage's start and the run of q.
+    assert len(pairs) == 2 and len({b for _, b in pairs}) == 1
+    paths = substrings._paths(marks, substrings._branching_edges(marks), 1)
+    spans = [packed.unpack(r.payload) for r in paths.filter(F.col("kind") == substrings.SPANS).collect()]
+    lengths = sorted(zip(*[c.tolist() for c in (spans[0][0], spans[0][2], spans[0][6])], strict=True))
+    # Document 1 repeats 48 windows: 20 up to the one before the middle's first, then 28.
+    assert [x for x in lengths if x[0] == 1] == [(1, 0, 20), (1, 20, 28)]
+
+
 def test_documents_without_their_repeats(spark):
     rows = [(1, "a\tb  " + " ".join(f"p{i}" for i in range(20))), (2, " ".join(f"p{i}" for i in range(20)))]
     rows += [(3, "own  words " + " ".join(f"p{i}" for i in range(14)) + "\nend"), (None, "p " * 20), (4, None)]
