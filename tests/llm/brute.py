@@ -1,9 +1,11 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -162,3 +164,66 @@ def spelling_variants(counts):
         f = form.get(w)
         out.append((w, f, root, n, len(near[w]), counts[f] if f else None))
     return out
+
+
+MARKS = ".,!?#*$%&|<>@:/-_(){}[]\"'=+\\~^;"
+
+
+def quality_features(text):
+    """Sizes and shares of a text, one by one."""
+    text = text or ""
+    data = text.encode()
+    words = [w.encode() for w in WORD.findall(text)]
+    lines = [line.encode() for line in text.split("\n") if WORD.search(line)]
+    n, k = max(1, len(data)), max(1, len(words))
+    sizes = [len(w) for w in words] or [0]
+    mean = sum(sizes) / len(sizes)
+    spread = math.sqrt(sum((s - mean) ** 2 for s in sizes) / len(sizes))
+    count = Counter(words)
+    line_sizes = [len(line) for line in lines] or [0]
+    marks = [text.count(m) for m in MARKS]
+
+    def share(test):
+        return sum(map(test, data)) / n
+
+    return [
+        math.log(1 + len(data)), math.log(1 + len(words)), math.log(1 + len(lines)), mean,
+        math.log(1 + spread), math.log(1 + max(sizes)), len(count) / k,
+        max(count.values(), default=0) / k, sum(v for v in count.values() if v > 2) / k,
+        sum(a == b for a, b in zip(words, words[1:])) / k,
+        (len(lines) - len(set(lines))) / max(1, len(lines)),
+        math.log(1 + sum(line_sizes) / len(line_sizes)),
+        share(lambda b: 65 <= b <= 90), share(lambda b: 97 <= b <= 122), share(lambda b: 48 <= b <= 57),
+        share(lambda b: b in (32, 9, 11, 12, 13)), share(lambda b: b == 10), share(lambda b: b > 127),
+        share(lambda b: b < 32 and b not in (9, 10, 11, 12, 13)), sum(marks) / n, *[m / k for m in marks],
+    ]
+
+
+def preference_scores(good, bad, others, penalty=1e-2, bins=8, each=4, seed=0):
+    """Raw Bradley-Terry scores of ``others``: the same loss, made small by plain descent."""
+    good, bad, others = (np.array(x, dtype=float) for x in (good, bad, others))
+    both = np.concatenate([good, bad])
+    mean, scale = both.mean(axis=0), both.std(axis=0)
+    edges = [[np.quantile(part[:, f], i / bins) for part in (good, bad) for i in range(1, bins)]
+             for f in range(both.shape[1])]
+
+    def expand(rows):
+        out = []
+        for row in rows:
+            straight = [min(5, max(-5, (x - m) / (s if s > 0 else 1))) for x, m, s in zip(row, mean, scale)]
+            # The edges of the good first, then those of the bad, as one list for each feature.
+            out.append(straight + [float(x > e) for x, own in zip(row, edges) for e in own])
+        return np.array(out)
+
+    rng = np.random.default_rng(seed)
+    n = each * max(len(good), len(bad))
+    first = np.resize(rng.permutation(len(good)), n)
+    differences = expand(good)[first] - expand(bad)[rng.integers(0, len(bad), n)]
+    step = 1 / (np.linalg.norm(differences, 2) ** 2 / (4 * n) + penalty)
+    weights = ahead = np.zeros(differences.shape[1])
+    for t in range(6000):
+        lost = 1 / (1 + np.exp(differences @ ahead))
+        after = ahead - step * (penalty * ahead - differences.T @ lost / n)
+        ahead = after + t / (t + 3) * (after - weights)
+        weights = after
+    return expand(others) @ weights

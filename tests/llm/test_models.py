@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import brute
 from lanewise.llm import classifier, packed, suffix_lm
 from lanewise.llm.queries import QUERIES
 
@@ -89,6 +90,34 @@ def test_ranks_of_scores(spark):
     assert [classifier._ranked(frame, i) for i in range(len(values))] == sorted(values)
 
 
+def test_features_equal_plain_ones():
+    rng = random.Random(4)
+    pieces = ["word", "Word", "é漢", " ", "  ", "\n", "\n\n", "\t", "12", "!?", "<a>", "\x00", "\x0b", "x" * 40]
+    texts = ["", " ", "\n", "one", *["".join(rng.choices(pieces, k=rng.randint(1, 120))) for _ in range(200)]]
+    for text in texts:
+        assert classifier.text_features(text) == pytest.approx(brute.quality_features(text), abs=1e-9)
+
+
+def test_query_equals_a_plain_classifier(spark):
+    """Features, pairs, loss and quantile once more, by plain means."""
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op4_pairwise_quality"](spark, sf_dir).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("h", F.xxhash64("doc_id"))
+    shown = [r for r in labels.orderBy("h", "doc_id").collect()
+             if r.doc_id in texts and zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.quality is not None]
+    features = {d: brute.quality_features(t) for d, t in texts.items()}
+    good, bad = [[features[r.doc_id] for r in shown if r.quality == q] for q in (1, 0)]
+    raw = dict(zip(texts, brute.preference_scores(good, bad, [features[d] for d in texts]), strict=True))
+    ordered = sorted(raw[r.doc_id] for r in shown)
+    cut = (ordered[len(bad) - 1] + ordered[len(bad)]) / 2
+    assert len(got) == len(texts) and len(bad) > 5
+    for d in texts:
+        score = 1 / (1 + math.exp(-min(30, max(-30, raw[d] - cut + math.log(0.7 / 0.3)))))
+        assert got[d].score == pytest.approx(score, abs=2e-3)
+        assert abs(raw[d] - cut) < 5e-3 or got[d].predicted == int(raw[d] >= cut)
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op4_pairwise_quality"](spark, SF_DIR).toPandas()
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").toPandas()
