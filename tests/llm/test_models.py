@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+import two_word_model
 from lanewise.llm import classifier, packed, suffix_lm
 from lanewise.llm.queries import QUERIES
 
@@ -168,14 +169,15 @@ def test_scores_and_base_scores(spark, least, monkeypatch):
 
 
 def test_every_state_adds_up_to_one(spark):
-    tree, *_ = suffix_lm.learn(frame_of(spark, corpus(2)).select("doc_id", "text"))
+    spark.sparkContext.addPyFile(two_word_model.__file__)
+    tree, *_ = two_word_model.learn(frame_of(spark, corpus(2)).select("doc_id", "text"))
     assert (~np.isnan(tree.pair_log)).sum() > 10 and len(tree.triples) > 10
     numbers = np.arange(len(tree.hashes))
-    shift = suffix_lm.ID_BITS
+    shift = two_word_model.ID_BITS
     unknown = 1 - np.power(10.0, tree.log_single).sum()
     one_word = {}
     for word in numbers.tolist():
-        pair = suffix_lm._find(tree.pairs, word << shift | numbers)
+        pair = two_word_model._find(tree.pairs, word << shift | numbers)
         one = tree.after_word(np.full(len(numbers), word), pair, tree.log_single)
         one_word[word] = one
         rest = 10 ** tree.word_rest[word] * unknown
