@@ -48,10 +48,13 @@ def shared_folder(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, lasting: bool = False, by: str | None = None
+) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
-    A ``lasting`` table stays at the end of an ``intermediates`` block.
+    A ``lasting`` table stays at the end of an ``intermediates`` block. ``by`` is a column whose
+    values get a folder each.
 
     Cuts the lineage in a way that survives lost executors. Unlike a cached or
     RDD-checkpointed frame the result keeps column pruning, and its size is known
@@ -62,7 +65,8 @@ def materialize(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     path = f"{shared_folder(spark)}/lanewise/{application}/{name}-{uuid.uuid4().hex}"
     if _scopes and not lasting:
         _scopes[-1].append(path)
-    df.write.parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
