@@ -8,8 +8,8 @@ next.
    themselves and sends a window only for the smallest of them, so a passage that a third of all
    documents share sends one window per task and not one per document.
 2. The nodes meet their documents again, which give the edges, each once per group of
-   documents. Edges that leave a node or enter it are counted, and joins with the counts tell
-   which edges branch.
+   documents. Nodes that several edges leave, or enter, are found by grouping the edges, and
+   joins with them tell which edges branch.
 3. Where no edge branches, the nodes of a document compact into a path: a stretch of windows that
    follow each other in the document and in their source.
 4. Paths meet the texts of both ends by coordinate. The words they cover are removed,
@@ -292,6 +292,13 @@ def _repeated_edges(documents: DataFrame, ranges: int, groups: int, wide: bool)
     return edges.groupBy("key").applyInArrow(meet, ROW)
 
 
+def _edge_names(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each edge. Edges that share one are cut alike, which parts a path in two
+    and changes nothing else."""
+    mixed = a.view(np.uint64) * np.uint64(_MULTIPLIERS[0]) + b.view(np.uint64)
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_MULTIPLIERS[1])
+
+
 def _branching_edges(marks: DataFrame) -> DataFrame:
     """(key, a, b): edges from node a to node b, per document group that has them, where
     another edge leaves a or enters b."""
@@ -300,19 +307,20 @@ def _branching_edges(marks: DataFrame) -> DataFrame:
         marks = _unpack_marks(group["payload"].to_pylist())
         after = np.flatnonzero(_follows(marks))
         name = marks[6]
-        pairs = np.unique(np.stack([name[after - 1], name[after]], axis=1), axis=0)
-        key = np.full(len(pairs), group["key"][0].as_py())
-        return pa.table({"key": key, "a": pairs[:, 0], "b": pairs[:, 1]})
+        _, once = np.unique(_edge_names(name[after - 1], name[after]), return_index=True)
+        key = np.full(len(once), group["key"][0].as_py())
+        return pa.table({"key": key, "a": name[after - 1][once], "b": name[after][once]})
 
     edges = materialize(
         marks.groupBy("key").applyInArrow(follow, "key bigint, a bigint, b bigint"), "node-edges"
     )
-    distinct = edges.select("a", "b").distinct()
-    degrees = [
-        distinct.groupBy(end).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(end)
-        for end in ("a", "b")
-    ]
-    leaving, entering = [materialize(d, "branching-nodes") for d in degrees]
+    # An end with more than one other end; no edge has to be counted twice or sent whole for that.
+    several = [
+        edges.groupBy(end).agg(F.min(other).alias("one"), F.max(other).alias("two"))
+        .filter(F.col("one") != F.col("two")).select(end)
+        for end, other in (("a", "b"), ("b", "a"))
+    ]
+    leaving, entering = [materialize(nodes, "branching-nodes") for nodes in several]
     return edges.join(leaving, "a", "left_semi").unionByName(
         edges.join(entering, "b", "left_semi")
     )
@@ -328,12 +336,11 @@ def _paths(marks: DataFrame, branching: DataFrame, groups: int) -> DataFrame:
         cut = group.filter(group["payload"].is_null())
         follows = _follows(marks)
         if len(cut):
-            kinds = np.unique(np.stack([cut["a"].to_numpy(), cut["b"].to_numpy()], axis=1), axis=0)
-            pairs = np.stack([marks[6], marks[6]], axis=1)
-            pairs[1:, 0] = marks[6][:-1]
-            known = np.concatenate((kinds, pairs))
-            _, number = np.unique(known, axis=0, return_inverse=True)
-            follows &= ~np.isin(number.ravel()[len(kinds) :], number.ravel()[: len(kinds)])
+            branches = np.unique(_edge_names(cut["a"].to_numpy(), cut["b"].to_numpy()))
+            after = np.flatnonzero(follows)
+            own = _edge_names(marks[6][after - 1], marks[6][after])
+            at = np.minimum(np.searchsorted(branches, own), len(branches) - 1)
+            follows[after[branches[at] == own]] = False
         other = ~_own(marks)
         doc, key, place, source, source_key, source_place, _ = marks
         shift = source_place - place
