@@ -22,6 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
@@ -97,12 +98,17 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
+@functools.lru_cache(maxsize=4)
+def _powers_upto(base: int, bits: int) -> np.ndarray:
+    out = np.full(1 << bits, base, dtype=np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _powers_upto(base, max(10, n.bit_length()))[:n]
+
+
 def _grams(tokens: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
     """Hashes of the ``length`` tokens that end at each of the places ``ends``."""
     sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
@@ -121,19 +127,24 @@ def _shifted(values: np.ndarray, first) -> np.ndarray:
 class Part:
     """What a chunk of documents knows after the counts of grams of ``length`` tokens.
 
-    By place: the counts of the grams of ``length`` and of one token less that end there, and
-    the token's log10 probability after contexts of ``length`` - 2 tokens at most. ``close``
-    moves to ``done`` what no longer context changes.
+    By document: its doc_id, whether it is learned, its tokens and known tokens, its base
+    score, and ``done``: the scores of the tokens that no longer context changes. The
+    other tokens, and the words that longer grams may have, lie in stretches, each a part
+    of a document (``owner``); what no longer gram needs is let go by ``close``. By place in the
+    stretches: the counts of the grams of ``length`` and of one token less that end there, and
+    the token's log10 probability after contexts of ``length`` - 2 tokens at most.
     """
 
     doc: np.ndarray
     learned: np.ndarray
-    sizes: np.ndarray
-    words: np.ndarray
-    word: np.ndarray
+    n_tokens: np.ndarray
     known: np.ndarray
     base: np.ndarray
     done: np.ndarray
+    owner: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
     now: np.ndarray
     past: np.ndarray
     levels: np.ndarray
@@ -150,30 +161,47 @@ class Part:
 
     @property
     def place(self) -> np.ndarray:
-        """Of each token in its document."""
+        """Of each token in its stretch."""
         starts = np.cumsum(self.sizes) - self.sizes
         return np.arange(len(self.word)) - np.repeat(starts, self.sizes)
 
     def per_document(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, np.cumsum(self.sizes) - self.sizes)
+        return np.bincount(np.repeat(self.owner, self.sizes), values, len(self.doc))
 
-    def close(self, scores: np.ndarray) -> None:
-        """Keep the scores and words that longer grams need; the others cost next to nothing."""
+    def close(self, scores: np.ndarray, owned: np.ndarray) -> np.ndarray:
+        """Keep the scores and words that longer grams need; ``owned`` at the places kept.
+
+        A gram that may grow lies inside a stretch, as all its words are kept, and so does
+        the context of a token whose score is open.
+        """
+        is_open = np.ones(len(self.word), dtype=bool)
         if self.length > 1:
             is_open = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
             self.done = self.done + self.per_document(np.where(is_open, 0.0, scores))
             scores = np.where(is_open, scores, 0.0)
-        self.levels, level = np.unique(scores, return_inverse=True)
-        self.level = level.astype(np.int32)
         edge = np.zeros(len(self.word) + 1, dtype=np.int64)
         for counts, size in ((self.now, self.length), (self.past, self.length - 1)):
             ends = np.flatnonzero(counts >= self.least) if size else np.zeros(0, np.int64)
             np.add.at(edge, ends - size + 1, 1)
             np.add.at(edge, ends + 1, -1)
-        self.word = np.where(np.cumsum(edge[:-1]) > 0, self.word, 0)
+        covered = np.cumsum(edge[:-1]) > 0
+        kept = np.flatnonzero(covered | is_open)
+        stretch = np.repeat(np.arange(len(self.sizes)), self.sizes)[kept]
+        opens = np.ones(len(kept), dtype=bool)
+        opens[1:] = (np.diff(kept) != 1) | (stretch[1:] != stretch[:-1])
+        at = np.flatnonzero(opens)
+        self.owner, self.sizes = self.owner[stretch[at]], np.diff(np.append(at, len(kept)))
+        self.now, self.past = self.now[kept], self.past[kept]
+        self.levels, level = np.unique(scores[kept], return_inverse=True)
+        self.level = level.astype(np.int32)
+        # A token that is kept for its score alone is in no gram to come.
         used = np.zeros(len(self.words), dtype=bool)
-        used[self.word] = True
-        self.words = np.where(used, self.words, np.uint64(0))
+        used[self.word[covered]] = True
+        used[:1] = True
+        number = np.cumsum(used) - 1
+        self.word = np.where(covered, number[self.word], 0)[kept].astype(np.int32)
+        self.words = self.words[used]
+        return owned[kept]
 
     def asked(self) -> tuple[np.ndarray, np.ndarray]:
         """(places, grams) of one token more whose parts are frequent."""
@@ -193,7 +221,7 @@ class Part:
         """(range, grams, their learned occurrences here)."""
         at, grams = self.asked()
         distinct, inverse = np.unique(grams, return_inverse=True)
-        weight = np.repeat(self.learned, self.sizes)[at]
+        weight = np.repeat(self.learned[self.owner], self.sizes)[at]
         n = np.bincount(inverse, weight, len(distinct)).astype(np.int64)
         for part, rows in _split(distinct, ranges):
             yield part, distinct[rows], n[rows]
@@ -366,9 +394,9 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
             none = np.zeros(len(data))
             zero = np.zeros(len(tokens), np.int64)
             part = Part(
-                np.array(ids, np.int64), np.array(flags, np.int64), sizes, words,
-                word.astype(np.int32), none, none, none, zero, zero, np.zeros(1), zero.astype(np.int32),
-                0, least,
+                np.array(ids, np.int64), np.array(flags, np.int64), sizes, none, none, none,
+                np.arange(len(data)), sizes, words, word.astype(np.int32), zero, zero,
+                np.zeros(1), zero.astype(np.int32), 0, least,
             )
             yield batch_of(_sent(part, first + n, None, ranges, depth), ROW_ARROW)
 
@@ -384,7 +412,7 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
                 scores = np.log10(part.now + 1.0) - base
                 part.known = part.per_document((part.now > 0).astype(np.int64))
                 part.base = part.per_document(scores)
-            part.close(scores)
+            owned = part.close(scores, owned)
             rows = _sent(part, group["key"][0].as_py(), owned, ranges, depth)
             return pa.Table.from_batches([batch_of(rows, ROW_ARROW)])
 
@@ -395,15 +423,23 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
             part, _, rests = _part_of(group, length, least)
             scores = part.done + part.per_document(part.take_rests(rests, ranges))
             ids = pa.array(part.doc, mask=part.doc == NO_ID)
-            columns = [part.sizes, part.known.astype(np.int64), part.base, scores]
+            columns = [part.n_tokens, part.known.astype(np.int64), part.base, scores]
             return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=_SCORED_NAMES)
 
         return step
 
-    def answers_to(sent: DataFrame, length: int) -> DataFrame:
+    def answers_to(sent: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+        """The parts by themselves, and the answers; what was asked is deleted."""
+        folder = {path.rsplit("/", 2)[0] for path in sent.inputFiles()}
         asked = sent.filter(F.col("kind") != PART)
-        answered = asked.groupBy("key").applyInArrow(lambda group: _answered(group, least), ROW)
-        return materialize(answered, f"answers-{length}")
+        answered = asked.select("key", "kind", "payload").groupBy("key").applyInArrow(
+            lambda group: _answered(group, least), ROW
+        )
+        answers = materialize(answered, f"answers-{length}")
+        for path in folder:
+            for kind in (ASKED, SUMS):
+                delete_folder(spark, f"{path}/kind={kind}")
+        return sent.filter(F.col("kind") == PART), answers
 
     def meeting(sent: DataFrame, answers: DataFrame):
         parts = sent.filter(F.col("kind") == PART)
@@ -413,18 +449,17 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
     cleaned = spark.conf.get(CLEAN_SHUFFLES)
     spark.conf.set(CLEAN_SHUFFLES, "true")
     try:
-        sent = materialize(texts.mapInArrow(scan, ROW), "parts-0")
-        answers = answers_to(sent, 0)
+        sent = materialize(texts.mapInArrow(scan, ROW), "parts-0", by="kind")
+        sent, answers = answers_to(sent, 0)
         total, distinct, _ = _found(answers)
         base = float(np.log10(total + distinct + 1))
         for length in range(1, depth + 2):
             old = sent, answers
-            sent = materialize(
-                meeting(sent, answers).applyInArrow(longer(length, base), ROW), f"parts-{length}"
-            )
+            grown = meeting(sent, answers).applyInArrow(longer(length, base), ROW)
+            sent = materialize(grown, f"parts-{length}", by="kind")
             for table in old:
                 _drop(table)
-            answers = answers_to(sent, length)
+            sent, answers = answers_to(sent, length)
             if not _found(answers)[2]:
                 break
     finally:
