@@ -43,8 +43,8 @@ from lanewise.session import delete_folder, materialize
 
 WINDOW = 13
 CHUNK_BYTES = 6_000_000  # of text, whose edges a task settles among themselves
-RANGE_BYTES = 16_000_000  # of text, for one range of hashes: over two million edges
-GROUP_BYTES = 16_000_000  # of text, for one group of documents
+RANGE_BYTES = 8_000_000  # of text, for one range of hashes: over a million windows
+GROUP_BYTES = 8_000_000  # of text, for one group of documents
 
 EDGES, LOCAL = 0, 1
 SPANS, REQUESTS, TEXTS = 0, 1, 2
