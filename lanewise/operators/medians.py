@@ -3,6 +3,8 @@ to the middle first where a group is too large for that."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,12 +153,23 @@ def group_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("rows"))
 
 
+def large_groups(sizes: DataFrame, ordered_values: int = ORDERED_VALUES) -> DataFrame | None:
+    """The groups of ``sizes`` (columns that groups agree in, and ``rows``) with more rows than a
+    task gathers, written; None if there are none."""
+    crowded, seen = materialize_with(
+        sizes.filter(F.col("rows") > ordered_values).drop("rows"),
+        "crowded-groups",
+        any=F.max(F.lit(1)),
+    )
+    return crowded if seen.get("any") else None
+
+
 def statistics(
     rows: DataFrame,
     keys: list[str],
     value: str,
     ordered_values: int = ORDERED_VALUES,
-    sizes: DataFrame | None = None,
+    find_large: Callable[[], DataFrame | None] | None = None,
 ) -> DataFrame:
     """(keys, median, average) of the values that are not NULL, per group.
 
@@ -165,20 +178,18 @@ def statistics(
     are narrowed in tables of their own. The average is the sum over the number of rows,
     for every group.
 
-    ``sizes`` (columns of ``rows`` that groups agree in, and ``rows``: no fewer than any such
-    group has) tells which groups are large; without it, rows are counted.
+    ``find_large`` gives the ``large_groups``, by columns of ``rows`` that groups agree in, from
+    sizes that are no smaller than the groups; without it, rows are counted.
     """
     usable = rows.filter(F.col(value).isNotNull())
-    sizes = group_sizes(usable, keys) if sizes is None else sizes
-    named = [c for c in sizes.columns if c != "rows"]
-    crowded, seen = materialize_with(
-        sizes.filter(F.col("rows") > ordered_values).select(*named),
-        "crowded-groups",
-        any=F.max(F.lit(1)),
-    )
+    if find_large is None:
+        crowded = large_groups(group_sizes(usable, keys), ordered_values)
+    else:
+        crowded = find_large()
     average = (F.sum(value) / F.count(value)).alias("average")
-    if not seen.get("any"):
+    if crowded is None:
         return usable.groupBy(*keys).agg(gathered_median(F.col(value)).alias("median"), average)
+    named = crowded.columns
     side, condition = _group_side(usable, crowded.withColumn("_large", F.lit(True)), named)
     marked = usable.join(side, condition, "left")
     gathered = marked.groupBy(*keys).agg(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -34,7 +35,7 @@ from lanewise.operators.lanes import (
     port_pairs,
     region_lanes,
 )
-from lanewise.operators.medians import ORDERED_VALUES, semi_join, statistics
+from lanewise.operators.medians import ORDERED_VALUES, large_groups, semi_join, statistics
 from lanewise.operators.pricing import datapoint_costs
 from lanewise.schemas import MART_COLUMNS
 from lanewise.session import intermediates, materialize
@@ -109,7 +110,11 @@ def lane_statistics(
         coverage = coverage.filter(
             (F.col("supplier_cnt") >= min_suppliers) & (F.col("company_cnt") >= min_companies)
         )
-    coverage = materialize(coverage, "lane-coverage")
+    # Two small jobs that do not wait for each other.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        sizes = lane_sizes(datapoints, lane_map.members)
+        large = pool.submit(large_groups, sizes, ordered_values)
+        coverage = materialize(coverage, "lane-coverage")
     costs = datapoint_costs(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
     ).select("origin_pid", "destination_pid", "equipment_id", "date", "cost")
@@ -120,8 +125,7 @@ def lane_statistics(
     )
     if limited:
         priced = semi_join(priced, coverage, LANE_KEYS, "left_semi")
-    sizes = lane_sizes(datapoints, lane_map.members)
-    prices = statistics(priced, LANE_KEYS, "cost", ordered_values, sizes)
+    prices = statistics(priced, LANE_KEYS, "cost", ordered_values, large.result)
     merged = coverage.unionByName(prices, allowMissingColumns=True)
     found = merged.groupBy(*LANE_KEYS).agg(
         round_half_up(F.max("median")).alias("med_cost"),

@@ -79,7 +79,9 @@ def test_sizes_may_be_given_for_more_than_a_group(spark):
     df = spark.createDataFrame(rows, "a string, b int, v double")
     for limit in (1, 5, 100):
         sizes = medians.group_sizes(df, ["a"])
-        got = medians.statistics(df, ["a", "b"], "v", limit, sizes).collect()
+        got = medians.statistics(
+            df, ["a", "b"], "v", limit, lambda: medians.large_groups(sizes, limit)
+        ).collect()
         assert {(r.a, r.b): r.median for r in got} == {
             ("a", 0): 5.0, ("a", 1): 5.0, ("b", 0): 1.0, (None, 0): 2.0, (None, 1): 4.0
         }
