@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from lanewise.functions.numeric import value_bucket
 from lanewise.session import materialize, materialize_with
 
-# Values of a group that one task gathers and puts in order, less than a megabyte; more are
-# narrowed first.
-ORDERED_VALUES = 100_000
+# Values of a group that one task gathers and puts in order, two megabytes; more are narrowed
+# first.
+ORDERED_VALUES = 250_000
 # Significant bits of the buckets, round by round. At 52 bits no more than three
 # neighbouring values share a bucket.
 BUCKET_BITS = (13, 26, 39, 52)
