@@ -17,7 +17,11 @@ ORDERED_VALUES = 250_000
 # Significant bits of the buckets, round by round. At 52 bits no more than three
 # neighbouring values share a bucket.
 BUCKET_BITS = (13, 26, 39, 52)
-
+# Significant bits of the first buckets, 32 between a value and its double: so few that a task
+# counts all its rows by them in little memory.
+FIRST_BITS = 6
+# With more rows than this in all large groups, only rows in the middle buckets are counted by value.
+COUNTED_ROWS = 1_000_000
 
 
 def _midpoint(low: Column, high: Column) -> Column:
@@ -49,6 +53,24 @@ def semi_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) ->
     return rows.join(side, condition, how)
 
 
+def _middle(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """The buckets that hold their group's middle ranks, with the ranks ``below`` them."""
+    upto = (
+        Window.partitionBy(*keys)
+        .orderBy("bucket")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = buckets.withColumn("last", F.col("before") + F.sum("inside").over(upto))
+    ranked = ranked.withColumn("below", F.col("last") - F.col("inside"))
+    return ranked.filter(
+        (F.col("below") < F.expr("total div 2 + 1")) & (F.col("last") >= F.expr("(total + 1) div 2"))
+    )
+
+
+def _in_range() -> Column:
+    return (F.col("value") >= F.col("lowest")) & (F.col("value") <= F.col("highest"))
+
+
 def _narrow(rows: DataFrame, keys: list[str], bits: int) -> tuple[DataFrame, int]:
     """Rows in the buckets that hold their group's middle ranks, and how many distinct
     values a group still has.
@@ -66,18 +88,8 @@ def _narrow(rows: DataFrame, keys: list[str], bits: int) -> tuple[DataFrame, int
             F.max("total").alias("total"),
         )
     )
-    upto = (
-        Window.partitionBy(*keys)
-        .orderBy("bucket")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = buckets.withColumn("last", F.col("before") + F.sum("inside").over(upto))
-    ranked = ranked.withColumn("below", F.col("last") - F.col("inside"))
-    middle = ranked.filter(
-        (F.col("below") < F.expr("total div 2 + 1")) & (F.col("last") >= F.expr("(total + 1) div 2"))
-    )
     ranges, seen = materialize_with(
-        middle.groupBy(*keys).agg(
+        _middle(buckets, keys).groupBy(*keys).agg(
             F.min("lowest").alias("lowest"),
             F.max("highest").alias("highest"),
             F.min("below").alias("below"),
@@ -87,14 +99,46 @@ def _narrow(rows: DataFrame, keys: list[str], bits: int) -> tuple[DataFrame, int
         most=F.max("values"),
     )
     side, condition = _group_side(rows, ranges, keys)
-    left = rows.join(
-        side,
-        condition & (F.col("value") >= F.col("lowest")) & (F.col("value") <= F.col("highest")),
-    )
+    left = rows.join(side, condition & _in_range())
     kept = left.select(*keys, "value", "n", "total", F.col("below").alias("before"))
     return kept, seen.get("most") or 0
 
 
+def _first_ranges(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """(keys, lowest, highest, before, total, average): the range around each group's middle, and
+    the number of rows of all groups.
+
+    Rows are counted and added up by coarse buckets, map-side first, so what is shuffled
+    depends on the groups and not on their rows.
+    """
+    buckets = rows.groupBy(*keys, value_bucket(F.col("value"), FIRST_BITS).alias("bucket")).agg(
+        F.count("*").alias("inside"),
+        F.sum("value").alias("amount"),
+        F.min("value").alias("lowest"),
+        F.max("value").alias("highest"),
+    )
+    group = Window.partitionBy(*keys)
+    totals = buckets.withColumns(
+        {
+            "before": F.lit(0).cast("bigint"),
+            "total": F.sum("inside").over(group),
+            "average": F.sum("amount").over(group) / F.sum("inside").over(group),
+        }
+    )
+    ranges, seen = materialize_with(
+        _middle(totals, keys).groupBy(*keys).agg(
+            F.min("lowest").alias("lowest"),
+            F.max("highest").alias("highest"),
+            F.min("below").alias("before"),
+            F.max("total").alias("total"),
+            F.max("average").alias("average"),
+        ),
+        "first-ranges",
+        rows=F.sum("total"),
+    )
+    return ranges, seen.get("rows") or 0
+
+
 def _read_middle(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Median of each group from its values in order, counted on from ``before``."""
     upto = (
@@ -115,37 +159,46 @@ def _read_middle(rows: DataFrame, keys: list[str]) -> DataFrame:
     return picked.select(*keys, _midpoint(F.col("low"), F.col("high")).alias("median"))
 
 
-def narrowed_medians(
+def narrowed_statistics(
     rows: DataFrame, keys: list[str], value: str, ordered_values: int = ORDERED_VALUES
 ) -> DataFrame:
-    """(keys, median) of groups of any size, whose values are not NULL.
+    """(keys, median, average) of groups of any size, whose values are not NULL.
 
-    1. Equal values are counted, map-side first; the shuffle is on (group, value), so a
+    1. Rows are counted by coarse buckets, where each group has few. Of many rows, only those
+       in the buckets with the middle ranks go on; the others are never shuffled.
+    2. Equal values are counted, map-side first; the shuffle is on (group, value), so a
        crowded group spreads over all tasks.
-    2. Only the range around the middle of a group goes on: values are counted by bucket, the
-       buckets with the middle ranks are kept, and finer buckets follow until what is left
-       is small.
-    3. What is left is put in order and read at the middle ranks.
+    3. Where a group has many values left, they are counted by bucket, the buckets with the
+       middle ranks are kept, and finer buckets follow until what is left is small.
+    4. What is left is put in order and read at the middle ranks.
     """
+    rows = rows.select(*keys, F.col(value).alias("value"))
+    ranges, found = _first_ranges(rows, keys)
+    side, condition = _group_side(rows, ranges, keys)
+    before = F.lit(0).cast("bigint")
+    if found > COUNTED_ROWS:
+        condition, before = condition & _in_range(), F.col("before")
     counted = materialize(
-        rows.groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("n")),
+        rows.join(side, condition)
+        .groupBy(*keys, "value")
+        .agg(
+            F.count("*").alias("n"), F.max("total").alias("total"), F.max(before).alias("before")
+        ),
         "counted-values",
     )
-    totals, seen = materialize_with(
-        counted.groupBy(*keys).agg(F.sum("n").alias("total"), F.count("*").alias("values")),
-        "group-totals",
+    _, seen = materialize_with(
+        counted.groupBy(*keys).agg(F.count("*").alias("values")),
+        "group-values",
         most=F.max("values"),
     )
-    side, condition = _group_side(counted, totals.drop("values"), keys)
-    left = counted.join(side, condition).select(
-        *keys, "value", "n", "total", F.lit(0).cast("bigint").alias("before")
-    )
-    most = seen.get("most") or 0
+    left, most = counted, seen.get("most") or 0
     for bits in BUCKET_BITS:
         if most <= ordered_values:
             break
         left, most = _narrow(left, keys, bits)
-    return _read_middle(left, keys)
+    medians = _read_middle(left, keys)
+    side, condition = _group_side(medians, ranges.select(*keys, "average"), keys)
+    return medians.join(side, condition).select(*keys, "median", "average")
 
 
 def group_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -173,10 +226,9 @@ def statistics(
 ) -> DataFrame:
     """(keys, median, average) of the values that are not NULL, per group.
 
-    Groups of at most ``ordered_values`` rows are gathered, one shuffle for all of them. The
-    rows of larger groups give only their sum and count to that shuffle; their medians
-    are narrowed in tables of their own. The average is the sum over the number of rows,
-    for every group.
+    Groups of at most ``ordered_values`` rows are gathered, one shuffle for all of them. Larger
+    groups take no part in it; they are narrowed in tables of their own. The average is
+    the sum over the number of rows, for every group.
 
     ``find_large`` gives the ``large_groups``, by columns of ``rows`` that groups agree in, from
     sizes that are no smaller than the groups; without it, rows are counted.
@@ -189,15 +241,8 @@ def statistics(
     average = (F.sum(value) / F.count(value)).alias("average")
     if crowded is None:
         return usable.groupBy(*keys).agg(gathered_median(F.col(value)).alias("median"), average)
-    named = crowded.columns
-    side, condition = _group_side(usable, crowded.withColumn("_large", F.lit(True)), named)
-    marked = usable.join(side, condition, "left")
-    gathered = marked.groupBy(*keys).agg(
-        gathered_median(F.when(F.col("_large").isNull(), F.col(value))).alias("median"), average
-    )
-    large = semi_join(usable, crowded, named, "left_semi")
-    narrowed = materialize(narrowed_medians(large, keys, value, ordered_values), "large-medians")
-    side, condition = _group_side(gathered, narrowed.withColumnRenamed("median", "narrowed"), keys)
-    return gathered.join(side, condition, "left").select(
-        *keys, F.coalesce("narrowed", "median").alias("median"), "average"
-    )
+    small = semi_join(usable, crowded, crowded.columns, "left_anti")
+    gathered = small.groupBy(*keys).agg(gathered_median(F.col(value)).alias("median"), average)
+    large = semi_join(usable, crowded, crowded.columns, "left_semi")
+    narrowed = materialize(narrowed_statistics(large, keys, value, ordered_values), "large-medians")
+    return gathered.unionByName(narrowed)

@@ -116,3 +116,21 @@ def test_rounding(spark):
     cases = {1.005: 1.0, 0.145: 0.14, 2.5: 2.5, 0.125: 0.13, -0.125: -0.13}
     df = spark.createDataFrame([(v,) for v in cases], "v double")
     assert dict(df.select("v", round_half_up(F.col("v"))).collect()) == cases
+
+
+def test_only_the_middle_of_many_rows_is_counted_by_value(spark, monkeypatch):
+    """Of 20,000 distinct values only those in the middle buckets are shuffled and written."""
+    written, honest = [], medians.materialize
+
+    def watching(rows, name):
+        table = honest(rows, name)
+        written.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(medians, "materialize", watching)
+    monkeypatch.setattr(medians, "COUNTED_ROWS", 5000, raising=False)
+    df = spark.range(1, 20_001).selectExpr("cast(null as string) as a", "cast(id as double) as v")
+    df = df.union(spark.sql("select 'few', 3.0D"))
+    got = {r.a: (r.median, r.average) for r in medians.statistics(df, ["a"], "v", 1000).collect()}
+    assert got == {None: (10000.5, pytest.approx(10000.5)), "few": (3.0, 3.0)}
+    assert 0 < dict(written)["counted-values"] < 2000
