@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.session import materialize_with
+from lanewise.session import broadcast_if_small, materialize, materialize_with
 
 
 def _ancestor_paths(regions: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def related_pairs(ancestors: DataFrame) -> DataFrame:
 
 def drop_related(pairs: DataFrame, ancestors: DataFrame, left: str, right: str) -> DataFrame:
     """Keep pairs that are not related; a pair with a NULL side is kept."""
-    related = related_pairs(ancestors)
+    related = broadcast_if_small(materialize(related_pairs(ancestors), "related-regions"))
     return pairs.join(
         related,
         (pairs[left] == related["left_region"]) & (pairs[right] == related["right_region"]),

@@ -8,11 +8,13 @@ per datapoint, day and charge.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.operators.hierarchy import drop_related
+from lanewise.operators.keys import dense_keys
 from lanewise.session import broadcast_if_small, materialize
 
 # A lane row belongs to one grain; region grains are published together.
@@ -75,7 +77,10 @@ def region_pairs(pairs: DataFrame, ports: DataFrame, ancestors: DataFrame) -> Da
     The fan-out per pair is tree depth squared.
     """
     fanned = _both_ends(pairs, port_regions(ports, ancestors))
-    return drop_related(fanned, ancestors, "origin_ancestor", "destination_ancestor")
+    # Only ancestors are compared, so regions below which there are none need not be listed.
+    tops = ancestors.select(F.col("ancestor").alias("slug")).distinct()
+    upper = materialize(ancestors.join(tops, "slug", "left_semi"), "upper-regions")
+    return drop_related(fanned, upper, "origin_ancestor", "destination_ancestor")
 
 
 def region_lanes(pairs: DataFrame, ports: DataFrame, ancestors: DataFrame) -> DataFrame:
@@ -121,20 +126,52 @@ def port_lanes(pairs: DataFrame, ports: DataFrame) -> DataFrame:
     )
 
 
-def number_lanes(lines: DataFrame) -> LaneMap:
-    """Give every (grain, origin, destination) a number and write both tables."""
-    lines = materialize(lines, "lane-lines")
-    lanes = materialize(
-        lines.select(*LANE_LABELS)
-        .distinct()
-        .withColumn("lane_id", F.monotonically_increasing_id()),
-        "lanes",
+def number_names(texts: list[DataFrame]) -> DataFrame:
+    """(name, number) of all texts but NULL, numbers from 1 without gaps; written once.
+
+    The map is joined and made distinct by these numbers. Its lines are many times the
+    names, so names are put back only for the lanes.
+    """
+    names = reduce(DataFrame.union, texts).toDF("name").filter(F.col("name").isNotNull()).distinct()
+    return materialize(dense_keys(names, "name").withColumnRenamed("raw_pid", "number"), "names")
+
+
+def numbered(rows: DataFrame, names: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with the numbers of the names in ``columns``; NULL stays NULL."""
+    out = rows
+    for column in columns:
+        side = names.withColumnsRenamed({"name": "_name", "number": "_number"})
+        out = out.join(side, F.col(column) == F.col("_name"), "left")
+        out = out.withColumn(column, F.col("_number")).drop("_name", "_number")
+    return out
+
+
+def number_lanes(lines: DataFrame, names: DataFrame) -> LaneMap:
+    """Give every (grain, origin, destination) a number and write both tables.
+
+    The ends are numbers of ``names``, so a lane's number is computed from its three parts, each
+    a digit to the base of all names; NULL is the digit 0.
+    """
+    size = names.count() + 1
+    base = F.lit(size).cast("bigint")
+    ends = [F.coalesce(F.col(end), F.lit(0)) for end in ("origin", "destination")]
+    lane_id = (F.col("grain") * base + ends[0]) * base + ends[1]
+    members = materialize(
+        lines.select("origin_pid", "destination_pid", lane_id.alias("lane_id"), "copies"),
+        "lane-members",
+    )
+    lanes = members.select("lane_id").distinct().select(
+        "lane_id",
+        F.expr(f"cast(lane_id div {size}L div {size}L as int)").alias("grain"),
+        F.expr(f"lane_id div {size}L % {size}L").alias("origin"),
+        F.expr(f"lane_id % {size}L").alias("destination"),
     )
-    same = lines["grain"] == lanes["grain"]
     for end in ("origin", "destination"):
-        same = same & lines[end].eqNullSafe(lanes[end])
-    members = lines.join(lanes, same).select("origin_pid", "destination_pid", "lane_id", "copies")
-    return LaneMap(lanes, broadcast_if_small(materialize(members, "lane-members")))
+        side = names.withColumnsRenamed({"name": "_name", "number": "_number"})
+        lanes = lanes.join(side, F.col(end) == F.col("_number"), "left")
+        lanes = lanes.withColumn(end, F.col("_name")).drop("_name", "_number")
+    lanes = materialize(lanes, "lanes")
+    return LaneMap(lanes, broadcast_if_small(members))
 
 
 def attach_lanes(rows: DataFrame, members: DataFrame) -> DataFrame:

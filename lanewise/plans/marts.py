@@ -31,6 +31,8 @@ from lanewise.operators.lanes import (
     LaneMap,
     attach_lanes,
     number_lanes,
+    number_names,
+    numbered,
     port_lanes,
     port_pairs,
     region_lanes,
@@ -57,13 +59,18 @@ def lane_map(
 ) -> LaneMap:
     """Lanes of every port pair of the datapoints; written once for its readers."""
     pairs = port_pairs(datapoints)
+    ancestors = materialize(ancestor_set(tables.regions), "ancestors") if regions else None
+    texts = [tables.ports.select("code")] if ports else []
+    if regions:
+        texts += [tables.ports.select("slug"), ancestors.select("slug"), ancestors.select("ancestor")]
+    names = number_names(texts)
     parts = []
     if regions:
-        ancestors = materialize(ancestor_set(tables.regions), "ancestors")
-        parts.append(region_lanes(pairs, tables.ports, ancestors))
+        located = numbered(tables.ports, names, "slug")
+        parts.append(region_lanes(pairs, located, numbered(ancestors, names, "slug", "ancestor")))
     if ports:
-        parts.append(port_lanes(pairs, tables.ports))
-    return number_lanes(reduce(DataFrame.unionByName, parts))
+        parts.append(port_lanes(pairs, numbered(tables.ports, names, "code")))
+    return number_lanes(reduce(DataFrame.unionByName, parts), names)
 
 
 def within(

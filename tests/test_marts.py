@@ -11,8 +11,8 @@ import golden
 from lanewise.operators import hierarchy, pricing
 from lanewise.operators.coverage import lane_coverage, lane_sizes
 from lanewise.operators.intervals import active, clip, expand_days, merge_intervals
-from lanewise.operators.lanes import attach_lanes
-from lanewise.plans import marts
+from lanewise.operators.lanes import attach_lanes, number_lanes, number_names, numbered
+from lanewise.plans import derived, marts
 from lanewise.session import shared_folder
 
 
@@ -221,3 +221,15 @@ def test_coverage_makes_days_behind_every_shuffle_but_the_last(spark, tables):
     head = plan[: plan.index("Generate explode")]
     assert "Join" not in head and head.count("Aggregate") == 1
     assert plan.count("Generate explode") == 1
+
+
+def test_lanes_are_numbered_by_their_names(spark):
+    """NULL is a name of its own, and a line's copies stay with it."""
+    names = number_names([spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "name string")])
+    texts = [(1, 2, 0, "a", "b", 1), (1, 2, 3, "a", None, 2), (None, 2, 3, None, "a", 1), (5, 6, 3, None, "a", 4)]
+    shape = "origin_pid int, destination_pid int, grain int, origin string, destination string, copies long"
+    lines = numbered(spark.createDataFrame(texts, shape), names, "origin", "destination")
+    mapped = number_lanes(lines, names)
+    found = mapped.label(mapped.members.select("lane_id", "origin_pid", "destination_pid", "copies"))
+    assert Counter(map(tuple, found.collect())) == Counter((g, o, d, p, q, c) for p, q, g, o, d, c in texts)
+    assert mapped.lanes.count() == 3
