@@ -46,19 +46,24 @@ def lane_coverage(datapoints: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def lane_sizes(datapoints: DataFrame, members: DataFrame) -> DataFrame:
-    """(lane_id, equipment_id, month, rows): no day of the month has more datapoints on
-    the lane. Months, not days, are made, and they are added up per port pair before the lane
-    map multiplies them."""
+    """(lane_id, equipment_id, month, rows, days): no day of the month has more datapoints on
+    the lane than ``rows``, and all its days together have ``days``. Months, not days, are
+    made, and they are added up per port pair before the lane map multiplies them."""
     months = F.sequence(
         F.trunc("valid_from", "month"), F.trunc(last_day(), "month"), F.expr("interval 1 month")
     )
+    first = F.greatest("valid_from", "month")
+    last = F.least(last_day(), F.last_day("month"))
     by_pair = (
-        datapoints.select(*PAIR, F.explode_outer(months).alias("month"))
+        datapoints.select(*PAIR, "valid_from", "valid_to", F.explode_outer(months).alias("month"))
         .groupBy(*PAIR, "month")
-        .agg(F.count("*").alias("datapoints"))
+        .agg(
+            F.count("*").alias("datapoints"),
+            F.sum(F.coalesce(F.datediff(last, first) + 1, F.lit(1))).alias("days"),
+        )
     )
     return (
         attach_lanes(by_pair, members)
         .groupBy("lane_id", "equipment_id", "month")
-        .agg(F.sum("datapoints").alias("rows"))
+        .agg(F.sum("datapoints").alias("rows"), F.sum("days").alias("days"))
     )

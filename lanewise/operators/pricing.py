@@ -95,7 +95,11 @@ def _terms() -> Column:
 
 
 def datapoint_costs(
-    datapoints: DataFrame, charges: DataFrame, rates: DataFrame, keep_unpriced: bool = True
+    datapoints: DataFrame,
+    charges: DataFrame,
+    rates: DataFrame,
+    keep_unpriced: bool = True,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(datapoint keys, date, cost), one row per active datapoint and day.
 
@@ -105,7 +109,8 @@ def datapoint_costs(
     by (currency, month), and the months, not the days, go back to their d_id.
 
     Expects one active version per d_id. ``keep_unpriced=False`` drops days that end
-    up without any cost, since medians and averages skip those.
+    up without any cost, since medians and averages skip those. ``tasks`` deals the datapoints
+    to that many tasks, where partitions by bytes would make too many days in one.
     """
     how = "left" if keep_unpriced else "inner"
     last_day = F.greatest("valid_from", F.coalesce("valid_to", "valid_from"))
@@ -113,6 +118,8 @@ def datapoint_costs(
     totals = charge_totals(charges)
     if not keep_unpriced:
         totals = totals.filter(F.col("amount").isNotNull())
+    if tasks is not None:
+        keyed, totals = keyed.repartition(tasks, "d_id"), totals.repartition(tasks, "d_id")
     months = F.sequence(
         F.trunc("valid_from", "month"), F.trunc("last_day", "month"), F.expr("interval 1 month")
     )
@@ -124,7 +131,7 @@ def datapoint_costs(
         *DATAPOINT_KEYS, _terms().alias("terms")
     )
     if not small:
-        rated = rated.repartition("d_id")
+        rated = rated.repartition("d_id") if tasks is None else rated.repartition(tasks, "d_id")
     days = rated.select(*DATAPOINT_KEYS, F.explode_outer("terms").alias("day"))
     costs = days.groupBy(*DATAPOINT_KEYS, F.col("day.date").alias("date")).agg(
         F.sum("day.term").alias("cost")

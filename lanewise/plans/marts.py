@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import (
@@ -42,6 +42,10 @@ from lanewise.operators.pricing import datapoint_costs
 from lanewise.schemas import MART_COLUMNS
 from lanewise.session import intermediates, materialize
 
+# Rows that a task makes of costs by joining their lanes, at most on average: what it has to
+# put in order of them stays within a few hundred megabytes.
+LANE_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class Staging:
@@ -94,6 +98,13 @@ def within(
     return replace(tables, datapoints=datapoints, charges=charges)
 
 
+def _tasks(spark: SparkSession, lane_rows: int) -> int | None:
+    """Tasks for costs that become so many lane rows; None if Spark's own choice will do."""
+    if lane_rows <= LANE_ROWS:
+        return None
+    return max(-(-lane_rows // LANE_ROWS), spark.sparkContext.defaultParallelism)
+
+
 def lane_statistics(
     tables: Staging,
     lane_map: LaneMap,
@@ -106,7 +117,8 @@ def lane_statistics(
 
     Coverage is known before any price. Lanes below the minimum counts are dropped from
     it, and costs meet what is left before their medians are taken. How many datapoints a lane
-    has in a month tells, before any price, which groups are too large to be gathered.
+    has in a month tells, before any price, which groups are too large to be gathered, and the
+    days of all lanes tell how many tasks the costs are dealt to before lanes multiply them.
     Coverage rows and statistics meet in one aggregation, which keeps lanes that have
     datapoints but no cost.
     """
@@ -119,12 +131,21 @@ def lane_statistics(
         )
     # Two small jobs that do not wait for each other.
     with ThreadPoolExecutor(max_workers=2) as pool:
+        seen = Observation()
         sizes = lane_sizes(datapoints, lane_map.members)
+        sizes = sizes.observe(seen, F.sum("days").alias("days")).drop("days")
         large = pool.submit(large_groups, sizes, ordered_values)
         coverage = materialize(coverage, "lane-coverage")
+    tasks = _tasks(tables.datapoints.sparkSession, seen.get.get("days") or 0)
     costs = datapoint_costs(
-        datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False
-    ).select("origin_pid", "destination_pid", "equipment_id", "date", "cost")
+        datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False, tasks=tasks
+    ).select("d_id", "origin_pid", "destination_pid", "equipment_id", "date", "cost")
+    if large.result() is not None:
+        # Read by the gathered groups once and by the large ones twice.
+        costs = materialize(costs, "lane-costs")
+        if tasks is not None:
+            costs = costs.repartition(tasks, "d_id")
+    costs = costs.drop("d_id")
     priced = attach_lanes(costs, lane_map.members).select(
         *LANE_KEYS,
         F.trunc("date", "month").alias("month"),

@@ -223,6 +223,30 @@ def test_coverage_makes_days_behind_every_shuffle_but_the_last(spark, tables):
     assert plan.count("Generate explode") == 1
 
 
+@pytest.mark.parametrize("ordered_values", [40, 250_000])
+def test_costs_are_dealt_to_tasks_by_the_rows_that_lanes_make_of_them(spark, monkeypatch, ordered_values):
+    """What a task makes of costs is bounded, whatever the number of datapoints."""
+    tables = marts.within(derived.staging(spark, "/root/testdata/sf0.001"))
+    mapped = marts.lane_map(tables, tables.datapoints)
+
+    def collected():
+        found = marts.lane_statistics(tables, mapped, ordered_values=ordered_values)
+        return Counter(map(tuple, found.collect()))
+
+    seen, honest = [], marts.datapoint_costs
+
+    def watching(*args, tasks=None, **options):
+        seen.append(tasks)
+        return honest(*args, tasks=tasks, **options)
+
+    monkeypatch.setattr(marts, "datapoint_costs", watching)
+    expected = collected()
+    monkeypatch.setattr(marts, "LANE_ROWS", 500, raising=False)
+    assert collected() == expected
+    days = attach_lanes(expand_days(tables.datapoints), mapped.members).count()
+    assert seen == [None, max(-(-days // 500), spark.sparkContext.defaultParallelism)]
+
+
 def test_lanes_are_numbered_by_their_names(spark):
     """NULL is a name of its own, and a line's copies stay with it."""
     names = number_names([spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "name string")])
