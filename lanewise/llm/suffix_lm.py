@@ -14,6 +14,10 @@ terms to the sums of the gram's context; the context's range adds these up, test
 tells the chunks that have it. It ends when no gram is frequent, or at ``MAX_DEPTH``; that
 no context of some length is a state ends nothing, as longer ones may be.
 
+A context that occurs as often as its suffix of one token less is always that suffix and the
+same token before it. The same words follow both, as often, so that it wins nothing: it is
+no state and is not tested.
+
 Cases: a NULL text is an empty one, of one end token; a NULL doc_id is a document like
 any other; repeated rows count and are scored each; if nothing is learned, a token has
 probability one, that of the only (unknown) word; no rows give no rows; other columns
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +47,10 @@ MAX_DEPTH = 16  # tokens of a context
 DISCOUNT = 0.5
 # Log-likelihood that a context must win over its suffix, in nats.
 MIN_DIVERGENCE = 12.0
-CHUNK_BYTES = 8_000_000
-RANGE_BYTES = 64_000_000  # of text, for one hash range
+CHUNK_BYTES = 5_500_000
+RANGE_BYTES = 32_000_000  # of text, for one hash range
+# Chunks and answers that meet in one shuffle: a share of the text, or so many bytes.
+MEETING_SHARE, MEETING_BYTES = 4, 100_000_000
 END = np.uint64(0x5EED)
 NO_ID = -(1 << 63)
 # Every length writes its tables; what was shuffled for them is of no more use.
@@ -56,10 +62,37 @@ _SCORED_NAMES = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
 
 def _range_of(values: np.ndarray, ranges: int) -> np.ndarray:
-    mixed = values.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    mixed = mixed ^ (mixed >> np.uint64(32))
-    mixed = (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)
-    return (mixed % np.uint64(ranges)).astype(np.int64)
+    """By the upper bits, so that values in order are in the order of their ranges."""
+    upper = values.view(np.uint64) >> np.uint64(32)
+    return ((upper * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values in order, place of each value among them, their first places).
+
+    Sorts the values' upper bits with the places below them, much faster than by argsort.
+    Values that differ in the lower bits only are sorted again if they came out of order.
+    """
+    if not len(values):
+        return values, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = np.uint64((1 << len(values).bit_length()) - 1)
+    keyed = (values & ~low) | np.arange(len(values), dtype=np.uint64)
+    keyed.sort()
+    order = (keyed & low).astype(np.int64)
+    ordered = values[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(values, kind="stable")
+        ordered = values[order]
+    opens = np.ones(len(values), dtype=bool)
+    opens[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(values), dtype=np.int64)
+    inverse[order] = np.cumsum(opens) - 1
+    return ordered[opens], inverse, order[opens]
+
+
+def _small(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from zero on in as few bytes as hold them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
 
 Chunk = tuple[list[int], list[bytes], list[bool]]
@@ -128,11 +161,17 @@ class Part:
     """What a chunk of documents knows after the counts of grams of ``length`` tokens.
 
     By document: its doc_id, whether it is learned, its tokens and known tokens, its base
-    score, and ``done``: the scores of the tokens that no longer context changes. The
-    other tokens, and the words that longer grams may have, lie in stretches, each a part
-    of a document (``owner``); what no longer gram needs is let go by ``close``. By place in the
-    stretches: the counts of the grams of ``length`` and of one token less that end there, and
-    the token's log10 probability after contexts of ``length`` - 2 tokens at most.
+    score, and ``done``: what no longer context changes of its score. The rest lies in
+    stretches, each a part of a document (``owner``); what no longer gram needs is let go
+    by ``close``. By place in the stretches: the token's word, zero if no gram to come has
+    it; the count of the gram of ``length`` that ends there (from two tokens on zero if not
+    frequent), and whether the gram of one token less has another (``fresh``); ``past``, the
+    count of the gram of one token less if it is a context to be tested, else zero; whether
+    the place is the one of all chunks that stands for its gram (``owned``); and the place
+    in ``levels`` of the token's log10 probability after contexts of ``length`` - 2 tokens at
+    most. That is kept of frequent grams only, and is zero elsewhere: to other tokens longer
+    contexts only add their rests, and those go to ``done``. ``singles`` has the counts of
+    ``words``, and tells levels and shorter counts up to two tokens.
     """
 
     doc: np.ndarray
@@ -144,16 +183,60 @@ class Part:
     owner: np.ndarray
     sizes: np.ndarray
     words: np.ndarray
+    singles: np.ndarray
     word: np.ndarray
-    now: np.ndarray
-    past: np.ndarray
-    levels: np.ndarray
-    level: np.ndarray
     length: int
     least: int
+    norm: float
+    now: np.ndarray | None = None
+    fresh: np.ndarray | None = None
+    past: np.ndarray | None = None
+    owned: np.ndarray | None = None
+    levels: np.ndarray | None = None
+    level: np.ndarray | None = None
 
     def packed(self) -> bytes:
-        return pack(*[getattr(self, f.name) for f in fields(self)[:-2]])
+        columns = [
+            self.doc, _small(self.learned), _small(self.n_tokens), _small(self.known), self.base,
+            self.done, _small(self.owner), _small(self.sizes), steps(self.words),
+            _small(self.singles), _small(self.word),
+        ]
+        if self.length >= 2:
+            columns += [_small(self.now), self.fresh, self.owned]
+        if self.length >= 3:
+            columns += [_small(self.past), self.levels, _small(self.level)]
+        return pack(*columns)
+
+    @classmethod
+    def unpacked(cls, payload: bytes, length: int, least: int, norm: float) -> Part:
+        columns = [c.astype(np.int64) if c.dtype.kind == "u" else c for c in unpack(payload)]
+        columns[8] = np.cumsum(columns[8].view(np.uint64), dtype=np.uint64)
+        part = cls(*columns[:11], length, least, norm)
+        if length == 1:
+            part.one_word()
+        elif length >= 2:
+            part.now, part.fresh, part.owned, *more = columns[11:]
+            if more:
+                part.past, part.levels, part.level = more
+            else:
+                part.past = part.tested(part.singles[part.word])
+                part.single_levels()
+        return part
+
+    def one_word(self) -> None:
+        self.now = self.singles[self.word]
+        self.fresh = np.ones(len(self.word), dtype=bool)
+        self.past = np.zeros(len(self.word), np.int64)
+        self.owned = np.zeros(len(self.word), dtype=bool)
+        self.single_levels()
+
+    def single_levels(self) -> None:
+        self.levels = np.append(0.0, np.log10(self.singles + 1.0) - self.norm)
+        pending, grows = self.waiting()
+        self.level = np.where((self.now >= self.least) & (pending | grows), self.word + 1, 0)
+
+    def tested(self, counts: np.ndarray) -> np.ndarray:
+        return np.where(counts >= self.least, counts, 0)
 
     @property
     def tokens(self) -> np.ndarray:
@@ -165,25 +248,38 @@ class Part:
         starts = np.cumsum(self.sizes) - self.sizes
         return np.arange(len(self.word)) - np.repeat(starts, self.sizes)
 
+    @property
+    def document(self) -> np.ndarray:
+        return np.repeat(self.owner, self.sizes)
+
     def per_document(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(np.repeat(self.owner, self.sizes), values, len(self.doc))
+        return np.bincount(self.document, values, len(self.doc))
+
+    def waiting(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the context of ``length`` - 1 tokens is to be tested, by place, and whether
+        that of ``length`` tokens is frequent."""
+        place = self.place
+        pending = (_shifted(self.past, 0) > 0) & (place >= self.length - 1)
+        return pending, (_shifted(self.now, 0) >= self.least) & (place >= self.length)
 
-    def close(self, scores: np.ndarray, owned: np.ndarray) -> np.ndarray:
-        """Keep the scores and words that longer grams need; ``owned`` at the places kept.
+    def close(self) -> None:
+        """Keep the levels and words that longer grams need.
 
         A gram that may grow lies inside a stretch, as all its words are kept, and so does
-        the context of a token whose score is open.
+        a context to be tested with the token after it.
         """
-        is_open = np.ones(len(self.word), dtype=bool)
-        if self.length > 1:
-            is_open = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
-            self.done = self.done + self.per_document(np.where(is_open, 0.0, scores))
-            scores = np.where(is_open, scores, 0.0)
-        edge = np.zeros(len(self.word) + 1, dtype=np.int64)
-        for counts, size in ((self.now, self.length), (self.past, self.length - 1)):
-            ends = np.flatnonzero(counts >= self.least) if size else np.zeros(0, np.int64)
-            np.add.at(edge, ends - size + 1, 1)
-            np.add.at(edge, ends + 1, -1)
+        often = self.now >= self.least
+        pending, grows = self.waiting()
+        is_open = pending | grows
+        levelled = often & is_open
+        scores = np.where(levelled, 0.0, self.levels[self.level])
+        self.done = self.done + self.per_document(scores)
+        self.level = np.where(levelled, self.level, 0)
+        edge = np.zeros(len(self.word) + 1, dtype=np.int32)
+        ends = ((np.flatnonzero(often), self.length), (np.flatnonzero(pending) - 1, self.length - 1))
+        for at, size in ends:
+            edge[at - size + 1] += 1
+            edge[at + 1] -= 1
         covered = np.cumsum(edge[:-1]) > 0
         kept = np.flatnonzero(covered | is_open)
         stretch = np.repeat(np.arange(len(self.sizes)), self.sizes)[kept]
@@ -191,108 +287,129 @@ class Part:
         opens[1:] = (np.diff(kept) != 1) | (stretch[1:] != stretch[:-1])
         at = np.flatnonzero(opens)
         self.owner, self.sizes = self.owner[stretch[at]], np.diff(np.append(at, len(kept)))
-        self.now, self.past = self.now[kept], self.past[kept]
-        self.levels, level = np.unique(scores[kept], return_inverse=True)
-        self.level = level.astype(np.int32)
+        self.now, self.past, self.fresh = self.now[kept], self.past[kept], self.fresh[kept]
+        self.owned, self.level = self.owned[kept], self.level[kept]
+        used = np.zeros(len(self.levels), dtype=bool)
+        used[self.level] = True
+        used[0] = True
+        self.level, self.levels = (np.cumsum(used) - 1)[self.level], self.levels[used]
         # A token that is kept for its score alone is in no gram to come.
         used = np.zeros(len(self.words), dtype=bool)
         used[self.word[covered]] = True
-        used[:1] = True
-        number = np.cumsum(used) - 1
-        self.word = np.where(covered, number[self.word], 0)[kept].astype(np.int32)
-        self.words = self.words[used]
-        return owned[kept]
-
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        """(places, grams) of one token more whose parts are frequent."""
-        if not self.length:
-            return np.arange(len(self.word)), self.tokens
-        often = (self.now >= self.least) & (_shifted(self.now, 0) >= self.least)
-        at = np.flatnonzero(often & (self.place >= self.length))
-        return at, _grams(self.tokens, at, self.length + 1)
+        self.word = np.where(covered, np.cumsum(used)[self.word], 0)[kept]
+        self.words = np.append(np.uint64(0), self.words[used])
+        self.singles = np.append(0, self.singles[used])
 
-    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
-        """(places, contexts) where a token follows a frequent context of ``length`` - 1."""
-        often = (_shifted(self.past, 0) >= self.least) & (self.place >= self.length - 1)
-        at = np.flatnonzero(often)
-        return at, _grams(self.tokens, at - 1, self.length - 1)
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Grams of one token more whose parts are frequent: where they end, the distinct
+        ones in order, the number of each, and where the distinct ones come first."""
+        if not self.length:
+            at = np.arange(len(self.word))
+            return at, self.words, self.word, at[:0]
+        often = self.now >= self.least
+        at = np.flatnonzero(often & _shifted(often, False) & (self.place >= self.length))
+        distinct, number, first = _distinct(_grams(self.tokens, at, self.length + 1))
+        return at, distinct, number, at[first]
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts of ``length`` - 1 tokens to be tested: the places after them, the distinct
+        ones in order, the number of each, and the counts of the distinct ones."""
+        at = np.flatnonzero(self.waiting()[0])
+        if self.length == 2:
+            word = self.word[at - 1]
+            used = np.zeros(len(self.words), dtype=bool)
+            used[word] = True
+            return at, self.words[used], (np.cumsum(used) - 1)[word], self.singles[used]
+        distinct, number, first = _distinct(_grams(self.tokens, at - 1, self.length - 1))
+        return at, distinct, number, self.past[at[first] - 1]
 
     def requests(self, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(range, grams, their learned occurrences here)."""
-        at, grams = self.asked()
-        distinct, inverse = np.unique(grams, return_inverse=True)
-        weight = np.repeat(self.learned[self.owner], self.sizes)[at]
-        n = np.bincount(inverse, weight, len(distinct)).astype(np.int64)
+        at, distinct, number, _ = self.asked()
+        n = np.bincount(number, self.learned[self.document[at]], len(distinct)).astype(np.int64)
         for part, rows in _split(distinct, ranges):
-            yield part, distinct[rows], n[rows]
-
-    def sums(self, owned: np.ndarray, ranges: int) -> Iterator[tuple]:
-        """(range, contexts, their counts, sums over the entries that are owned here)."""
-        at, contexts = self.contexts()
-        distinct, first, inverse = np.unique(contexts, return_index=True, return_inverse=True)
-        total = self.past[at[first] - 1]
-        entry = owned[at] & (self.now[at] >= self.least)
-        of, own_at = inverse[entry], at[entry]
+            yield part, distinct[rows], _small(n[rows])
+
+    def sums(self, ranges: int) -> Iterator[tuple]:
+        """(range, contexts, whether they have entries that are owned here, and of those that
+        have: their counts, sums over these entries)."""
+        at, distinct, number, total = self.contexts()
+        entry = self.owned[at] & (self.now[at] >= self.least)
+        of, own_at = number[entry], at[entry]
         n = self.now[own_at].astype(np.float64)
         own = (n - DISCOUNT) / self.past[own_at - 1]
         shorter = self.levels[self.level[own_at]]
         gain = n * (np.log(own) - shorter * np.log(10.0))
         columns = [np.bincount(of, v, len(distinct)) for v in (n, own, 10.0**shorter, gain)]
+        has = np.zeros(len(distinct), dtype=bool)
+        has[of] = True
         for part, rows in _split(distinct, ranges):
-            yield part, distinct[rows], total[rows], *[c[rows] for c in columns]
+            some = has[rows]
+            yield part, distinct[rows], some, *[c[rows][some] for c in (total, *columns)]
 
-    def take_rests(self, answers: dict[int, list[np.ndarray]], ranges: int) -> np.ndarray:
-        """Log10 probabilities after contexts of ``length`` - 1 tokens at most."""
-        shorter = self.levels[self.level]
+    def take_rests(self, answers: dict[int, list[np.ndarray]], ranges: int) -> None:
+        """Take contexts of ``length`` - 1 tokens into the levels, or into what is done."""
         if self.length < 2:
-            return shorter
-        at, contexts = self.contexts()
-        distinct, inverse = np.unique(contexts, return_inverse=True)
+            return
+        at, distinct, number, _ = self.contexts()
         rest = np.full(len(distinct), np.nan)
         for part, rows in _split(distinct, ranges):
             rest[rows] = answers[part][0]
-        rest = rest[inverse]
+        rest = rest[number]
         at, rest = at[~np.isnan(rest)], rest[~np.isnan(rest)]
         seen = self.now[at] >= self.least
-        own = np.log10(np.maximum(self.now[at] - DISCOUNT, DISCOUNT) / self.past[at - 1])
-        shorter[at] = np.where(seen, own, rest + shorter[at])
-        return shorter
-
-    def take_counts(self, answers: dict[int, list[np.ndarray]], ranges: int):
-        """(count by place, whether the place is the one that stands for its gram)."""
-        at, grams = self.asked()
-        distinct, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
+        document = self.document[at[~seen]]
+        self.done = self.done + np.bincount(document, rest[~seen], len(self.doc))
+        at = at[seen]
+        own = np.log10((self.now[at] - DISCOUNT) / self.past[at - 1])
+        levels, number, _ = _distinct(own.view(np.uint64))
+        self.level[at] = len(self.levels) + number
+        self.levels = np.append(self.levels, levels.view(np.float64))
+
+    def take_counts(self, answers: dict[int, list[np.ndarray]], ranges: int) -> None:
+        """Grow by one token."""
+        at, distinct, number, first = self.asked()
         n, mine = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
         for part, rows in _split(distinct, ranges):
             n[rows], mine[rows] = answers[part]
-        counts, owned = np.zeros(len(self.word), np.int64), np.zeros(len(self.word), bool)
-        counts[at], owned[at[first]] = n[inverse], mine
-        return counts, owned
-
-
-def _split(values: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(range, places of its values)."""
+        self.length += 1
+        if self.length == 1:
+            self.singles = n
+            scores = (np.log10(n + 1.0) - self.norm)[self.word]
+            self.known = self.per_document(n[self.word] > 0).astype(np.int64)
+            self.base = self.per_document(scores)
+            self.one_word()
+            self.done = self.per_document(np.where(self.level == 0, scores, 0.0))
+            return
+        self.owned = np.zeros(len(self.word), dtype=bool)
+        self.owned[first] = mine
+        now = np.zeros(len(self.word), np.int64)
+        now[at] = n[number]
+        self.past = np.where(self.fresh, self.tested(self.now), 0)
+        self.fresh, self.now = now != self.now, now
+
+
+def _split(values: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """(range, places of its values) of values in order."""
     part = _range_of(values, ranges)
-    order = np.argsort(part, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-        if len(rows):
-            yield int(part[rows[0]]), rows
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for start, end in zip(edges, edges[1:], strict=False):
+        if end > start:
+            yield int(part[start]), slice(start, end)
 
 
 def _one(value: int) -> np.ndarray:
     return np.array([value], dtype=np.int64)
 
 
-def _sent(
-    part: Part, chunk: int, owned: np.ndarray | None, ranges: int, depth: int
-) -> list[tuple]:
-    """The part itself and what it asks of the ranges."""
-    rows = [(chunk, PART, part.packed())]
+def _sent(part: Part, chunk: int, ranges: int, depth: int) -> list[tuple]:
+    """What the part asks of the ranges."""
+    rows = []
     if part.length <= depth:
         for to, *columns in part.requests(ranges):
             rows.append((to, ASKED, pack(_one(chunk), steps(columns[0]), *columns[1:])))
     if part.length >= 2:
-        for to, *columns in part.sums(owned, ranges):
+        for to, *columns in part.sums(ranges):
             rows.append((to, SUMS, pack(_one(chunk), steps(columns[0]), *columns[1:])))
     return rows
 
@@ -306,7 +423,7 @@ def _by_chunk(payloads: list[bytes]) -> tuple[list[int], list[int], list[np.ndar
     return [int(p[0][0]) for p in parts], [len(p[1]) for p in parts], joined
 
 
-def _answered(group: pa.Table, least: int) -> pa.Table:
+def _answered(group: pa.Table, length: int, least: int) -> pa.Table:
     """Counts of grams and rests of contexts of one hash range, to the chunks that asked."""
     part = group["key"][0].as_py()
     by_kind: dict[int, list[bytes]] = {ASKED: [], SUMS: []}
@@ -315,26 +432,31 @@ def _answered(group: pa.Table, least: int) -> pa.Table:
     out, total, distinct, frequent = [], 0, 0, 0
     if by_kind[ASKED]:
         chunks, sizes, (grams, n) = _by_chunk(by_kind[ASKED])
-        values, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
-        counts = np.bincount(inverse, n, len(values)).astype(np.int64)
-        owner = np.zeros(len(grams), bool)
-        owner[first] = True
+        values, number, first = _distinct(grams)
+        counts = np.bincount(number, n, len(values)).astype(np.int64)
         total, distinct = int(counts.sum()), int((counts > 0).sum())
         frequent = int((counts >= least).sum())
+        if length:
+            counts[counts < least] = 0
+        owner = np.zeros(len(grams), bool)
+        owner[first] = counts >= least
         ends = np.cumsum(sizes)[:-1]
-        columns = zip(np.split(counts[inverse], ends), np.split(owner, ends), strict=True)
+        columns = zip(np.split(counts[number], ends), np.split(owner, ends), strict=True)
         for chunk, (c, o) in zip(chunks, columns, strict=True):
-            out.append((chunk, COUNTED, pack(_one(part), c, o)))
+            out.append((chunk, COUNTED, pack(_one(part), _small(c), o)))
     if by_kind[SUMS]:
-        chunks, sizes, (contexts, of, *sums) = _by_chunk(by_kind[SUMS])
-        values, first, inverse = np.unique(contexts, return_index=True, return_inverse=True)
-        n, own, shorter, gain = [np.bincount(inverse, v, len(values)) for v in sums]
+        chunks, sizes, (contexts, some, total_of, *sums) = _by_chunk(by_kind[SUMS])
+        values, number, _ = _distinct(contexts)
+        at = number[some]
+        of = np.zeros(len(values))
+        of[at] = total_of
+        n, own, shorter, gain = [np.bincount(at, v, len(values)) for v in sums]
         rest, shorter_rest = np.maximum(1 - own, 1e-12), np.maximum(1 - shorter, 1e-12)
-        unseen = np.maximum(of[first] - n, 0)
+        unseen = np.maximum(of - n, 0)
         gain = gain + unseen * (np.log(rest) - np.log(shorter_rest))
         chosen = (gain >= MIN_DIVERGENCE) & (n > 0)
         rests = np.where(chosen, np.log10(rest) - np.log10(shorter_rest), np.nan)
-        for chunk, r in zip(chunks, np.split(rests[inverse], np.cumsum(sizes)[:-1]), strict=True):
+        for chunk, r in zip(chunks, np.split(rests[number], np.cumsum(sizes)[:-1]), strict=True):
             out.append((chunk, RESTS, pack(_one(part), r)))
     found = np.array([total, distinct, frequent], dtype=np.int64)
     out.append((part, FOUND, pack(found)))
@@ -354,18 +476,22 @@ def _found(answers: DataFrame) -> tuple[int, int, int]:
     return tuple(v or 0 for v in numbers.agg(*[F.sum(c) for c in "abc"]).first())
 
 
-def _part_of(group: pa.Table, length: int, least: int) -> tuple[Part, dict, dict]:
+def _part_of(group: pa.Table, length: int, least: int, norm: float) -> tuple[Part, dict, dict]:
     answers: dict[int, dict[int, list[np.ndarray]]] = {COUNTED: {}, RESTS: {}}
     part = None
     for kind, payload in zip(group["kind"].to_pylist(), group["payload"].to_pylist(), strict=True):
         if kind == PART:
-            part = Part(*unpack(payload), length, least)
+            part = Part.unpacked(payload, length, least, norm)
         else:
             to, *columns = unpack(payload)
             answers[kind][int(to[0])] = columns
     return part, answers[COUNTED], answers[RESTS]
 
 
+def _written_bytes(table: DataFrame) -> int:
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _drop(table: DataFrame) -> None:
     """Delete a table of an earlier length."""
     for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles()}:
@@ -383,85 +509,98 @@ def score(documents: DataFrame, learned: Column) -> tuple[DataFrame, int]:
         F.col("doc_id").cast("bigint"), "text", F.coalesce(learned, F.lit(True)).alias("learned")
     )
     python_tasks(documents.sparkSession)
-    ranges = share_of(texts.agg(F.sum(F.octet_length("text"))).first()[0], RANGE_BYTES)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = share_of(size, RANGE_BYTES)
     least, depth = MIN_COUNT, MAX_DEPTH
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for n, (ids, data, flags) in enumerate(_chunks(batches)):
             tokens, sizes = _tokens(data)
-            words, word = np.unique(tokens, return_inverse=True)
+            words, word, _ = _distinct(tokens)
             none = np.zeros(len(data))
-            zero = np.zeros(len(tokens), np.int64)
+            zero = np.zeros(len(data), np.int64)
             part = Part(
-                np.array(ids, np.int64), np.array(flags, np.int64), sizes, none, none, none,
-                np.arange(len(data)), sizes, words, word.astype(np.int32), zero, zero,
-                np.zeros(1), zero.astype(np.int32), 0, least,
+                np.array(ids, np.int64), np.array(flags, np.int64), sizes, zero, none, none,
+                np.arange(len(data)), sizes, words, np.zeros(0, np.int64), word, 0, least, 0.0,
             )
-            yield batch_of(_sent(part, first + n, None, ranges, depth), ROW_ARROW)
+            yield batch_of([(first + n, PART, part.packed())], ROW_ARROW)
+
+    def ask(length: int, base: float) -> Callable[[Iterator], Iterator[pa.RecordBatch]]:
+        """Ask for grams of one token more and for contexts of one token less."""
+
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for chunk, payload in zip(batch[0].to_pylist(), batch[2], strict=True):
+                    part = Part.unpacked(payload.as_py(), length, least, base)
+                    yield batch_of(_sent(part, chunk, ranges, depth), ROW_ARROW)
+
+        return step
 
     def longer(length: int, base: float) -> Callable[[pa.Table], pa.Table]:
-        """Take the answers for grams of ``length`` and ask for those of one token more."""
+        """Take the answers for grams of ``length``."""
 
         def step(group: pa.Table) -> pa.Table:
-            part, counted, rests = _part_of(group, length - 1, least)
-            scores = part.take_rests(rests, ranges)
-            part.past, (part.now, owned) = part.now, part.take_counts(counted, ranges)
-            part.length = length
-            if length == 1:
-                scores = np.log10(part.now + 1.0) - base
-                part.known = part.per_document((part.now > 0).astype(np.int64))
-                part.base = part.per_document(scores)
-            owned = part.close(scores, owned)
-            rows = _sent(part, group["key"][0].as_py(), owned, ranges, depth)
-            return pa.Table.from_batches([batch_of(rows, ROW_ARROW)])
+            part, counted, rests = _part_of(group, length - 1, least, base)
+            part.take_rests(rests, ranges)
+            part.take_counts(counted, ranges)
+            part.close()
+            row = (group["key"][0].as_py(), PART, part.packed())
+            return pa.Table.from_batches([batch_of([row], ROW_ARROW)])
 
         return step
 
-    def finish(length: int) -> Callable[[pa.Table], pa.Table]:
+    def finish(length: int, base: float) -> Callable[[pa.Table], pa.Table]:
         def step(group: pa.Table) -> pa.Table:
-            part, _, rests = _part_of(group, length, least)
-            scores = part.done + part.per_document(part.take_rests(rests, ranges))
+            part, _, rests = _part_of(group, length, least, base)
+            part.take_rests(rests, ranges)
+            scores = part.done + part.per_document(part.levels[part.level])
             ids = pa.array(part.doc, mask=part.doc == NO_ID)
             columns = [part.n_tokens, part.known.astype(np.int64), part.base, scores]
             return pa.Table.from_arrays([ids, *map(pa.array, columns)], names=_SCORED_NAMES)
 
         return step
 
-    def answers_to(sent: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-        """The parts by themselves, and the answers; what was asked is deleted."""
-        folder = {path.rsplit("/", 2)[0] for path in sent.inputFiles()}
-        asked = sent.filter(F.col("kind") != PART)
-        answered = asked.select("key", "kind", "payload").groupBy("key").applyInArrow(
-            lambda group: _answered(group, least), ROW
+    def answers_to(parts: DataFrame, length: int, base: float) -> DataFrame:
+        """What is asked is shuffled, but never written as a table."""
+        asked = parts.mapInArrow(ask(length, base), ROW)
+        answered = asked.groupBy("key").applyInArrow(
+            lambda group: _answered(group, length, least), ROW
         )
-        answers = materialize(answered, f"answers-{length}")
-        for path in folder:
-            for kind in (ASKED, SUMS):
-                delete_folder(spark, f"{path}/kind={kind}")
-        return sent.filter(F.col("kind") == PART), answers
-
-    def meeting(sent: DataFrame, answers: DataFrame):
-        parts = sent.filter(F.col("kind") == PART)
+        return materialize(answered, f"answers-{length}")
+
+    def meeting(parts: DataFrame, answers: DataFrame):
         return parts.unionByName(answers.filter(F.col("kind") != FOUND)).groupBy("key")
 
+    def grown(parts: DataFrame, answers: DataFrame, length: int, base: float) -> DataFrame:
+        """The parts of one token more. Of large tables some chunks meet at a time, so that
+        shuffle files never hold both tables once more."""
+        both = _written_bytes(parts) + _written_bytes(answers)
+        shares = share_of(both, max(size // MEETING_SHARE, MEETING_BYTES))
+        share = F.pmod(F.col("key") + F.shiftrightunsigned("key", 32), F.lit(shares))
+        tables = []
+        for n in range(shares):
+            met = meeting(parts.filter(share == n), answers.filter(share == n))
+            step = met.applyInArrow(longer(length, base), ROW)
+            tables.append(materialize(step, f"parts-{length}-{n}"))
+        return functools.reduce(DataFrame.unionByName, tables)
+
     spark = documents.sparkSession
     cleaned = spark.conf.get(CLEAN_SHUFFLES)
     spark.conf.set(CLEAN_SHUFFLES, "true")
     try:
-        sent = materialize(texts.mapInArrow(scan, ROW), "parts-0", by="kind")
-        sent, answers = answers_to(sent, 0)
+        parts = materialize(texts.mapInArrow(scan, ROW), "parts-0")
+        answers = answers_to(parts, 0, 0.0)
         total, distinct, _ = _found(answers)
         base = float(np.log10(total + distinct + 1))
         for length in range(1, depth + 2):
-            old = sent, answers
-            grown = meeting(sent, answers).applyInArrow(longer(length, base), ROW)
-            sent = materialize(grown, f"parts-{length}", by="kind")
+            old = parts, answers
+            parts = grown(parts, answers, length, base)
             for table in old:
                 _drop(table)
-            sent, answers = answers_to(sent, length)
+            answers = answers_to(parts, length, base)
             if not _found(answers)[2]:
                 break
     finally:
         spark.conf.set(CLEAN_SHUFFLES, cleaned)
-    return meeting(sent, answers).applyInArrow(finish(length), _SCORED), total
+    return meeting(parts, answers).applyInArrow(finish(length, base), _SCORED), total

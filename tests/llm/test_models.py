@@ -1,6 +1,7 @@
 """Classifier and language model: what they learn, and that it is whole."""
 
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter
@@ -271,6 +272,55 @@ def test_long_contexts_become_states(spark):
     assert got[0] > plain_scores(learned, [rows[0][1]], 2)[0] + 20
 
 
+def test_distinct_values():
+    """Also of values that differ in their lower bits only."""
+    rng = np.random.default_rng(1)
+    wide = rng.integers(0, 1 << 64, 500, dtype=np.uint64)
+    near = wide[:50, None] + np.arange(8, dtype=np.uint64)
+    for values in (wide[:0], wide[:1], rng.choice(wide, 3000), rng.choice(near.ravel(), 3000)):
+        found, number, first = suffix_lm._distinct(values)
+        assert (found == np.unique(values)).all() and len(found) == len(set(values.tolist()))
+        assert (found[number] == values).all() and (values[first] == found).all()
+
+
+def test_tables_stay_small_and_meet_in_shares(spark, monkeypatch):
+    """The disk that the tables of two lengths take at once, for a text of which many pairs and
+    some long passages are frequent; the scores are those of the whole tree."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("aeinrst", k=5)) for _ in range(400)]
+    passages = [rng.choices(words, k=60) for _ in range(40)]
+    rows = []
+    for i in range(120):
+        text = [w for _ in range(6) for w in [*rng.choices(words, k=100), *rng.choice(passages)]]
+        rows.append((i, " ".join(text)))
+    size = sum(len(x) for _, x in rows)
+    monkeypatch.setattr(suffix_lm, "CHUNK_BYTES", size // 5)
+    monkeypatch.setattr(suffix_lm, "MEETING_SHARE", 10)
+    monkeypatch.setattr(suffix_lm, "MEETING_BYTES", 1)
+    written, most = {}, []
+
+    def bytes_of(folder):
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    def watched(df, name, *args, **kwargs):
+        table = materialize(df, name, *args, **kwargs)
+        path = next(iter(table.inputFiles())).removeprefix("file:")
+        written[name] = next(p for p in pathlib.Path(path).parents if p.name.startswith(f"{name}-"))
+        most.append(sum(bytes_of(p) for p in written.values()))
+        return table
+
+    materialize = suffix_lm.materialize
+    monkeypatch.setattr(suffix_lm, "materialize", watched)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    scored, _ = suffix_lm.score(frame, F.col("doc_id") % 5 != 0)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    assert max(most) < 0.6 * size
+    assert {f"parts-2-{n}" for n in range(2)} <= written.keys()
+    learned = [x for d, x in rows if d % 5]
+    wanted = plain_scores(learned, [x for _, x in rows], suffix_lm.MAX_DEPTH)
+    assert [got[d] for d, _ in rows] == pytest.approx(wanted)
+
+
 def test_words_are_hashed_as_they_are():
     texts = [b"", b" \t", b"one", b"One two\none", b"x" * 9000 + b" " + b"y" * 3, "é É".encode()]
     texts += [b"long " * 600_000, b"one"]
