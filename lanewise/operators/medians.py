@@ -28,15 +28,46 @@ def _midpoint(low: Column, high: Column) -> Column:
     return F.when(low == high, low).otherwise(low + (high - low) * 0.5)
 
 
-def gathered_median(value: Column) -> Column:
-    """Median as an aggregate that holds the group's values in one array; NULL without any.
+def gathered_statistics(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, median, average) of values that are not NULL, put in order per group.
+
+    One sort behind one shuffle and no aggregate: rows are hardly fewer than groups on most lanes,
+    where gathering a group's values in an array costs more than its sort.
+    """
+    in_order = Window.partitionBy(*keys).orderBy(value)
+    group = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rows.select(
+        *keys,
+        F.col(value).alias("_low"),
+        F.lead(value).over(in_order).alias("_next"),
+        F.row_number().over(in_order).alias("_place"),
+        F.count(value).over(group).alias("_n"),
+        F.sum(value).over(group).alias("_sum"),
+    )
+    high = F.when(F.col("_n") % 2 == 0, F.col("_next")).otherwise(F.col("_low"))
+    return ranked.filter(F.col("_place") == F.expr("(_n + 1) div 2")).select(
+        *keys,
+        _midpoint(F.col("_low"), high).alias("median"),
+        (F.col("_sum") / F.col("_n")).alias("average"),
+    )
+
+
+def packed_statistics(packs: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, median, average) of groups whose values come in arrays, none of them NULL.
 
     Only for groups of a checked size. On such groups sorting a plain array is several
     times faster than the counting map behind ``F.median``.
     """
-    values = F.sort_array(F.collect_list(value))
-    n = F.size(values)
-    return _midpoint(F.get(values, F.floor((n - 1) / 2)), F.get(values, F.floor(n / 2)))
+    gathered = packs.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list(value))).alias("values"))
+    n = F.size("values")
+    total = F.aggregate("values", F.lit(0.0), lambda a, b: a + b)
+    return gathered.select(
+        *keys,
+        _midpoint(
+            F.get("values", F.floor((n - 1) / 2)), F.get("values", F.floor(n / 2))
+        ).alias("median"),
+        (total / n).alias("average"),
+    )
 
 
 def _group_side(rows: DataFrame, groups: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
@@ -223,6 +254,7 @@ def statistics(
     value: str,
     ordered_values: int = ORDERED_VALUES,
     find_large: Callable[[], DataFrame | None] | None = None,
+    packed: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """(keys, median, average) of the values that are not NULL, per group.
 
@@ -232,17 +264,25 @@ def statistics(
 
     ``find_large`` gives the ``large_groups``, by columns of ``rows`` that groups agree in, from
     sizes that are no smaller than the groups; without it, rows are counted.
+
+    ``packed`` has further groups, none of ``rows``: their values in arrays of ``value``, without
+    what is in large groups only, and the rows those arrays are made of.
     """
     usable = rows.filter(F.col(value).isNotNull())
     if find_large is None:
         crowded = large_groups(group_sizes(usable, keys), ordered_values)
     else:
         crowded = find_large()
-    average = (F.sum(value) / F.count(value)).alias("average")
+    small = usable if crowded is None else semi_join(usable, crowded, crowded.columns, "left_anti")
+    found = gathered_statistics(small, keys, value)
+    if packed is not None:
+        packs, parts = packed
+        if crowded is not None:
+            packs = semi_join(packs, crowded, crowded.columns, "left_anti")
+            usable = usable.unionByName(parts.select(*usable.columns).filter(F.col(value).isNotNull()))
+        found = found.unionByName(packed_statistics(packs, keys, value))
     if crowded is None:
-        return usable.groupBy(*keys).agg(gathered_median(F.col(value)).alias("median"), average)
-    small = semi_join(usable, crowded, crowded.columns, "left_anti")
-    gathered = small.groupBy(*keys).agg(gathered_median(F.col(value)).alias("median"), average)
+        return found
     large = semi_join(usable, crowded, crowded.columns, "left_semi")
     narrowed = materialize(narrowed_statistics(large, keys, value, ordered_values), "large-medians")
-    return gathered.unionByName(narrowed)
+    return found.unionByName(narrowed)

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewise.functions.numeric import (
@@ -22,18 +22,19 @@ from lanewise.functions.numeric import (
     quality_flag,
     round_half_up,
 )
-from lanewise.operators.coverage import lane_coverage, lane_sizes
+from lanewise.operators.coverage import lane_coverage, lane_days, lane_sizes, unit_sizes
 from lanewise.operators.hierarchy import ancestor_set
 from lanewise.operators.intervals import Stretches, active, clip, clip_to
 from lanewise.operators.lanes import (
+    CLASSES,
     LANE_KEYS,
     PORT_TO_PORT,
     LaneMap,
+    Located,
     attach_lanes,
-    number_lanes,
-    port_lanes,
+    locate,
     port_pairs,
-    region_lanes,
+    write_lane_map,
 )
 from lanewise.operators.medians import ORDERED_VALUES, large_groups, semi_join, statistics
 from lanewise.operators.pricing import datapoint_costs
@@ -60,14 +61,8 @@ def lane_map(
     tables: Staging, datapoints: DataFrame, ports: bool = True, regions: bool = True
 ) -> LaneMap:
     """Lanes of every port pair of the datapoints; written once for its readers."""
-    pairs = port_pairs(datapoints)
-    parts = []
-    if regions:
-        ancestors = materialize(ancestor_set(tables.regions), "ancestors")
-        parts.append(region_lanes(pairs, tables.ports, ancestors))
-    if ports:
-        parts.append(port_lanes(pairs, tables.ports))
-    return number_lanes(reduce(DataFrame.unionByName, parts))
+    ancestors = materialize(ancestor_set(tables.regions), "ancestors") if regions else None
+    return write_lane_map(port_pairs(datapoints), tables.ports, ancestors, with_ports=ports)
 
 
 def within(
@@ -98,6 +93,41 @@ def _tasks(spark: SparkSession, lane_rows: int) -> int | None:
     return max(-(-lane_rows // LANE_ROWS), spark.sparkContext.defaultParallelism)
 
 
+def lane_prices(
+    costs: DataFrame,
+    located: Located,
+    covered: Callable[[DataFrame], DataFrame],
+    ordered_values: int,
+    large: DataFrame | None,
+) -> DataFrame:
+    """(lane keys, median, average) of costs with ends. Where there are few units, the costs of a
+    unit and day travel to its lanes as one array."""
+    lane_map = located.lane_map
+
+    def find_large() -> DataFrame | None:
+        return large
+
+    rows = covered(lane_map.lanes_of(costs, located.scattered))
+    if not located.units:
+        return statistics(rows, LANE_KEYS, "cost", ordered_values, find_large)
+    packs, parts = [], []
+    for unit in located.units:
+        of_unit = unit.of(costs)
+        parts.append(unit.lanes(of_unit, lane_map))
+        if large is not None:
+            # A unit as large as a large group is in large groups only.
+            sizes = unit_sizes(located, unit)
+            crowded = large_groups(sizes, ordered_values)
+            if crowded is not None:
+                of_unit = semi_join(of_unit, crowded, crowded.columns, "left_anti")
+        by_day = of_unit.groupBy(*unit.keys, "equipment_id", "date", "month").agg(
+            F.collect_list("cost").alias("cost")
+        )
+        packs.append(unit.lanes(by_day, lane_map))
+    packs, parts = [covered(reduce(DataFrame.unionByName, some)) for some in (packs, parts)]
+    return statistics(rows, LANE_KEYS, "cost", ordered_values, find_large, (packs, parts))
+
+
 def lane_statistics(
     tables: Staging,
     lane_map: LaneMap,
@@ -116,37 +146,48 @@ def lane_statistics(
     datapoints but no cost.
     """
     datapoints = tables.datapoints
-    coverage = lane_coverage(datapoints, lane_map.members)
+    located = locate(datapoints, lane_map)
+    # Two small jobs that do not wait for each other.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        sizes = lane_sizes(located, above=ordered_values).drop("days")
+        found = pool.submit(large_groups, sizes, ordered_values)
+        days = pool.submit(lane_days, located)
+    large, days = found.result(), days.result()
+    coverage = lane_coverage(located, crowded=large)
     limited = min_suppliers > 0 or min_companies > 0
     if limited:
-        coverage = coverage.filter(
-            (F.col("supplier_cnt") >= min_suppliers) & (F.col("company_cnt") >= min_companies)
+        # Read by the costs of rows and of units, and by the merge.
+        coverage = materialize(
+            coverage.filter(
+                (F.col("supplier_cnt") >= min_suppliers) & (F.col("company_cnt") >= min_companies)
+            ),
+            "lane-coverage",
         )
-    # Two small jobs that do not wait for each other.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        seen = Observation()
-        sizes = lane_sizes(datapoints, lane_map.members)
-        sizes = sizes.observe(seen, F.sum("days").alias("days")).drop("days")
-        large = pool.submit(large_groups, sizes, ordered_values)
-        coverage = materialize(coverage, "lane-coverage")
-    tasks = _tasks(tables.datapoints.sparkSession, seen.get.get("days") or 0)
+    tasks = _tasks(datapoints.sparkSession, days)
     costs = datapoint_costs(
         datapoints, tables.charges, tables.exchange_rates, keep_unpriced=False, tasks=tasks
     ).select("d_id", "origin_pid", "destination_pid", "equipment_id", "date", "cost")
-    if large.result() is not None:
-        # Read by the gathered groups once and by the large ones twice.
-        costs = materialize(costs, "lane-costs")
-        if tasks is not None:
-            costs = costs.repartition(tasks, "d_id")
-    costs = costs.drop("d_id")
-    priced = attach_lanes(costs, lane_map.members).select(
-        *LANE_KEYS,
+    costs = attach_lanes(costs, lane_map.ends).select(
+        "d_id",
+        "origin",
+        "destination",
+        *CLASSES,
+        "equipment_id",
+        "date",
         F.trunc("date", "month").alias("month"),
         (F.col("cost") * F.col("copies")).alias("cost"),
     )
-    if limited:
-        priced = semi_join(priced, coverage, LANE_KEYS, "left_semi")
-    prices = statistics(priced, LANE_KEYS, "cost", ordered_values, large.result)
+    if large is not None or (located.units and located.scattered):
+        # Read by the gathered groups, the units and the large groups.
+        costs = materialize(costs, "lane-costs")
+        if large is not None and tasks is not None:
+            costs = costs.repartition(tasks, "d_id")
+    costs = costs.drop("d_id")
+
+    def covered(priced: DataFrame) -> DataFrame:
+        return semi_join(priced, coverage, LANE_KEYS, "left_semi") if limited else priced
+
+    prices = lane_prices(costs, located, covered, ordered_values, large)
     merged = coverage.unionByName(prices, allowMissingColumns=True)
     found = merged.groupBy(*LANE_KEYS).agg(
         round_half_up(F.max("median")).alias("med_cost"),
@@ -167,7 +208,8 @@ def publish(
 
     Region grains form a set: equal rows collapse while the counts are still
     visible, equal keys with other values stay. Port lanes have unique keys, so one
-    distinct serves both without mixing them, and port lanes alone need none.
+    distinct serves both without mixing them, and port lanes alone need none; nor do
+    ``regions`` that are never both a port's own and an ancestor, as no two grains share a lane.
     """
     flagged = statistics.withColumn("between_ports", F.col("grain") == PORT_TO_PORT).drop("grain")
     if regions:
@@ -188,7 +230,7 @@ def _mart(
     tables = within(tables, date_from, date_to, days)
     mapped = lane_map(tables, tables.datapoints, ports=ports, regions=regions)
     least = (MIN_SUPPLIERS, MIN_COMPANIES) if covered_only else (0, 0)
-    return publish(lane_statistics(tables, mapped, *least), regions=regions)
+    return publish(lane_statistics(tables, mapped, *least), regions=regions and mapped.shared())
 
 
 def prices_regions(tables: Staging, **options) -> DataFrame:

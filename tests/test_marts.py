@@ -2,13 +2,16 @@
 
 import datetime as dt
 import glob
+import math
+import random
+import statistics
 from collections import Counter
 from dataclasses import replace
 
 import pytest
 
 import golden
-from lanewise.operators import hierarchy, pricing
+from lanewise.operators import hierarchy, lanes, pricing
 from lanewise.operators.coverage import lane_coverage, lane_sizes
 from lanewise.operators.intervals import active, clip, expand_days, merge_intervals
 from lanewise.operators.lanes import attach_lanes
@@ -247,3 +250,138 @@ def test_costs_are_dealt_to_tasks_by_the_rows_that_lanes_make_of_them(
     assert collected() == expected
     days = attach_lanes(expand_days(tables.datapoints), mapped.members).count()
     assert seen == [None, max(-(-days // 2), spark.sparkContext.defaultParallelism)]
+
+
+def branching(spark, ports=30, datapoints=400):
+    """Leaf regions of few parents, each with a port; ports of two regions, of an inner region, of an
+    unknown one and of none; repeated parties, missing keys and days."""
+    rng = random.Random(11)
+
+    def day(n):
+        return golden.D1 + dt.timedelta(days=n)
+
+    regions = [("w", None), ("alone", None), ("a", "w"), ("b", "w"), ("aa", "a"), ("ab", "a")]
+    regions += [(f"leaf{n}", rng.choice(["aa", "ab", "b"])) for n in range(ports)]
+    places = [(n, f"P{n}", f"leaf{n}") for n in range(ports)]
+    places += [(1, "P1b", "leaf2"), (2, "P2", "leaf2"), (ports, "PI", "aa"), (ports + 1, "PU", "zzz"), (ports + 2, "PN", None)]
+    points, charges = [], []
+    for d_id in range(datapoints):
+        ends = [rng.choice([None, *range(ports + 4)]) for _ in range(2)]
+        start = rng.choice([None, *range(12)])
+        last = rng.choice([None, *range(15)])
+        points.append((d_id, *ends, *[None if n is None else day(n) for n in (start, last)],
+                       rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 2]), rng.randint(1, 2), True))
+        charges += [(d_id, "USD", float(rng.randint(1, 999)))] * rng.randint(0, 2)
+    rates = [(day(n), "USD", 1.0) for n in range(14)]
+    return marts.Staging(
+        datapoints=spark.createDataFrame(
+            points,
+            "d_id bigint, origin_pid int, destination_pid int, valid_from date, valid_to date,"
+            " company_id int, supplier_id int, equipment_id int, is_active boolean",
+        ),
+        charges=spark.createDataFrame(charges, "d_id bigint, currency string, charge_value double"),
+        exchange_rates=spark.createDataFrame(rates, "day date, currency string, rate double"),
+        ports=spark.createDataFrame(places, "pid int, code string, slug string"),
+        regions=spark.createDataFrame(regions, "slug string, parent string"),
+    )
+
+
+def test_no_table_of_pairs_by_lanes_is_written(spark, monkeypatch):
+    """Lanes multiply pairs of classes in the map, and rows only on their way to a lane."""
+    written, honest = {}, lanes.materialize
+
+    def watching(rows, name, *rest):
+        table = honest(rows, name, *rest)
+        written[name] = table.count()
+        return table
+
+    monkeypatch.setattr(lanes, "materialize", watching)
+    tables = marts.within(branching(spark))
+    mapped = marts.lane_map(tables, tables.datapoints, ports=False)
+    pairs = tables.datapoints.select("origin_pid", "destination_pid").distinct().count()
+    located = marts.locate(tables.datapoints, mapped)
+    on_lanes = mapped.lanes_of(mapped.ends, mapped.grains).count()
+    assert max(written.values()) <= mapped.ends.count() < 1.3 * pairs < on_lanes / 2
+    assert located.rows.count() < on_lanes
+
+
+def test_marts_do_not_depend_on_the_units(spark, monkeypatch):
+    """Every choice of units gives the members' lanes, prices and coverage."""
+    tables = marts.within(branching(spark))
+    mapped = marts.lane_map(tables, tables.datapoints)
+    days = expand_days(tables.datapoints)
+    every = {}
+    costs = pricing.datapoint_costs(tables.datapoints, tables.charges, tables.exchange_rates)
+    for r in attach_lanes(costs, mapped.members).collect():
+        seen = every.setdefault((r.lane_id, r.equipment_id, r.date), ([], set(), set()))
+        if r.cost is not None:
+            seen[0].append(r.cost * r.copies)
+        seen[1].update({r.supplier_id} - {None})
+        seen[2].update({r.company_id} - {None})
+    assert len(every) == attach_lanes(days, mapped.members).select(*lanes.LANE_KEYS).distinct().count()
+
+    def cents(value):
+        return math.floor(value * 100 + 0.5) / 100
+
+    expected = Counter(
+        (*key, *((cents(statistics.median(c)), cents(sum(c) / len(c))) if c else (None, None)), len(s), len(m))
+        for key, (c, s, m) in every.items()
+    )
+    label = mapped.label
+
+    def kept(frame):
+        return frame if "med_cost" in frame.columns else label(frame)
+
+    monkeypatch.setattr(lanes.LaneMap, "label", lambda self, frame: kept(frame))
+    choices = set()
+    for units, ordered_values in (
+        ({}, 3), ({("origin", "destination")}, 3), ({("origin",)}, 250_000), ({("destination",)}, 3),
+        ({()}, 250_000), ({("origin",), ("destination",)}, 250_000),
+    ):
+        def choose(grains, rows, counts, honest=lanes.choose_units, units=units):
+            chosen = honest(grains, 1, {columns: 0 if columns in units else 2 for columns in counts})
+            choices.add(str(chosen))
+            return chosen
+
+        with monkeypatch.context() as patch:
+            patch.setattr(lanes, "choose_units", choose)
+            found = marts.lane_statistics(tables, mapped, ordered_values=ordered_values)
+        columns = [*lanes.LANE_KEYS, "med_cost", "avg_cost", "supplier_cnt", "company_cnt"]
+        assert bag(found.select(*columns)) == expected, units
+    assert len(choices) == 6
+
+
+def test_units_are_taken_where_rows_crowd_them():
+    def chosen(rows, both, origin, destination, neither):
+        counts = {("origin", "destination"): both, ("origin",): origin, ("destination",): destination, (): neither}
+        units, left = lanes.choose_units(lanes.ALL_GRAINS, rows, counts)
+        return {u.columns: u.grains for u in units}, left
+
+    assert chosen(1000, 10, 10, 10, 10) == ({("origin", "destination"): (0, 1, 2, 3)}, ())
+    assert chosen(1000, 900, 900, 10, 10) == ({("destination",): (2, 3)}, (0, 1))
+    assert chosen(1000, 900, 10, 900, 10) == ({("origin",): (1, 3)}, (0, 2))
+    assert chosen(1000, 900, 900, 900, 10) == ({(): (3,)}, (0, 1, 2))
+    assert chosen(1000, 900, 900, 900, 900) == ({}, (0, 1, 2, 3))
+
+
+def test_a_lane_key_holds_both_ends(spark):
+    texts = [None, "", "a", "ab", ":", "a:1:", "-", "1", "\u00e9\U0001f6a2", "a:-"]
+    rows = [(g, o, d) for g in range(4) for o in texts for d in texts]
+    frame = spark.createDataFrame(rows, "grain int, o string, d string")
+    keyed = frame.select(lanes.lane_key(frame["grain"], frame["o"], frame["d"]).alias("lane_id"))
+    assert keyed.distinct().count() == len(rows)
+    mapped = lanes.LaneMap(None, None, lanes.ALL_GRAINS)
+    assert bag(mapped.label(keyed)) == Counter(rows)
+
+
+def test_grains_share_lanes_only_by_regions_that_are_ancestors_too(spark, tables):
+    """Equal rows of two grains are one row; without such regions there is nothing to make one."""
+    assert marts.lane_map(tables, tables.datapoints).shared()
+    tables = branching(spark)
+    assert marts.lane_map(tables, tables.datapoints).shared()
+    apart = tables.datapoints.filter("origin_pid < 30 and destination_pid < 30")
+    assert not marts.lane_map(tables, apart).shared()
+    apart = replace(tables, datapoints=apart)
+    mapped = marts.lane_map(marts.within(apart), apart.datapoints, ports=False)
+    plain = marts.publish(marts.lane_statistics(marts.within(apart), mapped))
+    assert bag(marts.prices_regions(apart)) == bag(plain)
